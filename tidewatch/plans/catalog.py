@@ -149,7 +149,7 @@ def a6_append_fact(spark, sf):
     _, cb = _community_batch(spark, sf)
     io.append_fact(cb.fact, base, ONE_BATCH)
     io.append_fact(cb.fact, base, ONE_BATCH)   # a rerun replaces the batch partition
-    got = spark.read.parquet(base).drop("batch_period")
+    got = io.read_fact(spark, base).drop("batch_period")
     return _rounded(got, ["issue_score"])
 
 

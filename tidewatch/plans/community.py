@@ -17,7 +17,7 @@ from ..operators.aggregate import aggregate_community
 from ..operators.alerts import alertable, render_alert
 from ..operators.issue import alert_on_change, batch_view, score_issues, to_fact
 from ..operators.joins import within_rows
-from ..operators.scoring import Scorer, apply_scorer
+from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import fold_posts, issue_list
 from ..operators.tagging import (clean_columns, expand_to_entities, explode_tags, keyword_map,
                                  select_keywords, tag_mapped)
@@ -55,7 +55,7 @@ def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords:
                               render_alert(alertable(state)))
     posts = tag_posts(raw, keywords, issues, require_mention)
     scored = apply_scorer(posts, scorer, "comm_score", on_failure)
-    agg = aggregate_community(scored, k)
+    agg = materialise(aggregate_community(scored, k), "post-agg")   # one row per key
     folded = fold_posts(state, agg)
     scored_issues = score_issues(folded, news, agg)
     new_state = alert_on_change(folded, scored_issues)

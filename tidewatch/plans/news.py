@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ISSUE_THRESHOLD
 from ..operators.aggregate import aggregate_news, news_evidence
-from ..operators.scoring import Scorer, apply_scorer
+from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import news_step
 from ..operators.tagging import clean_columns, explode_tags, project_news, tag_flat
 from ..sources import io
@@ -35,10 +35,15 @@ def score_news(raw: DataFrame, categories, scorer: Scorer, on_failure: int | Non
 def run_news(raw: DataFrame, batch_period: str, state: DataFrame, categories, scorer: Scorer,
              threshold: int = ISSUE_THRESHOLD, ttl: str | None = None,
              on_failure: int | None = 0) -> NewsBatch:
-    """One news batch as DataFrames (G1)."""
+    """One news batch as DataFrames (G1).
+
+    The aggregate and the new state have one row per (entity, category); both
+    are materialised, so the later steps that read them several times (issue
+    list, keyword selection, scoring) never rerun the text pipeline."""
     scored = score_news(raw, categories, scorer, on_failure)
-    agg = aggregate_news(scored)
-    return NewsBatch(agg, news_evidence(scored), news_step(state, agg, batch_period, threshold, ttl))
+    agg = materialise(aggregate_news(scored), "news-agg")
+    new_state = materialise(news_step(state, agg, batch_period, threshold, ttl), "state")
+    return NewsBatch(agg, news_evidence(scored), new_state)
 
 
 def run_news_job(spark: SparkSession, raw_base: str, out_base: str, batch_period: str,

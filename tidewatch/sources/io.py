@@ -100,6 +100,18 @@ def append_fact(fact: DataFrame, base: str, period: str) -> None:
     write_batch(fact, base, period)
 
 
+def read_fact(spark: SparkSession, base: str) -> DataFrame:
+    """Every fact row appended under ``base``; none yet is an empty table."""
+    schema = T.StructType(list(schemas.FACT.fields)
+                          + [T.StructField("batch_period", T.StringType())])
+    try:
+        return spark.read.schema(schema).parquet(base)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return empty(spark, schema)
+        raise
+
+
 def issues_from_list(spark: SparkSession, issues: list[dict]) -> DataFrame:
     """Issue list given as job arguments -> DataFrame (A7). Explicit schema, so
     an empty list works."""

@@ -19,8 +19,23 @@ from ..operators.state import seed_from
 from .io import keywords_from_map
 
 
+# tables whose rows carry long text: CPU-heavy per row
+TEXT_TABLES = {"documents", "pages", "conversations"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores
+    (a small file, one row group) before CPU-heavy text work. A large input
+    already has one split per 128 MB and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def doc_time(doc_id: Column) -> Column:
