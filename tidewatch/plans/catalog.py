@@ -130,6 +130,21 @@ def a3_write_aggregate(spark, sf):
     return _rounded(io.read_aggregate(spark, "posts", base, ONE_BATCH), ["avg_comm_score"])
 
 
+def a4_write_records(spark, sf):
+    """Records written per batch period and source (A4), one batch read back."""
+    base = scratch_path(spark, "records")
+    raw = raw_news(_docs(spark, sf))
+    io.write_records(_in_batch(raw, BATCH_A), base, BATCH_A)
+    io.write_records(_in_batch(raw, BATCH_B), base, BATCH_B)
+    return io.read_records(spark, "news", base, BATCH_A)
+
+
+def a7_config_tables(spark, sf):
+    """Keyword map given as configuration (A7), limited to categories seen in the news."""
+    seen = _news_tagged(spark, sf).select("accident").distinct()
+    return standins.keyword_table(spark).join(seen, "accident", "left_semi")
+
+
 def a5_state_snapshots(spark, sf):
     """Snapshots per batch; the read before BATCH_B returns BATCH_A's."""
     base = scratch_path(spark, "state")
@@ -173,6 +188,14 @@ def b1_parse_period(spark, sf):
                     parse_period_end("batch_period").alias("period_end"))
 
 
+def b2_format_period(spark, sf):
+    e = _events(spark, sf)
+    hour = periods.assign_period(e, "1 hour", col="ts")
+    day = periods.assign_period(e, "1 day", col="ts")
+    return hour.select("event_id", "batch_period").join(
+        day.select("event_id", F.col("batch_period").alias("day_period")), "event_id")
+
+
 def b3_in_period(spark, sf):
     return periods.in_period(_events(spark, sf), "2024-01-01 02:00:00", "2024-01-01 09:00:00",
                              col="ts").select("event_id", "ts", "event_type")
@@ -227,6 +250,21 @@ def c1_title_tag(spark, sf):
     return _pages(spark, sf).select("page_id", pages.extract_tag("html", "title").alias("title"))
 
 
+def c2_drop_blocks(spark, sf):
+    return pages.extract_pages(_pages(spark, sf)).select("page_id", "body", "n_paragraphs")
+
+
+def c8_fill_defaults(spark, sf):
+    r = pages.extract_records(_pages(spark, sf), "pages", "2024-01-01 00:00:00")
+    return r.select("link", "title", "content", "post_time", "view_count", "like_count")
+
+
+def c9_absolute_link(spark, sf):
+    from ..functions.text import absolute_link
+    links = pages.extract_links(_pages(spark, sf))
+    return links.select("page_id", absolute_link("link", "https://m.example").alias("link"))
+
+
 def c3_join_paragraphs(spark, sf):
     return _docs(spark, sf).select("doc_id", join_paragraphs(F.split("text", "\n"), " ")
                                    .alias("joined"))
@@ -282,7 +320,7 @@ def c10_explode_search(spark, sf):
 
 def c11_extract_links(spark, sf):
     return pages.extract_links(_pages(spark, sf), base="https://site.example").select(
-        "page_id", "link")
+        "page_id", "pos", "link")
 
 
 def c12_drop_failed(spark, sf):
@@ -404,6 +442,22 @@ def e1_fold_news(spark, sf):
     return _state_out(state.fold_news(standins.seed(docs), nb.aggregate, ONE_BATCH))
 
 
+def _two_batches(spark, sf):
+    raw = raw_news(_docs(spark, sf))
+    s_a = _news_batch(spark, sf, BATCH_A, _in_batch(raw, BATCH_A)).state
+    return news.run_news(_in_batch(raw, BATCH_B), BATCH_B, s_a, NEWS_CATEGORIES,
+                         _scorer(spark, sf)).state
+
+
+def e2_start_on_first(spark, sf):
+    return _two_batches(spark, sf).select("car_model", "accident", "start_batch_time",
+                                          "last_batch_time", "news_acc_count")
+
+
+def e4_clear_alerts(spark, sf):
+    return _two_batches(spark, sf).select("car_model", "accident", "is_issue", "is_alert")
+
+
 def e3_append_evidence(spark, sf):
     raw = raw_news(_docs(spark, sf))
     ev = None

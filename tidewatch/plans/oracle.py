@@ -243,6 +243,10 @@ SQL["a3_write_aggregate"] = _with(COMMUNITY, """SELECT car_model, accident, top_
   FROM comm_agg""")
 _TWO = (BASE + ",\n" + _agg("agg_a", IN_A) + ",\n" + _agg("agg_b", IN_B) + ",\n"
         + _step("state_a", "seed", "agg_a", *A) + ",\n" + _step("state_b", "state_a", "agg_b", *B))
+SQL["a4_write_records"] = _with(BASE, f"""SELECT post_time, title, content, source, link, keyword
+  FROM news_raw WHERE {IN_A}""")
+SQL["a7_config_tables"] = _with(BASE, f"""SELECT accident, keyword FROM {KW_ALL} k
+  WHERE accident IN (SELECT accident FROM news_tagged)""")
 SQL["a5_state_snapshots"] = _with(_TWO, f"SELECT {STATE_COLS} FROM state_b")
 SQL["a6_append_fact"] = _with(COMMUNITY, "SELECT * FROM fact")
 _HREF = r'<a\s[^>]*href="([^"]*)"'
@@ -254,6 +258,8 @@ SQL["a9_union_sources"] = _with(BASE, """SELECT link, source, keyword FROM news_
 SQL["b1_parse_period"] = f"""SELECT DISTINCT {_period('ts', 'hour')} AS batch_period,
   date_trunc('hour', ts) AS period_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS period_end
   FROM events"""
+SQL["b2_format_period"] = f"""SELECT event_id, {_period('ts', 'hour')} AS batch_period,
+  {_period('ts', 'day')} AS day_period FROM events"""
 SQL["b3_in_period"] = """SELECT event_id, ts, event_type FROM events
   WHERE ts >= TIMESTAMP '2024-01-01 02:00:00' AND ts < TIMESTAMP '2024-01-01 09:00:00'"""
 SQL["b3_in_period_closed"] = """SELECT event_id, ts FROM events
@@ -290,8 +296,13 @@ SQL["c7_parse_count"] = """SELECT event_id, CAST(json_extract_string(props, '$.k
   CAST(round(value * 1000) AS BIGINT) AS big, 0::BIGINT AS junk FROM events"""
 SQL["c10_explode_search"] = """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events UNION ALL SELECT event_id, user_id AS k FROM events"""
-SQL["c11_extract_links"] = f"""SELECT page_id,
+SQL["c11_extract_links"] = f"""SELECT page_id, pos - 1 AS pos,
   CASE WHEN starts_with(l, '/') THEN 'https://site.example' || l ELSE l END AS link
+  FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS l,
+               unnest(generate_series(1, len(regexp_extract_all(html, '{_HREF}', 1)))) AS pos
+        FROM pages)"""
+SQL["c9_absolute_link"] = f"""SELECT page_id,
+  CASE WHEN starts_with(l, '/') THEN 'https://m.example' || l ELSE l END AS link
   FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS l FROM pages)"""
 SQL["c12_drop_failed"] = _with(BASE, """SELECT n.link, s.score FROM news_raw n
   JOIN scores s USING (link)""")
@@ -344,6 +355,9 @@ SQL["d17_join_aggregates"] = SQL["a3_write_aggregate"]
 SQL["e1_fold_news"] = _with(BASE + ",\n" + _agg("news_agg") + ",\n"
                             + _step("folded", "seed", "news_agg", *ONE, clear_and_open=False),
                             f"SELECT {STATE_COLS} FROM folded")
+SQL["e2_start_on_first"] = _with(_TWO, """SELECT car_model, accident, start_batch_time,
+  last_batch_time, news_acc_count FROM state_b""")
+SQL["e4_clear_alerts"] = _with(_TWO, "SELECT car_model, accident, is_issue, is_alert FROM state_b")
 SQL["e3_append_evidence"] = _with(BASE, f"""
 SELECT car_model, accident, content, link, '2024-01-01-00-00-00_2024-01-01-06-00-00' AS batch_period
   FROM news_scored WHERE {IN_A}
