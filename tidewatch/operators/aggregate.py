@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import NEGATIVE_MIN, POSITIVE_MAX, TOP_K
+from ..functions.text import clean_text
+from .joins import join_small
 
 KEYS = ["car_model", "accident"]
 
@@ -63,11 +65,31 @@ def join_aggregates(packed: DataFrame, stats: DataFrame) -> DataFrame:
     return packed.join(stats, KEYS, "left")
 
 
-def aggregate_community(scored: DataFrame, k: int = TOP_K,
-                        score_col: str = "comm_score") -> DataFrame:
-    """D14 + D15 + D16 + D17: the community batch aggregate (T4)."""
+def attach_content(top: DataFrame, raw: DataFrame, clean: bool = True) -> DataFrame:
+    """Cleaned content for the top rows only.
+
+    ``raw`` (link, content) is filtered to the top links - at most k per key -
+    through a size-checked broadcast before anything is shuffled, so the text
+    of every other post is never moved or cleaned again."""
+    links = top.select("link").distinct()
+    found = join_small(raw.select("link", "content"), links, "link", "inner") \
+        .dropDuplicates(["link"])
+    if clean:
+        found = found.withColumn("content", clean_text("content"))
+    return top.join(found, "link", "left")
+
+
+def aggregate_community(scored: DataFrame, k: int = TOP_K, score_col: str = "comm_score",
+                        raw: DataFrame | None = None) -> DataFrame:
+    """D14 + D15 + D16 + D17: the community batch aggregate (T4).
+
+    With ``raw`` given, ``scored`` need not carry the post text: statistics
+    and ranking use the slim rows and the text is fetched for the top rows."""
     stats = aggregate_posts(scored, score_col)
-    packed = pack_posts(top_k_posts(scored, k))
+    top = top_k_posts(scored, k)
+    if raw is not None:
+        top = attach_content(top.drop("content") if "content" in top.columns else top, raw)
+    packed = pack_posts(top)
     return join_aggregates(packed, stats).select(
         *KEYS, "top_comm", "avg_comm_score", "count", "comm_positive_count",
         "comm_negative_count")

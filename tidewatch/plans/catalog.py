@@ -61,10 +61,11 @@ def _news_scored(spark, sf, keep=()):
     return apply_scorer(_news_tagged(spark, sf, keep), _scorer(spark, sf), "news_score")
 
 
-def _news_batch(spark, sf, period=ONE_BATCH, raw=None):
+def _news_batch(spark, sf, period=ONE_BATCH, raw=None, evidence=False):
     docs = _docs(spark, sf)
     raw = raw_news(docs) if raw is None else raw
-    return news.run_news(raw, period, standins.seed(docs), NEWS_CATEGORIES, _scorer(spark, sf))
+    return news.run_news(raw, period, standins.seed(docs), NEWS_CATEGORIES, _scorer(spark, sf),
+                         evidence=evidence)
 
 
 def _community_batch(spark, sf):
@@ -75,10 +76,10 @@ def _community_batch(spark, sf):
 
 
 def _posts_scored(spark, sf):
+    """Slim scored posts (no text), as the community batch computes them."""
     nb = _news_batch(spark, sf)
-    issues = state.issue_list(nb.state)
-    posts = community.tag_posts(raw_posts(_docs(spark, sf)), standins.keyword_table(spark), issues)
-    return apply_scorer(posts, _scorer(spark, sf), "comm_score")
+    return community.score_posts(raw_posts(_docs(spark, sf)), standins.keyword_table(spark),
+                                 state.issue_list(nb.state), _scorer(spark, sf))
 
 
 def _rounded(df, cols):
@@ -154,7 +155,7 @@ def a5_state_snapshots(spark, sf):
     io.write_state(s_a, base, BATCH_A)
     prev = io.read_state(spark, base, BATCH_B, seed)
     s_b = news.run_news(_in_batch(raw, BATCH_B), BATCH_B, prev, NEWS_CATEGORIES,
-                        _scorer(spark, sf)).state
+                        _scorer(spark, sf), evidence=False).state
     io.write_state(s_b, base, BATCH_B)
     return _state_out(io.read_state(spark, base, BATCH_B + "~"))
 
@@ -415,7 +416,7 @@ def d13_aggregate_news(spark, sf):
 
 
 def d13_news_evidence(spark, sf):
-    return _news_batch(spark, sf).evidence
+    return _news_batch(spark, sf, evidence=True).evidence
 
 
 def d14_aggregate_posts(spark, sf):
@@ -428,11 +429,13 @@ def d15_top_k_posts(spark, sf):
 
 
 def d16_pack_posts(spark, sf):
-    return agg.pack_posts(agg.top_k_posts(_posts_scored(spark, sf)))
+    top = agg.top_k_posts(_posts_scored(spark, sf))
+    return agg.pack_posts(agg.attach_content(top, raw_posts(_docs(spark, sf))))
 
 
 def d17_join_aggregates(spark, sf):
-    return _rounded(agg.aggregate_community(_posts_scored(spark, sf)), ["avg_comm_score"])
+    a = community.aggregate_batch(_posts_scored(spark, sf), raw_posts(_docs(spark, sf)))
+    return _rounded(a, ["avg_comm_score"])
 
 
 # ---------------------------------------------------------------- E: state, issues
@@ -446,7 +449,7 @@ def _two_batches(spark, sf):
     raw = raw_news(_docs(spark, sf))
     s_a = _news_batch(spark, sf, BATCH_A, _in_batch(raw, BATCH_A)).state
     return news.run_news(_in_batch(raw, BATCH_B), BATCH_B, s_a, NEWS_CATEGORIES,
-                         _scorer(spark, sf)).state
+                         _scorer(spark, sf), evidence=False).state
 
 
 def e2_start_on_first(spark, sf):
@@ -462,7 +465,8 @@ def e3_append_evidence(spark, sf):
     raw = raw_news(_docs(spark, sf))
     ev = None
     for p in (BATCH_A, BATCH_B):
-        ev = state.append_evidence(ev, _news_batch(spark, sf, p, _in_batch(raw, p)).evidence, p)
+        ev = state.append_evidence(
+            ev, _news_batch(spark, sf, p, _in_batch(raw, p), evidence=True).evidence, p)
     return ev
 
 
@@ -475,7 +479,7 @@ def e6_expire_issues(spark, sf):
     raw = raw_news(docs)
     s = _news_batch(spark, sf, BATCH_A, _in_batch(raw, BATCH_A)).state
     s = news.run_news(_in_batch(raw, BATCH_B), BATCH_B, s, NEWS_CATEGORIES,
-                      _scorer(spark, sf)).state
+                      _scorer(spark, sf), evidence=False).state
     return _state_out(state.expire_issues(s, EXPIRY_NOW))
 
 

@@ -42,6 +42,24 @@ def tag_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame,
     return expand_to_entities(df, issues, require_mention)
 
 
+SLIM = ["car_model", "accident", "link", "view_count", "comm_score"]
+
+
+def score_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame, scorer: Scorer,
+                on_failure: int | None = 0, require_mention: bool = False) -> DataFrame:
+    """Tagged, entity-expanded, scored posts without their text, materialised:
+    the text work (cleaning, keyword tests) and the scorer run once, and the two
+    consumers (statistics, top-k) read a few small columns."""
+    posts = tag_posts(raw, keywords, issues, require_mention)
+    scored = apply_scorer(posts, scorer, "comm_score", on_failure, materialise_costly=False)
+    return materialise(scored.select(*SLIM), "scored-posts")
+
+
+def aggregate_batch(slim: DataFrame, raw: DataFrame, k: int = TOP_K) -> DataFrame:
+    """T4 from the slim scored rows; content fetched for the top-k only."""
+    return materialise(aggregate_community(slim, k, raw=raw), "post-agg")
+
+
 def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords: DataFrame,
                   scorer: Scorer, news: DataFrame, k: int = TOP_K,
                   on_failure: int | None = 0, require_mention: bool = False) -> CommunityBatch:
@@ -53,9 +71,8 @@ def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords:
         view = score_issues(state, news, agg)
         return CommunityBatch(agg, state, batch_view(view), to_fact(batch_view(view), batch_period),
                               render_alert(alertable(state)))
-    posts = tag_posts(raw, keywords, issues, require_mention)
-    scored = apply_scorer(posts, scorer, "comm_score", on_failure)
-    agg = materialise(aggregate_community(scored, k), "post-agg")   # one row per key
+    slim = score_posts(raw, keywords, issues, scorer, on_failure, require_mention)
+    agg = aggregate_batch(slim, raw, k)   # one row per key
     folded = fold_posts(state, agg)
     scored_issues = score_issues(folded, news, agg)
     new_state = alert_on_change(folded, scored_issues)

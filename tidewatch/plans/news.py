@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import ISSUE_THRESHOLD
 from ..operators.aggregate import aggregate_news, news_evidence
@@ -34,16 +35,22 @@ def score_news(raw: DataFrame, categories, scorer: Scorer, on_failure: int | Non
 
 def run_news(raw: DataFrame, batch_period: str, state: DataFrame, categories, scorer: Scorer,
              threshold: int = ISSUE_THRESHOLD, ttl: str | None = None,
-             on_failure: int | None = 0) -> NewsBatch:
+             on_failure: int | None = 0, evidence: bool = True) -> NewsBatch:
     """One news batch as DataFrames (G1).
 
-    The aggregate and the new state have one row per (entity, category); both
-    are materialised, so the later steps that read them several times (issue
-    list, keyword selection, scoring) never rerun the text pipeline."""
-    scored = score_news(raw, categories, scorer, on_failure)
+    The scored rows are materialised once (with their text when ``evidence``),
+    so the text work and the scorer run once; the aggregate reads only the key
+    and score columns back. The aggregate and the new state have one row per
+    (entity, category) and are materialised too, so the steps that read them
+    several times (issue list, keyword selection, scoring) stay cheap."""
+    cols = ["car_model", "accident", "link", "news_score"] + (["content"] if evidence else [])
+    scored = materialise(score_news(raw, categories, scorer, on_failure).select(*cols),
+                         "news-scored")
     agg = materialise(aggregate_news(scored), "news-agg")
     new_state = materialise(news_step(state, agg, batch_period, threshold, ttl), "state")
-    return NewsBatch(agg, news_evidence(scored), new_state)
+    ev = news_evidence(scored) if evidence else scored.select(
+        "car_model", "accident", "link").withColumn("content", F.lit(None).cast("string"))
+    return NewsBatch(agg, ev, new_state)
 
 
 def run_news_job(spark: SparkSession, raw_base: str, out_base: str, batch_period: str,

@@ -83,7 +83,7 @@ def replay_batches(raw_news: DataFrame, raw_posts: DataFrame | None, periods: li
     for i, p in enumerate(periods):
         s, e = (F.lit(p), F.lit(p))
         news_in = in_period(raw_news, parse_period_start(s), parse_period_end(e))
-        nb = run_news(news_in, p, state, categories, news_scorer, threshold, ttl)
+        nb = run_news(news_in, p, state, categories, news_scorer, threshold, ttl, evidence=False)
         state = nb.state
         if raw_posts is not None:
             posts_in = in_period(raw_posts, parse_period_start(s), parse_period_end(e))
