@@ -38,7 +38,22 @@ def rows_of(cols, rows):
     return [tuple(norm(r[i]) for i in order) for r in rows]
 
 
-def compare(spark, sf, names, queries, sql):
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT"}
+
+
+def type_diffs(spark_dtypes, duck_desc):
+    d = {c[0]: str(c[1]) for c in duck_desc}
+    out = []
+    for name, t in spark_dtypes:
+        want = SPARK_TO_DUCK.get(t, t)
+        if name in d and d[name] != want:
+            out.append((name, t, d[name]))
+    return out
+
+
+def compare(spark, sf, names, queries, sql, check_types=True):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
@@ -48,6 +63,7 @@ def compare(spark, sf, names, queries, sql):
         try:
             df = queries[n](spark, sf)
             s_cols = df.columns
+            s_types = df.dtypes
             s_rows = rows_of(s_cols, [tuple(r) for r in df.collect()])
         except Exception as e:  # noqa: BLE001
             print(f"{n:28s} SPARK ERROR {type(e).__name__}: {str(e)[:300]}")
@@ -67,7 +83,10 @@ def compare(spark, sf, names, queries, sql):
             continue
         ok_cols = sorted(s_cols) == sorted(d_cols)
         ok_rows = Counter(s_rows) == Counter(d_rows)
-        status = "OK" if ok_cols and ok_rows else "MISMATCH"
+        tdiff = type_diffs(s_types, res.description) if check_types else []
+        status = "OK" if ok_cols and ok_rows and not tdiff else "MISMATCH"
+        if tdiff:
+            print("   types (col, spark, duckdb):", tdiff)
         print(f"{n:28s} {status} rows spark={len(s_rows)} sql={len(d_rows)} "
               f"{t1 - t0:.1f}s")
         if not ok_cols:

@@ -296,7 +296,7 @@ SQL["c7_parse_count"] = """SELECT event_id, CAST(json_extract_string(props, '$.k
   CAST(round(value * 1000) AS BIGINT) AS big, 0::BIGINT AS junk FROM events"""
 SQL["c10_explode_search"] = """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
   FROM events UNION ALL SELECT event_id, user_id AS k FROM events"""
-SQL["c11_extract_links"] = f"""SELECT page_id, pos - 1 AS pos,
+SQL["c11_extract_links"] = f"""SELECT page_id, CAST(pos - 1 AS INTEGER) AS pos,
   CASE WHEN starts_with(l, '/') THEN 'https://site.example' || l ELSE l END AS link
   FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_HREF}', 1)) AS l,
                unnest(generate_series(1, len(regexp_extract_all(html, '{_HREF}', 1)))) AS pos
@@ -337,7 +337,7 @@ SQL["d9_parse_score"] = """SELECT event_id,
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_signed, 0 AS s_suffixed FROM events"""
 SQL["d10_apply_scorer"] = _with(BASE, "SELECT car_model, accident, link, news_score FROM news_scored")
 SQL["d11_fallback_score"] = _with(BASE, """SELECT t.car_model, t.accident, t.link,
-  coalesce(s.score, least(length(t.title), 100)) AS news_score
+  CAST(coalesce(s.score, least(length(t.title), 100)) AS INTEGER) AS news_score
   FROM news_tagged t LEFT JOIN scores s USING (link)""")
 SQL["d12_materialise_scores"] = _with(BASE, """SELECT car_model, accident, link,
   CAST(least(length(content) // 50, 100) AS INTEGER) AS news_score FROM news_tagged""")
@@ -347,7 +347,8 @@ SQL["d13_news_evidence"] = _with(BASE, "SELECT car_model, accident, content, lin
 SQL["d14_aggregate_posts"] = _with(COMMUNITY, """SELECT car_model, accident,
   round(avg_comm_score, 6) AS avg_comm_score, count, comm_positive_count, comm_negative_count
   FROM comm_stats""")
-SQL["d15_top_k_posts"] = _with(COMMUNITY, "SELECT car_model, accident, rank, link, view_count FROM top")
+SQL["d15_top_k_posts"] = _with(COMMUNITY, """SELECT car_model, accident, CAST(rank AS INTEGER) AS rank,
+  link, view_count FROM top""")
 SQL["d16_pack_posts"] = _with(COMMUNITY, "SELECT car_model, accident, top_comm FROM packed")
 SQL["d17_join_aggregates"] = SQL["a3_write_aggregate"]
 
@@ -402,7 +403,7 @@ SQL["e16_batch_view"] = _with(COMMUNITY, """SELECT car_model, accident, start_ba
   round(new_issue_score, 6) AS issue_score FROM si_scored""")
 SQL["e17_to_fact"] = SQL["a6_append_fact"]
 SQL["e18_parse_top_posts"] = _with(COMMUNITY, """SELECT t.car_model, t.accident,
-  t.rank - 1 AS pos, t.link FROM top t JOIN fact f USING (car_model, accident)""")
+  CAST(t.rank - 1 AS INTEGER) AS pos, t.link FROM top t JOIN fact f USING (car_model, accident)""")
 SQL["e19_seed_state"] = _with(BASE, f"SELECT {STATE_COLS} FROM seed")
 
 # ------------------------------------------------------------------ F
