@@ -33,6 +33,24 @@ def news_evidence(scored: DataFrame) -> DataFrame:
     return scored.select(*KEYS, "content", "link")
 
 
+def pack_evidence(evidence: DataFrame, counts: DataFrame, max_items: int = 1000) -> DataFrame:
+    """The original's JSON array of {content, link} per group, in bounded pieces.
+
+    A group is split into ceil(count / max_items) chunks by a hash of the link,
+    so each JSON array holds about ``max_items`` articles and a hot group spreads
+    over as many tasks as it has chunks. ``counts`` is the news aggregate (one
+    row per key). Within a chunk the articles are ordered by link."""
+    chunks = counts.select(*KEYS, F.greatest(F.lit(1), F.ceil(F.col("count") / max_items))
+                           .cast("int").alias("_chunks"))
+    ev = join_small(evidence, chunks, KEYS, "inner")
+    ev = ev.withColumn("chunk", F.pmod(F.xxhash64("link"), F.col("_chunks")).cast("int"))
+    items = F.sort_array(F.collect_list(F.struct("link", "content")))
+    packed = F.transform(items, lambda x: F.struct(x["content"].alias("content"),
+                                                   x["link"].alias("link")))
+    return ev.groupBy(*KEYS, "chunk").agg(F.count(F.lit(1)).alias("n_items"),
+                                          F.to_json(packed).alias("news"))
+
+
 def aggregate_posts(scored: DataFrame, score_col: str = "comm_score") -> DataFrame:
     """Mean score, count, positives (<= 45) and negatives (>= 55)."""
     s = F.col(score_col)

@@ -419,6 +419,11 @@ def d13_news_evidence(spark, sf):
     return _news_batch(spark, sf, evidence=True).evidence
 
 
+def d13_packed_news(spark, sf):
+    nb = _news_batch(spark, sf, evidence=True)
+    return agg.pack_evidence(nb.evidence, nb.aggregate, max_items=1000)
+
+
 def d14_aggregate_posts(spark, sf):
     return _rounded(agg.aggregate_posts(_posts_scored(spark, sf)), ["avg_comm_score"])
 

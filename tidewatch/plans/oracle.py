@@ -344,6 +344,10 @@ SQL["d12_materialise_scores"] = _with(BASE, """SELECT car_model, accident, link,
 SQL["d13_aggregate_news"] = _with(NEWS_ONE, """SELECT car_model, accident, count,
   round(avg_news_score, 6) AS avg_news_score FROM news_agg""")
 SQL["d13_news_evidence"] = _with(BASE, "SELECT car_model, accident, content, link FROM news_scored")
+SQL["d13_packed_news"] = _with(BASE, """SELECT car_model, accident, 0 AS chunk,
+  count(*) AS n_items,
+  CAST(to_json(list({'content': content, 'link': link} ORDER BY link, content)) AS VARCHAR) AS news
+  FROM news_scored GROUP BY car_model, accident""")
 SQL["d14_aggregate_posts"] = _with(COMMUNITY, """SELECT car_model, accident,
   round(avg_comm_score, 6) AS avg_comm_score, count, comm_positive_count, comm_negative_count
   FROM comm_stats""")
