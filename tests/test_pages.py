@@ -52,3 +52,16 @@ def test_extract_links(spark):
     df = spark.createDataFrame([(1, MESSY)], "page_id long, html string")
     links = [r.link for r in pages.extract_links(df, base="https://h").orderBy("pos").collect()]
     assert links == ["https://h/a", "http://b/c"]
+
+
+def test_extract_records_time_and_counts(spark):
+    html = ('<article><h1>H</h1><p>b</p></article><span class="date">2024.02.03. 오후 01:05.'
+            '</span><b class="views">1,234</b>')
+    df = spark.createDataFrame([(1, "u", html), (2, "v", "<p>x</p>")],
+                               "page_id long, url string, html string")
+    rules = {"time_regex": r'<span class="date">([^<]*)</span>',
+             "views_regex": r'<b class="views">([^<]*)</b>', "likes_regex": r'<i>([^<]*)</i>'}
+    got = {r.link: r for r in pages.extract_records(df, "s", "2024-01-01 00:00:00", rules)
+           .collect()}
+    assert str(got["u"].post_time) == "2024-02-03 13:05:00" and got["u"].view_count == 1234
+    assert got["u"].like_count == 0 and str(got["v"].post_time) == "2024-01-01 00:00:00"

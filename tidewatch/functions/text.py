@@ -69,6 +69,13 @@ def parse_score(c, on_failure: int | None = 0) -> Column:
     return v if on_failure is None else F.coalesce(v, F.lit(on_failure).cast("int"))
 
 
+def score_from_response(c, path: str = "$.choices[0].message.content",
+                        on_failure: int | None = 0) -> Column:
+    """Model response JSON -> integer score: the text at ``path``, parsed like
+    ``parse_score``; a malformed response or missing path -> ``on_failure`` (D9)."""
+    return parse_score(F.get_json_object(_c(c), path), on_failure)
+
+
 def absolute_link(c, base: str, prefix: str = "/") -> Column:
     """Prefix relative links that start with ``prefix`` with ``base``."""
     c = _c(c)

@@ -88,6 +88,8 @@ def to_fact(view: DataFrame, batch_period) -> DataFrame:
         F.col("comm_negative_count").cast("bigint").alias("comm_negative_count"))
 
 
-def parse_top_posts(c) -> Column:
-    """Top-post JSON text -> array<struct<content, link>>."""
-    return F.from_json(F.col(c) if isinstance(c, str) else c, TOP_POSTS_TYPE)
+def parse_top_posts(c, as_variant: bool = False) -> Column:
+    """Top-post JSON text -> array<struct<content, link>>, or a semi-structured
+    VARIANT value when ``as_variant`` (E18)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.try_parse_json(c) if as_variant else F.from_json(c, TOP_POSTS_TYPE)

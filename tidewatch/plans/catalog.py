@@ -16,7 +16,8 @@ from ..config import (COMMUNITY_KEYWORDS, EXPECTED_SOURCES, ISSUE_THRESHOLD, NEW
                       RANGE_COMM_COUNT, RANGE_NEWS_ACC_COUNT)
 from ..functions import (clean_text, collapse_ws, format_period, join_paragraphs,
                          parse_count, parse_local_time, parse_period_end, parse_period_start,
-                         parse_score, piecewise, render_prompt, severity, strip_suffix)
+                         parse_score, piecewise, render_prompt, score_from_response, severity,
+                         strip_suffix)
 from ..functions.scoring import alert_color, alert_label
 from ..operators import aggregate as agg
 from ..operators import alerts, issue, periods, state, tagging
@@ -386,7 +387,9 @@ def d9_parse_score(spark, sf):
                     parse_score(F.concat(F.lit(" "), k, F.lit("\n"))).alias("s_padded"),
                     parse_score(F.col("value").cast("string")).alias("s_decimal"),
                     parse_score(F.concat(F.lit("+"), k)).alias("s_signed"),
-                    parse_score(F.concat(k, F.lit("점"))).alias("s_suffixed"))
+                    parse_score(F.concat(k, F.lit("점"))).alias("s_suffixed"),
+                    score_from_response("props", "$.k").alias("s_response"),
+                    score_from_response("event_type", "$.k").alias("s_malformed"))
 
 
 def d10_apply_scorer(spark, sf):

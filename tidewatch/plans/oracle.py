@@ -334,7 +334,9 @@ SQL["d8_render_prompt"] = _with(BASE, """SELECT link, accident,
 SQL["d9_parse_score"] = """SELECT event_id,
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_plain,
   CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_padded, 0 AS s_decimal,
-  CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_signed, 0 AS s_suffixed FROM events"""
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_signed, 0 AS s_suffixed,
+  CAST(json_extract_string(props, '$.k') AS INTEGER) AS s_response, 0 AS s_malformed
+  FROM events"""
 SQL["d10_apply_scorer"] = _with(BASE, "SELECT car_model, accident, link, news_score FROM news_scored")
 SQL["d11_fallback_score"] = _with(BASE, """SELECT t.car_model, t.accident, t.link,
   CAST(coalesce(s.score, least(length(t.title), 100)) AS INTEGER) AS news_score

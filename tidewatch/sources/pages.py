@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import DEFAULT_BODY, DEFAULT_TITLE, JSONP_PATTERN, PAGE_DROP_CLASSES
-from ..functions.text import absolute_link, collapse_ws
+from ..functions.text import absolute_link, collapse_ws, parse_count
+from ..functions.time import parse_local_time
 
 # Site rules: which tags hold the title, the heading and the body paragraphs,
 # and which classes mark blocks to drop before reading text.
@@ -132,9 +133,13 @@ EXTRACTED = T.StructType([
     T.StructField("body", T.StringType()), T.StructField("n_paragraphs", T.LongType())])
 
 
-def extract_pages(pages: DataFrame, rules=None) -> DataFrame:
-    """Title, heading and body text of every page (C1, C2, C3), over Arrow batches."""
+def extract_pages(pages: DataFrame, rules=None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Title, heading and body text of every page (C1, C2, C3), over Arrow
+    batches. String columns named in ``keep`` pass through unchanged."""
     rules = {**DEFAULT_RULES, **(rules or {})}
+    keep = tuple(keep)
+    schema = T.StructType(list(EXTRACTED.fields)
+                          + [T.StructField(k, T.StringType()) for k in keep])
 
     def run(batches):
         for pdf in batches:
@@ -143,25 +148,44 @@ def extract_pages(pages: DataFrame, rules=None) -> DataFrame:
             out.insert(0, "url", pdf["url"].values)
             out.insert(0, "page_id", pdf["page_id"].values)
             out["n_paragraphs"] = out["n_paragraphs"].astype("int64")
+            for k in keep:
+                out[k] = pdf[k].values
             yield out
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, EXTRACTED)
+    return pages.select("page_id", "url", "html", *keep).mapInPandas(run, schema)
+
+
+def _field(html: Column, pattern: str | None) -> Column:
+    """First capture group of ``pattern`` in the page, NULL when absent."""
+    if not pattern:
+        return F.lit(None).cast("string")
+    return F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
 def extract_records(pages: DataFrame, source: str | Column, default_time: str,
                     rules=None) -> DataFrame:
-    """Pages -> community-post rows (T2) (C1 + C4 + C8).
+    """Pages -> community-post rows (T2) (C1 + C4 + C6 + C7 + C8).
 
     The title is the page heading (else ``<title>``, else "Untitled"), the body
-    its paragraphs with whitespace collapsed (an empty body becomes one space),
-    counts 0, the post time ``default_time`` (a batch start, never the clock)."""
-    x = extract_pages(pages, rules)
+    its paragraphs with whitespace collapsed (an empty body becomes one space).
+    Optional rules ``time_regex``, ``views_regex`` and ``likes_regex`` pick the
+    post time and counts out of the page (one capture group each); a missing or
+    unparsable time becomes ``default_time`` (a batch start, never the clock),
+    a missing count 0."""
+    r = {**DEFAULT_RULES, **(rules or {})}
+    html = F.col("html")
+    with_fields = pages.select("page_id", "url", "html",
+                               _field(html, r.get("time_regex")).alias("_t"),
+                               _field(html, r.get("views_regex")).alias("_v"),
+                               _field(html, r.get("likes_regex")).alias("_l"))
+    x = extract_pages(with_fields, rules, keep=("_t", "_v", "_l"))
     src = F.lit(source) if isinstance(source, str) else source
     return x.select(
-        F.to_timestamp_ntz(F.lit(default_time)).alias("post_time"),
+        F.coalesce(parse_local_time("_t"), F.to_timestamp_ntz(F.lit(default_time)))
+        .alias("post_time"),
         F.coalesce(F.col("heading"), F.col("title"), F.lit(DEFAULT_TITLE)).alias("title"),
         F.coalesce(F.nullif(collapse_ws("body"), F.lit("")), F.lit(DEFAULT_BODY)).alias("content"),
-        F.lit(0).cast("bigint").alias("view_count"), F.lit(0).cast("bigint").alias("like_count"),
+        parse_count("_v").alias("view_count"), parse_count("_l").alias("like_count"),
         src.alias("source"), F.col("url").alias("link"))
 
 
