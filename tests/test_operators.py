@@ -172,3 +172,23 @@ def test_empty_inputs(spark, tmp_dir):
     assert io.issues_from_list(spark, []).count() == 0
     assert io.keywords_from_map(spark, {}).count() == 0
     assert io.read_state(spark, tmp_dir + "/none").count() == 0
+
+
+def test_automaton_tagging_equals_expression(spark):
+    from tidewatch.config import COMMUNITY_KEYWORDS, NEWS_CATEGORIES
+    from tidewatch.sources import standins
+    docs = standins.raw_posts(standins.table(spark, "/root/testdata/sf0.001", "documents"))
+    extra = {"ov": ["ushers", "she", "he"], "dup": ["die"]}
+    mapping = {**COMMUNITY_KEYWORDS, **extra}
+    e = tagging.explode_tags(tagging.tag_mapped(docs, mapping)).select("link", "accident")
+    a = tagging.explode_tags(tagging.tag_mapped(docs, mapping, max_expression=0)) \
+        .select("link", "accident")
+    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, a.collect()))
+    fe = tagging.explode_tags(tagging.tag_flat(docs, NEWS_CATEGORIES)).select("link", "accident")
+    fa = tagging.explode_tags(tagging.tag_flat(docs, NEWS_CATEGORIES, max_expression=0)) \
+        .select("link", "accident")
+    assert sorted(map(tuple, fe.collect())) == sorted(map(tuple, fa.collect()))
+    df = spark.createDataFrame([("ushers", None), (None, None)], "title string, content string")
+    got = [r.accident for r in tagging.tag_mapped(df, {"x": ["she"], "y": ["he"], "z": ["q"]},
+                                                  max_expression=0).collect()]
+    assert got == [["x", "y"], []]

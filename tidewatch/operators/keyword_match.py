@@ -1,0 +1,70 @@
+"""Many-keyword tagging: one multi-pattern pass per text.
+
+With a few hundred keyword tests the tags are a Column expression (see
+``tagging``). Past that, the expression would grow with the keyword list, so
+the test becomes one Aho-Corasick scan per text inside an Arrow-batched pandas
+UDF: the keyword list is broadcast once, the automaton is built once per Python
+worker, and each text is read once whatever the number of keywords. It finds
+every occurrence, overlapping ones included, so a keyword matches exactly when
+``contains`` would.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import pandas as pd
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
+
+_AUTOMATA: dict[str, tuple] = {}   # per Python worker: list key -> (automaton, pairs, empty)
+
+
+def _automaton(key: str, bc):
+    got = _AUTOMATA.get(key)
+    if got is None:
+        import ahocorasick
+        pairs = bc.value
+        by_kw: dict[str, list[int]] = {}
+        for i, (_, kw) in enumerate(pairs):
+            by_kw.setdefault(kw, []).append(i)
+        a = ahocorasick.Automaton()
+        for kw, idx in by_kw.items():
+            if kw:
+                a.add_word(kw, tuple(idx))
+        if len(a):
+            a.make_automaton()
+        else:
+            a = None
+        empty = tuple(by_kw.get("", ()))   # "" is contained in every non-NULL text
+        got = _AUTOMATA[key] = (a, pairs, empty)
+    return got
+
+
+def match_categories(spark: SparkSession, pairs: list[tuple[str, str]], cols,
+                     distinct: bool) -> Column:
+    """array<string> of the categories whose keyword occurs in any of ``cols``,
+    in the order of ``pairs``; de-duplicated when ``distinct``."""
+    bc = spark.sparkContext.broadcast(list(pairs))
+    key = uuid.uuid4().hex
+
+    @F.pandas_udf("array<string>")
+    def match(*series: pd.Series) -> pd.Series:
+        a, ps, empty = _automaton(key, bc)
+        out = []
+        for texts in zip(*series):
+            hit: set[int] = set()
+            for t in texts:
+                if t is None or (isinstance(t, float) and pd.isna(t)):
+                    continue
+                hit.update(empty)
+                if a is not None:
+                    for _, idx in a.iter(t):
+                        hit.update(idx)
+            cats = [ps[i][0] for i in sorted(hit)]
+            if distinct:
+                cats = list(dict.fromkeys(cats))
+            out.append(cats)
+        return pd.Series(out)
+
+    return match(*[F.col(c) for c in cols])

@@ -9,9 +9,11 @@ from ..functions.text import clean_text
 from .joins import join_small
 
 KEYS = ["car_model", "accident"]
-# Keyword tests are compiled into the row expression; the plan grows with the
-# number of (category, keyword) pairs, which stays fine up to a few hundred.
+# Keyword tests are compiled into the row expression up to this many (category,
+# keyword) pairs; past it they run as one automaton pass per text.
 MAX_EXPRESSION_KEYWORDS = 512
+# configuration brought to the driver to build the tests (checked)
+MAX_KEYWORDS = 1_000_000
 
 
 def project_news(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -45,29 +47,33 @@ def _mentions(kw: str, cols) -> Column:
     return cond
 
 
-def _check_size(n: int):
-    if n > MAX_EXPRESSION_KEYWORDS:
-        raise ValueError(f"{n} keyword tests exceed the expression limit "
-                         f"{MAX_EXPRESSION_KEYWORDS}; split the keyword map")
-
-
-def tag_flat(df: DataFrame, keywords, out: str = "accident",
-             cols=("title", "content")) -> DataFrame:
+def tag_flat(df: DataFrame, keywords, out: str = "accident", cols=("title", "content"),
+             max_expression: int = MAX_EXPRESSION_KEYWORDS) -> DataFrame:
     """Array holding each keyword found in any of ``cols``, NULL elsewhere (D3).
 
     The keyword list is de-duplicated first, so one article counts once per
-    keyword."""
+    keyword. Past ``max_expression`` keywords the array holds only the matched
+    ones (one automaton pass per text); exploded, both forms give the same rows."""
     kws = _dedupe(keywords)
-    _check_size(len(kws))
+    if len(kws) > max_expression:
+        from .keyword_match import match_categories
+        return df.withColumn(out, match_categories(df.sparkSession, [(k, k) for k in kws],
+                                                   cols, distinct=False))
     arr = F.array(*[F.when(_mentions(k, cols), F.lit(k)) for k in kws]) if kws else F.array()
     return df.withColumn(out, arr.cast("array<string>"))
 
 
 def tag_mapped(df: DataFrame, mapping: dict[str, list[str]], out: str = "accident",
-               cols=("title", "content")) -> DataFrame:
-    """Array of the categories whose sub-keywords occur, de-duplicated per row."""
+               cols=("title", "content"),
+               max_expression: int = MAX_EXPRESSION_KEYWORDS) -> DataFrame:
+    """Array of the categories whose sub-keywords occur, de-duplicated per row.
+
+    Past ``max_expression`` (category, keyword) tests the match is one automaton
+    pass per text instead of one expression per test."""
     pairs = [(cat, k) for cat, subs in mapping.items() for k in subs]
-    _check_size(len(pairs))
+    if len(pairs) > max_expression:
+        from .keyword_match import match_categories
+        return df.withColumn(out, match_categories(df.sparkSession, pairs, cols, distinct=True))
     arr = F.array(*[F.when(_mentions(k, cols), F.lit(cat)) for cat, k in pairs]) if pairs \
         else F.array()
     return df.withColumn(out, F.array_distinct(arr.cast("array<string>")))
@@ -89,8 +95,9 @@ def keyword_map(keywords: DataFrame) -> dict[str, list[str]]:
     Configuration is bounded by what a person writes down; the size is checked
     before anything is brought to the driver."""
     rows = keywords.select("accident", "keyword").distinct() \
-        .orderBy("accident", "keyword").limit(MAX_EXPRESSION_KEYWORDS + 1).collect()
-    _check_size(len(rows))
+        .orderBy("accident", "keyword").limit(MAX_KEYWORDS + 1).collect()
+    if len(rows) > MAX_KEYWORDS:
+        raise ValueError(f"keyword configuration exceeds {MAX_KEYWORDS} rows")
     out: dict[str, list[str]] = {}
     for r in rows:
         out.setdefault(r["accident"], []).append(r["keyword"])
