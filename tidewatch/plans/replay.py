@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import ISSUE_THRESHOLD, TOP_K
 from ..operators.periods import assign_period
 from ..operators.scoring import Scorer
-from ..operators.state import KEYS, STATE_COLS
+from ..operators.state import KEYS, STATE_COLS, expire_issues
 from .community import run_community
 from .news import run_news, score_news
 
@@ -32,41 +32,84 @@ def news_by_period(raw: DataFrame, categories, scorer: Scorer, every: str = "1 h
 
 def replay_news(raw: DataFrame, seed: DataFrame, categories, scorer: Scorer,
                 threshold: int = ISSUE_THRESHOLD, every: str = "1 hour",
-                on_failure: int | None = 0) -> DataFrame:
-    """State after folding every period of ``raw`` in time order.
+                on_failure: int | None = 0, ttl: str | None = None) -> DataFrame:
+    """State after folding every period of ``raw`` in time order.
 
-    The schedule runs through the period of the latest record in ``raw``; alerts
-    are those raised in that last batch."""
+    The schedule is one batch per period (``every``) from the period of the
+    earliest record to that of the latest, empty ones included; alerts are those
+    raised in the last batch. With ``ttl``, a key's issue expires (E6) when a
+    batch runs more than ``ttl`` after its last article, which between two
+    appearances of the key happens exactly when they are more than ``ttl`` +
+    one period apart. Each key's periods are cut into runs at such gaps
+    (gaps-and-islands: ``lag`` + running sum) and the sums restart per run."""
     per = news_by_period(raw, categories, scorer, every, on_failure)
+    # the schedule's first batch end and last batch start: scalar subqueries
+    bounds = assign_period(raw.agg(F.min("post_time").alias("post_time")), every)
+    first_end = bounds.select("period_end").scalar()
+    final = assign_period(raw.agg(F.max("post_time").alias("post_time")), every) \
+        .select("period_start").scalar()
+    step = F.expr(f"INTERVAL {every}")
     w = Window.partitionBy(*KEYS).orderBy("period_start")
-    run = (per.withColumn("acc", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    if ttl:
+        ttl_c = F.expr(f"INTERVAL {ttl}")
+        new_run = F.coalesce(F.col("period_end") > F.lag("period_end").over(w) + ttl_c + step,
+                             F.lit(False))
+        per = per.withColumn("_run", F.sum(new_run.cast("int")).over(
+            w.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        per = per.withColumn("_run", F.lit(0))
+    in_run = Window.partitionBy(*KEYS, "_run")
+    run = (per.withColumn("acc", F.sum("count").over(
+                in_run.orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("run_start", F.min("period_start").over(in_run))
+              .withColumn("key_first_end", F.min("period_end").over(Window.partitionBy(*KEYS)))
               .withColumn("rn_desc", F.row_number().over(
                   Window.partitionBy(*KEYS).orderBy(F.desc("period_start")))))
-    first = run.groupBy(*KEYS).agg(F.min("period_start").alias("_start"))
     last = run.filter(F.col("rn_desc") == 1).select(
-        *KEYS, F.col("period_start").alias("_last_start"), F.col("period_end").alias("_last"),
+        *KEYS, "_run", F.col("run_start").alias("_start"),
+        F.col("key_first_end").alias("_first_end"),
+        F.col("period_start").alias("_last_start"), F.col("period_end").alias("_last"),
         F.col("acc").alias("_acc"), (F.col("acc") - F.col("count")).alias("_prev"),
         F.col("avg_news_score").alias("_score"))
-    # the schedule runs through the period of the latest record: a scalar subquery
-    final = assign_period(raw.agg(F.max("post_time").alias("post_time")), every) \
-        .select("period_start").scalar()
-    summary = first.join(last, KEYS).withColumn("_final", final)
-    j = seed.join(summary, KEYS, "left")
+    j = seed.join(last, KEYS, "left")
     m = F.col("_acc").isNotNull()
-    acc = F.when(m, F.col("news_acc_count") + F.col("_acc")).otherwise(F.col("news_acc_count"))
-    prev = F.when(m, F.col("news_acc_count") + F.col("_prev")).otherwise(F.col("news_acc_count"))
-    crossed_last = m & (F.col("_last_start") == F.col("_final")) & (prev < threshold) \
-        & (acc >= threshold) & ~F.col("is_issue")
+    final_end = final + step
+    if ttl:
+        seed_last = F.col("last_batch_time")
+        # the seed expires in a batch before the key's first article (or at all)
+        seed_reset = seed_last.isNotNull() & F.when(
+            m, (F.col("_first_end") - step > seed_last + ttl_c)
+            & (F.col("_first_end") - step >= first_end)).otherwise(final_end > seed_last + ttl_c)
+        use_seed = ~F.coalesce(seed_reset, F.lit(False)) & (~m | (F.col("_run") == 0))
+    else:
+        use_seed = F.lit(True)
+
+    def base(c, zero):
+        return F.when(use_seed, F.col(c)).otherwise(zero)
+
+    b_acc = base("news_acc_count", F.lit(0).cast("bigint"))
+    b_issue = base("is_issue", F.lit(False))
+    acc = F.when(m, b_acc + F.col("_acc")).otherwise(b_acc)
+    prev = b_acc + F.col("_prev")
+    crossed_last = m & (F.col("_last_start") == final) & (prev < threshold) \
+        & (acc >= threshold) & ~b_issue
     upd = {
-        "start_batch_time": F.when(m & (F.col("news_acc_count") == 0), F.col("_start"))
-                             .otherwise(F.col("start_batch_time")),
-        "last_batch_time": F.when(m, F.col("_last")).otherwise(F.col("last_batch_time")),
+        "start_batch_time": F.when(m & (b_acc == 0), F.col("_start"))
+                             .otherwise(base("start_batch_time", F.lit(None).cast("timestamp_ntz"))),
+        "last_batch_time": F.when(m, F.col("_last"))
+                            .otherwise(base("last_batch_time", F.lit(None).cast("timestamp_ntz"))),
         "news_acc_count": acc,
-        "news_score": F.when(m, F.col("_score")).otherwise(F.col("news_score")),
-        "is_issue": F.col("is_issue") | (acc >= threshold),
-        "is_alert": crossed_last,
+        "comm_acc_count": base("comm_acc_count", F.lit(0).cast("bigint")),
+        "news_score": F.when(m, F.col("_score")).otherwise(base("news_score", F.lit(0.0))),
+        "comm_score": base("comm_score", F.lit(0.0)),
+        "issue_score": base("issue_score", F.lit(0.0)),
+        "is_issue": b_issue | (acc >= threshold),
+        "is_alert": F.coalesce(crossed_last, F.lit(False)),
     }
-    return j.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in STATE_COLS])
+    out = j.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in STATE_COLS])
+    if ttl:   # expiry in the batches after the key's last article
+        out = expire_issues(out, final_end, ttl)
+    return out
 
 
 def replay_batches(raw_news: DataFrame, raw_posts: DataFrame | None, periods: list[str],
