@@ -24,6 +24,8 @@ TOP_K = 5
 ISSUE_THRESHOLD = 10
 # expiry of a stale issue (documented intent; off by default)
 ISSUE_TTL = "1 day"
+# expiry used by the registered replay-with-expiry query
+REPLAY_TTL = "2 hours"
 # issue score weights (sum to 1.0)
 WEIGHTS = {"news_score": 0.2, "comm_score": 0.2, "news_count": 0.1,
            "news_acc_count": 0.2, "comm_count": 0.3}

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import (COMMUNITY_KEYWORDS, EXPECTED_SOURCES, ISSUE_THRESHOLD, NEWS_CATEGORIES,
-                      RANGE_COMM_COUNT, RANGE_NEWS_ACC_COUNT)
+                      RANGE_COMM_COUNT, RANGE_NEWS_ACC_COUNT, REPLAY_TTL)
 from ..functions import (clean_text, collapse_ws, format_period, join_paragraphs,
                          parse_count, parse_local_time, parse_period_end, parse_period_start,
                          parse_score, piecewise, render_prompt, score_from_response, severity,
@@ -595,6 +595,14 @@ def g3_replay_news(spark, sf):
     return _state_out(s)
 
 
+def g3_replay_news_expiry(spark, sf):
+    """Replay with issues expiring two hours after a key's last article."""
+    docs = _docs(spark, sf)
+    s = replay.replay_news(raw_news(docs), standins.seed(docs), NEWS_CATEGORIES,
+                           _scorer(spark, sf), ttl=REPLAY_TTL)
+    return _state_out(s)
+
+
 def g4_stream_news(spark, sf):
     """Hourly raw-news files drained by the file stream; final state snapshot."""
     from ..streaming import stream_news

@@ -7,7 +7,8 @@ RE2's ``\\s`` does not; ``regexp_replace`` gets the ``'g'`` flag.
 
 from __future__ import annotations
 
-from ..config import COMMUNITY_KEYWORDS, DASHBOARD_URL, EXPECTED_SOURCES, NEWS_CATEGORIES
+from ..config import (COMMUNITY_KEYWORDS, DASHBOARD_URL, EXPECTED_SOURCES, NEWS_CATEGORIES,
+                      REPLAY_TTL)
 
 CLEAN = r"[^가-힣a-zA-Z0-9 \t\n\x0B\f\r]"
 WS = r"[\t\n\x0B\f\r \x1c-\x1f\x{85}\p{Z}]"
@@ -217,6 +218,68 @@ replayed AS (
   LEFT JOIN firsts f USING (car_model, accident))"""
 
 
+# Replay with expiry after REPLAY_TTL: a key's hours are cut into runs where an
+# hour follows the previous one by more than ttl + 1 hour; sums restart per run
+# and the seed only counts for the first run. Rows whose last hour ended more
+# than ttl before the end of the final hour are reset.
+REPLAY_EXPIRY = BASE + f""",
+per AS (
+  SELECT car_model, accident, date_trunc('hour', post_time) AS ps, count(*) AS cnt,
+         avg(news_score) AS av
+  FROM news_scored GROUP BY car_model, accident, date_trunc('hour', post_time)),
+cut AS (
+  SELECT *, coalesce(ps > lag(ps) OVER (PARTITION BY car_model, accident ORDER BY ps)
+                          + INTERVAL {REPLAY_TTL} + INTERVAL 1 HOUR, false)::INT AS brk
+  FROM per),
+runs AS (
+  SELECT *, sum(brk) OVER (PARTITION BY car_model, accident ORDER BY ps
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS r
+  FROM cut),
+run AS (
+  SELECT *, sum(cnt) OVER (PARTITION BY car_model, accident, r ORDER BY ps
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS acc,
+         min(ps) OVER (PARTITION BY car_model, accident, r) AS run_ps,
+         row_number() OVER (PARTITION BY car_model, accident ORDER BY ps DESC) AS rn
+  FROM runs),
+lasts AS (SELECT * FROM run WHERE rn = 1),
+fin AS (SELECT date_trunc('hour', max(post_time)) AS f FROM news_raw),
+folded AS (
+  SELECT l.acc IS NOT NULL AS m, coalesce(l.r, 0) = 0 AS keep,
+         l.run_ps, l.ps, l.acc, l.cnt, l.av, s.*
+  FROM seed s LEFT JOIN lasts l USING (car_model, accident)),
+stepped AS (
+  SELECT car_model, accident,
+         CASE WHEN m AND (CASE WHEN keep THEN news_acc_count ELSE 0 END) = 0 THEN run_ps
+              WHEN keep THEN start_batch_time END AS start_batch_time,
+         CASE WHEN m THEN ps + INTERVAL 1 HOUR WHEN keep THEN last_batch_time END
+           AS last_batch_time,
+         (CASE WHEN keep THEN news_acc_count ELSE 0 END + coalesce(acc, 0))::BIGINT
+           AS news_acc_count,
+         CASE WHEN keep THEN comm_acc_count ELSE 0 END::BIGINT AS comm_acc_count,
+         CASE WHEN m THEN av WHEN keep THEN news_score ELSE 0.0 END AS news_score,
+         CASE WHEN keep THEN comm_score ELSE 0.0 END AS comm_score,
+         CASE WHEN keep THEN issue_score ELSE 0.0 END AS issue_score,
+         (keep AND is_issue)
+           OR CASE WHEN keep THEN news_acc_count ELSE 0 END + coalesce(acc, 0) >= 10 AS is_issue,
+         coalesce(m AND ps = (SELECT f FROM fin) AND NOT (keep AND is_issue)
+                  AND CASE WHEN keep THEN news_acc_count ELSE 0 END + acc - cnt < 10
+                  AND CASE WHEN keep THEN news_acc_count ELSE 0 END + acc >= 10, false) AS is_alert,
+         dashboard_url
+  FROM folded),
+replayed AS (
+  SELECT car_model, accident,
+         CASE WHEN stale THEN NULL ELSE start_batch_time END AS start_batch_time,
+         CASE WHEN stale THEN NULL ELSE last_batch_time END AS last_batch_time,
+         CASE WHEN stale THEN 0 ELSE news_acc_count END::BIGINT AS news_acc_count,
+         CASE WHEN stale THEN 0 ELSE comm_acc_count END::BIGINT AS comm_acc_count,
+         CASE WHEN stale THEN 0.0 ELSE news_score END AS news_score,
+         CASE WHEN stale THEN 0.0 ELSE comm_score END AS comm_score,
+         CASE WHEN stale THEN 0.0 ELSE issue_score END AS issue_score,
+         NOT stale AND is_issue AS is_issue, NOT stale AND is_alert AS is_alert, dashboard_url
+  FROM (SELECT *, coalesce(last_batch_time < (SELECT f FROM fin) + INTERVAL 1 HOUR
+                                              - INTERVAL {REPLAY_TTL}, false) AS stale
+        FROM stepped))"""
+
 def _with(ctes, select):
     return f"WITH {ctes}\n{select}"
 
@@ -441,4 +504,5 @@ SQL["f3_render_alert"] = _with(COMMUNITY, f"""SELECT car_model, accident, {_L} A
 SQL["g1_run_news"] = SQL["e5_open_issues"]
 SQL["g2_run_community"] = SQL["e17_to_fact"]
 SQL["g3_replay_news"] = _with(REPLAY, f"SELECT {STATE_COLS} FROM replayed")
+SQL["g3_replay_news_expiry"] = _with(REPLAY_EXPIRY, f"SELECT {STATE_COLS} FROM replayed")
 SQL["g4_stream_news"] = SQL["g3_replay_news"]
