@@ -26,6 +26,14 @@ ISSUE_THRESHOLD = 10
 ISSUE_TTL = "1 day"
 # expiry used by the registered replay-with-expiry query
 REPLAY_TTL = "2 hours"
+# Batch periods of the registered queries. ONE_BATCH labels a single batch
+# over every document (no filter). BATCH_A and BATCH_B are two consecutive
+# batches that together cover every document: the first six hours, then all
+# later post times. EXPIRY_NOW is a batch after both.
+ONE_BATCH = "2024-01-01-00-00-00_2024-02-01-00-00-00"
+BATCH_A = "2024-01-01-00-00-00_2024-01-01-06-00-00"
+BATCH_B = "2024-01-01-06-00-00_2124-01-01-00-00-00"
+EXPIRY_NOW = "2124-01-01-00-00-00_2124-01-01-12-00-00"
 # issue score weights (sum to 1.0)
 WEIGHTS = {"news_score": 0.2, "comm_score": 0.2, "news_count": 0.1,
            "news_acc_count": 0.2, "comm_count": 0.3}

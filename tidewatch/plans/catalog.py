@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import (COMMUNITY_KEYWORDS, EXPECTED_SOURCES, ISSUE_THRESHOLD, NEWS_CATEGORIES,
+from ..config import (BATCH_A, BATCH_B, COMMUNITY_KEYWORDS, EXPIRY_NOW, ONE_BATCH, EXPECTED_SOURCES, ISSUE_THRESHOLD, NEWS_CATEGORIES,
                       RANGE_COMM_COUNT, RANGE_NEWS_ACC_COUNT, REPLAY_TTL)
 from ..functions import (clean_text, collapse_ws, format_period, join_paragraphs,
                          parse_count, parse_local_time, parse_period_end, parse_period_start,
@@ -29,10 +29,6 @@ from ..sources.standins import label_scorer, raw_news, raw_posts, table
 from . import community, news, replay
 
 R = 6  # rounding of averages and scores on both sides
-ONE_BATCH = "2024-01-01-00-00-00_2024-02-01-00-00-00"
-BATCH_A = "2024-01-01-00-00-00_2024-01-01-06-00-00"
-BATCH_B = "2024-01-01-06-00-00_2024-01-01-12-00-00"
-EXPIRY_NOW = "2024-01-01-12-00-00_2024-01-02-08-00-00"
 ENTITY_WORDS = ["the", "und", "los", "les"]
 PROMPT = "[%s / %s] %s :: %s"
 

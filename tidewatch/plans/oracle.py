@@ -7,8 +7,8 @@ RE2's ``\\s`` does not; ``regexp_replace`` gets the ``'g'`` flag.
 
 from __future__ import annotations
 
-from ..config import (COMMUNITY_KEYWORDS, DASHBOARD_URL, EXPECTED_SOURCES, NEWS_CATEGORIES,
-                      REPLAY_TTL)
+from ..config import (BATCH_A, BATCH_B, COMMUNITY_KEYWORDS, DASHBOARD_URL, EXPECTED_SOURCES,
+                      EXPIRY_NOW, ISSUE_TTL, NEWS_CATEGORIES, ONE_BATCH, REPLAY_TTL)
 
 CLEAN = r"[^가-힣a-zA-Z0-9 \t\n\x0B\f\r]"
 WS = r"[\t\n\x0B\f\r \x1c-\x1f\x{85}\p{Z}]"
@@ -106,9 +106,12 @@ STATE_COLS = ("car_model, accident, start_batch_time, last_batch_time, news_acc_
               "round(comm_score, 6) AS comm_score, round(issue_score, 6) AS issue_score, "
               "is_issue, is_alert, dashboard_url")
 
-ONE = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
-A = ("2024-01-01 00:00:00", "2024-01-01 06:00:00")
-B = ("2024-01-01 06:00:00", "2024-01-01 12:00:00")
+def _bounds(period):
+    """'yyyy-MM-dd-HH-mm-ss_yyyy-MM-dd-HH-mm-ss' -> two 'yyyy-MM-dd HH:mm:ss' strings."""
+    return tuple(f"{x[:10]} {x[11:].replace('-', ':')}" for x in period.split("_"))
+
+
+ONE, A, B = _bounds(ONE_BATCH), _bounds(BATCH_A), _bounds(BATCH_B)
 IN_A = f"post_time >= {_ts(A[0])} AND post_time < {_ts(A[1])}"
 IN_B = f"post_time >= {_ts(B[0])} AND post_time < {_ts(B[1])}"
 
@@ -297,10 +300,10 @@ SQL["a1_read_raw"] = _with(BASE, f"""SELECT post_time, title, content, source, l
 SQL["a2_read_aggregate"] = _with(
     BASE + ",\n" + _agg("agg_a", IN_A) + ",\n" + _agg("agg_b", IN_B),
     f"""SELECT car_model, accident, count, round(avg_news_score, 6) AS avg_news_score,
-  '2024-01-01-00-00-00_2024-01-01-06-00-00' AS batch_period FROM agg_a
+  '{BATCH_A}' AS batch_period FROM agg_a
 UNION ALL
 SELECT car_model, accident, count, round(avg_news_score, 6) AS avg_news_score,
-  '2024-01-01-06-00-00_2024-01-01-12-00-00' AS batch_period FROM agg_b""")
+  '{BATCH_B}' AS batch_period FROM agg_b""")
 SQL["a3_write_aggregate"] = _with(COMMUNITY, """SELECT car_model, accident, top_comm,
   round(avg_comm_score, 6) AS avg_comm_score, count, comm_positive_count, comm_negative_count
   FROM comm_agg""")
@@ -429,13 +432,13 @@ SQL["e2_start_on_first"] = _with(_TWO, """SELECT car_model, accident, start_batc
   last_batch_time, news_acc_count FROM state_b""")
 SQL["e4_clear_alerts"] = _with(_TWO, "SELECT car_model, accident, is_issue, is_alert FROM state_b")
 SQL["e3_append_evidence"] = _with(BASE, f"""
-SELECT car_model, accident, content, link, '2024-01-01-00-00-00_2024-01-01-06-00-00' AS batch_period
+SELECT car_model, accident, content, link, '{BATCH_A}' AS batch_period
   FROM news_scored WHERE {IN_A}
 UNION ALL
-SELECT car_model, accident, content, link, '2024-01-01-06-00-00_2024-01-01-12-00-00' AS batch_period
+SELECT car_model, accident, content, link, '{BATCH_B}' AS batch_period
   FROM news_scored WHERE {IN_B}""")
 SQL["e5_open_issues"] = _with(NEWS_ONE, f"SELECT {STATE_COLS} FROM state_news")
-_STALE = "last_batch_time < TIMESTAMP '2024-01-01 08:00:00'"
+_STALE = (f"last_batch_time < {_ts(_bounds(EXPIRY_NOW)[1])} - INTERVAL {ISSUE_TTL}")
 SQL["e6_expire_issues"] = _with(_TWO, f"""SELECT car_model, accident,
   CASE WHEN {_STALE} THEN NULL ELSE start_batch_time END AS start_batch_time,
   CASE WHEN {_STALE} THEN NULL ELSE last_batch_time END AS last_batch_time,
