@@ -174,7 +174,10 @@ def a8_links_csv(spark, sf):
 
 def a9_union_sources(spark, sf):
     raw = raw_news(_docs(spark, sf))
-    parts = [raw.filter(F.col("source") == l) for l in ("en", "fr", "de", "es")]
+    # one source per site, the rest as one more source: together every row
+    sites = ("en", "fr", "de")
+    parts = [raw.filter(F.col("source") == l) for l in sites]
+    parts.append(raw.filter(~F.coalesce(F.col("source").isin(*sites), F.lit(False))))
     return io.union_sources(parts + [raw.filter(F.col("source") == "en")]).select(
         "link", "source", "keyword")
 
