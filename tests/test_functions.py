@@ -41,6 +41,29 @@ def test_parse_period(spark):
     assert got[2] == p
 
 
+def test_periods_ignore_session_zone(spark):
+    """Periods are wall-clock arithmetic: a zone with a daylight-saving gap
+    (02:00-03:00 missing on 2024-03-10 in New York) changes nothing."""
+    from tidewatch.operators.periods import assign_period
+    times = ["2024-03-10 01:30:00", "2024-03-10 02:30:00", "2024-03-10 03:10:00",
+             "1969-12-31 23:10:00", None]
+    got = {}
+    for tz in ("UTC", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        try:
+            df = spark.createDataFrame([(t,) for t in times], "s string").select(
+                F.to_timestamp_ntz("s").alias("post_time"))
+            rows = assign_period(df, "1 hour").select(
+                "batch_period", parse_period_start("batch_period").alias("ps")).collect()
+            got[tz] = [tuple(r) for r in rows]
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got["UTC"] == got["America/New_York"]
+    assert got["UTC"][1] == ("2024-03-10-02-00-00_2024-03-10-03-00-00",
+                             dt.datetime(2024, 3, 10, 2, 0))
+    assert got["UTC"][4] == (None, None)   # a row without a time is kept
+
+
 def test_parse_local_time(spark):
     rows = [("2024.02.03. 오후 01:05.",), ("2024.02.03. 오후 12:30.",), ("2024.2.3. 오전 12:10.",),
             ("2024.02.03. 13:05",), ("junk",), ("20240203 130500",), ("2024.02.03 13:05:07",)]

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import AM_MARKER, PERIOD_FORMAT, PERIOD_SEP, PM_MARKER
+from ..config import AM_MARKER, PERIOD_SEP, PM_MARKER
 
 # Formats tried in order by parse_local_time, after the Korean AM/PM markers are
 # replaced by AM/PM: a 12-hour form with marker, then 24-hour forms of the sources.
@@ -34,20 +34,45 @@ def _parse(s: Column, fmt: str) -> Column:
     return F.try_to_timestamp(s, F.lit(fmt)).cast("timestamp_ntz")
 
 
+def _period_part(c, i: int) -> Column:
+    """Part ``i`` of a period string as NTZ: 'yyyy-MM-dd-HH-mm-ss' is rewritten
+    as 'yyyy-MM-dd HH:mm:ss' and cast, so no session zone is involved; a part
+    that is not in that form is NULL."""
+    s = F.split_part(_c(c), F.lit(PERIOD_SEP), F.lit(i))
+    ok = s.rlike(r"^\d{4}-\d{2}-\d{2}-\d{2}-\d{2}-\d{2}$")
+    text = F.concat(F.substring(s, 1, 10), F.lit(" "), F.translate(F.substring(s, 12, 8), "-", ":"))
+    return F.when(ok, text.try_cast("timestamp_ntz"))
+
+
 def parse_period_start(c) -> Column:
     """Start of a ``start_end`` period string (B1)."""
-    return _parse(F.split_part(_c(c), F.lit(PERIOD_SEP), F.lit(1)), PERIOD_FORMAT)
+    return _period_part(c, 1)
 
 
 def parse_period_end(c) -> Column:
     """End of a ``start_end`` period string (B1)."""
-    return _parse(F.split_part(_c(c), F.lit(PERIOD_SEP), F.lit(2)), PERIOD_FORMAT)
+    return _period_part(c, 2)
+
+
+def _ntz_text(c) -> Column:
+    """NTZ -> 'yyyy-MM-dd-HH-mm-ss' from its own fields (no zone involved)."""
+    return F.translate(F.substring(_c(c).cast("timestamp_ntz").cast("string"), 1, 19),
+                       " :", "--")
 
 
 def format_period(start, end) -> Column:
-    """Two timestamps -> ``start_end`` period string (B2)."""
-    return F.concat_ws(PERIOD_SEP, F.date_format(_c(start), PERIOD_FORMAT),
-                       F.date_format(_c(end), PERIOD_FORMAT))
+    """Two timestamps -> ``start_end`` period string (B2); NULL if either is."""
+    return F.concat(_ntz_text(start), F.lit(PERIOD_SEP), _ntz_text(end))
+
+
+def ntz_micros(c) -> Column:
+    """Microseconds from 1970-01-01 00:00:00 of an NTZ wall-clock time, from its
+    fields, so no session zone (and no daylight-saving gap) is involved."""
+    t = _c(c)
+    days = F.datediff(F.to_date(t), F.to_date(F.lit("1970-01-01")))
+    secs = F.hour(t) * 3600 + F.minute(t) * 60
+    return (days.cast("bigint") * 86_400_000_000 + secs.cast("bigint") * 1_000_000
+            + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
 
 
 def parse_local_time(c) -> Column:

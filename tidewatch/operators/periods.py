@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.time import format_period, time_of_day, to_ntz
+from ..functions.time import format_period, ntz_micros, time_of_day
 
 
 def _ts(v):
@@ -29,16 +29,42 @@ def in_time_of_day(df: DataFrame, start: str, end: str, col: str = "post_time")
     return df.filter((hm >= F.lit(start)) & (hm < F.lit(e)))
 
 
+# interval units accepted by assign_period, in microseconds
+_UNIT_US = {"microsecond": 1, "millisecond": 1_000, "second": 1_000_000, "minute": 60_000_000,
+            "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000}
+_EPOCH = "1970-01-01 00:00:00"
+
+
+def interval_micros(every: str) -> int:
+    """'1 hour', '90 minutes', '1 hour 30 minutes' -> length in microseconds."""
+    parts = every.split()
+    if not parts or len(parts) % 2:
+        raise ValueError(f"not an interval: {every!r}")
+    total = 0
+    for n, unit in zip(parts[::2], parts[1::2]):
+        u = unit.lower().rstrip("s")
+        if u not in _UNIT_US:
+            raise ValueError(f"unsupported interval unit: {unit!r}")
+        total += int(n) * _UNIT_US[u]
+    if total <= 0:
+        raise ValueError(f"interval must be positive: {every!r}")
+    return total
+
+
 def assign_period(df: DataFrame, every: str = "1 hour", col: str = "post_time") -> DataFrame:
     """Add ``period_start``, ``period_end`` and ``batch_period`` for each row.
 
-    Tumbling windows; ``window`` returns zoned timestamps, so cast back to NTZ."""
-    w = F.window(F.col(col), every)
-    return (df.withColumn("_w", w)
-              .withColumn("period_start", to_ntz(F.col("_w.start")))
-              .withColumn("period_end", to_ntz(F.col("_w.end")))
-              .withColumn("batch_period", format_period("period_start", "period_end"))
-              .drop("_w"))
+    Tumbling periods aligned to the epoch, computed as plain arithmetic on the
+    wall clock (no zone). A row without a time keeps NULL periods; no row is
+    dropped."""
+    step = interval_micros(every)
+    epoch = F.to_timestamp_ntz(F.lit(_EPOCH))
+    us = ntz_micros(F.col(col))
+    start = F.timestamp_add("MICROSECOND", us - F.pmod(us, F.lit(step)), epoch)
+    return (df.withColumn("period_start", start)
+              .withColumn("period_end", F.timestamp_add("MICROSECOND", F.lit(step),
+                                                        F.col("period_start")))
+              .withColumn("batch_period", format_period("period_start", "period_end")))
 
 
 def missing_sources(expected: DataFrame, arrived: DataFrame, on=("source",)) -> DataFrame:

@@ -190,11 +190,11 @@ def b1_parse_period(spark, sf):
 
 
 def b2_format_period(spark, sf):
-    e = _events(spark, sf)
-    hour = periods.assign_period(e, "1 hour", col="ts")
-    day = periods.assign_period(e, "1 day", col="ts")
-    return hour.select("event_id", "batch_period").join(
-        day.select("event_id", F.col("batch_period").alias("day_period")), "event_id")
+    # both periods in one pass over the rows (no join back on the id)
+    day = periods.assign_period(_events(spark, sf), "1 day", col="ts").select(
+        "event_id", "ts", F.col("batch_period").alias("day_period"))
+    return periods.assign_period(day, "1 hour", col="ts").select(
+        "event_id", "batch_period", "day_period")
 
 
 def b3_in_period(spark, sf):

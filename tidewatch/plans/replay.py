@@ -23,9 +23,13 @@ from .news import run_news, score_news
 
 def news_by_period(raw: DataFrame, categories, scorer: Scorer, every: str = "1 hour",
                    on_failure: int | None = 0) -> DataFrame:
-    """Per (key, period): article count and mean score (D13 for every batch at once)."""
-    scored = assign_period(score_news(raw, categories, scorer, on_failure, keep=("post_time",)),
-                           every)
+    """Per (key, period): article count and mean score (D13 for every batch at once).
+
+    A record without a post time falls in no batch, so it is left out here as the
+    batch filter leaves it out."""
+    timed = raw.filter(F.col("post_time").isNotNull())
+    scored = assign_period(score_news(timed, categories, scorer, on_failure,
+                                      keep=("post_time",)), every)
     return scored.groupBy(*KEYS, "period_start", "period_end", "batch_period").agg(
         F.count(F.lit(1)).alias("count"), F.avg("news_score").alias("avg_news_score"))
 
