@@ -113,3 +113,39 @@ def test_replay_with_expiry_equals_batch_loop(spark):
     once = replay.replay_news(rest, first, NEWS_CATEGORIES, sc, threshold=2, ttl="1 hour")
     assert r(loop) == r(once)
     assert once.filter("news_acc_count = 0").count() > 0
+
+
+class _PerRow:
+    """Wraps a scorer and hides its inputs, so the plans score every exploded row."""
+
+    costly, inputs = False, None
+
+    def __init__(self, inner):
+        self.inner = inner
+
+    def reads_any(self, cols):
+        return True
+
+    def __call__(self, df, out):
+        return self.inner(df, out)
+
+
+def test_record_level_scoring_equals_per_row(spark):
+    """A scorer that reads neither entity nor category scores each tagged record
+    once, before the explode; the rows equal scoring every exploded row."""
+    docs = standins.table(spark, SF, "documents")
+    sc = standins.label_scorer(standins.table(spark, SF, "labels"))
+    assert not sc.reads_any(["accident", "car_model"])
+    raw = standins.raw_news(docs)
+    once = news.score_news(raw, NEWS_CATEGORIES, sc).select("car_model", "accident", "link",
+                                                            "news_score")
+    each = news.score_news(raw, NEWS_CATEGORIES, _PerRow(sc)).select(
+        "car_model", "accident", "link", "news_score")
+    assert _rows(once) == _rows(each) and once.count() > 0
+    state = news.run_news(raw, P1, standins.seed(docs), NEWS_CATEGORIES, sc, threshold=2,
+                          evidence=False).state
+    issues = state.filter("is_issue")
+    posts, kw = standins.raw_posts(docs), standins.keyword_table(spark)
+    a = community.score_posts(posts, kw, issues, sc)
+    b = community.score_posts(posts, kw, issues, _PerRow(sc))
+    assert _rows(a) == _rows(b) and a.count() > 0

@@ -27,14 +27,21 @@ from ..session import scratch_path
 
 class Scorer:
     costly = False
+    # columns the score depends on; None when unknown (a Column function)
+    inputs: frozenset[str] | None = None
+
+    def reads_any(self, cols) -> bool:
+        """Whether the score may depend on any of ``cols``."""
+        return self.inputs is None or bool(self.inputs & set(cols))
 
     def __call__(self, df: DataFrame, out: str) -> DataFrame:  # pragma: no cover
         raise NotImplementedError
 
 
 class ColumnScorer(Scorer):
-    def __init__(self, fn: Callable[[DataFrame], Column]):
+    def __init__(self, fn: Callable[[DataFrame], Column], inputs=None):
         self.fn = fn
+        self.inputs = None if inputs is None else frozenset(inputs)
 
     def __call__(self, df, out):
         return df.withColumn(out, self.fn(df).cast("int"))
@@ -48,6 +55,7 @@ class LookupScorer(Scorer):
 
     def __init__(self, table: DataFrame, on: list[str] | str, score: Column):
         self.on = [on] if isinstance(on, str) else list(on)
+        self.inputs = frozenset(self.on)
         self.table = table.select(*self.on, score.cast("int").alias("_score"))
 
     def __call__(self, df, out):
@@ -67,6 +75,7 @@ class BatchScorer(Scorer):
     def __init__(self, fn, input_cols: list[str], max_in_flight: int = 10,
                  chunk_rows: int = 64, retries: int = 1):
         self.fn, self.input_cols = fn, list(input_cols)
+        self.inputs = frozenset(self.input_cols)
         self.max_in_flight, self.chunk_rows, self.retries = max_in_flight, chunk_rows, retries
 
     def __call__(self, df, out):
@@ -102,6 +111,8 @@ class FallbackScorer(Scorer):
     def __init__(self, primary: Scorer, secondary: Scorer):
         self.primary, self.secondary = primary, secondary
         self.costly = primary.costly or secondary.costly
+        both = (primary.inputs, secondary.inputs)
+        self.inputs = None if None in both else both[0] | both[1]
 
     def __call__(self, df, out):
         first = self.primary(df, out)

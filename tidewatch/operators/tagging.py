@@ -84,6 +84,17 @@ def explode_tags(df: DataFrame, col: str = "accident") -> DataFrame:
     return df.withColumn(col, F.explode(F.array_compact(F.col(col))))
 
 
+def with_tags(df: DataFrame, col: str = "accident") -> DataFrame:
+    """Records that have at least one tag (exactly those ``explode_tags`` keeps),
+    one row each with the whole tag array.
+
+    Written as "the first of the exploded tags", not as a filter on the array:
+    Catalyst would push such a filter below the spreading repartition into the
+    scan and evaluate the tag expression, i.e. the text work, twice."""
+    g = df.select("*", F.posexplode(F.array_compact(F.col(col))).alias("_pos", "_tag"))
+    return g.filter(F.col("_pos") == 0).drop("_pos", "_tag")
+
+
 def select_keywords(keywords: DataFrame, issues: DataFrame) -> DataFrame:
     """Keyword rows whose category has an open issue."""
     return keywords.join(issues.select("accident").distinct(), "accident", "left_semi")

@@ -20,7 +20,7 @@ from ..operators.joins import within_rows
 from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import fold_posts, issue_list
 from ..operators.tagging import (clean_columns, expand_to_entities, explode_tags, keyword_map,
-                                 select_keywords, tag_mapped)
+                                 select_keywords, tag_mapped, with_tags)
 from ..schemas import POST_AGG
 from ..sources import io
 
@@ -34,12 +34,17 @@ class CommunityBatch:
     alerts: DataFrame      # F3 payloads
 
 
+def _tag_arrays(raw: DataFrame, keywords: DataFrame, issues: DataFrame) -> DataFrame:
+    """D1 (title and content) -> D6 + D4, one row per post with a tag."""
+    kw = keyword_map(select_keywords(keywords, issues))
+    return with_tags(tag_mapped(clean_columns(raw, ("content", "title")), kw))
+
+
 def tag_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame,
               require_mention: bool = False) -> DataFrame:
-    """D1 (title and content) -> D6 + D4 -> D5 -> D7."""
-    kw = keyword_map(select_keywords(keywords, issues))
-    df = explode_tags(tag_mapped(clean_columns(raw, ("content", "title")), kw))
-    return expand_to_entities(df, issues, require_mention)
+    """D1 -> D6 + D4 -> D5 -> D7: one row per (post, category, entity)."""
+    return expand_to_entities(explode_tags(_tag_arrays(raw, keywords, issues)), issues,
+                              require_mention)
 
 
 SLIM = ["car_model", "accident", "link", "view_count", "comm_score"]
@@ -50,8 +55,16 @@ def score_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame, scorer:
     """Tagged, entity-expanded, scored posts without their text, materialised:
     the text work (cleaning, keyword tests) and the scorer run once, and the two
     consumers (statistics, top-k) read a few small columns."""
-    posts = tag_posts(raw, keywords, issues, require_mention)
-    scored = apply_scorer(posts, scorer, "comm_score", on_failure, materialise_costly=False)
+    if scorer.reads_any(["accident", "car_model"]):
+        # the score depends on the (entity, category) a row is about: score each row
+        posts = tag_posts(raw, keywords, issues, require_mention)
+        scored = apply_scorer(posts, scorer, "comm_score", on_failure, materialise_costly=False)
+    else:
+        # the score depends on the post alone: score each tagged post once, then
+        # explode and attach entities (the scorer never sees the multiplied rows)
+        once = apply_scorer(_tag_arrays(raw, keywords, issues), scorer, "comm_score",
+                            on_failure, materialise_costly=False)
+        scored = expand_to_entities(explode_tags(once), issues, require_mention)
     return materialise(scored.select(*SLIM), "scored-posts")
 
 

@@ -11,7 +11,8 @@ from ..config import ISSUE_THRESHOLD
 from ..operators.aggregate import aggregate_news, news_evidence
 from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import news_step
-from ..operators.tagging import clean_columns, explode_tags, project_news, tag_flat
+from ..operators.tagging import (clean_columns, explode_tags, project_news, tag_flat,
+                                 with_tags)
 from ..sources import io
 
 
@@ -22,15 +23,28 @@ class NewsBatch:
     state: DataFrame       # state after the batch
 
 
+def _tag_arrays(raw: DataFrame, categories, keep=()) -> DataFrame:
+    """D2 -> D1 (content only; titles stay raw) -> D3, one row per article."""
+    return tag_flat(clean_columns(project_news(raw, keep), ("content",)), categories)
+
+
 def tag_news(raw: DataFrame, categories, keep=()) -> DataFrame:
-    """D2 -> D1 (content only; titles stay raw) -> D3 -> D5."""
-    df = clean_columns(project_news(raw, keep), ("content",))
-    return explode_tags(tag_flat(df, categories))
+    """D2 -> D1 -> D3 -> D5: one row per (article, category)."""
+    return explode_tags(_tag_arrays(raw, categories, keep))
 
 
 def score_news(raw: DataFrame, categories, scorer: Scorer, on_failure: int | None = 0,
                keep=()) -> DataFrame:
-    return apply_scorer(tag_news(raw, categories, keep), scorer, "news_score", on_failure)
+    """Tagged articles with their score (D10), one row per (article, category).
+
+    A scorer that reads the category (a model asked about an entity and a
+    category) scores each exploded row. One that does not (a lookup by link,
+    a model over the text alone) scores each tagged article once before the
+    explode, so it runs and shuffles once per article, not once per tag."""
+    if scorer.reads_any(["accident"]):
+        return apply_scorer(tag_news(raw, categories, keep), scorer, "news_score", on_failure)
+    tagged = with_tags(_tag_arrays(raw, categories, keep))
+    return explode_tags(apply_scorer(tagged, scorer, "news_score", on_failure))
 
 
 def run_news(raw: DataFrame, batch_period: str, state: DataFrame, categories, scorer: Scorer,
