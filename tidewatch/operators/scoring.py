@@ -116,8 +116,14 @@ class FallbackScorer(Scorer):
 
     def __call__(self, df, out):
         first = self.primary(df, out)
-        if self.primary.costly:
-            first = materialise(first, "scored-primary")
+        if isinstance(self.secondary, ColumnScorer):
+            # a row expression: one pass, no split of the rows
+            return first.withColumn(out, F.coalesce(F.col(out),
+                                                    self.secondary.fn(first).cast("int")))
+        # The rows are split into scored and failed ones and the secondary runs
+        # on the failed ones only. Both halves read the primary's output, so it
+        # is written once rather than computed (with the text work) twice.
+        first = materialise(first, "scored-primary")
         ok = first.filter(F.col(out).isNotNull())
         retry = self.secondary(first.filter(F.col(out).isNull()).drop(out), out)
         return ok.unionByName(retry)
