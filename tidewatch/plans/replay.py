@@ -36,7 +36,8 @@ def news_by_period(raw: DataFrame, categories, scorer: Scorer, every: str = "1 h
 
 def replay_news(raw: DataFrame, seed: DataFrame, categories, scorer: Scorer,
                 threshold: int = ISSUE_THRESHOLD, every: str = "1 hour",
-                on_failure: int | None = 0, ttl: str | None = None) -> DataFrame:
+                on_failure: int | None = 0, ttl: str | None = None,
+                per: DataFrame | None = None) -> DataFrame:
     """State after folding every period of ``raw`` in time order.
 
     The schedule is one batch per period (``every``) from the period of the
@@ -45,8 +46,13 @@ def replay_news(raw: DataFrame, seed: DataFrame, categories, scorer: Scorer,
     batch runs more than ``ttl`` after its last article, which between two
     appearances of the key happens exactly when they are more than ``ttl`` +
     one period apart. Each key's periods are cut into runs at such gaps
-    (gaps-and-islands: ``lag`` + running sum) and the sums restart per run."""
-    per = news_by_period(raw, categories, scorer, every, on_failure)
+    (gaps-and-islands: ``lag`` + running sum) and the sums restart per run.
+
+    ``per`` is ``news_by_period`` of ``raw`` when the caller already has it
+    (computed once and also written out); ``raw`` then only gives the schedule's
+    bounds, a scan of its time column."""
+    if per is None:
+        per = news_by_period(raw, categories, scorer, every, on_failure)
     # the schedule's first batch end and last batch start: scalar subqueries
     bounds = assign_period(raw.agg(F.min("post_time").alias("post_time")), every)
     first_end = bounds.select("period_end").scalar()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ISSUE_THRESHOLD
+from ..functions.time import parse_period_end, parse_period_start
 from ..operators.scoring import Scorer
 from ..plans.replay import news_by_period, replay_news
 from ..schemas import RAW_NEWS
@@ -41,13 +42,19 @@ def stream_news(spark: SparkSession, raw_base: str, out_base: str, checkpoint: s
             return
         first, last = bounds
         raw = batch.select(*RAW_NEWS.fieldNames())
+        # the text work and the scorer run once per micro-batch: the per-period
+        # aggregate is written first and both outputs are built from it
+        (news_by_period(raw, categories, scorer, every)
+            .select("car_model", "accident", "count", "avg_news_score", "batch_period")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_period").parquet(f"{out_base}/news"))
+        per = (spark.read.parquet(f"{out_base}/news")
+               .filter(F.col("batch_period").between(first, last))
+               .withColumn("period_start", parse_period_start("batch_period"))
+               .withColumn("period_end", parse_period_end("batch_period")))
         prev = io.read_state(spark, state_base, first, seed)
-        io.write_state(replay_news(raw, prev, categories, scorer, threshold, every),
+        io.write_state(replay_news(raw, prev, categories, scorer, threshold, every, per=per),
                        state_base, last)
-        per = news_by_period(raw, categories, scorer, every).select(
-            "car_model", "accident", "count", "avg_news_score", "batch_period")
-        (per.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_period").parquet(f"{out_base}/news"))
 
     w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
