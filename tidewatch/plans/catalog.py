@@ -129,12 +129,14 @@ def a3_write_aggregate(spark, sf):
 
 
 def a4_write_records(spark, sf):
-    """Records written per batch period and source (A4), one batch read back."""
+    """Records written per batch period and source (A4); each batch is read
+    back on its own (one partition path each) and labelled."""
     base = scratch_path(spark, "records")
     raw = raw_news(_docs(spark, sf))
     io.write_records(_in_batch(raw, BATCH_A), base, BATCH_A)
     io.write_records(_in_batch(raw, BATCH_B), base, BATCH_B)
-    return io.read_records(spark, "news", base, BATCH_A)
+    return io.union_sources([io.read_records(spark, "news", base, p)
+                             .withColumn("batch_period", F.lit(p)) for p in (BATCH_A, BATCH_B)])
 
 
 def a7_config_tables(spark, sf):

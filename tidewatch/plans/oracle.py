@@ -309,8 +309,11 @@ SQL["a3_write_aggregate"] = _with(COMMUNITY, """SELECT car_model, accident, top_
   FROM comm_agg""")
 _TWO = (BASE + ",\n" + _agg("agg_a", IN_A) + ",\n" + _agg("agg_b", IN_B) + ",\n"
         + _step("state_a", "seed", "agg_a", *A) + ",\n" + _step("state_b", "state_a", "agg_b", *B))
-SQL["a4_write_records"] = _with(BASE, f"""SELECT post_time, title, content, source, link, keyword
-  FROM news_raw WHERE {IN_A}""")
+SQL["a4_write_records"] = _with(BASE, f"""SELECT post_time, title, content, source, link, keyword,
+  '{BATCH_A}' AS batch_period FROM news_raw WHERE {IN_A}
+UNION ALL
+SELECT post_time, title, content, source, link, keyword, '{BATCH_B}' AS batch_period
+  FROM news_raw WHERE {IN_B}""")
 SQL["a7_config_tables"] = _with(BASE, f"""SELECT accident, keyword FROM {KW_ALL} k
   WHERE accident IN (SELECT accident FROM news_tagged)""")
 SQL["a5_state_snapshots"] = _with(_TWO, f"SELECT {STATE_COLS} FROM state_b")
