@@ -39,6 +39,11 @@ def test_parse_period(spark):
     assert got[0] == dt.datetime(2024, 1, 2, 3, 4, 5)
     assert got[1] == dt.datetime(2024, 1, 2, 4, 4, 5)
     assert got[2] == p
+    # the scheduler's 'YYYY-MM-DDTHH:MM' text is accepted, seconds added as 00
+    t = spark.createDataFrame([("2024-01-02T03:04", "2024-01-02T04:04", "x")],
+                              "a string, b string, c string")
+    assert t.select(format_period("a", "b"), format_period("a", "c")).first() == \
+        ("2024-01-02-03-04-00_2024-01-02-04-04-00", None)
 
 
 def test_periods_ignore_session_zone(spark):

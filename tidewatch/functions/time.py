@@ -55,8 +55,10 @@ def parse_period_end(c) -> Column:
 
 
 def _ntz_text(c) -> Column:
-    """NTZ -> 'yyyy-MM-dd-HH-mm-ss' from its own fields (no zone involved)."""
-    return F.translate(F.substring(_c(c).cast("timestamp_ntz").cast("string"), 1, 19),
+    """NTZ -> 'yyyy-MM-dd-HH-mm-ss' from its own fields (no zone involved). Text
+    such as 'YYYY-MM-DDTHH:MM' is read as a wall-clock time (seconds become 00);
+    text that is not a time gives NULL."""
+    return F.translate(F.substring(_c(c).try_cast("timestamp_ntz").cast("string"), 1, 19),
                        " :", "--")
 
 
