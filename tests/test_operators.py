@@ -192,3 +192,23 @@ def test_automaton_tagging_equals_expression(spark):
     got = [r.accident for r in tagging.tag_mapped(df, {"x": ["she"], "y": ["he"], "z": ["q"]},
                                                   max_expression=0).collect()]
     assert got == [["x", "y"], []]
+
+
+def test_sort_by_time_splits_a_hot_time(spark):
+    """A third of the rows share one time; the sort stays ascending and those
+    rows spread over several range partitions instead of one task."""
+    from tidewatch.operators.periods import sort_by_time
+    hot = "2024-01-01 00:00:00"
+    rows = [(hot if i % 3 == 0 else f"2024-01-01 00:{i % 60:02d}:{i // 60 % 60:02d}",
+             f"doc/{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "t string, link string").select(
+        F.to_timestamp_ntz("t").alias("post_time"), "link")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        out = sort_by_time(df).withColumn("pid", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(key, "true")
+    times = [r.post_time for r in out]
+    assert times == sorted(times) and len(out) == 3000
+    assert len({r.pid for r in out if str(r.post_time) == hot}) > 1

@@ -88,6 +88,15 @@ def period_from_marker(markers: DataFrame, col: str = "marker") -> DataFrame:
                           F.concat_ws("_", m["start_time"], m["end_time"]).alias("batch_period"))
 
 
-def sort_by_time(df: DataFrame, col: str = "post_time") -> DataFrame:
-    """Ascending sort by time (B8): a range-partitioned global sort."""
-    return df.orderBy(F.col(col).asc())
+def sort_by_time(df: DataFrame, col: str = "post_time", tie: str | None = None) -> DataFrame:
+    """Ascending sort by time (B8): a range-partitioned global sort.
+
+    Rows with equal times are ordered by ``tie`` (``link`` when present, else a
+    hash of the row). Besides making the order deterministic, this lets the
+    range partitioner split a time shared by a large share of the rows over
+    several tasks; equal sort keys would all land in one."""
+    if tie is None:
+        tie_col = F.col("link") if "link" in df.columns else F.xxhash64(*df.columns)
+    else:
+        tie_col = F.col(tie)
+    return df.orderBy(F.col(col).asc(), tie_col.asc())
