@@ -149,3 +149,29 @@ def test_record_level_scoring_equals_per_row(spark):
     a = community.score_posts(posts, kw, issues, sc)
     b = community.score_posts(posts, kw, issues, _PerRow(sc))
     assert _rows(a) == _rows(b) and a.count() > 0
+
+
+def test_stream_one_period_per_micro_batch_equals_replay(spark, tmp_dir):
+    """The file stream, one hourly file per micro-batch, then a restart that
+    picks up a later hour, ends in the state of one replay over all of it."""
+    from tidewatch.streaming import stream_news
+    docs = standins.table(spark, SF, "documents")
+    sc, seed = standins.label_scorer(standins.table(spark, SF, "labels")), standins.seed(docs)
+    raw = standins.raw_news(docs)
+    timed = periods.assign_period(raw, "1 hour").drop("period_start", "period_end")
+    cut = F.to_timestamp_ntz(F.lit("2024-01-01 02:00:00"))
+    # one file per period, so a period never straddles two micro-batches
+    early, late = timed.filter(F.col("post_time") < cut), timed.filter(F.col("post_time") >= cut)
+    early.repartition("batch_period").write.partitionBy("batch_period").parquet(f"{tmp_dir}/raw")
+    args = (spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", NEWS_CATEGORIES, sc,
+            seed)
+    stream_news(*args, threshold=3, max_files_per_trigger=1).awaitTermination()
+    late.repartition("batch_period").write.mode("append").partitionBy("batch_period") \
+        .parquet(f"{tmp_dir}/raw")
+    stream_news(*args, threshold=3, max_files_per_trigger=1).awaitTermination()
+    got = io.read_state(spark, f"{tmp_dir}/out/state")
+    want = replay.replay_news(raw, seed, NEWS_CATEGORIES, sc, threshold=3)
+    r = lambda df: _rows(df.withColumn("news_score", F.round("news_score", 6)))
+    assert r(got) == r(want)
+    snapshots = spark.read.parquet(f"{tmp_dir}/out/state").select("batch_period").distinct()
+    assert snapshots.count() > 2   # one snapshot per micro-batch
