@@ -34,7 +34,9 @@ def join_small(big: DataFrame, small: DataFrame, on: list[str] | str, how: str =
         raise ValueError("join_small supports left and inner joins")
     if within_rows(small, max_broadcast_rows):
         return big.join(F.broadcast(small), on, how)
-    cols = salt_cols or big.columns
+    # a deterministic salt from the row itself; the record link when there is
+    # one (short), rather than hashing long text columns
+    cols = salt_cols or (["link"] if "link" in big.columns else big.columns)
     salted = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(salt_buckets)))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
     return salted.join(copies, on + ["_salt"], how).drop("_salt")
