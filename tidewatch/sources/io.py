@@ -7,7 +7,9 @@ its partition instead of appending a second copy.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -79,13 +81,25 @@ def read_state(spark: SparkSession, base: str, before_period: str | None = None,
         all_ = spark.read.schema(_state_with_period()).parquet(base)
     except AnalysisException:
         return seed if seed is not None else empty(spark, schemas.STATE)
-    cand = all_ if before_period is None else all_.filter(F.col("batch_period") < before_period)
-    latest = cand.agg(F.max("batch_period")).first()[0]
+    # the latest earlier snapshot, from the partition listing: no file is opened
+    cand = [p for p in snapshot_periods(all_) if before_period is None or p < before_period]
+    latest = max(cand, default=None)
     if latest is None:
         return seed if seed is not None else empty(spark, schemas.STATE)
     return all_.filter(F.col("batch_period") == latest).select(*schemas.STATE.fieldNames())
 
 
+def snapshot_periods(df: DataFrame) -> set[str]:
+    """Batch periods present in a table partitioned by ``batch_period``, read
+    from the paths Spark lists for it (one per file, metadata only)."""
+    found = set()
+    for f in df.inputFiles():
+        m = re.search(r"/batch_period=([^/]+)/", f)
+        if m:
+            found.add(unquote(m.group(1)))
+    return found
+
+
 def _state_with_period() -> T.StructType:
     return T.StructType(list(schemas.STATE.fields) + [T.StructField("batch_period", T.StringType())])
 
