@@ -106,7 +106,12 @@ def aggregate_community(scored: DataFrame, k: int = TOP_K, score_col: str = "com
     stats = aggregate_posts(scored, score_col)
     top = top_k_posts(scored, k)
     if raw is not None:
-        top = attach_content(top.drop("content") if "content" in top.columns else top, raw)
+        # at most k rows per key, read twice (the size check of the link list and
+        # the fetch itself): written once so the ranking over every scored row
+        # runs once
+        from .scoring import materialise
+        top = materialise(top.drop("content") if "content" in top.columns else top, "top-k")
+        top = attach_content(top, raw)
     packed = pack_posts(top)
     return join_aggregates(packed, stats).select(
         *KEYS, "top_comm", "avg_comm_score", "count", "comm_positive_count",
