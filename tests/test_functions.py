@@ -131,3 +131,14 @@ def test_piecewise_monotone_and_bounded(spark, xs):
     got = one(spark, [(x,) for x in xs], "x double", piecewise("x", 10, 20, 30))
     assert all(0.0 <= g <= 1.0 for g in got)
     assert all(a <= b + 1e-12 for a, b in zip(got, got[1:]))
+
+
+def test_interval_micros():
+    import pytest
+    from tidewatch.operators.periods import interval_micros
+    assert interval_micros("1 hour") == 3_600_000_000
+    assert interval_micros("90 minutes") == interval_micros("1 hour 30 minutes") == 5_400_000_000
+    assert interval_micros("1 day") == 24 * interval_micros("1 hour")
+    for bad in ("", "hour", "1 fortnight", "0 hours"):
+        with pytest.raises(ValueError):
+            interval_micros(bad)
