@@ -85,3 +85,12 @@ def test_issue_score_within_unit_interval(spark, rows):
                                      "news_acc_count long, news_count long, comm_count long")
     for (v,) in df.select(issue_score_col(df)).collect():
         assert -1e-12 <= v <= 1.0 + 1e-12
+
+
+def test_lookup_scorer_one_score_per_key(spark):
+    """A key listed twice in the lookup table does not duplicate scored rows."""
+    table = spark.createDataFrame([("l1", 30), ("l1", 70), ("l2", 10)], "link string, v int")
+    got = apply_scorer(_rows(spark, 4), LookupScorer(table, "link", F.col("v")), "s",
+                       on_failure=None)
+    assert sorted((r.link, r.s) for r in got.collect()) == \
+        [("l0", None), ("l1", 70), ("l2", 10), ("l3", None)]

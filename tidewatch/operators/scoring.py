@@ -56,7 +56,10 @@ class LookupScorer(Scorer):
     def __init__(self, table: DataFrame, on: list[str] | str, score: Column):
         self.on = [on] if isinstance(on, str) else list(on)
         self.inputs = frozenset(self.on)
-        self.table = table.select(*self.on, score.cast("int").alias("_score"))
+        # one score per key, so the join never multiplies the scored rows; a key
+        # listed twice keeps its highest score. The aggregate is hash-partitioned
+        # on the keys, which a shuffle join on them reuses.
+        self.table = table.groupBy(*self.on).agg(F.max(score.cast("int")).alias("_score"))
 
     def __call__(self, df, out):
         return df.join(self.table, self.on, "left").withColumnRenamed("_score", out)
