@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import scratch_path
+
 # separators that str.split() knows but Unicode's White_Space property does not
-_NOT_WHITE = re.compile("[\x1c-\x1f]")
+_NOT_WHITE = "\x1c\x1d\x1e\x1f"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +41,20 @@ def fenced(col: Column) -> Column:
 
 def white_chunks(text: str) -> list[str]:
     """The runs between Unicode white space."""
-    if _NOT_WHITE.search(text):
+    if any(c in text for c in _NOT_WHITE):
         import regex
         return regex.findall(r"[^\p{White_Space}]+", text)
     return text.split()
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared scratch folder and read back: cuts the lineage, survives
+    lost executors and gives the planner the real size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 class Memo(dict):
     """Values by key, computed on demand and kept in two generations.
 

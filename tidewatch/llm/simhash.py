@@ -40,9 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.session import scratch_path
-
-from .common import text_of
+from .common import saved, text_of
 
 BITS = 64
 SEED = 42
@@ -226,14 +224,6 @@ def apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read back: cuts the lineage, survives
-    lost executors and gives the planner the real size."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def components(links: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node connected with each linked node.
 

@@ -20,6 +20,7 @@ text columns are read, so other columns never clash.
 from __future__ import annotations
 
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Memo, text_of, white_chunks
+from .word_bpe import WordBpe, byte_letters, words
 
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
@@ -38,45 +40,43 @@ ORC_OPTIONS = {
 
 
 class LibraryEncoder:
-    """The tokenizers library, asked once per distinct white-space run of a batch.
+    """The tokenizers library's model, asked once per word that the memo does not hold.
 
-    No word of the vocabulary's pattern spans white space, so the ids of a text are
-    those of its runs, one after the other.
+    The ids of a text are those of its words, one after the other; words are found as the
+    vocabulary's pattern finds them, and special strings are ids of their own.
     """
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(raw.decode())
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.memo = Memo(lambda run: self.ask([run])[0])
+        self.model = Tokenizer.from_str(raw.decode()).model
+        self.bpe, self.letters = WordBpe(raw), byte_letters()
+        self.of_word = Memo(self._ask, limit=300_000)
+        self.of_run = Memo(self._run, limit=200_000)
 
-    def ask(self, runs: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _ask(self, word: str) -> bytes:
+        letters = self.letters
+        spelled = "".join([letters[b] for b in word.encode("utf-8", "replace")])
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _run(self, run: str) -> bytes:
+        special, of_word = self.bpe.special, self.of_word
+        return b"".join([special[part].to_bytes(4, "little") if part in special
+                         else b"".join(map(of_word.__getitem__, words(part)))
+                         for part in self.bpe.parts_of(run)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [white_chunks(t) for t in texts]
-        memo, known = self.memo, self.memo.old
-        new = [r for r in set().union(*split) if r not in memo and r not in known]
-        asked = dict(zip(new, self.ask(new), strict=True))
-        out = [b"".join([asked[r] if r in asked else memo[r] for r in runs]) for runs in split]
-        for run, ids in asked.items():
-            if len(run) <= memo.max_key:
-                if len(memo) >= memo.limit:
-                    memo.old = dict(memo)
-                    memo.clear()
-                memo[run] = ids
-        return out
+        ids = self.of_run.__getitem__
+        return [b"".join(map(ids, white_chunks(t))) for t in texts]
 
 
 @lru_cache(maxsize=2)
 def library_encoder(raw: bytes) -> LibraryEncoder:
-    """One encoder per Python worker and vocabulary. Tasks are the parallel units."""
-    import os
+    """One encoder per Python worker and vocabulary."""
+    import gc
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    # the memos hold many objects and no cycles; the collector need not walk them often
+    gc.set_threshold(200_000, 50, 100)
     return LibraryEncoder(raw)
 
 
@@ -110,10 +110,8 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
 
     slim = docs.select(docs[id_col].cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
     n_parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the text's hash splits an id that many rows share and fixes their order
-    key = slim.withColumn("tie", F.xxhash64("text"))
-    sorted_docs = (key.repartitionByRange(n_parts, "doc_id", "tie")
-                   .sortWithinPartitions("doc_id", "tie")
+    sorted_docs = (slim.repartitionByRange(n_parts, "doc_id")
+                   .sortWithinPartitions("doc_id", F.xxhash64("text"))
                    .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
     encoded = sorted_docs.mapInArrow(
         run, "part int, doc_id bigint, start_in_part bigint, n_tokens bigint, ids array<int>")

@@ -20,6 +20,7 @@ import regex
 SYMBOLS = 512
 
 # fixed value: the vocabulary's word pattern
+_STOPS = (".", ",")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
 
 
@@ -76,7 +77,13 @@ def words(part: str) -> list[str]:
     if not part.isascii():
         # letter by letter: a capital sigma does not depend on its place in the word
         part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-    return WORD.findall(part.lower())
+    part = part.lower()
+    # the two common cases, without the pattern: letters, letters and a stop
+    if part.isalpha():
+        return [part]
+    if part[-1:] in _STOPS and part[:-1].isalpha():
+        return [part[:-1], part[-1]]
+    return WORD.findall(part)
 
 
 def symbols(word: str) -> list[int]:
