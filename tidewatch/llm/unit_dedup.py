@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, text_of
+from .common import fresh, saved, text_of
 
 UNITS = {
     "line": re.compile(r"[^\n]+"),
@@ -103,8 +103,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
     ``first_doc_id``, the smallest id that keeps one of the run's units."""
     table = unit_table(docs, id_col, text_col, unit)
     rank = F.struct(F.col("doc_id").alias("doc_id"), F.col("start").alias("start"))
-    first = (table.groupBy("a", "b").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
-             .filter(~F.col("first").eqNullSafe(F.col("last"))).select("a", "b", "first"))
+    # written, so that both sides of the join below are plain exchanges: adaptive execution
+    # can then split a digest that many documents have, and broadcast a short list
+    first = saved(table.groupBy("a", "b").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
+                  .filter(~F.col("first").eqNullSafe(F.col("last"))).select("a", "b", "first"), "unit-first")
     again = (table.join(first, ["a", "b"]).filter(~rank.eqNullSafe(F.col("first")))
              .select("doc_id", "tid", "no", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"))
              .distinct())
