@@ -262,6 +262,8 @@ def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
     rows = bucket_rows(nodes, masks, "n")
     centre = (rows.groupBy("k", "key").agg(F.max(F.struct("n", "fp")).alias("c"), F.count("*").alias("size"))
               .filter("size > 1").select("k", "key", F.col("c.fp").alias("centre")))
+    # written, so that the join's sides are plain exchanges and a hot bucket can be split
+    centre = saved(centre, "simhash-centres")
     near = (rows.drop("n").join(centre, ["k", "key"]).filter("fp <> centre")
             .filter(apart("fp", "centre") <= distance)
             .select(F.col("fp").alias("a"), F.col("centre").alias("b")))
@@ -273,6 +275,7 @@ def linked_prints(prints: DataFrame, distance: int = 4) -> DataFrame:
     rows = bucket_rows(named, masks, "root")
     mixed = (rows.groupBy("k", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .filter("low <> high").select("k", "key"))
+    mixed = saved(mixed, "simhash-mixed-keys")
     rows = saved(rows.join(mixed, ["k", "key"]), "simhash-mixed")
     other = rows.select("k", "key", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
     across = (rows.join(other, ["k", "key"])
