@@ -40,7 +40,7 @@ class PairTable:
     Only pairs that occur are computed; the table holds at most ``limit`` of them.
     """
 
-    def __init__(self, bpe: WordBpe, limit: int = 1_000_000):
+    def __init__(self, bpe: WordBpe, limit: int = 150_000):
         self.bpe, self.limit, self.known = bpe, limit, {}
 
     def __call__(self, left: int, right: int) -> bool:
@@ -92,8 +92,8 @@ class Codec:
             if spelling:
                 self.find.add_word(spelling, (p, len(spelling)))
         self.find.make_automaton()
-        self.of_word = Memo(self._encode_word)
-        self.of_chunk = Memo(self._encode_chunk)
+        self.of_word = Memo(self._encode_word, limit=150_000)
+        self.of_chunk = Memo(self._encode_chunk, limit=100_000)
         self._offsets()
 
     # -- encoding -----------------------------------------------------------------

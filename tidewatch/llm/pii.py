@@ -152,7 +152,7 @@ def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     every = reduce(F.concat, [F.coalesce(f"_s{r}", none) for r in range(len(KINDS))])
     named = F.transform(F.sort_array(every), lambda s: F.struct(
         _name(s["rank"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["score"].alias("score")))
-    return d.select("row.*", fenced(named).alias(name))
+    return d.withColumn("_out", fenced(named)).select("row.*", F.col("_out").alias(name))
 
 
 def count_of(spans: Column, kind: str) -> Column:

@@ -7,7 +7,7 @@ Base. Words are ``[^\\x20\\x09-\\x0D]+``; a document fails with fewer than ``min
 words, or when words in 8-word windows found twice or more in the text exceed
 ``max_repeat`` percent. Windows are compared by a 64-bit hash of their word hashes.
 
-Method. Lines are normalised (lower case, digits to 0, white space runs to one blank),
+Method. Lines are normalised (lower case, numbers to 0, white space runs to one blank),
 hashed to 128 bits, and counted per host over distinct documents; exact copies of a text
 are one document there. A line is removed from a host's documents when more than
 ``max_share`` of the host's distinct documents and at least ``min_docs`` of them have it;
@@ -91,7 +91,7 @@ def base_measures(docs: DataFrame, text: Column, min_words: int, max_repeat: int
 def line_digests(text: Column) -> Column:
     """For each line with a word: two 64-bit hashes of the normalised line, its words."""
     flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " ")
-    flat = F.regexp_replace(flat, "[0-9]", "0")
+    flat = F.regexp_replace(flat, "[0-9]+", "0")
     lines = F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x))
     return F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(
         F.xxhash64(x).alias("a"), F.xxhash64(F.lit("b"), x).alias("b"),
@@ -141,9 +141,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     left = F.col("base.n_words") - F.col("_gone")
     depleted = (F.col("_gone") > 0) & (left < F.col("base.n_words") * F.lit(rule["min_left"]))
     name = fresh(docs, "quality")
-    return d.select("row.*", fenced(F.struct(
-        "base.*", F.col("_gone").alias("n_removed"),
-        (~F.col("base.base_failed") & ~depleted).alias("kept"))).alias(name))
+    d = d.withColumn("_out", fenced(F.struct(
+        "base.*", F.col("_gone").alias("n_removed"), (~F.col("base.base_failed") & ~depleted).alias("kept"))))
+    return d.select("row.*", F.col("_out").alias(name))
 
 
 def reject(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",

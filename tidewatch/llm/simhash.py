@@ -174,7 +174,7 @@ def part_costs(n: int, freq: np.ndarray, part: list[int], pairs: float, distance
     for t in range(distance + 1):
         # a pair that differs in j of the masked bits' places meets once per choice that covers them
         within = sum(p[j] * comb(len(part) - j, t - j) for j in range(t + 1) if t <= len(part))
-        costs.append(n * comb(len(part), t) * row_cost
+        costs.append(max(n, 1) * comb(len(part), t) * row_cost
                      + min(all_pairs, all_pairs * within * lift) if t <= len(part) else float("inf"))
     return costs
 

@@ -135,5 +135,6 @@ def remove(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text_col: s
             text, (before + 1).cast("int"), (x["start"] - before).cast("int")))
         .otherwise(F.substring(text, (before + 1).cast("int"), F.length(text))))
     cleaned = fresh(docs, "cleaned")
-    out = joined.select("row.*", F.when(F.col("cuts").isNull(), text).otherwise(F.array_join(kept, "")).alias(cleaned))
+    joined = joined.withColumn("_out", F.when(F.col("cuts").isNull(), text).otherwise(F.array_join(kept, "")))
+    out = joined.select("row.*", F.col("_out").alias(cleaned))
     return out.select(*[F.col(cleaned).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
