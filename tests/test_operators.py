@@ -174,24 +174,43 @@ def test_empty_inputs(spark, tmp_dir):
     assert io.read_state(spark, tmp_dir + "/none").count() == 0
 
 
-def test_automaton_tagging_equals_expression(spark):
-    from tidewatch.config import COMMUNITY_KEYWORDS, NEWS_CATEGORIES
+def test_tagging_many_keywords_against_brute_force(spark):
     from tidewatch.sources import standins
     docs = standins.raw_posts(standins.table(spark, "/root/testdata/sf0.001", "documents"))
-    extra = {"ov": ["ushers", "she", "he"], "dup": ["die"]}
-    mapping = {**COMMUNITY_KEYWORDS, **extra}
-    e = tagging.explode_tags(tagging.tag_mapped(docs, mapping)).select("link", "accident")
-    a = tagging.explode_tags(tagging.tag_mapped(docs, mapping, max_expression=0)) \
-        .select("link", "accident")
-    assert sorted(map(tuple, e.collect())) == sorted(map(tuple, a.collect()))
-    fe = tagging.explode_tags(tagging.tag_flat(docs, NEWS_CATEGORIES)).select("link", "accident")
-    fa = tagging.explode_tags(tagging.tag_flat(docs, NEWS_CATEGORIES, max_expression=0)) \
-        .select("link", "accident")
-    assert sorted(map(tuple, fe.collect())) == sorted(map(tuple, fa.collect()))
+    words = [w for r in standins.table(spark, "/root/testdata/sf0.001", "benchmark").collect() for w in r.text.split()]
+    kws = list(dict.fromkeys(words))[:700]
+    mapping = {"even": kws[::2], "odd": kws[1::2], "dup": ["die", "die"]}
+    rows = {r.link: (r.title or "", r.content or "") for r in docs.collect()}
+    flat = {r.link: r.accident for r in tagging.tag_flat(docs, kws).select("link", "accident").collect()}
+    assert flat == {k: [w if w in t or w in c else None for w in kws] for k, (t, c) in rows.items()}
+    as_rows = spark.createDataFrame([(c, k) for c, ks in mapping.items() for k in ks], "accident string, keyword string")
+    for m in (mapping, tagging.selected_pairs(as_rows)):
+        got = {r.link: set(r.accident) - {None} for r in tagging.tag_mapped(docs, m).select("link", "accident").collect()}
+        assert got == {k: {n for n, ks in mapping.items() if any(w in t or w in c for w in ks)}
+                       for k, (t, c) in rows.items()}
     df = spark.createDataFrame([("ushers", None), (None, None)], "title string, content string")
-    got = [r.accident for r in tagging.tag_mapped(df, {"x": ["she"], "y": ["he"], "z": ["q"]},
-                                                  max_expression=0).collect()]
-    assert got == [["x", "y"], []]
+    got = [r.accident for r in tagging.tag_mapped(df, {"x": ["she"], "y": ["he"], "z": ["q"]}).collect()]
+    assert got == [["x", "y", None], [None]]
+
+
+def test_link_forms(spark):
+    html = """<a href='/1'>x</a> <A class=k HREF="/2">y</A> <a href=/3>z</a> <a href="//h/4">w</a>
+      <li><a href="/5">p</a></li><li><a href='/6'>q</a><i>10:00</i></li>"""
+    pages_df = spark.createDataFrame([(1, html)], "page_id bigint, html string")
+    from tidewatch.sources import pages
+    got = [r.link for r in pages.extract_links(pages_df, base="http://b").orderBy("pos").collect()]
+    assert got == ["http://b/1", "http://b/2", "http://b/3", "//h/4", "http://b/5", "http://b/6"]
+    got = pages.extract_links(pages_df, time_pattern="<i>(.*?)</i>", row_pattern="<li>.*?</li>").orderBy("pos").collect()
+    assert [(r.link, r.time_text) for r in got] == [("/5", ""), ("/6", "10:00")]
+
+
+def test_state_other_errors_are_raised(spark, tmp_dir):
+    import pytest
+    from pyspark.errors import AnalysisException
+    from unittest.mock import patch
+    with patch.object(type(spark.read), "parquet", side_effect=AnalysisException("no such column")):
+        with pytest.raises(AnalysisException):
+            io.read_state(spark, tmp_dir + "/any")
 
 
 def test_sort_by_time_splits_a_hot_time(spark):

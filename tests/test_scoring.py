@@ -30,6 +30,9 @@ def test_batch_scorer_bounded_chunks_and_failures(spark):
     assert got["l13"] is None and got["l12"] == 12 and len(got) == 40
     zero = {r.link: r.s for r in apply_scorer(_rows(spark), scorer, "s").collect()}
     assert zero["l13"] == 0
+    # chunks of the default size: only the failing row fails
+    whole = {r.link: r.s for r in apply_scorer(_rows(spark), BatchScorer(model, ["content"]), "s", on_failure=None).collect()}
+    assert whole == got
 
 
 def test_fallback_scorer_only_for_failed_rows(spark):

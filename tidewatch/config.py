@@ -54,7 +54,6 @@ ALERT_FIELD_TITLES = ("이슈 주의도", "이슈 내용", "이슈 최초 발생
 # extraction defaults and markers
 DEFAULT_TITLE = "Untitled"
 DEFAULT_BODY = " "
-APP_SIGNATURE = "- dc official App"
 AM_MARKER, PM_MARKER = "오전", "오후"
 JSONP_PATTERN = r"^Search\.SearchPreCallback\(|\)$"
 # ---------------------------------------------------------------------------

@@ -77,9 +77,10 @@ def score_from_response(c, path: str = "$.choices[0].message.content",
 
 
 def absolute_link(c, base: str, prefix: str = "/") -> Column:
-    """Prefix relative links that start with ``prefix`` with ``base``."""
+    """Prefix relative links that start with ``prefix`` with ``base`` (C9). A link that
+    starts with ``//`` names its own host and stays."""
     c = _c(c)
-    return F.when(c.startswith(prefix), F.concat(F.lit(base), c)).otherwise(c)
+    return F.when(c.startswith(prefix) & ~c.startswith("//"), F.concat(F.lit(base), c)).otherwise(c)
 
 
 def render_prompt(template: str, *cols) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import ALERT_FIELD_TITLES
+from ..config import ALERT_FIELD_TITLES, ALERT_TEXT
 from ..functions.scoring import alert_color, alert_label
 
 ALERT_COLS = ["car_model", "accident", "start_batch_time", "news_acc_count", "comm_acc_count",
@@ -29,7 +29,8 @@ def render_alert(alerts: DataFrame) -> DataFrame:
     """One message payload (JSON text) per alert row."""
     level, color = alert_label("issue_score"), alert_color("issue_score")
     subject = F.concat(F.col("car_model"), F.lit(" "), F.col("accident"))
-    text = F.concat(F.lit("\U0001F6A8 "), subject, F.lit(" ("), level, F.lit(")\n\u200b"))
+    text = F.format_string(ALERT_TEXT.format(car_model="%1$s", accident="%2$s", level="%3$s"),
+                           F.col("car_model"), F.col("accident"), level)
     values = [level, subject, iso_time("start_batch_time"), F.col("dashboard_url")]
     fields = F.array(*[F.struct(F.lit(t).alias("title"), v.alias("value"),
                                 F.lit(False).alias("short"))

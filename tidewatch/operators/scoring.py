@@ -70,8 +70,8 @@ class BatchScorer(Scorer):
 
     ``max_in_flight`` chunks of a batch are scored concurrently (threads, for an
     I/O-bound client); total concurrency is partitions x max_in_flight, so
-    repartition first to set it. A chunk that raises scores NULL and, with
-    ``retries``, is tried again first."""
+    repartition first to set it. A chunk that raises is tried again ``retries``
+    times, then row by row, so only the failing rows score NULL."""
 
     costly = True
 
@@ -91,9 +91,10 @@ class BatchScorer(Scorer):
                 try:
                     s = pd.Series(fn(chunk[cols]), index=chunk.index)
                     return pd.to_numeric(s, errors="coerce").astype("Int32")
-                except Exception:  # a failed call scores NULL after the retries
-                    if attempt == retries:
-                        return pd.Series([pd.NA] * len(chunk), index=chunk.index, dtype="Int32")
+                except Exception:  # after the retries each row by itself; a failing row scores NULL
+                    if attempt == retries and len(chunk) > 1:
+                        return pd.concat([score_chunk(chunk.iloc[i:i + 1]) for i in range(len(chunk))])
+            return pd.Series([pd.NA] * len(chunk), index=chunk.index, dtype="Int32")
 
         def run(batches):
             with ThreadPoolExecutor(max_workers=limit) as pool:

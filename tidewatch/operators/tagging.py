@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,11 +12,6 @@ from ..functions.text import clean_text
 from .joins import join_small
 
 KEYS = ["car_model", "accident"]
-# Keyword tests are compiled into the row expression up to this many (category,
-# keyword) pairs; past it they run as one automaton pass per text.
-MAX_EXPRESSION_KEYWORDS = 512
-# configuration brought to the driver to build the tests (checked)
-MAX_KEYWORDS = 1_000_000
 
 
 def project_news(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -39,44 +37,44 @@ def _dedupe(xs):
     return out
 
 
-def _mentions(kw: str, cols) -> Column:
-    cond = None
-    for c in cols:
-        t = F.col(c).contains(F.lit(kw))
-        cond = t if cond is None else (cond | t)
-    return cond
+def _mentions(kw: Column, cols) -> Column:
+    return reduce(or_, [F.col(c).contains(kw) for c in cols])
 
 
-def tag_flat(df: DataFrame, keywords, out: str = "accident", cols=("title", "content"),
-             max_expression: int = MAX_EXPRESSION_KEYWORDS) -> DataFrame:
+def tag_flat(df: DataFrame, keywords, out: str = "accident", cols=("title", "content")) -> DataFrame:
     """Array holding each keyword found in any of ``cols``, NULL elsewhere (D3).
 
     The keyword list is de-duplicated first, so one article counts once per
-    keyword. Past ``max_expression`` keywords the array holds only the matched
-    ones (one automaton pass per text); exploded, both forms give the same rows."""
-    kws = _dedupe(keywords)
-    if len(kws) > max_expression:
-        from .keyword_match import match_categories
-        return df.withColumn(out, match_categories(df.sparkSession, [(k, k) for k in kws],
-                                                   cols, distinct=False))
-    arr = F.array(*[F.when(_mentions(k, cols), F.lit(k)) for k in kws]) if kws else F.array()
-    return df.withColumn(out, arr.cast("array<string>"))
-
-
-def tag_mapped(df: DataFrame, mapping: dict[str, list[str]], out: str = "accident",
-               cols=("title", "content"),
-               max_expression: int = MAX_EXPRESSION_KEYWORDS) -> DataFrame:
+    keyword. The keywords are one literal array and the test is one function over
+    it, so the plan has the same size for any number of keywords."""
+    kws = F.array(*[F.lit(k) for k in _dedupe(keywords)]).cast("array<string>")
+    return df.withColumn(out, F.transform(kws, lambda k: F.when(_mentions(k, cols), k)))
+
+
+def keyword_pairs(mapping: dict[str, list[str]]) -> Column:
+    """A literal array of (accident, keyword)."""
+    pairs = [F.struct(F.lit(cat).alias("accident"), F.lit(k).alias("keyword"))
+             for cat, subs in mapping.items() for k in subs]
+    return F.array(*pairs).cast("array<struct<accident:string,keyword:string>>")
+
+
+def selected_pairs(keywords: DataFrame) -> Column:
+    """Keyword rows as one sorted array value of (accident, keyword): a scalar
+    subquery, so nothing is brought to the driver."""
+    pair = F.struct("accident", "keyword")
+    return keywords.agg(F.sort_array(F.collect_set(pair)).alias("pairs")).scalar()
+
+
+def tag_mapped(df: DataFrame, mapping: dict[str, list[str]] | Column, out: str = "accident",
+               cols=("title", "content")) -> DataFrame:
     """Array of the categories whose sub-keywords occur, de-duplicated per row.
 
-    Past ``max_expression`` (category, keyword) tests the match is one automaton
-    pass per text instead of one expression per test."""
-    pairs = [(cat, k) for cat, subs in mapping.items() for k in subs]
-    if len(pairs) > max_expression:
-        from .keyword_match import match_categories
-        return df.withColumn(out, match_categories(df.sparkSession, pairs, cols, distinct=True))
-    arr = F.array(*[F.when(_mentions(k, cols), F.lit(cat)) for cat, k in pairs]) if pairs \
-        else F.array()
-    return df.withColumn(out, F.array_distinct(arr.cast("array<string>")))
+    ``mapping`` is a dict or an array column of (accident, keyword)."""
+    pairs = keyword_pairs(mapping) if isinstance(mapping, dict) else mapping
+    # a subquery may not stand inside the function, so it is a column of its own
+    tagged = df.withColumn("_pairs", pairs)
+    found = F.transform("_pairs", lambda p: F.when(_mentions(p["keyword"], cols), p["accident"]))
+    return tagged.withColumn(out, F.array_distinct(found)).drop("_pairs")
 
 
 def explode_tags(df: DataFrame, col: str = "accident") -> DataFrame:
@@ -100,21 +98,6 @@ def select_keywords(keywords: DataFrame, issues: DataFrame) -> DataFrame:
     return keywords.join(issues.select("accident").distinct(), "accident", "left_semi")
 
 
-def keyword_map(keywords: DataFrame) -> dict[str, list[str]]:
-    """Keyword configuration rows -> {category: [keyword, ...]}, in a stable order.
-
-    Configuration is bounded by what a person writes down; the size is checked
-    before anything is brought to the driver."""
-    rows = keywords.select("accident", "keyword").distinct() \
-        .orderBy("accident", "keyword").limit(MAX_KEYWORDS + 1).collect()
-    if len(rows) > MAX_KEYWORDS:
-        raise ValueError(f"keyword configuration exceeds {MAX_KEYWORDS} rows")
-    out: dict[str, list[str]] = {}
-    for r in rows:
-        out.setdefault(r["accident"], []).append(r["keyword"])
-    return out
-
-
 def expand_to_entities(df: DataFrame, issues: DataFrame, require_mention: bool = False,
                        **join_opts) -> DataFrame:
     """Attach every entity with an open issue in the row's category.

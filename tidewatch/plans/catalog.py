@@ -278,8 +278,7 @@ def c4_collapse_ws(spark, sf):
 
 
 def c5_strip_suffix(spark, sf):
-    d = _docs(spark, sf).select("doc_id", standins.first_line(F.col("text")).alias("t"))
-    return d.select("doc_id", strip_suffix("t", ".").alias("stripped"))
+    return _docs(spark, sf).select("doc_id", strip_suffix("text", ".").alias("stripped"))
 
 
 def _time_texts(spark, sf):

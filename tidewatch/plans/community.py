@@ -19,8 +19,8 @@ from ..operators.issue import alert_on_change, batch_view, score_issues, to_fact
 from ..operators.joins import within_rows
 from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import fold_posts, issue_list
-from ..operators.tagging import (clean_columns, expand_to_entities, explode_tags, keyword_map,
-                                 select_keywords, tag_mapped, with_tags)
+from ..operators.tagging import (clean_columns, expand_to_entities, explode_tags,
+                                 select_keywords, selected_pairs, tag_mapped, with_tags)
 from ..schemas import POST_AGG
 from ..sources import io
 
@@ -36,7 +36,7 @@ class CommunityBatch:
 
 def _tag_arrays(raw: DataFrame, keywords: DataFrame, issues: DataFrame) -> DataFrame:
     """D1 (title and content) -> D6 + D4, one row per post with a tag."""
-    kw = keyword_map(select_keywords(keywords, issues))
+    kw = selected_pairs(select_keywords(keywords, issues))
     return with_tags(tag_mapped(clean_columns(raw, ("content", "title")), kw))
 
 

@@ -357,7 +357,7 @@ SQL["c4_collapse_ws"] = f"""SELECT doc_id,
   trim(regexp_replace(text, '{WS}+', ' ', 'g')) AS collapsed FROM documents"""
 SQL["c5_strip_suffix"] = f"""SELECT doc_id,
   CASE WHEN ends_with(t, '.') THEN {_strip('left(t, length(t) - 1)')} ELSE t END AS stripped
-  FROM (SELECT doc_id, split_part(text, chr(10), 1) AS t FROM documents)"""
+  FROM (SELECT doc_id, text AS t FROM documents)"""
 SQL["c6_parse_local_time"] = """SELECT event_id, date_trunc('minute', ts) AS p_marker,
   date_trunc('minute', ts) AS p_24, date_trunc('second', ts) AS p_compact,
   NULL::TIMESTAMP AS p_junk FROM events"""

@@ -27,6 +27,10 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
+def _missing_path(e: AnalysisException) -> bool:
+    return e.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
+
+
 def read_batch(spark: SparkSession, schema: T.StructType, base: str, period: str) -> DataFrame:
     """One batch partition of a table, with the declared schema; a missing
     partition is an empty batch."""
@@ -35,7 +39,7 @@ def read_batch(spark: SparkSession, schema: T.StructType, base: str, period: str
         return spark.read.schema(schema).option("basePath", base).parquet(path).select(
             *schema.fieldNames())
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if _missing_path(e):
             return empty(spark, schema)
         raise
 
@@ -79,8 +83,10 @@ def read_state(spark: SparkSession, base: str, before_period: str | None = None,
     when there is none. Snapshots are partitions of ``base`` by batch_period."""
     try:
         all_ = spark.read.schema(_state_with_period()).parquet(base)
-    except AnalysisException:
-        return seed if seed is not None else empty(spark, schemas.STATE)
+    except AnalysisException as e:
+        if _missing_path(e):
+            return seed if seed is not None else empty(spark, schemas.STATE)
+        raise
     # the latest earlier snapshot, from the partition listing: no file is opened
     cand = [p for p in snapshot_periods(all_) if before_period is None or p < before_period]
     latest = max(cand, default=None)
@@ -121,7 +127,7 @@ def read_fact(spark: SparkSession, base: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(base)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+        if _missing_path(e):
             return empty(spark, schema)
         raise
 

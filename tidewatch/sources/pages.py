@@ -195,14 +195,30 @@ def extract_tag(html, tag: str) -> Column:
     return F.regexp_extract(c, f"(?s)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}>", 1)
 
 
-HREF_PATTERN = r'<a\s[^>]*href="([^"]*)"'
+# the value with its quotes, if it has any
+HREF_PATTERN = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+
+
+def _unquoted(c: Column) -> Column:
+    return F.regexp_replace(c, """^["']|["']$""", "")
 
 
 def extract_links(pages: DataFrame, base: str | None = None, pattern: str = HREF_PATTERN,
-                  time_pattern: str | None = None) -> DataFrame:
-    """List page -> one row per link, in page order, optionally paired with the
-    n-th time found on the page (C11)."""
-    links = F.regexp_extract_all(F.col("html"), F.lit(pattern), 1)
+                  time_pattern: str | None = None, row_pattern: str | None = None) -> DataFrame:
+    """List page -> one row per link, in page order (C11).
+
+    With ``time_pattern`` each link carries a time: the one of its own list row if
+    ``row_pattern`` matches the rows, else the n-th time found on the page. A row
+    without a link is left out; one without a time has an empty time."""
+    if row_pattern:
+        rows = F.transform(F.regexp_extract_all("html", F.lit(row_pattern), 0), lambda r: F.struct(
+            _unquoted(F.regexp_extract(r, pattern, 1)).alias("link"),
+            (F.regexp_extract(r, time_pattern, 1) if time_pattern else F.lit("")).alias("time_text")))
+        rows = F.filter(rows, lambda r: r["link"] != "")
+        out = pages.select("page_id", F.posexplode(rows).alias("pos", "p")).select(
+            "page_id", "pos", "p.link", *(["p.time_text"] if time_pattern else []))
+        return out.withColumn("link", absolute_link("link", base)) if base else out
+    links = F.transform(F.regexp_extract_all(F.col("html"), F.lit(pattern), 1), _unquoted)
     if time_pattern:
         times = F.regexp_extract_all(F.col("html"), F.lit(time_pattern), 1)
         pairs = F.arrays_zip(links.alias("link"), times.alias("time_text"))
