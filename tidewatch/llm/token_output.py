@@ -20,15 +20,15 @@ text columns are read, so other columns never clash.
 from __future__ import annotations
 
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Memo, text_of, white_chunks
+from .common import text_of, white_chunks
 from .word_bpe import WordBpe, byte_letters, words
 
 ORC_OPTIONS = {
@@ -38,36 +38,134 @@ ORC_OPTIONS = {
     "orc.create.index": "true",
 }
 
+# text that one step of the encoder lays out as columns
+SLICE_BYTES = 4 << 20
+# texts with these go by white_chunks
+_ODD = r"[\x1c-\x1f]"
+
+
+class Kept:
+    """Ids by short key, in two generations of about ``limit`` keys each.
+
+    ``young`` answers directly; ``missing`` brings keys over from the old generation and
+    returns those that nobody knows. ``turn`` ends a group of texts: long keys go, and a
+    full young generation becomes the old one, so memory is bounded.
+    """
+
+    def __init__(self, limit: int, max_key: int = 64):
+        self.limit, self.max_key, self.young, self.old, self.long = limit, max_key, {}, {}, []
+
+    def missing(self, keys: set[str]) -> list[str]:
+        out, old, young = [], self.old, self.young
+        for key in keys.difference(young):
+            value = old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                young[key] = value
+        return out
+
+    def add(self, keys: list[str], values: list[bytes]) -> None:
+        self.young.update(zip(keys, values, strict=True))
+        self.long += [key for key in keys if len(key) > self.max_key]
+
+    def turn(self) -> None:
+        for key in self.long:
+            self.young.pop(key, None)
+        self.long = []
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+
 
 class LibraryEncoder:
-    """The tokenizers library's model, asked once per word that the memo does not hold.
+    """The tokenizers library's model, asked once for all new words of a group of texts.
 
     The ids of a text are those of its words, one after the other; words are found as the
-    vocabulary's pattern finds them, and special strings are ids of their own.
+    vocabulary's pattern finds them, and special strings are ids of their own. The ids of
+    runs (the text between white space) and of words are kept while they are frequent.
     """
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, limit: int = 300_000):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
+
+        # the model alone: words arrive spelled in its letters, which hold no white space
+        self.model = Tokenizer(Tokenizer.from_str(raw.decode()).model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.bpe = WordBpe(raw)
+        self.special = {s: i.to_bytes(4, "little") for s, i in self.bpe.special.items()}
+        self.spelling = dict(enumerate(byte_letters()))
+        self.runs, self.words = Kept(limit), Kept(limit)
+
+    def _spell(self, word: str) -> str:
+        if word.isascii() and word.isprintable():
+            return word
+        return word.encode("utf-8", "replace").decode("latin-1").translate(self.spelling)
+
+    def _learn_words(self, asked: set[str]) -> None:
+        new = self.words.missing(asked)
+        if not new:
+            return
+        answer = self.model.encode(" ".join(map(self._spell, new)), add_special_tokens=False)
+        ids = np.array(answer.ids, "<u4").tobytes()
+        per_word = np.bincount(np.array(answer.word_ids, np.int64), minlength=len(new))
+        at = [0, *(4 * np.cumsum(per_word)).tolist()]
+        self.words.add(new, [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+
+    def _learn_runs(self, asked: set[str]) -> None:
+        """One list of words per new run; a special string stands for itself."""
+        special, cut = self.special, self.bpe.parts_of
+        new = self.runs.missing(asked)
+        found = [words(run) if "<" not in run else
+                 [w for part in cut(run) for w in ([part] if part in special else words(part))]
+                 for run in new]
+        self._learn_words({w for ws in found for w in ws}.difference(special))
+        ids = self.words.young
+        self.runs.add(new, [ids[ws[0]] if len(ws) == 1 and ws[0] not in special else
+                            b"".join([special[w] if w in special else ids[w] for w in ws])
+                            for ws in found])
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and how many each text has.
+
+        Runs are cut, numbered and laid out as Arrow columns; Python handles each
+        different run of the column once."""
+        if pc.any(pc.match_substring_regex(texts, _ODD)).as_py():
+            # separators that Arrow knows but the vocabulary does not
+            runs = pa.array([white_chunks(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            runs = pc.utf8_split_whitespace(texts)
+        numbered = runs.flatten().dictionary_encode()
+        known = self.runs.young
+        spelled = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, spelled))
+        if None in ids:
+            self._learn_runs({run for run, x in zip(spelled, ids, strict=True) if x is None})
+            ids = [known[run] if x is None else x for run, x in zip(spelled, ids, strict=True)]
+        self.runs.turn()
+        self.words.turn()
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
+        of_run = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        laid = of_run.take(numbered.indices)
+        at = laid.offsets.to_numpy()[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
+        return laid.flatten().to_numpy(), np.diff(at)
 
-        self.model = Tokenizer.from_str(raw.decode()).model
-        self.bpe, self.letters = WordBpe(raw), byte_letters()
-        self.of_word = Memo(self._ask, limit=300_000)
-        self.of_run = Memo(self._run, limit=200_000)
-
-    def _ask(self, word: str) -> bytes:
-        letters = self.letters
-        spelled = "".join([letters[b] for b in word.encode("utf-8", "replace")])
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        ids, n = self.encode_column(pa.array(texts, pa.string()))
+        at = np.concatenate([[0], np.cumsum(n)])
+        return [ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
-    def _run(self, run: str) -> bytes:
-        special, of_word = self.bpe.special, self.of_word
-        return b"".join([special[part].to_bytes(4, "little") if part in special
-                         else b"".join(map(of_word.__getitem__, words(part)))
-                         for part in self.bpe.parts_of(run)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        ids = self.of_run.__getitem__
-        return [b"".join(map(ids, white_chunks(t))) for t in texts]
+def slices(batch: pa.RecordBatch, column: int, max_bytes: int):
+    """Slices of ``batch`` with about ``max_bytes`` of text each (one row at least)."""
+    size = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        before = size[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(size, before + max_bytes, "right")))
+        yield batch.slice(at, to - at)
+        at = to
 
 
 @lru_cache(maxsize=2)
@@ -75,7 +173,7 @@ def library_encoder(raw: bytes) -> LibraryEncoder:
     """One encoder per Python worker and vocabulary."""
     import gc
 
-    # the memos hold many objects and no cycles; the collector need not walk them often
+    # the memo holds many objects and no cycles; the collector need not walk it often
     gc.set_threshold(200_000, 50, 100)
     return LibraryEncoder(raw)
 
@@ -91,20 +189,18 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, end_id: int, id_col:
     spark = docs.sparkSession
     with open(vocabulary, "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder, start = library_encoder(shared.value), 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                raw = [x + end for x in encoder.encode(batch.column(2).to_pylist())]
-                n = np.array([len(x) // 4 for x in raw], np.int64)
-                ids = np.frombuffer(b"".join(raw), "<u4").astype(np.int32)
-                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            for batch in slices(whole, 2, SLICE_BYTES):
+                flat, n = encoder.encode_column(batch.column(2))
+                ids = np.insert(flat.astype(np.int32), np.cumsum(n), end_id)
+                n = n + 1
+                offsets = np.concatenate([[0], np.cumsum(n)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(start + offsets[:-1].astype(np.int64)),
-                     pa.array(n), pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))],
+                    [batch.column(0), batch.column(1), pa.array(start + offsets[:-1]), pa.array(n),
+                     pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))],
                     names=["part", "doc_id", "start_in_part", "n_tokens", "ids"])
                 start += int(n.sum())
 
