@@ -604,14 +604,17 @@ def g3_replay_news_expiry(spark, sf):
 
 
 def g4_stream_news(spark, sf):
-    """Hourly raw-news files drained by the file stream; final state snapshot."""
+    """Hourly raw-news folders of several files each, drained by the file stream in
+    micro-batches that cut through the hours; final state snapshot."""
     from ..streaming import stream_news
     docs = _docs(spark, sf)
     base = scratch_path(spark, "stream")
     raw = periods.assign_period(raw_news(docs), "1 hour").drop("period_start", "period_end")
-    raw.write.partitionBy("batch_period").parquet(f"{base}/raw")
+    raw.repartition(3, "link").write.partitionBy("batch_period").parquet(f"{base}/raw")
+    files = len(spark.read.parquet(f"{base}/raw").inputFiles())
     q = stream_news(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", NEWS_CATEGORIES,
-                    _scorer(spark, sf), standins.seed(docs))
+                    _scorer(spark, sf), standins.seed(docs),
+                    max_files_per_trigger=-(-files // 4))
     q.awaitTermination()
     return _state_out(io.read_state(spark, f"{base}/out/state"))
 

@@ -95,6 +95,16 @@ def read_state(spark: SparkSession, base: str, before_period: str | None = None,
     return all_.filter(F.col("batch_period") == latest).select(*schemas.STATE.fieldNames())
 
 
+def state_periods(spark: SparkSession, base: str) -> set[str]:
+    """Batch periods that have a state snapshot under ``base``; none yet is empty."""
+    try:
+        return snapshot_periods(spark.read.schema(_state_with_period()).parquet(base))
+    except AnalysisException as e:
+        if _missing_path(e):
+            return set()
+        raise
+
+
 def snapshot_periods(df: DataFrame) -> set[str]:
     """Batch periods present in a table partitioned by ``batch_period``, read
     from the paths Spark lists for it (one per file, metadata only)."""

@@ -1,60 +1,130 @@
 """News batches as a file stream.
 
-New raw-news files under ``raw_base`` (partitioned by ``batch_period``) are
-picked up by a file-source stream. Each micro-batch is folded into the state
-with one replay job (running sums over the micro-batch's periods, seeded with
-the snapshot before its first period), so the result equals running G1 on each
-period in order. The stream checkpoint (offsets) plus the snapshots make a
-restart resume where it stopped; a replayed micro-batch rewrites the same
-partitions. Periods are expected to arrive whole (see the arrival markers, B6).
+New raw-news files under ``raw_base`` (partitioned by ``batch_period``) are picked up by
+a file-source stream. A record belongs to the batch of its folder, as in G1, whatever its
+own time says. A batch may arrive in any number of micro-batches and in any order:
+
+* ``news_parts/batch_period=/epoch=`` holds what one micro-batch adds to one period, as
+  counts and score sums, so the text work and the scorer run once per record and a
+  replayed micro-batch rewrites its own partitions;
+* ``news/batch_period=`` is the union of a period's parts (D13);
+* ``state/batch_period=`` holds one snapshot per period. A micro-batch rewrites the
+  snapshots from the earliest period it touched on, in one job: running sums over each
+  key's periods, seeded by the snapshot before.
+
+Every micro-batch thus leaves the tables that G1 leaves after the same files, one batch
+per period. ``out_base`` and ``checkpoint`` belong together: the epoch numbers in the
+parts come from the checkpoint. Records in no ``batch_period`` folder are in no batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ISSUE_THRESHOLD
 from ..functions.time import parse_period_end, parse_period_start
 from ..operators.scoring import Scorer
-from ..plans.replay import news_by_period, replay_news
+from ..operators.state import KEYS, STATE_COLS
+from ..plans.news import score_news
 from ..schemas import RAW_NEWS
 from ..sources import io
 
+PERIOD = T.StructField("batch_period", T.StringType())
+PARTS = T.StructType.fromDDL("car_model string, accident string, count bigint, scored bigint, "
+                             "score_sum bigint, batch_period string, epoch bigint")
+
+
+def news_parts(batch: DataFrame, categories, scorer: Scorer) -> DataFrame:
+    """What ``batch`` adds to each (key, period): articles, scored articles, score sum."""
+    scored = score_news(batch, categories, scorer, keep=("batch_period",))
+    return scored.groupBy(*KEYS, "batch_period").agg(
+        F.count(F.lit(1)).alias("count"), F.count("news_score").alias("scored"),
+        F.sum("news_score").cast("bigint").alias("score_sum"))
+
+
+def union_parts(parts: DataFrame) -> DataFrame:
+    """D13 per (key, period) over every micro-batch that added to it."""
+    return parts.groupBy(*KEYS, "batch_period").agg(
+        F.sum("count").alias("count"),
+        F.try_divide(F.sum("score_sum").cast("double"), F.sum("scored")).alias("avg_news_score"))
+
+
+def snapshots(per: DataFrame, before: DataFrame, periods: list[str],
+              threshold: int = ISSUE_THRESHOLD) -> DataFrame:
+    """The state after each of ``periods`` (with its ``batch_period``), from the state
+    before the first of them and the aggregates ``per`` of the periods.
+
+    A key's row holds from its period to the one before the key's next, so each key
+    gives one row per period: (state rows) x (periods) rows, none of them per article."""
+    schedule = F.array(*[F.lit(p) for p in sorted(periods)])
+    w = Window.partitionBy(*KEYS).orderBy("batch_period")
+    run = (per.withColumn("_acc", F.sum("count").over(
+                w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_first", F.min("batch_period").over(Window.partitionBy(*KEYS)))
+              .withColumn("_next", F.lead("batch_period").over(w)))
+    holds = F.filter(schedule, lambda p: (p >= F.col("batch_period"))
+                     & (F.col("_next").isNull() | (p < F.col("_next"))))
+    held = run.select(*KEYS, F.col("batch_period").alias("_from"), "_first", "_acc",
+                      (F.col("_acc") - F.col("count")).alias("_prev"),
+                      F.col("avg_news_score").alias("_score"),
+                      F.explode(holds).alias("batch_period"))
+    state = before.withColumn("batch_period", F.explode(schedule))
+    j = state.join(held, [*KEYS, "batch_period"], "left")
+    m = F.col("_acc").isNotNull()
+    acc = F.col("news_acc_count") + F.coalesce(F.col("_acc"), F.lit(0))
+    opened = (m & (F.col("_from") == F.col("batch_period")) & (acc >= threshold)
+              & (F.col("news_acc_count") + F.col("_prev") < threshold) & ~F.col("is_issue"))
+    upd = {
+        "start_batch_time": F.when(m & (F.col("news_acc_count") == 0), parse_period_start("_first"))
+                             .otherwise(F.col("start_batch_time")),
+        "last_batch_time": F.when(m, parse_period_end("_from")).otherwise(F.col("last_batch_time")),
+        "news_acc_count": acc,
+        "news_score": F.when(m, F.col("_score")).otherwise(F.col("news_score")),
+        "is_issue": F.col("is_issue") | (acc >= threshold),
+        "is_alert": F.coalesce(opened, F.lit(False)),
+    }
+    return j.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in STATE_COLS],
+                    "batch_period")
+
+
+def _replace(df: DataFrame, path: str, *by: str) -> None:
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*by).parquet(path))
+
 
 def stream_news(spark: SparkSession, raw_base: str, out_base: str, checkpoint: str,
                 categories, scorer: Scorer, seed: DataFrame,
-                threshold: int = ISSUE_THRESHOLD, every: str = "1 hour",
-                available_now: bool = True, max_files_per_trigger: int | None = None):
+                threshold: int = ISSUE_THRESHOLD, available_now: bool = True,
+                max_files_per_trigger: int | None = None):
     """Start the stream; returns the StreamingQuery (``availableNow`` drains
     what has arrived, then stops)."""
-    schema = T.StructType(list(RAW_NEWS.fields) + [T.StructField("batch_period", T.StringType())])
+    schema = T.StructType([*RAW_NEWS.fields, PERIOD])
     reader = spark.readStream.schema(schema).option("basePath", raw_base)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_base)
-    state_base = f"{out_base}/state"
+    parts_base, state_base = f"{out_base}/news_parts", f"{out_base}/state"
 
     def fold(batch: DataFrame, epoch_id: int) -> None:
-        bounds = batch.agg(F.min("batch_period"), F.max("batch_period")).first()
-        if bounds[0] is None:
+        # folder names of this micro-batch: the schedule, not data
+        touched = sorted(r[0] for r in batch.select("batch_period").distinct().collect()
+                         if r[0] is not None)
+        if not touched:
             return
-        first, last = bounds
-        raw = batch.select(*RAW_NEWS.fieldNames())
-        # the text work and the scorer run once per micro-batch: the per-period
-        # aggregate is written first and both outputs are built from it
-        (news_by_period(raw, categories, scorer, every)
-            .select("car_model", "accident", "count", "avg_news_score", "batch_period")
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_period").parquet(f"{out_base}/news"))
-        per = (spark.read.parquet(f"{out_base}/news")
-               .filter(F.col("batch_period").between(first, last))
-               .withColumn("period_start", parse_period_start("batch_period"))
-               .withColumn("period_end", parse_period_end("batch_period")))
-        prev = io.read_state(spark, state_base, first, seed)
-        io.write_state(replay_news(raw, prev, categories, scorer, threshold, every, per=per),
-                       state_base, last)
+        mine = batch.filter(F.col("batch_period").isNotNull())
+        _replace(news_parts(mine, categories, scorer).withColumn("epoch", F.lit(epoch_id)),
+                 parts_base, "batch_period", "epoch")
+        since = F.col("batch_period") >= touched[0]
+        _replace(union_parts(spark.read.schema(PARTS).parquet(parts_base)
+                             .filter(F.col("batch_period").isin(touched))),
+                 f"{out_base}/news", "batch_period")
+        per = union_parts(spark.read.schema(PARTS).parquet(parts_base).filter(since))
+        later = [p for p in io.state_periods(spark, state_base) if p >= touched[0]]
+        before = io.read_state(spark, state_base, touched[0], seed)
+        _replace(snapshots(per, before, sorted({*touched, *later}), threshold),
+                 state_base, "batch_period")
 
     w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
