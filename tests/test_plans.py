@@ -216,3 +216,18 @@ def test_stream_split_late_and_outside_rows_equal_batches(spark, tmp_dir):
     assert counted == tags.join(seed.select("car_model", "accident"), ["car_model", "accident"],
                                 "left_semi").count() > 0
     assert 0 < state.filter("is_issue").count() < state.count()
+
+
+def test_top_posts_keep_their_own_text(spark):
+    """Posts that share a link, or have none, or have no text, keep their own content."""
+    import json
+    from tidewatch.operators import aggregate as agg
+    rows = [("same", "text A!", 9), ("same", "text B", 8), (None, "no link", 7), ("l", None, 6),
+            (None, "other", 5), ("same", "text A!", 9)]
+    raw = spark.createDataFrame(rows, "link string, content string, view_count bigint")
+    slim = agg.with_post_id(raw).drop("content").selectExpr(
+        "'e' AS car_model", "'c' AS accident", "*", "50 AS comm_score")
+    got = json.loads(agg.aggregate_community(slim, 6, raw=raw).first()["top_comm"])
+    assert got == [{"content": "text A", "link": "same"}, {"content": "text A", "link": "same"},
+                   {"content": "text B", "link": "same"}, {"content": "no link"}, {"link": "l"},
+                   {"content": "other"}]

@@ -16,6 +16,14 @@ from ..functions.text import clean_text
 from .joins import join_small
 
 KEYS = ["car_model", "accident"]
+# a post's own identity (link and raw text), carried while its text is not
+POST_ID = "_post"
+
+
+def with_post_id(raw: DataFrame) -> DataFrame:
+    """Add ``POST_ID``, a hash of the link and the raw text that tells NULL from empty."""
+    parts = [x for c in ("link", "content") for x in (F.col(c).isNull(), F.coalesce(c, F.lit("")))]
+    return raw.withColumn(POST_ID, F.xxhash64(*parts))
 
 
 def aggregate_news(scored: DataFrame, score_col: str = "news_score") -> DataFrame:
@@ -63,8 +71,10 @@ def aggregate_posts(scored: DataFrame, score_col: str = "comm_score") -> DataFra
 
 def top_k_posts(scored: DataFrame, k: int = TOP_K, order_col: str = "view_count",
                 tie_col: str = "link") -> DataFrame:
-    """The k most-viewed posts per (entity, category), ties broken by link."""
-    w = Window.partitionBy(*KEYS).orderBy(F.desc(order_col), F.asc(tie_col))
+    """The k most-viewed posts per (entity, category), ties broken by link, then by the
+    post's identity where the rows carry it (D15)."""
+    ties = [tie_col] + ([POST_ID] if POST_ID in scored.columns else [])
+    w = Window.partitionBy(*KEYS).orderBy(F.desc(order_col), *ties)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -84,17 +94,18 @@ def join_aggregates(packed: DataFrame, stats: DataFrame) -> DataFrame:
 
 
 def attach_content(top: DataFrame, raw: DataFrame, clean: bool = True) -> DataFrame:
-    """Cleaned content for the top rows only.
-
-    ``raw`` (link, content) is filtered to the top links - at most k per key -
-    through a size-checked broadcast before anything is shuffled, so the text
-    of every other post is never moved or cleaned again."""
-    links = top.select("link").distinct()
-    found = join_small(raw.select("link", "content"), links, "link", "inner") \
-        .dropDuplicates(["link"])
+    """Each top row's own content, cleaned.
+
+    ``raw`` (link, content) is filtered to the top posts - at most k per key - through a
+    size-checked broadcast before anything is shuffled, so the text of every other post
+    is never moved or cleaned again. Posts are matched on ``POST_ID``, so posts that
+    share a link, or have none, keep their own text; equal posts share one."""
+    wanted = top.select(POST_ID).distinct()
+    found = join_small(with_post_id(raw.select("link", "content")), wanted, POST_ID, "inner",
+                       salt_cols=["link"]).select(POST_ID, "content").dropDuplicates([POST_ID])
     if clean:
         found = found.withColumn("content", clean_text("content"))
-    return top.join(found, "link", "left")
+    return top.join(found, POST_ID, "left").drop(POST_ID)
 
 
 def aggregate_community(scored: DataFrame, k: int = TOP_K, score_col: str = "comm_score",

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TOP_K
-from ..operators.aggregate import aggregate_community
+from ..operators.aggregate import POST_ID, aggregate_community, with_post_id
 from ..operators.alerts import alertable, render_alert
 from ..operators.issue import alert_on_change, batch_view, score_issues, to_fact
 from ..operators.joins import within_rows
@@ -37,7 +37,7 @@ class CommunityBatch:
 def _tag_arrays(raw: DataFrame, keywords: DataFrame, issues: DataFrame) -> DataFrame:
     """D1 (title and content) -> D6 + D4, one row per post with a tag."""
     kw = selected_pairs(select_keywords(keywords, issues))
-    return with_tags(tag_mapped(clean_columns(raw, ("content", "title")), kw))
+    return with_tags(tag_mapped(clean_columns(with_post_id(raw), ("content", "title")), kw))
 
 
 def tag_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame,
@@ -47,7 +47,7 @@ def tag_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame,
                               require_mention)
 
 
-SLIM = ["car_model", "accident", "link", "view_count", "comm_score"]
+SLIM = ["car_model", "accident", "link", "view_count", "comm_score", POST_ID]
 
 
 def score_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame, scorer: Scorer,
