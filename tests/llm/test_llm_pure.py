@@ -5,6 +5,7 @@ from collections import Counter as Bag
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +15,7 @@ from tidewatch.llm import chat_format, decontaminate, lang_id, simhash, unit_ded
 from tidewatch.llm.bpe_codec import codec
 from tidewatch.llm.common import Memo
 from tidewatch.llm.token_counts import counter
-from tidewatch.llm.token_output import library_encoder
+from tidewatch.llm.token_output import LibraryEncoder, library_encoder, slices
 
 PATH = P.path("word_bpe_49k.json")
 PIECES = ["a", "b", "the", "The", "ing", " ", "  ", "\n", "é", "é", "ß", "Σ", "ΑΣ", "İ", "漢", "한", "12", "²", "½",
@@ -51,6 +52,28 @@ def test_bpe_equals_the_library(library, raw):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == got.ids
 
 
+def test_column_encoder_with_small_memo(library, raw):
+    """Whole columns, with memos that turn over all the time, and long runs."""
+    encoder, data = LibraryEncoder(raw, limit=40), texts()
+    want = [x.ids for x in library.encode_batch(data, add_special_tokens=False)]
+    got = []
+    for i in range(0, len(data), 64):
+        ids, n = encoder.encode_column(pa.array(["skipped", *data[i:i + 64]]).slice(1))
+        got += [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+        assert all(len(key) <= 64 for kept in (encoder.runs, encoder.words) for key in kept.young)
+        assert len(encoder.runs.young) < 40 and len(encoder.words.young) < 40
+    assert got == want
+    assert encoder.encode([]) == [] and encoder.encode([" \n"]) == [b""]
+
+
+@pytest.mark.parametrize("most", [1, 5, 1000])
+def test_slices_hold_every_row_once(most):
+    batch = pa.RecordBatch.from_pydict({"text": ["", "aaaa", "b" * 50, "", "c", "漢漢"]})
+    cut = list(slices(batch, 0, most))
+    assert [x for b in cut for x in b.column(0).to_pylist()] == batch.column(0).to_pylist()
+    assert all(b.num_rows == 1 or sum(len(x.encode()) for x in b.column(0).to_pylist()) <= most for b in cut)
+
+
 def test_memo_is_bounded_and_right():
     asked = []
     memo = Memo(lambda k: asked.append(k) or len(k), limit=10, max_key=5)
