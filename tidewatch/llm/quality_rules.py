@@ -9,21 +9,21 @@ words, or when words in 8-word windows found twice or more in the text exceed
 
 Method. Lines are normalised (lower case, numbers to 0, white space runs to one blank),
 hashed to 128 bits, and counted per host over distinct documents; exact copies of a text
-are one document there. A line is removed from a host's documents when more than
-``max_share`` of the host's distinct documents and at least ``min_docs`` of them have it;
-the host's first document with the line (smallest id) keeps it, so content that only
+are one document there. A line is removed from a host's documents when at least
+``min_docs`` of the host's distinct documents have it, however many documents the host
+has; the host's first document with the line (smallest id) keeps it, so content that only
 copies share stays in the corpus once. A document is rejected as depleted when lines were
 removed and less than the share ``min_left`` of its words remains.
 
 Counts are aggregated before they are shuffled by line, so a line that every document
-has is one row per task. The removed lines of a host are few by construction (at most
-its documents' mean number of lines divided by ``max_share``); they are written to the
-shared folder, so the planner decides by their real size how to join them.
+has is one row per task. The removed lines have no bound per host, so they stay rows:
+written to the shared folder and joined to the documents' lines by host and digest, which
+the planner broadcasts when they are few and splits where one line is hot. What is joined
+back to the documents is one row per document that loses lines.
 
 Defined results: null text has no words and fails; null hosts form one host; a null id
 sorts last among a host's documents; rows that share an id are separate rows of the
-result, and all of them keep the lines that their id keeps; ties of the share with the
-limit are not above it; an empty table gives no rows. Extra columns are passed through by
+result, and all of them keep the lines that their id keeps; an empty table gives no rows. Extra columns are passed through by
 ``reject`` and never clash with the working columns.
 """
 
@@ -32,15 +32,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import scratch_path
-
-from .common import fenced, fresh
+from .common import fenced, fresh, saved
 
 SPACE = r"[\x20\x09-\x0D]"
 WORDS = r"[^\x20\x09-\x0D]+"
 WINDOW = 8
 
-RULES = {"min_words": 20, "max_repeat": 30, "min_docs": 20, "max_share": 0.2, "min_left": 0.5}
+RULES = {"min_words": 20, "max_repeat": 30, "min_docs": 20, "min_left": 0.5}
 
 
 def _shift(a: str, by: int) -> Column:
@@ -98,24 +96,28 @@ def line_digests(text: Column) -> Column:
         F.size(F.split(x, " ")).alias("words")))
 
 
-def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str,
-                   min_docs: int, max_share: float) -> DataFrame:
-    """host, ``lines``: the removed lines of each host that has some, each with the id of
-    the document that keeps it. Written to the shared folder."""
-    each = docs.select(F.col(host_col).alias("host"), F.col(id_col).alias("id"),
-                       F.xxhash64(F.col(text_col)).alias("doc"), F.array_distinct(F.transform(
-                           line_digests(F.col(text_col)), lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b")))).alias("lines"))
-    rows = each.select("host", "id", "doc", F.explode("lines").alias("l"))
+def line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    """One row per line that has a word: host, id, hash of the text, number, digest, words."""
+    each = docs.select(F.col(host_col).alias("host"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("doc"),
+                       line_digests(F.col(text_col)).alias("lines"))
+    return each.select("host", "id", "doc", F.posexplode("lines").alias("no", "l")).select("host", "id", "doc", "no", "l.*")
+
+
+def frequent_lines(rows: DataFrame, min_docs: int) -> DataFrame:
+    """The removed lines: host, digest and the id of the document that keeps the line."""
     # first by document (copies fall together), then by line: both steps combine in the tasks first
-    per_doc = rows.groupBy("host", "l", "doc").agg(F.min("id").alias("id"))
-    lines = per_doc.groupBy("host", "l").agg(F.count("*").alias("n"), F.min("id").alias("id")).filter(F.col("n") >= min_docs)
-    hosts = each.groupBy("host", "doc").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("docs"))
-    path = scratch_path(docs.sparkSession, "frequent-lines")
-    (lines.join(hosts, lines["host"].eqNullSafe(hosts["host"])).drop(hosts["host"])
-     .filter(F.col("n") > F.col("docs") * F.lit(max_share))
-     .groupBy("host").agg(F.collect_list(F.struct("l.a", "l.b", "id")).alias("lines"))
-     .write.parquet(path))
-    return docs.sparkSession.read.parquet(path)
+    per_doc = rows.groupBy("host", "a", "b", "doc").agg(F.min("id").alias("id"))
+    lines = per_doc.groupBy("host", "a", "b").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+    return saved(lines.filter(F.col("n") >= min_docs).drop("n"), "frequent-lines")
+
+
+def removed_words(rows: DataFrame, removed: DataFrame) -> DataFrame:
+    """For each document that loses lines: host, id, hash of the text, ``gone`` words."""
+    r = removed.toDF(*[f"r_{c}" for c in removed.columns])
+    hit = rows.join(r, F.col("host").eqNullSafe(F.col("r_host")) & (F.col("a") == F.col("r_a")) & (F.col("b") == F.col("r_b")))
+    # distinct: repeated rows are one document here
+    hit = hit.filter(~F.col("id").eqNullSafe(F.col("r_id"))).select("host", "id", "doc", "no", "words").distinct()
+    return saved(hit.groupBy("host", "id", "doc").agg(F.sum("words").alias("gone")), "removed-words")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
@@ -123,27 +125,22 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     """``docs`` with a struct column ``quality`` added: the base measures, ``n_removed``
     (words in removed lines) and ``kept``. The name gets underscores if it is taken."""
     rule = RULES | rules
-    removed = frequent_lines(docs, id_col, text_col, host_col, rule["min_docs"], rule["max_share"])
-    # the input as one struct, so that none of its columns can clash
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    row = F.col("row")
-    d = base_measures(d, row[text_col], rule["min_words"], rule["max_repeat"])
-    d = d.withColumn("_host", row[host_col]).join(
-        removed.select(F.col("host"), F.col("lines").alias("_bad")), F.col("_host").eqNullSafe(F.col("host")), "left")
-    bad = F.transform(F.filter("_bad", lambda b: ~b["id"].eqNullSafe(F.col("row")[id_col])),
-                      lambda b: F.struct(b["a"].alias("a"), b["b"].alias("b")))
-    d = d.withColumn("_bad", F.when(F.col("_bad").isNotNull(), bad))
-    gone = F.aggregate(
-        F.filter(line_digests(row[text_col]),
-                 lambda x: F.array_contains(F.col("_bad"), F.struct(x["a"].alias("a"), x["b"].alias("b")))),
-        F.lit(0).cast("bigint"), lambda n, x: n + x["words"])
-    d = d.withColumn("_gone", F.when(F.size("_bad") > 0, gone).otherwise(F.lit(0).cast("bigint")))
+    rows = line_rows(docs, id_col, text_col, host_col)
+    removed = removed_words(rows, frequent_lines(rows, rule["min_docs"]))
+    # the input's columns by place, so that none can clash and those not asked for are not shuffled
+    at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    d = docs.toDF(*at.values())
+    d = base_measures(d, F.col(at[text_col]), rule["min_words"], rule["max_repeat"])
+    d = d.withColumns({"_host": F.col(at[host_col]), "_id": F.col(at[id_col]), "_doc": F.xxhash64(F.col(at[text_col]))})
+    d = d.join(removed, F.col("_host").eqNullSafe(F.col("host")) & F.col("_id").eqNullSafe(F.col("id"))
+               & (F.col("_doc") == F.col("doc")), "left")
+    d = d.withColumn("_gone", F.coalesce(F.col("gone"), F.lit(0).cast("bigint")))
     left = F.col("base.n_words") - F.col("_gone")
     depleted = (F.col("_gone") > 0) & (left < F.col("base.n_words") * F.lit(rule["min_left"]))
     name = fresh(docs, "quality")
     d = d.withColumn("_out", fenced(F.struct(
         "base.*", F.col("_gone").alias("n_removed"), (~F.col("base.base_failed") & ~depleted).alias("kept"))))
-    return d.select("row.*", F.col("_out").alias(name))
+    return d.select(*[F.col(c).alias(old) for old, c in at.items()], F.col("_out").alias(name))
 
 
 def reject(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
