@@ -3,7 +3,7 @@
 import re
 from collections import defaultdict
 
-from tidewatch.llm import quality_rules
+from tidewatch.llm import quality_rules, unit_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -50,3 +50,12 @@ def test_quality_lines_against_brute_force(spark):
         assert {d: q.n_removed for d, q in got.items()} == want and any(want.values())
         assert all(q.kept == (not q.base_failed and not (q.n_removed and q.n_words - q.n_removed < q.n_words * 0.5))
                    for q in got.values())
+
+
+def test_units_of_texts_that_share_an_id(spark):
+    opening = " ".join(f"Opening sentence number {word(i)} of this page has a few words." for i in range(5))
+    rows = [(i, f"{opening}\n{word(i or 0)} {word(900 + k)}") for i in (None, 7) for k in range(3)]
+    runs = unit_dedup.repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    # one of the three texts with a null id keeps the opening
+    assert sorted((r.doc_id is not None, r.start, r.end) for r in runs) == sorted(
+        [(False, 0, len(opening))] * 2 + [(True, 0, len(opening))] * 3)

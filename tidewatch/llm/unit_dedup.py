@@ -4,7 +4,7 @@ A unit is a paragraph, a line or (by default) a sentence: a part of a line that
 behind ``.``, ``!`` or ``?`` and white space. Units are normalised (lower case, words only,
 one blank between) and hashed to 128 bits; units without a word are skipped. Digests are
 grouped over the whole corpus; the occurrence that ranks first (smallest id, then
-smallest offset) is kept and the others are repeats.
+hash of the text, then offset) is kept and the others are repeats.
 
 A repeated unit alone may be chance (a common short sentence), so neighbouring repeats of
 a document form runs, and a run is removed when it has at least ``min_words`` words. Runs
@@ -15,8 +15,9 @@ so a unit that every document has is one row per task; joining the repeats back
 places is a plain join on the digest that adaptive execution splits where one is hot.
 
 Defined results: null text has no units; occurrences of one text at one id and offset
-(repeated rows) are the same occurrence, so none of them is a repeat of the others; a null
-id ranks first; a document's later copy of its own unit is a repeat too; an empty table
+(repeated rows) are the same occurrence, so none of them is a repeat of the others; different
+texts that share an id (null included) are told apart and rank by their hash; a null id
+ranks first; a document's later copy of its own unit is a repeat too; an empty table
 gives no rows; extra columns are passed through by ``remove`` and never clash.
 """
 
@@ -102,7 +103,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uni
     """The runs to remove: doc_id, ``text_hash``, start, end, n_units, n_words and
     ``first_doc_id``, the smallest id that keeps one of the run's units."""
     table = unit_table(docs, id_col, text_col, unit)
-    rank = F.struct(F.col("doc_id").alias("doc_id"), F.col("start").alias("start"))
+    rank = F.struct(*[F.col(c).alias(c) for c in ("doc_id", "tid", "start")])
     # written, so that both sides of the join below are plain exchanges: adaptive execution
     # can then split a digest that many documents have, and broadcast a short list
     first = saved(table.groupBy("a", "b").agg(F.min(rank).alias("first"), F.max(rank).alias("last"))
