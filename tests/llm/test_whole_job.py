@@ -52,6 +52,20 @@ def test_quality_lines_against_brute_force(spark):
                    for q in got.values())
 
 
+def test_units_inside_longer_sentences(spark):
+    # passages of 60 words without a stop, inside sentences that differ on both sides
+    rows, inside = [], {}
+    for i in range(40):
+        passage = " ".join(word(9000 + i * 60 + j) for j in range(60))
+        for k in (0, 1):
+            before, after = (" ".join(word(50000 + (2 * i + k) * 20 + j) for j in range(a, a + 10)) for a in (0, 10))
+            rows.append((100 * k + i, f"{before} {passage} {after}."))
+            inside[100 * k + i] = (len(before), len(before) + 1 + len(passage))
+    runs = unit_dedup.repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert all(inside[r.doc_id][0] <= r.start and r.end <= inside[r.doc_id][1] for r in runs)
+    assert {r.first_doc_id for r in runs} == {r.doc_id - 100 for r in runs} and len({r.doc_id for r in runs}) >= 36
+
+
 def test_units_of_texts_that_share_an_id(spark):
     opening = " ".join(f"Opening sentence number {word(i)} of this page has a few words." for i in range(5))
     rows = [(i, f"{opening}\n{word(i or 0)} {word(900 + k)}") for i in (None, 7) for k in range(3)]

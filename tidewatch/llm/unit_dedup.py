@@ -1,7 +1,11 @@
 """Substring dedup by hashing units of text.
 
-A unit is a paragraph, a line or (by default) a sentence: a part of a line that ends
-behind ``.``, ``!`` or ``?`` and white space. Units are normalised (lower case, words only,
+A unit is a paragraph, a line or (by default) a part of a sentence. A sentence is a part of
+a line that ends behind ``.``, ``!`` or ``?`` and white space; it is cut behind a word where
+a hash of that word and the two before it is less than those at the ``REACH`` words on
+either side (about every seven words, never closer than four). Such cuts depend on a few
+words alone, so a passage that begins or ends inside longer sentences has the same units
+inside as its copy, whatever surrounds them. Units are normalised (lower case, words only,
 one blank between) and hashed to 128 bits; units without a word are skipped. Digests are
 grouped over the whole corpus; the occurrence that ranks first (smallest id, then
 hash of the text, then offset) is kept and the others are repeats.
@@ -24,19 +28,21 @@ gives no rows; extra columns are passed through by ``remove`` and never clash.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, saved, text_of
+from .common import Memo, fresh, saved, text_of
 
 UNITS = {
     "line": re.compile(r"[^\n]+"),
     "paragraph": re.compile(r"(?:[^\n]|\n(?![^\S\n]*(?:\n|$)))+"),
 }
 _WORD = re.compile(r"\w+")
+REACH = 3
 
 UNIT_SCHEMA = "doc_id bigint, tid bigint, no int, start bigint, end bigint, words int, a bigint, b bigint"
 
@@ -45,16 +51,38 @@ def units(text: str, unit: str = "sentence") -> list[tuple[int, int, int, str]]:
     """Start, end, number of words and normalised text of each unit that has words."""
     out = []
     if unit == "sentence":
-        spans = _sentences(text)
-    else:
-        spans = (m.span() for m in UNITS[unit].finditer(text))
-    for begin, end in spans:
+        for begin, end in _sentences(text):
+            out.extend(_parts(text, begin, end))
+        return out
+    for begin, end in (m.span() for m in UNITS[unit].finditer(text)):
         words = _WORD.findall(text[begin:end].lower())
         if words:
             out.append((begin, end, len(words), " ".join(words)))
     return out
 
 
+_word_hash = Memo(lambda word: zlib.crc32(word.encode("utf-8", "replace")))
+
+
+def _parts(text: str, begin: int, end: int):
+    """The units of a sentence; blanks between two of them belong to the later one."""
+    # found before lowering, which may change lengths
+    words = [w.lower() for w in _WORD.findall(text, begin, end)]
+    h = [_word_hash[w] for w in words]
+    v = [((5 * x + 7 * y + z) * 2654435761) & 0xFFFFFFFF for x, y, z in zip(h, h[1:], h[2:])]
+    # v[i] is of the words i to i + 2; equal neighbours (one word again and again) are no cut
+    cuts = [i + 2 for i in range(REACH, len(v) - REACH)
+            if v[i] < min(v[i - REACH:i]) and v[i] < min(v[i + 1:i + 1 + REACH])]
+    at = 0
+    if cuts:
+        ends = [m.end() for m in _WORD.finditer(text, begin, end)]
+        for i in cuts:
+            yield begin, ends[i], i + 1 - at, " ".join(words[at:i + 1])
+            begin, at = ends[i], i + 1
+    if words:
+        yield begin, end, len(words) - at, " ".join(words[at:])
+
+
 _STOP = re.compile(r"[.!?]+(?=\s|$)|\n")
 
 
