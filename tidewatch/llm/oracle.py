@@ -1,3 +1,27 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL of the operators whose results SQL can express, written on its own."""
 
-SQL: dict[str, str] = {}
+OP13 = """
+WITH r AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, o.vec_id, a.label = o.label AS same,
+         CAST(list_dot_product(a.v, o.v) AS BIGINT) AS score
+  FROM r a JOIN r o ON a.vec_id <> o.vec_id
+  WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)
+            AS INTEGER) AS "rank",
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY "rank" <= 3
+"""
+
+SQL = {"op13_hard_negatives": OP13}
