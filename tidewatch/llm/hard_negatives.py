@@ -44,7 +44,7 @@ from tidewatch.session import scratch_path
 
 from .common import saved
 
-CODES = 3            # one-bit codes per row
+CODES = 4            # one-bit codes per row
 PLANES = 6           # bit planes per anchor
 MOST_NORM = 2.0 ** 28
 TILE_ANCHORS, TILE_ROWS = 256, 2048
