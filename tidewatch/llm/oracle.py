@@ -24,4 +24,69 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
 QUALIFY "rank" <= 3
 """
 
-SQL = {"op13_hard_negatives": OP13}
+def _field(x):
+    return f"coalesce(octet_length(encode(CAST({x} AS VARCHAR))) || ':' || CAST({x} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars):
+    return "sha256(" + " || ".join(_field(x) for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# CRC-32 bit by bit over the decimal digits
+CRC = """xor(4294967295, list_reduce(
+  list_concat([4294967295::BIGINT],
+              list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+                             lambda i: ord(CAST(doc_id AS VARCHAR)[i])::BIGINT)),
+  lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)),
+                           lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+
+OP11 = f"""
+WITH RECURSIVE
+d AS (
+  SELECT doc_id, lang IS NOT NULL AS named, lang, {_leaf("n_chars")} AS leaf,
+         CASE WHEN {CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claimed
+  FROM documents),
+r AS (
+  SELECT *, row_number() OVER (ORDER BY named, lang, doc_id NULLS FIRST, leaf) AS id,
+         dense_rank() OVER (ORDER BY named, lang) AS tree,
+         row_number() OVER (PARTITION BY named, lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY named, lang) AS size
+  FROM d),
+up AS (
+  SELECT tree, 0 AS lvl, pos AS idx, leaf AS h, size FROM r
+  UNION ALL
+  SELECT tree, any_value(lvl) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), any_value(size + 1) // 2
+  FROM up WHERE size > 1 GROUP BY tree, idx // 2),
+top AS (
+  SELECT 0 AS lvl, tree - 1 AS idx, h, count(*) OVER () AS size FROM up WHERE size = 1
+  UNION ALL
+  SELECT any_value(lvl) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), any_value(size + 1) // 2
+  FROM top WHERE size > 1 GROUP BY idx // 2),
+way AS (
+  SELECT r.id, u.lvl AS step, r.pos >> u.lvl AS at, s.h
+  FROM r JOIN up u ON u.tree = r.tree AND u.idx = r.pos >> u.lvl AND u.size > 1
+  LEFT JOIN up s ON s.tree = r.tree AND s.lvl = u.lvl AND s.idx = xor(u.idx, 1)
+  UNION ALL
+  SELECT r.id, 1000 + u.lvl, (r.tree - 1) >> u.lvl, s.h
+  FROM r JOIN top u ON u.idx = (r.tree - 1) >> u.lvl AND u.size > 1
+  LEFT JOIN top s ON s.lvl = u.lvl AND s.idx = xor(u.idx, 1)),
+steps AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step) AS k FROM way),
+fold AS (
+  SELECT id, 0::BIGINT AS k, claimed AS h FROM r
+  UNION ALL
+  SELECT f.id, s.k, sha256(CASE WHEN s.at % 2 = 1 THEN coalesce(s.h, '') || f.h ELSE f.h || coalesce(s.h, '') END)
+  FROM fold f JOIN steps s ON s.id = f.id AND s.k = f.k + 1),
+proof AS (SELECT id, sha256(coalesce(string_agg(h, '' ORDER BY k), '')) AS proof_sha256 FROM steps GROUP BY id),
+root AS (SELECT h AS root FROM top WHERE size = 1)
+SELECT r.doc_id, r.leaf, u.h AS subroot, root.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+       f.h AS folded_root, f.h = root.root AS verified
+FROM r CROSS JOIN root
+JOIN up u ON u.tree = r.tree AND u.size = 1
+LEFT JOIN proof p ON p.id = r.id
+JOIN (SELECT id, arg_max(h, k) AS h FROM fold GROUP BY id) f ON f.id = r.id
+"""
+
+SQL = {
+    "op11_merkle_manifest": OP11,
+    "op13_hard_negatives": OP13,
+}

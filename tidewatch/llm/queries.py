@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import scratch_path
 
-from . import (bpe_codec, chat_format, decontaminate, hard_negatives, lang_id, pii, quality_rules,
-               simhash, token_counts, token_output, unit_dedup)
+from . import (bpe_codec, chat_format, decontaminate, hard_negatives, lang_id, merkle, pii,
+               quality_rules, simhash, token_counts, token_output, unit_dedup)
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -75,6 +75,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.spans_text(spans).alias("spans"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
@@ -97,6 +101,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
