@@ -86,7 +86,26 @@ LEFT JOIN proof p ON p.id = r.id
 JOIN (SELECT id, arg_max(h, k) AS h FROM fold GROUP BY id) f ON f.id = r.id
 """
 
+# base32 of a hexadecimal digest: four letters for five digits
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_LETTERS = " || ".join(f"'{_BASE32}'[((v >> {s}) & 31) + 1]" for s in (15, 10, 5, 0))
+
+OP12 = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+g AS (
+  SELECT *, max(page_id) OVER (PARTITION BY body) AS lead FROM p)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i: list_reduce(
+         list_transform([CAST('0x' || substr(hex, i * 5 + 1, 5) AS INTEGER)], lambda v: {_LETTERS}),
+         lambda a, b: a || b)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM lead THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM lead THEN lead END AS refers_to
+FROM g
+"""
+
 SQL = {
     "op11_merkle_manifest": OP11,
+    "op12_warc_zip": OP12,
     "op13_hard_negatives": OP13,
 }

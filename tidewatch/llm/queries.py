@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidewatch.session import scratch_path
 
 from . import (bpe_codec, chat_format, decontaminate, hard_negatives, lang_id, merkle, pii,
-               quality_rules, simhash, token_counts, token_output, unit_dedup)
+               quality_rules, simhash, token_counts, token_output, unit_dedup, warc_zip)
 from .common import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -79,6 +79,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    packages = warc_zip.write_packages(table(spark, sf_dir, "pages"), path)
+    return warc_zip.read_records(packages, ("page_id", "payload_bytes", "payload_digest", "record_type",
+                                            "refers_to"))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
@@ -102,6 +109,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_pii": op10_pii,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc_zip": op12_warc_zip,
     "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
