@@ -25,11 +25,14 @@ from ..operators.scoring import (BatchScorer, ColumnScorer, FallbackScorer, appl
                                  materialise)
 from ..session import scratch_path
 from ..sources import io, pages, standins
+from ..sources.selectors import Field
 from ..sources.standins import label_scorer, raw_news, raw_posts, table
 from . import community, news, replay
 
 R = 6  # rounding of averages and scores on both sides
 ENTITY_WORDS = ["the", "und", "los", "les"]
+# period of the news records read from pages
+NEWS_FROM, NEWS_TO = "2024-01-01 01:00:00", "2024-01-09 00:00:00"
 PROMPT = "[%s / %s] %s :: %s"
 
 
@@ -245,21 +248,63 @@ def b8_sort_by_time(spark, sf):
 
 
 # ---------------------------------------------------------------- C: extraction
+# the driver's pages: heading and paragraphs in an article, the language on the root, links
+# in a list; paragraphs and links stand in for the counts
+PAGE_RULES = {
+    "heading": Field("body > article > h1"),
+    "title": Field("head title"),
+    "lang": Field("html", attr="lang"),
+    "views": Field("article p", count=True),
+    "likes": Field("nav li > a:not([class])", count=True),
+}
+
+
 def c1_extract_records(spark, sf):
-    return pages.extract_records(_pages(spark, sf), "pages", "2024-01-01 00:00:00")
+    return pages.extract_records(_pages(spark, sf), F.col("lang"), "2024-01-01 00:00:00", PAGE_RULES)
 
 
 def c1_title_tag(spark, sf):
     return _pages(spark, sf).select("page_id", pages.extract_tag("html", "title").alias("title"))
 
 
+def c1_news_records(spark, sf):
+    """Articles found by one search per entity, with the list's time and the page's texts,
+    of one period."""
+    p = _pages(spark, sf)
+    minutes = F.timestamp_add("MINUTE", F.col("page_id"), F.to_timestamp_ntz(F.lit("2024-01-01 00:00:00")))
+    found = p.select("url", F.date_format(minutes, "yyyy.MM.dd HH:mm").alias("time_text"),
+                     pages.extract_tag("html", "title").alias("title"))
+    hits = tagging.explode_tags(tagging.tag_flat(found, ENTITY_WORDS, "keyword", cols=("title",)), "keyword")
+    rules = {"title": Field("article > h1", strip=True),
+             "content": Field("article", drop=("h1", ".ad"), sep=" ")}
+    return pages.news_records(p, hits, "pages", F.lit(NEWS_FROM).cast("timestamp_ntz"),
+                              F.lit(NEWS_TO).cast("timestamp_ntz"), rules, suffix=".")[0]
+
+
 def c2_drop_blocks(spark, sf):
-    return pages.extract_pages(_pages(spark, sf)).select("page_id", "body", "n_paragraphs")
+    """Blocks by class, by nesting, and one that is never closed."""
+    p = pages.drop_blocks(_pages(spark, sf), [".ad", "body > nav", "footer", "nav li"])
+    open_ended = pages.drop_blocks(p, ["article b"])
+    return open_ended.select("page_id", "html")
+
+
+def c2_page_spans(spark, sf):
+    """Where the dropped blocks stand."""
+    spans = pages.page_spans(_pages(spark, sf), ["div.ad", "article > h1"])
+    return spans.filter("selected").select("page_id", "tag", "depth", F.array_join("classes", " ").alias("classes"),
+                                           "begin", "inner_begin", "inner_end", "end")
 
 
 def c8_fill_defaults(spark, sf):
-    r = pages.extract_records(_pages(spark, sf), "pages", "2024-01-01 00:00:00")
-    return r.select("link", "title", "content", "post_time", "view_count", "like_count")
+    """Posts that lack a time, a title, a text or counts."""
+    posts = raw_posts(_docs(spark, sf))
+    lacking = posts.select(
+        "link", F.when(F.col("source") != "en", F.col("post_time")).alias("post_time"),
+        F.when(F.length("title") < 40, F.col("title")).alias("title"),
+        F.when(F.col("view_count") > 200, F.col("content")).otherwise("").alias("content"),
+        F.nullif("view_count", "like_count").alias("view_count"),
+        F.when(F.col("like_count") > 1, F.col("like_count")).alias("like_count"))
+    return pages.fill_defaults(lacking, "2024-01-01 00:00:00")
 
 
 def c9_absolute_link(spark, sf):
@@ -325,6 +370,12 @@ def c11_extract_links(spark, sf):
         "page_id", "pos", "link")
 
 
+def c11_select_links(spark, sf):
+    """Rows of the page's list by selectors, with the link and text of each."""
+    return pages.extract_rows(_pages(spark, sf), "nav > ul > li", {"link": Field("a", attr="href"),
+                                                                   "text": Field("a", strip=True)})
+
+
 def c12_drop_failed(spark, sf):
     scored = _scorer(spark, sf)(raw_news(_docs(spark, sf)), "score")
     kept, _ = pages.drop_failed(scored, ["score"])
