@@ -371,7 +371,14 @@ def requests(ranges: list[tuple[int, int]], most: int = REQUEST) -> Iterator[lis
         yield group
 
 
-def record_table(packages: DataFrame) -> DataFrame:
+def sizes(packages: DataFrame) -> tuple[int, int]:
+    """Number of packages and of ranges in them. The rows that are dealt out by them are
+    tiny, so the number of tasks is stated: Spark would merge them by the rows' size."""
+    n, total = packages.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    return max(1, min(n, 10_000)), max(1, -(-total // RANGE), packages.sparkSession.sparkContext.defaultParallelism)
+
+
+def record_table(packages: DataFrame, tasks: int) -> DataFrame:
     """package, at, length: one row per record of the packages, from their directories and
     indexes."""
     def run(batches):
@@ -391,7 +398,7 @@ def record_table(packages: DataFrame) -> DataFrame:
              pa.array([r[1] for r in rows], pa.int64())], names=["package", "at", "length"])
 
     paths = packages.select("package")
-    return paths.repartition("package").mapInArrow(run, "package string, at bigint, length bigint")
+    return paths.repartition(tasks, "package").mapInArrow(run, "package string, at bigint, length bigint")
 
 
 RECORD = {"page_id": "bigint", "url": "string", "record_type": "string", "refers_to": "bigint",
@@ -401,8 +408,10 @@ _ARROW = {"bigint": pa.int64(), "string": pa.string(), "boolean": pa.bool_(), "b
 
 def read_records(packages: DataFrame, columns: tuple[str, ...] = tuple(RECORD)) -> DataFrame:
     """The records of ``packages``, each read by its range."""
-    ranges = saved(record_table(packages), "warc-ranges")
-    dealt = ranges.repartition("package", F.floor(F.col("at") / RANGE)).sortWithinPartitions("package", "at")
+    n_packages, n_ranges = sizes(packages)
+    ranges = saved(record_table(packages, n_packages), "warc-ranges")
+    dealt = (ranges.repartition(n_ranges, "package", F.floor(F.col("at") / RANGE))
+             .sortWithinPartitions("package", "at"))
     schema = pa.schema([(c, _ARROW[RECORD[c]]) for c in columns])
 
     def run(batches):
