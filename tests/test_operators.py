@@ -231,3 +231,35 @@ def test_sort_by_time_splits_a_hot_time(spark):
     times = [r.post_time for r in out]
     assert times == sorted(times) and len(out) == 3000
     assert len({r.pid for r in out if str(r.post_time) == hot}) > 1
+
+
+def _inside(text, name):
+    """The arguments of every call of ``name`` in a plan's text."""
+    at = text.find(name + "(")
+    while at >= 0:
+        depth, i = 0, at + len(name)
+        while True:
+            depth += {"(": 1, ")": -1}.get(text[i], 0)
+            i += 1
+            if not depth:
+                break
+        yield text[at:i]
+        at = text.find(name + "(", at + 1)
+
+
+def test_texts_are_cleaned_once_not_per_keyword(spark):
+    from tidewatch.plans import community, news
+    from tidewatch.sources import standins
+    sf = "/root/testdata/sf0.001"
+    docs = standins.table(spark, sf, "documents")
+    kw = standins.keyword_table(spark)
+    issues = spark.createDataFrame([("M1", "die")], "car_model string, accident string")
+    mapped = tagging.tag_mapped(tagging.clean_columns(standins.raw_posts(docs), ("content", "title")), {"c": ["a", "b"]})
+    plans = {"mapped": (mapped.select("link", "accident"), 2),
+             "news": (news.tag_news(standins.raw_news(docs), ["a", "b", "c"]).select("link", "accident"), 1),
+             "posts": (community.tag_posts(standins.raw_posts(docs), kw, issues).select("link", "accident"), 2)}
+    for name, (df, most) in plans.items():
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambdafunction" in plan, name
+        assert not any("regexp_replace" in x for x in _inside(plan, "lambdafunction")), name
+        assert plan.count("regexp_replace(") <= most, (name, plan)

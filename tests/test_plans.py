@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import NEWS_CATEGORIES
 from tidewatch.operators import periods
+from tidewatch.operators.scoring import ColumnScorer
 from tidewatch.plans import community, news, replay
 from tidewatch.sources import io, standins
 
@@ -148,7 +149,10 @@ def test_record_level_scoring_equals_per_row(spark):
     posts, kw = standins.raw_posts(docs), standins.keyword_table(spark)
     a = community.score_posts(posts, kw, issues, sc)
     b = community.score_posts(posts, kw, issues, _PerRow(sc))
-    assert _rows(a) == _rows(b) and a.count() > 0
+    assert "car_model" not in a.rows.columns and "car_model" in b.rows.columns  # per category, per entity
+    for agg in (community.post_stats, community.top_posts, community.packed_posts, community.aggregate_batch):
+        cols = agg(b).columns
+        assert _rows(agg(a).select(cols)) == _rows(agg(b)) and agg(a).count() > 0
 
 
 def test_stream_one_period_per_micro_batch_equals_replay(spark, tmp_dir):
@@ -221,13 +225,29 @@ def test_stream_split_late_and_outside_rows_equal_batches(spark, tmp_dir):
 def test_top_posts_keep_their_own_text(spark):
     """Posts that share a link, or have none, or have no text, keep their own content."""
     import json
-    from tidewatch.operators import aggregate as agg
     rows = [("same", "text A!", 9), ("same", "text B", 8), (None, "no link", 7), ("l", None, 6),
             (None, "other", 5), ("same", "text A!", 9)]
-    raw = spark.createDataFrame(rows, "link string, content string, view_count bigint")
-    slim = agg.with_post_id(raw).drop("content").selectExpr(
-        "'e' AS car_model", "'c' AS accident", "*", "50 AS comm_score")
-    got = json.loads(agg.aggregate_community(slim, 6, raw=raw).first()["top_comm"])
-    assert got == [{"content": "text A", "link": "same"}, {"content": "text A", "link": "same"},
-                   {"content": "text B", "link": "same"}, {"content": "no link"}, {"link": "l"},
-                   {"content": "other"}]
+    raw = spark.createDataFrame([(*r, "t") for r in rows], "link string, content string, view_count bigint, "
+                                "title string").repartition(3)
+    keywords = spark.createDataFrame([("c", "t")], "accident string, keyword string")
+    issues = spark.createDataFrame([("e", "c"), ("f", "c")], "car_model string, accident string")
+    posts = community.score_posts(raw, keywords, issues, ColumnScorer(lambda df: F.lit(50), inputs=()), k=6)
+    got = community.aggregate_batch(posts, 6).collect()
+    assert sorted(r["car_model"] for r in got) == ["e", "f"]
+    for r in got:
+        assert json.loads(r["top_comm"]) == [
+            {"content": "text A", "link": "same"}, {"content": "text A", "link": "same"},
+            {"content": "text B", "link": "same"}, {"content": "no link"}, {"link": "l"}, {"content": "other"}]
+
+
+def test_texts_are_kept_only_for_possible_top_posts(spark):
+    """Among many posts few keep their text, and the first k always do, ties included."""
+    from tidewatch.operators import aggregate as agg
+    raw = spark.range(3000).selectExpr(
+        "concat('l', id) AS link", "concat('text ', id) AS content", "(id * 7919) % 400 AS view_count",
+        "concat('c', id % 3) AS accident").repartition(4)
+    kept = agg.keep_top_texts(agg.with_post_id(raw), 5, ["accident"])
+    rows = kept.collect()
+    assert all((r["content"] is not None) == r["kept"] for r in rows) and sum(r["kept"] for r in rows) < 600
+    plain = agg.top_k_posts(agg.with_post_id(raw), 5, keys=["accident"]).drop(agg.POST_ID)
+    assert _rows(agg.top_k_posts(kept, 5, keys=["accident"]).select(plain.columns)) == _rows(plain)

@@ -4,15 +4,23 @@ Every aggregate here is algebraic (count, sum, avg), so Spark combines it
 map-side before the shuffle and a hot group costs one partial row per task.
 The per-group top-k is limited map-side too (WindowGroupLimit), so at most
 k rows per group and task cross the shuffle.
+
+Posts are aggregated in two levels where the score does not depend on the entity:
+statistics and top posts per category, then one row per entity that has an open issue
+in the category (``to_entities``). No row per post and entity is made.
 """
 
 from __future__ import annotations
 
+from bisect import insort
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import NEGATIVE_MIN, POSITIVE_MAX, TOP_K
-from ..functions.text import clean_text
 from .joins import join_small
 
 KEYS = ["car_model", "accident"]
@@ -59,71 +67,78 @@ def pack_evidence(evidence: DataFrame, counts: DataFrame, max_items: int = 1000)
                                           F.to_json(packed).alias("news"))
 
 
-def aggregate_posts(scored: DataFrame, score_col: str = "comm_score") -> DataFrame:
+def aggregate_posts(scored: DataFrame, score_col: str = "comm_score", keys=tuple(KEYS)) -> DataFrame:
     """Mean score, count, positives (<= 45) and negatives (>= 55)."""
     s = F.col(score_col)
-    return scored.groupBy(*KEYS).agg(
+    return scored.groupBy(*keys).agg(
         F.avg(s).alias("avg_comm_score"),
         F.count(F.lit(1)).alias("count"),
         F.count_if(s <= POSITIVE_MAX).alias("comm_positive_count"),
         F.count_if(s >= NEGATIVE_MIN).alias("comm_negative_count"))
 
 
+def keep_top_texts(scored: DataFrame, k: int = TOP_K, keys=tuple(KEYS)) -> DataFrame:
+    """The rows with ``content`` only where it may be wanted, and ``kept``, which says where.
+
+    A row keeps its text if, among the rows of its group that its task has seen so far, it
+    is one of the first k by the order of ``top_k_posts``. These are few (about
+    k log(rows) per group and task) and hold the first k of all, so the rows can be written
+    once without their texts, and the top posts need no second scan of the texts. A task
+    remembers k order keys per group."""
+    names, keys = scored.columns, list(keys)
+
+    def run(batches):
+        best: dict[tuple, list] = {}
+        for batch in batches:
+            groups = zip(*(batch.column(c).to_pylist() for c in keys), strict=True)
+            order = zip(*(batch.column(c).to_pylist() for c in ("view_count", "link", POST_ID)), strict=True)
+            kept = []
+            for group, (views, link, post) in zip(groups, order, strict=True):
+                # views descending with null last, link ascending with null first
+                key = (views is None, -(views or 0), link is not None, link or "", post)
+                top = best.setdefault(group, [])
+                wanted = len(top) < k or key < top[-1]
+                if wanted:
+                    insort(top, key)
+                    del top[k:]
+                kept.append(wanted)
+            mask = pa.array(kept, pa.bool_())
+            columns = [pc.if_else(mask, c, pa.scalar(None, c.type)) if n == "content" else c
+                       for n, c in zip(names, batch.columns, strict=True)]
+            yield pa.RecordBatch.from_arrays([*columns, mask], names=[*names, "kept"])
+
+    fields = [T.StructField(f.name, f.dataType) for f in scored.schema.fields]  # texts become null
+    return scored.mapInArrow(run, T.StructType([*fields, T.StructField("kept", T.BooleanType())]))
+
+
 def top_k_posts(scored: DataFrame, k: int = TOP_K, order_col: str = "view_count",
-                tie_col: str = "link") -> DataFrame:
-    """The k most-viewed posts per (entity, category), ties broken by link, then by the
-    post's identity where the rows carry it (D15)."""
+                tie_col: str = "link", keys=tuple(KEYS)) -> DataFrame:
+    """The k most-viewed posts per group, ties broken by link, then by the post's identity
+    where the rows carry it (D15). Rows of ``keep_top_texts`` come with their texts."""
     ties = [tie_col] + ([POST_ID] if POST_ID in scored.columns else [])
-    w = Window.partitionBy(*KEYS).orderBy(F.desc(order_col), *ties)
+    w = Window.partitionBy(*keys).orderBy(F.desc(order_col), *ties)
+    if "kept" in scored.columns:
+        scored = scored.filter("kept").drop("kept")
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def pack_posts(top: DataFrame) -> DataFrame:
+def pack_posts(top: DataFrame, keys=tuple(KEYS)) -> DataFrame:
     """JSON array of {content, link} per group, in rank order.
 
     Input is the output of ``top_k_posts``: at most k rows per group."""
     items = F.sort_array(F.collect_list(F.struct("rank", "content", "link")))
     packed = F.transform(items, lambda x: F.struct(x["content"].alias("content"),
                                                    x["link"].alias("link")))
-    return top.groupBy(*KEYS).agg(F.to_json(packed).alias("top_comm"))
+    return top.groupBy(*keys).agg(F.to_json(packed).alias("top_comm"))
 
 
-def join_aggregates(packed: DataFrame, stats: DataFrame) -> DataFrame:
+def join_aggregates(packed: DataFrame, stats: DataFrame, keys=tuple(KEYS)) -> DataFrame:
     """Left join of the packed top posts with the group statistics."""
-    return packed.join(stats, KEYS, "left")
-
-
-def attach_content(top: DataFrame, raw: DataFrame, clean: bool = True) -> DataFrame:
-    """Each top row's own content, cleaned.
-
-    ``raw`` (link, content) is filtered to the top posts - at most k per key - through a
-    size-checked broadcast before anything is shuffled, so the text of every other post
-    is never moved or cleaned again. Posts are matched on ``POST_ID``, so posts that
-    share a link, or have none, keep their own text; equal posts share one."""
-    wanted = top.select(POST_ID).distinct()
-    found = join_small(with_post_id(raw.select("link", "content")), wanted, POST_ID, "inner",
-                       salt_cols=["link"]).select(POST_ID, "content").dropDuplicates([POST_ID])
-    if clean:
-        found = found.withColumn("content", clean_text("content"))
-    return top.join(found, POST_ID, "left").drop(POST_ID)
-
-
-def aggregate_community(scored: DataFrame, k: int = TOP_K, score_col: str = "comm_score",
-                        raw: DataFrame | None = None) -> DataFrame:
-    """D14 + D15 + D16 + D17: the community batch aggregate (T4).
-
-    With ``raw`` given, ``scored`` need not carry the post text: statistics
-    and ranking use the slim rows and the text is fetched for the top rows."""
-    stats = aggregate_posts(scored, score_col)
-    top = top_k_posts(scored, k)
-    if raw is not None:
-        # at most k rows per key, read twice (the size check of the link list and
-        # the fetch itself): written once so the ranking over every scored row
-        # runs once
-        from .scoring import materialise
-        top = materialise(top.drop("content") if "content" in top.columns else top, "top-k")
-        top = attach_content(top, raw)
-    packed = pack_posts(top)
-    return join_aggregates(packed, stats).select(
-        *KEYS, "top_comm", "avg_comm_score", "count", "comm_positive_count",
-        "comm_negative_count")
+    return packed.join(stats, list(keys), "left")
+
+
+def to_entities(grouped: DataFrame, issues: DataFrame, on=("accident",)) -> DataFrame:
+    """Rows per category -> rows per (entity, category) with an open issue: the second
+    level of D14-D17. Both sides have a few rows per category."""
+    pairs = issues.select("car_model", *on).distinct()
+    return pairs.join(grouped, list(on))

@@ -37,8 +37,22 @@ def _dedupe(xs):
     return out
 
 
-def _mentions(kw: Column, cols) -> Column:
-    return reduce(or_, [F.col(c).contains(kw) for c in cols])
+def _per_keyword(keywords: Column, cols, value) -> Column:
+    """``value(keyword)`` where any of ``cols`` contains the keyword's text, else NULL, for
+    each element of ``keywords``.
+
+    The texts are bound once, as the one element of an outer array. Referred to inside the
+    function over the keywords, a computed text (a cleaned one, say) would be computed
+    again for every keyword, since the optimiser puts its expression there."""
+    row = F.array(F.struct(keywords.alias("keywords"), *[F.col(c).alias(f"t{i}") for i, c in enumerate(cols)]))
+
+    def over(r):
+        def one(k):
+            text, out = value(k)
+            return F.when(reduce(or_, [r[f"t{i}"].contains(text) for i in range(len(cols))]), out)
+        return F.transform(r["keywords"], one)
+
+    return F.transform(row, over)[0]
 
 
 def tag_flat(df: DataFrame, keywords, out: str = "accident", cols=("title", "content")) -> DataFrame:
@@ -48,7 +62,7 @@ def tag_flat(df: DataFrame, keywords, out: str = "accident", cols=("title", "con
     keyword. The keywords are one literal array and the test is one function over
     it, so the plan has the same size for any number of keywords."""
     kws = F.array(*[F.lit(k) for k in _dedupe(keywords)]).cast("array<string>")
-    return df.withColumn(out, F.transform(kws, lambda k: F.when(_mentions(k, cols), k)))
+    return df.withColumn(out, _per_keyword(kws, cols, lambda k: (k, k)))
 
 
 def keyword_pairs(mapping: dict[str, list[str]]) -> Column:
@@ -73,7 +87,7 @@ def tag_mapped(df: DataFrame, mapping: dict[str, list[str]] | Column, out: str =
     pairs = keyword_pairs(mapping) if isinstance(mapping, dict) else mapping
     # a subquery may not stand inside the function, so it is a column of its own
     tagged = df.withColumn("_pairs", pairs)
-    found = F.transform("_pairs", lambda p: F.when(_mentions(p["keyword"], cols), p["accident"]))
+    found = _per_keyword(F.col("_pairs"), cols, lambda p: (p["keyword"], p["accident"]))
     return tagged.withColumn(out, F.array_distinct(found)).drop("_pairs")
 
 
@@ -99,16 +113,17 @@ def select_keywords(keywords: DataFrame, issues: DataFrame) -> DataFrame:
 
 
 def expand_to_entities(df: DataFrame, issues: DataFrame, require_mention: bool = False,
-                       **join_opts) -> DataFrame:
+                       on=("accident",), **join_opts) -> DataFrame:
     """Attach every entity with an open issue in the row's category.
 
     Left join on the category: a post becomes one row per such entity. The
     category has few distinct values, so a shuffle join on it would put each
     category in one task; the issue side is broadcast after a size check, or
-    salted past the bound. ``require_mention`` keeps only entities the post names.
+    salted past the bound. ``require_mention`` keeps only entities the post names. ``on``
+    may name more columns that an issue must share with the row (its batch period).
     """
-    mapping = issues.select("accident", "car_model").distinct()
-    out = join_small(df, mapping, "accident", "left", **join_opts)
+    mapping = issues.select(*on, "car_model").distinct()
+    out = join_small(df, mapping, list(on), "left", **join_opts)
     if require_mention:
         out = out.filter(F.col("title").contains(F.col("car_model"))
                          | F.col("content").contains(F.col("car_model")))

@@ -76,7 +76,7 @@ def _community_batch(spark, sf):
 
 
 def _posts_scored(spark, sf):
-    """Slim scored posts (no text), as the community batch computes them."""
+    """Scored posts (texts of possible top posts only), as the community batch computes them."""
     nb = _news_batch(spark, sf)
     return community.score_posts(raw_posts(_docs(spark, sf)), standins.keyword_table(spark),
                                  state.issue_list(nb.state), _scorer(spark, sf))
@@ -479,22 +479,20 @@ def d13_packed_news(spark, sf):
 
 
 def d14_aggregate_posts(spark, sf):
-    return _rounded(agg.aggregate_posts(_posts_scored(spark, sf)), ["avg_comm_score"])
+    return _rounded(community.post_stats(_posts_scored(spark, sf)), ["avg_comm_score"])
 
 
 def d15_top_k_posts(spark, sf):
-    return agg.top_k_posts(_posts_scored(spark, sf)).select("car_model", "accident", "rank",
-                                                            "link", "view_count")
+    return community.top_posts(_posts_scored(spark, sf)).select("car_model", "accident", "rank", "link",
+                                                                "view_count")
 
 
 def d16_pack_posts(spark, sf):
-    top = agg.top_k_posts(_posts_scored(spark, sf))
-    return agg.pack_posts(agg.attach_content(top, raw_posts(_docs(spark, sf))))
+    return community.packed_posts(_posts_scored(spark, sf))
 
 
 def d17_join_aggregates(spark, sf):
-    a = community.aggregate_batch(_posts_scored(spark, sf), raw_posts(_docs(spark, sf)))
-    return _rounded(a, ["avg_comm_score"])
+    return _rounded(community.aggregate_batch(_posts_scored(spark, sf)), ["avg_comm_score"])
 
 
 # ---------------------------------------------------------------- E: state, issues

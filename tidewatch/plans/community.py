@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import TOP_K
-from ..operators.aggregate import POST_ID, aggregate_community, with_post_id
+from ..operators.aggregate import (POST_ID, aggregate_posts, join_aggregates, keep_top_texts,
+                                   pack_posts, to_entities, top_k_posts, with_post_id)
 from ..operators.alerts import alertable, render_alert
 from ..operators.issue import alert_on_change, batch_view, score_issues, to_fact
 from ..operators.joins import within_rows
@@ -47,30 +48,79 @@ def tag_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame,
                               require_mention)
 
 
-SLIM = ["car_model", "accident", "link", "view_count", "comm_score", POST_ID]
+@dataclass
+class ScoredPosts:
+    """Scored, tagged posts (materialised), a row per post and group ``keys``; texts only
+    where a group's top posts may be. With ``issues`` the groups are still to be spread
+    over the entities that have an open issue in them (``on``)."""
+
+    rows: DataFrame
+    keys: list[str]
+    issues: DataFrame | None
+    on: tuple[str, ...] = ("accident",)
+
+    def spread(self, grouped: DataFrame) -> DataFrame:
+        return grouped if self.issues is None else to_entities(grouped, self.issues, self.on)
+
+
+def _score(tagged: DataFrame, issues: DataFrame, scorer: Scorer, on_failure: int | None,
+           require_mention: bool, k: int, by: tuple[str, ...] = ()) -> ScoredPosts:
+    """Posts with their tag arrays -> scored rows per (post, category), or per (post,
+    category, entity) if the score or the filter depends on the entity.
+
+    ``by`` names further columns of the groups (a batch period), by which ``issues`` are
+    matched too. A scorer that reads neither entity nor category sees every post once."""
+    on = ("accident", *by)
+    per_entity = require_mention or scorer.reads_any(["car_model"])
+
+    def rows_of(posts):
+        rows = explode_tags(posts)
+        return expand_to_entities(rows, issues, require_mention, on=on) if per_entity else rows
+
+    def scored_by(posts):
+        return apply_scorer(posts, scorer, "comm_score", on_failure, materialise_costly=False)
+
+    rows = (scored_by(rows_of(tagged)) if scorer.reads_any(["accident", "car_model"])
+            else rows_of(scored_by(tagged)))
+    keys = [*(["car_model"] if per_entity else []), *on]
+    rows = rows.select(*keys, "link", "view_count", "comm_score", POST_ID, "content")
+    rows = materialise(keep_top_texts(rows, k, keys), "scored-posts")
+    return ScoredPosts(rows, keys, None if per_entity else issues, on)
 
 
 def score_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame, scorer: Scorer,
-                on_failure: int | None = 0, require_mention: bool = False) -> DataFrame:
-    """Tagged, entity-expanded, scored posts without their text, materialised:
-    the text work (cleaning, keyword tests) and the scorer run once, and the two
-    consumers (statistics, top-k) read a few small columns."""
-    if scorer.reads_any(["accident", "car_model"]):
-        # the score depends on the (entity, category) a row is about: score each row
-        posts = tag_posts(raw, keywords, issues, require_mention)
-        scored = apply_scorer(posts, scorer, "comm_score", on_failure, materialise_costly=False)
-    else:
-        # the score depends on the post alone: score each tagged post once, then
-        # explode and attach entities (the scorer never sees the multiplied rows)
-        once = apply_scorer(_tag_arrays(raw, keywords, issues), scorer, "comm_score",
-                            on_failure, materialise_costly=False)
-        scored = expand_to_entities(explode_tags(once), issues, require_mention)
-    return materialise(scored.select(*SLIM), "scored-posts")
-
-
-def aggregate_batch(slim: DataFrame, raw: DataFrame, k: int = TOP_K) -> DataFrame:
-    """T4 from the slim scored rows; content fetched for the top-k only."""
-    return materialise(aggregate_community(slim, k, raw=raw), "post-agg")
+                on_failure: int | None = 0, require_mention: bool = False,
+                k: int = TOP_K) -> ScoredPosts:
+    """Tagged, scored posts, materialised with the texts of possible top posts only: the
+    text work (cleaning, keyword tests) and the scorer run once, and the two consumers
+    (statistics, top-k) read a few small columns."""
+    return _score(_tag_arrays(raw, keywords, issues), issues, scorer, on_failure, require_mention, k)
+
+
+def post_stats(posts: ScoredPosts) -> DataFrame:
+    """D14 per (entity, category)."""
+    return posts.spread(aggregate_posts(posts.rows, keys=posts.keys))
+
+
+def top_posts(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
+    """D15 per (entity, category), with the posts' cleaned texts."""
+    return posts.spread(top_k_posts(posts.rows, k, keys=posts.keys))
+
+
+def packed_posts(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
+    """D16 per (entity, category)."""
+    return posts.spread(pack_posts(top_k_posts(posts.rows, k, keys=posts.keys), posts.keys))
+
+
+def aggregate_batch(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
+    """T4 (D14-D17): one row per (entity, category), aggregated per category first where
+    the score allows it."""
+    packed = pack_posts(top_k_posts(posts.rows, k, keys=posts.keys), posts.keys)
+    grouped = join_aggregates(packed, aggregate_posts(posts.rows, keys=posts.keys), posts.keys)
+    more = [c for c in posts.on if c != "accident"]
+    return materialise(posts.spread(grouped).select(
+        "car_model", "accident", *more, "top_comm", "avg_comm_score", "count", "comm_positive_count",
+        "comm_negative_count"), "post-agg")
 
 
 def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords: DataFrame,
@@ -84,8 +134,8 @@ def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords:
         view = score_issues(state, news, agg)
         return CommunityBatch(agg, state, batch_view(view), to_fact(batch_view(view), batch_period),
                               render_alert(alertable(state)))
-    slim = score_posts(raw, keywords, issues, scorer, on_failure, require_mention)
-    agg = aggregate_batch(slim, raw, k)   # one row per key
+    posts = score_posts(raw, keywords, issues, scorer, on_failure, require_mention, k)
+    agg = aggregate_batch(posts, k)   # one row per key
     folded = fold_posts(state, agg)
     scored_issues = score_issues(folded, news, agg)
     new_state = alert_on_change(folded, scored_issues)
