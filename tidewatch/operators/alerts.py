@@ -12,9 +12,9 @@ ALERT_COLS = ["car_model", "accident", "start_batch_time", "news_acc_count", "co
               "issue_score", "dashboard_url"]
 
 
-def alertable(state: DataFrame) -> DataFrame:
-    """The seven alert columns of rows flagged is_alert (F1)."""
-    return state.filter(F.col("is_alert")).select(*ALERT_COLS)
+def alertable(state: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The seven alert columns of rows flagged is_alert (F1), and ``keep``."""
+    return state.filter(F.col("is_alert")).select(*ALERT_COLS, *keep)
 
 
 def iso_time(c) -> Column:
@@ -25,7 +25,7 @@ def iso_time(c) -> Column:
     return F.when(micros == "000000", base).otherwise(F.concat(base, F.lit("."), micros))
 
 
-def render_alert(alerts: DataFrame) -> DataFrame:
+def render_alert(alerts: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One message payload (JSON text) per alert row."""
     level, color = alert_label("issue_score"), alert_color("issue_score")
     subject = F.concat(F.col("car_model"), F.lit(" "), F.col("accident"))
@@ -39,4 +39,4 @@ def render_alert(alerts: DataFrame) -> DataFrame:
                        F.array(F.struct(color.alias("color"), fields.alias("fields")))
                        .alias("attachments"))
     return alerts.select("car_model", "accident", level.alias("level"), color.alias("color"),
-                         F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"))
+                         F.to_json(payload, {"ignoreNullFields": "false"}).alias("payload"), *keep)

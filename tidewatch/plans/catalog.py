@@ -652,6 +652,27 @@ def g3_replay_news_expiry(spark, sf):
     return _state_out(s)
 
 
+def _replay(spark, sf):
+    docs = _docs(spark, sf)
+    return replay.replay(raw_news(docs), raw_posts(docs), standins.seed(docs), NEWS_CATEGORIES, _scorer(spark, sf),
+                         standins.keyword_table(spark), _scorer(spark, sf), ttl=REPLAY_TTL)
+
+
+def g3_replay_states(spark, sf):
+    """Both stages of every hourly batch in one pass, with expiry: the state after each."""
+    return _rounded(_replay(spark, sf).states, ["news_score", "comm_score", "issue_score"])
+
+
+def g3_replay_facts(spark, sf):
+    """The fact rows of every hourly batch of the same replay."""
+    return _rounded(_replay(spark, sf).facts, ["issue_score"])
+
+
+def g3_replay_alerts(spark, sf):
+    """The alert payloads of every hourly batch of the same replay."""
+    return _replay(spark, sf).alerts.select("car_model", "accident", "batch_period", "level", "color")
+
+
 def g4_stream_news(spark, sf):
     """Hourly raw-news folders of several files each, drained by the file stream in
     micro-batches that cut through the hours; final state snapshot."""

@@ -63,8 +63,8 @@ class ScoredPosts:
         return grouped if self.issues is None else to_entities(grouped, self.issues, self.on)
 
 
-def _score(tagged: DataFrame, issues: DataFrame, scorer: Scorer, on_failure: int | None,
-           require_mention: bool, k: int, by: tuple[str, ...] = ()) -> ScoredPosts:
+def score_tagged(tagged: DataFrame, issues: DataFrame, scorer: Scorer, on_failure: int | None = 0,
+                 require_mention: bool = False, k: int = TOP_K, by: tuple[str, ...] = ()) -> ScoredPosts:
     """Posts with their tag arrays -> scored rows per (post, category), or per (post,
     category, entity) if the score or the filter depends on the entity.
 
@@ -94,7 +94,7 @@ def score_posts(raw: DataFrame, keywords: DataFrame, issues: DataFrame, scorer:
     """Tagged, scored posts, materialised with the texts of possible top posts only: the
     text work (cleaning, keyword tests) and the scorer run once, and the two consumers
     (statistics, top-k) read a few small columns."""
-    return _score(_tag_arrays(raw, keywords, issues), issues, scorer, on_failure, require_mention, k)
+    return score_tagged(_tag_arrays(raw, keywords, issues), issues, scorer, on_failure, require_mention, k)
 
 
 def post_stats(posts: ScoredPosts) -> DataFrame:

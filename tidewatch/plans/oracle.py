@@ -283,6 +283,74 @@ replayed AS (
                                               - INTERVAL {REPLAY_TTL}, false) AS stale
         FROM stepped))"""
 
+# Both stages batch by batch: one recursion step per hour from the state before, with the
+# hour's article and post aggregates. Written as the batch jobs run, not as running sums.
+STEPS = BASE + f""",
+per AS (
+  SELECT car_model, accident, date_trunc('hour', post_time) AS ps, count(*)::BIGINT AS n, avg(news_score) AS av
+  FROM news_scored GROUP BY ALL),
+posts AS (
+  SELECT p.link, p.content, p.views, p.ps, k.accident, coalesce(s.score, 0) AS score
+  FROM (SELECT 'doc/' || CAST(doc_id AS VARCHAR) AS link, n_chars AS views,
+               date_trunc('hour', TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id)) AS ps,
+               regexp_replace(split_part(text, chr(10), 1), '{CLEAN}', '', 'g') AS title,
+               regexp_replace(text, '{CLEAN}', '', 'g') AS content FROM documents) p
+  JOIN {KW_ALL} k ON contains(p.title, k.keyword) OR contains(p.content, k.keyword)
+  LEFT JOIN scores s USING (link)
+  GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY accident, ps ORDER BY views DESC, link) AS r FROM posts),
+comm AS (
+  SELECT accident, ps, count(*)::BIGINT AS c, avg(score) AS cs, count(*) FILTER (WHERE score <= 45) AS pos,
+         count(*) FILTER (WHERE score >= 55) AS neg,
+         CAST(to_json(list({{'content': content, 'link': link}} ORDER BY r) FILTER (WHERE r <= 5)) AS VARCHAR) AS top
+  FROM ranked GROUP BY accident, ps),
+hours AS (
+  SELECT unnest(generate_series(date_trunc('hour', min(post_time)), date_trunc('hour', max(post_time)),
+                                INTERVAL 1 HOUR)) AS ps FROM news_raw),
+steps AS (
+  SELECT h.ps - INTERVAL 1 HOUR AS ps, s.car_model, s.accident, s.start_batch_time, s.last_batch_time,
+         s.news_acc_count, s.comm_acc_count, s.news_score, s.comm_score, s.issue_score, s.is_issue, s.is_alert,
+         s.dashboard_url, 0::BIGINT AS news_count, NULL::BIGINT AS c, NULL::BIGINT AS pos, NULL::BIGINT AS neg,
+         NULL::VARCHAR AS top
+  FROM seed s CROSS JOIN (SELECT min(ps) AS ps FROM hours) h
+  UNION ALL
+  SELECT ps, car_model, accident, start_batch_time, last_batch_time, acc, comm_acc, news_score, comm_score,
+         CASE WHEN issue THEN score ELSE issue_score END, issue,
+         issue AND (opened OR {_sev('issue_score')} <> {_sev('score')}), dashboard_url, n, c, pos, neg, top
+  FROM (
+    SELECT *, coalesce(news_score / 100.0, 0) * 0.2 + coalesce({_pw('comm_score', 50, 75, 100)}, 0) * 0.2
+              + {_pw('n', 1, 5, 10)} * 0.1 + {_pw('acc', 10, 20, 30)} * 0.2
+              + {_pw('coalesce(c, 0)', 1, 5, 10)} * 0.3 AS score
+    FROM (
+      SELECT f.* EXCLUDE (comm_score, comm_acc), f.issue AND x.c IS NOT NULL AS hit,
+             CASE WHEN hit THEN x.cs ELSE f.comm_score END AS comm_score,
+             f.comm_acc + CASE WHEN hit THEN x.c ELSE 0 END AS comm_acc,
+             CASE WHEN hit THEN x.c END AS c, CASE WHEN hit THEN x.pos END AS pos,
+             CASE WHEN hit THEN x.neg END AS neg, CASE WHEN hit THEN x.top END AS top
+      FROM (
+        SELECT ps, car_model, accident, dashboard_url, n,
+               CASE WHEN NOT stale THEN s END AS start_batch_time, CASE WHEN NOT stale THEN l END AS last_batch_time,
+               CASE WHEN stale THEN 0 ELSE a END AS acc, CASE WHEN stale THEN 0 ELSE comm_acc_count END AS comm_acc,
+               CASE WHEN stale THEN 0.0 ELSE v END AS news_score,
+               CASE WHEN stale THEN 0.0 ELSE comm_score END AS comm_score,
+               CASE WHEN stale THEN 0.0 ELSE issue_score END AS issue_score,
+               NOT (NOT stale AND is_issue) AND acc >= 10 AS opened, (NOT stale AND is_issue) OR acc >= 10 AS issue
+        FROM (
+          SELECT b.* EXCLUDE (ps, c, pos, neg, top), b.ps + INTERVAL 1 HOUR AS ps, coalesce(p.n, 0) AS n,
+                 b.news_acc_count + coalesce(p.n, 0) AS a,
+                 CASE WHEN p.n > 0 AND b.news_acc_count = 0 THEN b.ps + INTERVAL 1 HOUR ELSE b.start_batch_time END AS s,
+                 CASE WHEN p.n > 0 THEN b.ps + INTERVAL 2 HOUR ELSE b.last_batch_time END AS l,
+                 CASE WHEN p.n > 0 THEN p.av ELSE b.news_score END AS v,
+                 coalesce(l < b.ps + INTERVAL 2 HOUR - INTERVAL {REPLAY_TTL}, false) AS stale
+          FROM steps b JOIN hours h ON h.ps = b.ps + INTERVAL 1 HOUR
+          LEFT JOIN per p ON p.ps = h.ps AND p.car_model = b.car_model AND p.accident = b.accident)) f
+      LEFT JOIN comm x ON x.ps = f.ps AND x.accident = f.accident))),
+batches AS (
+  SELECT *, strftime(ps, '{FMT}') || '_' || strftime(ps + INTERVAL 1 HOUR, '{FMT}') AS batch_period
+  FROM steps WHERE ps >= (SELECT min(ps) FROM hours))"""
+
+
 def _with(ctes, select):
     return f"WITH {ctes}\n{select}"
 
@@ -556,4 +624,12 @@ SQL["g1_run_news"] = SQL["e5_open_issues"]
 SQL["g2_run_community"] = SQL["e17_to_fact"]
 SQL["g3_replay_news"] = _with(REPLAY, f"SELECT {STATE_COLS} FROM replayed")
 SQL["g3_replay_news_expiry"] = _with(REPLAY_EXPIRY, f"SELECT {STATE_COLS} FROM replayed")
+SQL["g3_replay_states"] = f"WITH RECURSIVE {STEPS}\nSELECT {STATE_COLS}, batch_period FROM batches"
+SQL["g3_replay_facts"] = f"""WITH RECURSIVE {STEPS}
+SELECT car_model, accident, round(issue_score, 6) AS issue_score, c AS comm_count, news_count, start_batch_time,
+  ps + INTERVAL 1 HOUR AS batch_time, top AS top_comm, pos AS comm_positive_count, neg AS comm_negative_count,
+  batch_period FROM batches WHERE is_issue AND top IS NOT NULL"""
+SQL["g3_replay_alerts"] = f"""WITH RECURSIVE {STEPS}
+SELECT car_model, accident, batch_period, {_lvl.replace('x', 'issue_score')} AS level,
+  {_col.replace('x', 'issue_score')} AS color FROM batches WHERE is_alert"""
 SQL["g4_stream_news"] = SQL["g3_replay_news"]

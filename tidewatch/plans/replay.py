@@ -4,20 +4,32 @@
 articles are aggregated to (key, period) grain, then running sums over each
 key's periods (a window over a key's handful of periods, never over its
 articles) give the accumulated count, the first and last batch, the last mean
-score and the threshold crossing. Valid while expiry (E6) is off; with expiry,
-or with the community stage, ``replay_batches`` runs the batch jobs in order.
+score and the threshold crossing, with expiry (E6) as cuts between runs.
+
+``replay`` gives every batch of both stages, each period's state, facts and alerts, in one
+pass over each raw table. ``replay_batches`` runs the batch jobs in order instead; it is
+what the single passes are tested against.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ISSUE_THRESHOLD, TOP_K
+from ..functions.scoring import severity
+from ..functions.time import format_period, parse_period_end, parse_period_start
+from ..operators.aggregate import with_post_id
+from ..operators.alerts import alertable, render_alert
+from ..operators.issue import issue_score_col
+from ..operators.joins import join_small
 from ..operators.periods import assign_period
-from ..operators.scoring import Scorer
+from ..operators.scoring import Scorer, materialise
 from ..operators.state import KEYS, STATE_COLS, expire_issues
-from .community import run_community
+from ..operators.tagging import clean_columns, selected_pairs, tag_mapped, with_tags
+from .community import aggregate_batch, run_community, score_tagged
 from .news import run_news, score_news
 
 
@@ -122,6 +134,137 @@ def replay_news(raw: DataFrame, seed: DataFrame, categories, scorer: Scorer,
     return out
 
 
+@dataclass
+class Replay:
+    """Every batch of a replay; all tables have ``batch_period``."""
+
+    states: DataFrame   # the state after each period, a row per key and period
+    news: DataFrame     # T3
+    posts: DataFrame    # T4
+    facts: DataFrame    # T6
+    alerts: DataFrame   # F3 payloads
+
+
+def schedule(raws: list[DataFrame], every: str, periods: list[str] | None = None) -> Column:
+    """The starts of a replay's batches, an array: of the given periods, or of every period
+    from the earliest record to the latest."""
+    if periods is not None:
+        return F.transform(F.array(*[F.lit(p) for p in sorted(periods)]).cast("array<string>"), parse_period_start)
+    times = raws[0].select("post_time")
+    for r in raws[1:]:
+        times = times.unionByName(r.select("post_time"))
+
+    def bound(agg):
+        return assign_period(times.agg(agg("post_time").alias("post_time")), every).select("period_start").scalar()
+
+    return F.sequence(bound(F.min), bound(F.max), F.expr(f"INTERVAL {every}"))
+
+
+def _news_states(seed: DataFrame, starts: Column, every: str, per: DataFrame, threshold: int,
+                 ttl: str | None) -> DataFrame:
+    """The state after the news stage of every batch, a row per key and batch, with what
+    the community stage needs: ``_run`` (how often the key has expired), ``_expired``,
+    ``_opened``, ``news_count`` and the seed's values as ``_seed_*``."""
+    dense = (seed.select(*KEYS, *[F.col(c).alias(f"_seed_{c}") for c in STATE_COLS if c not in KEYS])
+             .withColumn("_starts", starts).withColumn("period_start", F.explode("_starts")).drop("_starts")
+             .withColumn("period_end", F.col("period_start") + F.expr(f"INTERVAL {every}"))
+             .withColumn("batch_period", format_period("period_start", "period_end")))
+    rows = dense.join(per.select(*KEYS, "batch_period", "count", "avg_news_score"), [*KEYS, "batch_period"], "left")
+    w = Window.partitionBy(*KEYS).orderBy("period_start")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    has_news = F.col("count").isNotNull()
+    # A key is stale while its last article lies further back than ttl; each stale
+    # batch begins a new run, so everything before it is forgotten
+    last_end = F.coalesce(F.last(F.when(has_news, F.col("period_end")), ignorenulls=True).over(so_far),
+                          F.col("_seed_last_batch_time"))
+    stale = F.coalesce(last_end < F.col("period_end") - F.expr(f"INTERVAL {ttl}"), F.lit(False)) if ttl else F.lit(False)
+    rows = rows.withColumn("_expired", stale)
+    rows = rows.withColumn("_run", F.sum(F.col("_expired").cast("int")).over(so_far))
+    run = Window.partitionBy(*KEYS, "_run").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
+
+    def base(c, zero):
+        return F.when(F.col("_run") == 0, F.col(f"_seed_{c}")).otherwise(zero)
+
+    none = F.lit(None).cast("timestamp_ntz")
+    before = base("news_acc_count", F.lit(0).cast("bigint"))
+    first = F.first(F.when(has_news, F.col("period_start")), ignorenulls=True).over(run)
+    latest = F.last(F.when(has_news, F.struct("period_end", "avg_news_score")), ignorenulls=True).over(run)
+    acc = before + F.coalesce(F.sum("count").over(run), F.lit(0))
+    rows = rows.withColumns({
+        "start_batch_time": F.when((before == 0) & first.isNotNull(), first).otherwise(base("start_batch_time", none)),
+        "last_batch_time": F.when(latest.isNotNull(), latest["period_end"]).otherwise(base("last_batch_time", none)),
+        "news_acc_count": acc,
+        "news_score": F.when(latest.isNotNull(), latest["avg_news_score"]).otherwise(base("news_score", F.lit(0.0))),
+        "is_issue": base("is_issue", F.lit(False)) | (acc >= threshold),
+        "news_count": F.coalesce("count", F.lit(0)).cast("bigint")})
+    was = F.when(F.col("_expired"), False).otherwise(F.coalesce(F.lag("is_issue").over(w), F.col("_seed_is_issue")))
+    return rows.withColumn("_opened", F.col("is_issue") & ~was).drop("count", "avg_news_score")
+
+
+def _open_tags(raw: DataFrame, keywords: DataFrame, issues: DataFrame, every: str) -> DataFrame:
+    """Posts with the tags that are open in their batch, in batches with an open issue only:
+    posts meet the open intervals by their period (one array of categories per period)."""
+    timed = assign_period(raw.filter(F.col("post_time").isNotNull()), every).drop("period_start", "period_end")
+    by_period = issues.groupBy("batch_period").agg(F.collect_set("accident").alias("_open"))
+    posts = join_small(with_post_id(timed), by_period, "batch_period", "inner")
+    tagged = tag_mapped(clean_columns(posts, ("content", "title")), selected_pairs(keywords))
+    return with_tags(tagged.withColumn("accident", F.array_intersect("accident", "_open")).drop("_open"))
+
+
+def replay(raw_news: DataFrame, raw_posts: DataFrame, seed: DataFrame, categories, news_scorer: Scorer,
+           keywords: DataFrame, post_scorer: Scorer, threshold: int = ISSUE_THRESHOLD, every: str = "1 hour",
+           ttl: str | None = None, k: int = TOP_K, on_failure: int | None = 0,
+           periods: list[str] | None = None) -> Replay:
+    """G1 and G2 for every batch in one pass over each raw table.
+
+    Articles are aggregated to (key, period). Running sums over a key's periods give the
+    news state of every batch, so also the intervals in which an issue is open. Posts meet
+    these by their period and category, are scored and aggregated per (category, period)
+    and spread over the open entities. The issue score of each batch then needs that batch's
+    counts, and an alert the score of the batch before (``lag``). Only rows per key and
+    period are kept; windows partition by key, so a hot key costs one row per period.
+
+    ``periods`` gives the schedule (of periods of length ``every``); by default it is every
+    period from the earliest record to the latest."""
+    starts = schedule([raw_news, raw_posts], every, periods)
+    per = materialise(news_by_period(raw_news, categories, news_scorer, every, on_failure), "replay-per")
+    news_states = materialise(_news_states(seed, starts, every, per, threshold, ttl), "replay-news")
+    issues = news_states.filter("is_issue").select(*KEYS, "batch_period")
+    tagged = _open_tags(raw_posts, keywords, issues, every)
+    posts = aggregate_batch(score_tagged(tagged, issues, post_scorer, on_failure, k=k, by=("batch_period",)), k)
+
+    rows = news_states.join(posts.withColumnRenamed("count", "_n"), [*KEYS, "batch_period"], "left")
+    w = Window.partitionBy(*KEYS).orderBy("period_start")
+    run = Window.partitionBy(*KEYS, "_run").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
+
+    def base(c, zero):
+        return F.when(F.col("_run") == 0, F.col(f"_seed_{c}")).otherwise(zero)
+
+    latest = F.last(F.when(F.col("_n").isNotNull(), F.struct("avg_comm_score")), ignorenulls=True).over(run)
+    counted, before = F.sum("_n").over(run), base("comm_acc_count", F.lit(0).cast("bigint"))
+    rows = rows.withColumns({
+        "comm_score": F.when(latest.isNotNull(), latest["avg_comm_score"]).otherwise(base("comm_score", F.lit(0.0))),
+        "comm_acc_count": F.when(counted.isNotNull(), F.coalesce(before, F.lit(0)) + counted).otherwise(before),
+        "comm_count": F.coalesce("_n", F.lit(0)).cast("bigint"),
+        "dashboard_url": F.col("_seed_dashboard_url")})
+    rows = rows.withColumn("issue_score", F.when(F.col("is_issue"), issue_score_col(rows))
+                           .otherwise(base("issue_score", F.lit(0.0))))
+    old = (F.when(F.col("_expired"), 0.0).when(F.row_number().over(w) == 1, F.col("_seed_issue_score"))
+           .otherwise(F.lag("issue_score").over(w)))
+    rows = rows.withColumn("_old", old)
+    changed = severity(F.col("_old")) != severity(F.col("issue_score"))
+    rows = rows.withColumn("is_alert", F.col("is_issue") & (F.col("_opened") | changed))
+    rows = materialise(rows.select(*STATE_COLS, "batch_period", "period_end", "news_count", "comm_count", "top_comm",
+                                   "comm_positive_count", "comm_negative_count"), "replay-states")
+    states = rows.select(*STATE_COLS, "batch_period")
+    facts = rows.filter(F.col("is_issue") & F.col("top_comm").isNotNull()).select(
+        *KEYS, "issue_score", "comm_count", "news_count", "start_batch_time", F.col("period_end").alias("batch_time"),
+        "top_comm", "comm_positive_count", "comm_negative_count", "batch_period")
+    news = per.select(*KEYS, "count", "avg_news_score", "batch_period")
+    return Replay(states, news, posts, facts, render_alert(alertable(states, keep=("batch_period",)),
+                                                           keep=("batch_period",)))
+
+
 def replay_batches(raw_news: DataFrame, raw_posts: DataFrame | None, periods: list[str],
                    seed: DataFrame, categories, news_scorer: Scorer,
                    keywords: DataFrame | None = None, post_scorer: Scorer | None = None,
@@ -131,7 +274,6 @@ def replay_batches(raw_news: DataFrame, raw_posts: DataFrame | None, periods: li
     the final state. ``periods`` is the schedule (a list of period strings),
     not data. The state's lineage is cut with a reliable checkpoint."""
     from ..operators.periods import in_period
-    from ..functions.time import parse_period_end, parse_period_start
     state = seed
     for i, p in enumerate(periods):
         s, e = (F.lit(p), F.lit(p))
