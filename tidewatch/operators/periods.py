@@ -88,6 +88,21 @@ def period_from_marker(markers: DataFrame, col: str = "marker") -> DataFrame:
                           F.concat_ws("_", m["start_time"], m["end_time"]).alias("batch_period"))
 
 
+def arrived_markers(lines: DataFrame) -> DataFrame:
+    """Marker lines (``value``, a JSON text each) -> (batch_period, source) of the arrivals
+    that succeeded (B7). Lines that are no such marker are left out."""
+    m = period_from_marker(lines.select(F.col("value").alias("marker")))
+    ok = ((F.get_json_object("marker", "$.status") == "success") & F.col("marker_source").isNotNull()
+          & F.col("batch_period").rlike(r"^[0-9-]{19}_[0-9-]{19}$"))
+    return m.filter(ok).select("batch_period", F.col("marker_source").alias("source"))
+
+
+def ready_periods(arrived: DataFrame, sources: list[str]) -> DataFrame:
+    """The batch periods of ``arrived`` (batch_period, source) that lack no source."""
+    lacking = missing_sources(expected_markers(arrived, sources), arrived, on=("batch_period", "source"))
+    return arrived.select("batch_period").distinct().join(lacking, "batch_period", "left_anti")
+
+
 def sort_by_time(df: DataFrame, col: str = "post_time", tie: str | None = None) -> DataFrame:
     """Ascending sort by time (B8): a range-partitioned global sort.
 

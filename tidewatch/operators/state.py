@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..config import ISSUE_THRESHOLD, ISSUE_TTL
 from ..functions.time import parse_period_end, parse_period_start
 from ..schemas import STATE
+from .joins import join_small
 
 KEYS = ["car_model", "accident"]
 STATE_COLS = [f.name for f in STATE.fields]
@@ -147,9 +148,15 @@ def append_evidence(evidence: DataFrame | None, batch: DataFrame, batch_period:
     return b if evidence is None else evidence.unionByName(b)
 
 
-def current_evidence(evidence: DataFrame, state: DataFrame) -> DataFrame:
-    """Evidence rows of each key's current run (since its start_batch_time)."""
-    s = state.select(*KEYS, "start_batch_time")
-    return (evidence.join(s, KEYS, "inner")
+def current_evidence(evidence: DataFrame, state: DataFrame, period: str | None = None) -> DataFrame:
+    """The evidence behind a snapshot: of each key, the articles of its current run, from
+    the batch in which the run started to the snapshot's ``period`` (E3 under E6).
+
+    What an expired issue had gathered before is not part of it, though nothing is removed
+    from the evidence: the snapshot's ``start_batch_time`` says where the run begins."""
+    begun = state.filter(F.col("start_batch_time").isNotNull()).select(*KEYS, "start_batch_time")
+    rows = evidence if period is None else evidence.filter(F.col("batch_period") <= period)
+    # one row per key: broadcast after a check of its size, else salted
+    return (join_small(rows, begun, KEYS, "inner")
             .filter(parse_period_start(F.col("batch_period")) >= F.col("start_batch_time"))
             .drop("start_batch_time"))

@@ -31,6 +31,7 @@ from . import community, news, replay
 
 R = 6  # rounding of averages and scores on both sides
 ENTITY_WORDS = ["the", "und", "los", "les"]
+SITES = {"de", "en", "es", "fr"}  # the sources whose markers a batch waits for
 # period of the news records read from pages
 NEWS_FROM, NEWS_TO = "2024-01-01 01:00:00", "2024-01-09 00:00:00"
 PROMPT = "[%s / %s] %s :: %s"
@@ -162,6 +163,18 @@ def a5_state_snapshots(spark, sf):
     return _state_out(io.read_state(spark, base, BATCH_B + "~"))
 
 
+AS_OF = ["2024-01-01-03-30-00", "2024-01-01-10-30-00", "2124"]
+
+
+def a5_state_as_of(spark, sf):
+    """The state after every hourly batch, stored as bases and changes, read as of some
+    times: the last snapshot before each."""
+    states = _replay(spark, sf).states
+    store = io.state_store(spark, scratch_path(spark, "snapshots"), base_every=5)
+    store.write(states, [r[0] for r in states.select("batch_period").distinct().collect()])
+    return _state_out(io.union_sources([store.read_before(t).withColumn("as_of", F.lit(t)) for t in AS_OF]))
+
+
 def a6_append_fact(spark, sf):
     base = scratch_path(spark, "fact")
     _, cb = _community_batch(spark, sf)
@@ -527,6 +540,15 @@ def e3_append_evidence(spark, sf):
     return ev
 
 
+def e3_current_evidence(spark, sf):
+    """The articles of each key's current run, after a replay with expiry."""
+    docs = _docs(spark, sf)
+    timed = periods.assign_period(raw_news(docs), "1 hour")
+    evidence = news.tag_news(timed, NEWS_CATEGORIES, keep=("batch_period",)).select(
+        "car_model", "accident", "content", "link", "batch_period")
+    return state.current_evidence(evidence, g3_replay_news_expiry(spark, sf))
+
+
 def e5_open_issues(spark, sf):
     return _state_out(_news_batch(spark, sf).state)
 
@@ -629,12 +651,39 @@ def f3_render_alert(spark, sf):
 
 
 # ---------------------------------------------------------------- G: compositions
+def _write_markers(spark, path, arrived):
+    """Marker files as the sources leave them, from (source, batch_period)."""
+    bounds = F.split("batch_period", "_")
+    arrived.select(F.to_json(F.struct("source", bounds[0].alias("start_time"), bounds[1].alias("end_time"),
+                                      F.lit("success").alias("status"))).alias("value")) \
+        .repartition(3).write.text(path)
+
+
+def _run_news_files(spark, sf):
+    """G1 as a file job behind its markers; returns the folder and its inputs."""
+    docs = _docs(spark, sf)
+    base = scratch_path(spark, "job")
+    io.write_records(raw_news(docs), f"{base}/raw", ONE_BATCH)
+    _write_markers(spark, f"{base}/markers", docs.select(
+        F.col("lang").alias("source"), F.lit(ONE_BATCH).alias("batch_period")).distinct())
+    news.run_ready_news(spark, f"{base}/markers", f"{base}/raw", f"{base}/out", NEWS_CATEGORIES,
+                        _scorer(spark, sf), standins.seed(docs), sorted(SITES))
+    return docs, base
+
+
 def g1_run_news(spark, sf):
-    return e5_open_issues(spark, sf)
+    """The news job over files, started by its markers: the snapshot that it wrote."""
+    _, base = _run_news_files(spark, sf)
+    return _state_out(io.read_state(spark, f"{base}/out/state_news"))
 
 
 def g2_run_community(spark, sf):
-    return e17_to_fact(spark, sf)
+    """The community job over files, after the news job: the fact rows that it appended."""
+    docs, base = _run_news_files(spark, sf)
+    io.write_records(raw_posts(docs), f"{base}/posts", ONE_BATCH)
+    community.run_community_job(spark, f"{base}/posts", f"{base}/out", ONE_BATCH, standins.keyword_table(spark),
+                                _scorer(spark, sf))
+    return _rounded(io.read_fact(spark, f"{base}/out/fact").drop("batch_period"), ["issue_score"])
 
 
 def g3_replay_news(spark, sf):
@@ -673,21 +722,56 @@ def g3_replay_alerts(spark, sf):
     return _replay(spark, sf).alerts.select("car_model", "accident", "batch_period", "level", "color")
 
 
-def g4_stream_news(spark, sf):
-    """Hourly raw-news folders of several files each, drained by the file stream in
-    micro-batches that cut through the hours; final state snapshot."""
+def _hourly_folders(spark, docs, base):
+    """Raw-news folders of several files each; returns their number."""
+    raw = periods.assign_period(raw_news(docs), "1 hour").drop("period_start", "period_end")
+    raw.repartition(3, "link").write.partitionBy("batch_period").parquet(f"{base}/raw")
+    return len(spark.read.parquet(f"{base}/raw").inputFiles())
+
+
+def _streamed(spark, sf, ttl=None):
     from ..streaming import stream_news
     docs = _docs(spark, sf)
     base = scratch_path(spark, "stream")
-    raw = periods.assign_period(raw_news(docs), "1 hour").drop("period_start", "period_end")
-    raw.repartition(3, "link").write.partitionBy("batch_period").parquet(f"{base}/raw")
-    files = len(spark.read.parquet(f"{base}/raw").inputFiles())
+    files = _hourly_folders(spark, docs, base)
     q = stream_news(spark, f"{base}/raw", f"{base}/out", f"{base}/ckpt", NEWS_CATEGORIES,
                     _scorer(spark, sf), standins.seed(docs),
-                    max_files_per_trigger=-(-files // 4))
+                    max_files_per_trigger=-(-files // 4), ttl=ttl)
     q.awaitTermination()
     return _state_out(io.read_state(spark, f"{base}/out/state"))
 
 
+def g4_stream_news(spark, sf):
+    """Hourly raw-news folders of several files each, drained by the file stream in
+    micro-batches that cut through the hours; final state snapshot."""
+    return _streamed(spark, sf)
+
+
+def g4_stream_news_expiry(spark, sf):
+    """The same with issues expiring two hours after a key's last article."""
+    return _streamed(spark, sf, REPLAY_TTL)
+
+
+# a site's marker for an hour is there if it has this many articles
+ARRIVED_FROM = 5
+
+
+def g4_complete_news(spark, sf):
+    """The stream behind the arrival gate: only hours for which every site's marker has
+    arrived are folded; final state snapshot."""
+    from ..streaming import stream_complete_news
+    docs = _docs(spark, sf)
+    base = scratch_path(spark, "gated")
+    _hourly_folders(spark, docs, base)
+    hours = periods.assign_period(raw_news(docs), "1 hour")
+    arrived = hours.groupBy("source", "batch_period").count().filter(F.col("count") >= ARRIVED_FROM)
+    _write_markers(spark, f"{base}/markers", arrived)
+    q = stream_complete_news(spark, f"{base}/markers", f"{base}/raw", f"{base}/out", f"{base}/ckpt",
+                             NEWS_CATEGORIES, _scorer(spark, sf), standins.seed(docs), sorted(SITES),
+                             max_files_per_trigger=1)
+    q.awaitTermination()
+    return _state_out(io.read_state(spark, f"{base}/out/state", seed=standins.seed(docs)))
+
+
 QUERIES = {name: fn for name, fn in globals().items()
            if callable(fn) and name[:1] in "abcdefg" and name[1:2].isdigit()}

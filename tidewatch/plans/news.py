@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import ISSUE_THRESHOLD
 from ..operators.aggregate import aggregate_news, news_evidence
+from ..operators.periods import arrived_markers, ready_periods
 from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import news_step
 from ..operators.tagging import (clean_columns, explode_tags, project_news, tag_flat,
@@ -87,6 +88,20 @@ def run_news_job(spark: SparkSession, raw_base: str, out_base: str, batch_period
                      state)
 
 
+def run_ready_news(spark: SparkSession, marker_base: str, raw_base: str, out_base: str, categories,
+                   scorer: Scorer, seed: DataFrame, sources: list[str], threshold: int = ISSUE_THRESHOLD,
+                   ttl: str | None = None) -> list[str]:
+    """G1 for every batch whose ``sources`` have all left a marker under ``marker_base`` (B6,
+    B7) and that has not been run, in order; returns their periods. Batches that still lack
+    a source are left for a later call."""
+    arrived = arrived_markers(spark.read.text(marker_base))
+    ready = {r[0] for r in ready_periods(arrived, sources).collect()}  # the schedule, one text a batch
+    todo = sorted(ready - io.state_periods(spark, f"{out_base}/state_news"))
+    for period in todo:
+        run_news_job(spark, raw_base, out_base, period, categories, scorer, seed, threshold, ttl)
+    return todo
+
+
 def _after(batch_period: str) -> str:
     """A key that sorts right after ``batch_period`` (snapshots compare as text)."""
     return batch_period + "~"

@@ -633,3 +633,24 @@ SQL["g3_replay_alerts"] = f"""WITH RECURSIVE {STEPS}
 SELECT car_model, accident, batch_period, {_lvl.replace('x', 'issue_score')} AS level,
   {_col.replace('x', 'issue_score')} AS color FROM batches WHERE is_alert"""
 SQL["g4_stream_news"] = SQL["g3_replay_news"]
+SQL["g4_stream_news_expiry"] = SQL["g3_replay_news_expiry"]
+_COMPLETE = """
+complete AS (
+  SELECT ps FROM (SELECT date_trunc('hour', post_time) AS ps, source FROM news_raw
+                  WHERE source IN ('de', 'en', 'es', 'fr') GROUP BY ALL HAVING count(*) >= 5)
+  GROUP BY ps HAVING count(*) = 4),"""
+_HOUR = "date_trunc('hour', post_time)"
+_GATED = (REPLAY.replace("\nper AS (", _COMPLETE + "\nper AS (")
+          .replace(f"FROM news_scored GROUP BY car_model, accident, {_HOUR}",
+                   f"FROM news_scored WHERE {_HOUR} IN (SELECT ps FROM complete) GROUP BY car_model, accident, {_HOUR}")
+          .replace("SELECT date_trunc('hour', max(post_time)) AS f FROM news_raw", "SELECT max(ps) AS f FROM complete"))
+SQL["g4_complete_news"] = _with(_GATED, f"SELECT {STATE_COLS} FROM replayed")
+SQL["a5_state_as_of"] = f"""WITH RECURSIVE {STEPS}
+SELECT {STATE_COLS}, t.as_of FROM batches b JOIN (
+  SELECT as_of, max(batch_period) AS p FROM batches,
+         (VALUES ('2024-01-01-03-30-00'), ('2024-01-01-10-30-00'), ('2124')) v(as_of)
+  WHERE batch_period < as_of GROUP BY as_of) t ON b.batch_period = t.p"""
+SQL["e3_current_evidence"] = _with(REPLAY_EXPIRY, f"""SELECT n.car_model, n.accident, n.content, n.link,
+  {_period('n.post_time', 'hour')} AS batch_period
+  FROM news_scored n JOIN replayed r USING (car_model, accident)
+  WHERE date_trunc('hour', n.post_time) >= r.start_batch_time""")

@@ -160,15 +160,21 @@ def schedule(raws: list[DataFrame], every: str, periods: list[str] | None = None
     return F.sequence(bound(F.min), bound(F.max), F.expr(f"INTERVAL {every}"))
 
 
-def _news_states(seed: DataFrame, starts: Column, every: str, per: DataFrame, threshold: int,
-                 ttl: str | None) -> DataFrame:
-    """The state after the news stage of every batch, a row per key and batch, with what
-    the community stage needs: ``_run`` (how often the key has expired), ``_expired``,
-    ``_opened``, ``news_count`` and the seed's values as ``_seed_*``."""
-    dense = (seed.select(*KEYS, *[F.col(c).alias(f"_seed_{c}") for c in STATE_COLS if c not in KEYS])
-             .withColumn("_starts", starts).withColumn("period_start", F.explode("_starts")).drop("_starts")
-             .withColumn("period_end", F.col("period_start") + F.expr(f"INTERVAL {every}"))
-             .withColumn("batch_period", format_period("period_start", "period_end")))
+def seeded(seed: DataFrame) -> DataFrame:
+    """The keys with the state before the first batch as ``_seed_*``."""
+    return seed.select(*KEYS, *[F.col(c).alias(f"_seed_{c}") for c in STATE_COLS if c not in KEYS])
+
+
+def from_seed(col: str, zero: Column) -> Column:
+    """The seed's value while the key has not expired since, else ``zero``."""
+    return F.when(F.col("_run") == 0, F.col(f"_seed_{col}")).otherwise(zero)
+
+
+def news_states(dense: DataFrame, per: DataFrame, threshold: int, ttl: str | None) -> DataFrame:
+    """The state after the news stage of every batch (E1, E2, E4-E6), from ``dense``: a row
+    per key (``seeded``) and batch (period_start, period_end, batch_period), and the batches'
+    aggregates ``per``. Adds what the community stage needs: ``_run`` (how often the key has
+    expired), ``_expired``, ``_opened`` and ``news_count``."""
     rows = dense.join(per.select(*KEYS, "batch_period", "count", "avg_news_score"), [*KEYS, "batch_period"], "left")
     w = Window.partitionBy(*KEYS).orderBy("period_start")
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -181,10 +187,7 @@ def _news_states(seed: DataFrame, starts: Column, every: str, per: DataFrame, th
     rows = rows.withColumn("_expired", stale)
     rows = rows.withColumn("_run", F.sum(F.col("_expired").cast("int")).over(so_far))
     run = Window.partitionBy(*KEYS, "_run").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
-
-    def base(c, zero):
-        return F.when(F.col("_run") == 0, F.col(f"_seed_{c}")).otherwise(zero)
-
+    base = from_seed
     none = F.lit(None).cast("timestamp_ntz")
     before = base("news_acc_count", F.lit(0).cast("bigint"))
     first = F.first(F.when(has_news, F.col("period_start")), ignorenulls=True).over(run)
@@ -228,18 +231,18 @@ def replay(raw_news: DataFrame, raw_posts: DataFrame, seed: DataFrame, categorie
     period from the earliest record to the latest."""
     starts = schedule([raw_news, raw_posts], every, periods)
     per = materialise(news_by_period(raw_news, categories, news_scorer, every, on_failure), "replay-per")
-    news_states = materialise(_news_states(seed, starts, every, per, threshold, ttl), "replay-news")
-    issues = news_states.filter("is_issue").select(*KEYS, "batch_period")
+    dense = (seeded(seed).withColumn("_starts", starts).withColumn("period_start", F.explode("_starts"))
+             .drop("_starts").withColumn("period_end", F.col("period_start") + F.expr(f"INTERVAL {every}"))
+             .withColumn("batch_period", format_period("period_start", "period_end")))
+    after_news = materialise(news_states(dense, per, threshold, ttl), "replay-news")
+    issues = after_news.filter("is_issue").select(*KEYS, "batch_period")
     tagged = _open_tags(raw_posts, keywords, issues, every)
     posts = aggregate_batch(score_tagged(tagged, issues, post_scorer, on_failure, k=k, by=("batch_period",)), k)
 
-    rows = news_states.join(posts.withColumnRenamed("count", "_n"), [*KEYS, "batch_period"], "left")
+    rows = after_news.join(posts.withColumnRenamed("count", "_n"), [*KEYS, "batch_period"], "left")
     w = Window.partitionBy(*KEYS).orderBy("period_start")
     run = Window.partitionBy(*KEYS, "_run").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
-
-    def base(c, zero):
-        return F.when(F.col("_run") == 0, F.col(f"_seed_{c}")).otherwise(zero)
-
+    base = from_seed
     latest = F.last(F.when(F.col("_n").isNotNull(), F.struct("avg_comm_score")), ignorenulls=True).over(run)
     counted, before = F.sum("_n").over(run), base("comm_acc_count", F.lit(0).cast("bigint"))
     rows = rows.withColumns({

@@ -2,14 +2,13 @@
 
 Every table is Parquet, partitioned by ``batch_period`` (and ``source`` for raw
 records). Writes use dynamic partition overwrite, so rerunning a batch replaces
-its partition instead of appending a second copy.
+its partition instead of appending a second copy. State snapshots are kept as a base
+plus changes (``snapshots``).
 """
 
 from __future__ import annotations
 
-import re
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .snapshots import BASE_EVERY, SnapshotStore, missing_path
 
 RAW_SCHEMAS = {"news": schemas.RAW_NEWS, "posts": schemas.RAW_POSTS}
 AGG_SCHEMAS = {"news": schemas.NEWS_AGG, "posts": schemas.POST_AGG,
@@ -27,10 +27,6 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _missing_path(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
-
-
 def read_batch(spark: SparkSession, schema: T.StructType, base: str, period: str) -> DataFrame:
     """One batch partition of a table, with the declared schema; a missing
     partition is an empty batch."""
@@ -39,7 +35,7 @@ def read_batch(spark: SparkSession, schema: T.StructType, base: str, period: str
         return spark.read.schema(schema).option("basePath", base).parquet(path).select(
             *schema.fieldNames())
     except AnalysisException as e:
-        if _missing_path(e):
+        if missing_path(e):
             return empty(spark, schema)
         raise
 
@@ -77,52 +73,29 @@ def read_records(spark: SparkSession, kind: str, base: str, period: str) -> Data
     return read_raw(spark, kind, base, period)
 
 
+def state_store(spark: SparkSession, base: str, base_every: int = BASE_EVERY) -> SnapshotStore:
+    """The state snapshots under ``base`` (A5)."""
+    return SnapshotStore(spark, base, schemas.STATE, ["car_model", "accident"], base_every)
+
+
 def read_state(spark: SparkSession, base: str, before_period: str | None = None,
                seed: DataFrame | None = None) -> DataFrame:
     """The latest state snapshot strictly before ``before_period`` (A5); ``seed``
-    when there is none. Snapshots are partitions of ``base`` by batch_period."""
-    try:
-        all_ = spark.read.schema(_state_with_period()).parquet(base)
-    except AnalysisException as e:
-        if _missing_path(e):
-            return seed if seed is not None else empty(spark, schemas.STATE)
-        raise
-    # the latest earlier snapshot, from the partition listing: no file is opened
-    cand = [p for p in snapshot_periods(all_) if before_period is None or p < before_period]
-    latest = max(cand, default=None)
-    if latest is None:
+    when there is none."""
+    got = state_store(spark, base).read_before(before_period)
+    if got is None:
         return seed if seed is not None else empty(spark, schemas.STATE)
-    return all_.filter(F.col("batch_period") == latest).select(*schemas.STATE.fieldNames())
+    return got
 
 
 def state_periods(spark: SparkSession, base: str) -> set[str]:
     """Batch periods that have a state snapshot under ``base``; none yet is empty."""
-    try:
-        return snapshot_periods(spark.read.schema(_state_with_period()).parquet(base))
-    except AnalysisException as e:
-        if _missing_path(e):
-            return set()
-        raise
-
-
-def snapshot_periods(df: DataFrame) -> set[str]:
-    """Batch periods present in a table partitioned by ``batch_period``, read
-    from the paths Spark lists for it (one per file, metadata only)."""
-    found = set()
-    for f in df.inputFiles():
-        m = re.search(r"/batch_period=([^/]+)/", f)
-        if m:
-            found.add(unquote(m.group(1)))
-    return found
-
-
-def _state_with_period() -> T.StructType:
-    return T.StructType(list(schemas.STATE.fields) + [T.StructField("batch_period", T.StringType())])
+    return state_store(spark, base).periods()
 
 
 def write_state(state: DataFrame, base: str, period: str) -> None:
-    """Write the snapshot produced by ``period`` (A5)."""
-    write_batch(state.select(*schemas.STATE.fieldNames()), base, period)
+    """Write the snapshot produced by ``period`` (A5): its changes, or a base."""
+    state_store(state.sparkSession, base).write(state.withColumn("batch_period", F.lit(period)), [period])
 
 
 def append_fact(fact: DataFrame, base: str, period: str) -> None:
@@ -137,7 +110,7 @@ def read_fact(spark: SparkSession, base: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(base)
     except AnalysisException as e:
-        if _missing_path(e):
+        if missing_path(e):
             return empty(spark, schema)
         raise
 

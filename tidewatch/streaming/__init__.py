@@ -1,3 +1,3 @@
 """Incremental processing of newly arrived batch files."""
 
-from .news_stream import stream_news  # noqa: F401
+from .news_stream import stream_complete_news, stream_news  # noqa: F401

@@ -8,18 +8,21 @@ own time says. A batch may arrive in any number of micro-batches and in any orde
   counts and score sums, so the text work and the scorer run once per record and a
   replayed micro-batch rewrites its own partitions;
 * ``news/batch_period=`` is the union of a period's parts (D13);
-* ``state/batch_period=`` holds one snapshot per period. A micro-batch rewrites the
-  snapshots from the earliest period it touched on, in one job: running sums over each
-  key's periods, seeded by the snapshot before.
+* ``state`` holds one snapshot per period (A5). A micro-batch rewrites the snapshots from
+  the earliest period it touched on, in one job: running sums over each key's periods,
+  begun from the snapshot before, which holds the sums and the start of each key's current
+  run. With ``ttl`` a key that is stale in a batch (E6) begins a new run there.
 
 Every micro-batch thus leaves the tables that G1 leaves after the same files, one batch
 per period. ``out_base`` and ``checkpoint`` belong together: the epoch numbers in the
 parts come from the checkpoint. Records in no ``batch_period`` folder are in no batch.
+
+``stream_complete_news`` folds a period only when all its sources have arrived (``gate``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,12 +31,15 @@ from ..functions.time import parse_period_end, parse_period_start
 from ..operators.scoring import Scorer
 from ..operators.state import KEYS, STATE_COLS
 from ..plans.news import score_news
+from ..plans.replay import from_seed, news_states, seeded
 from ..schemas import RAW_NEWS
 from ..sources import io
+from .gate import STATE_STORE, arrivals, gate
 
 PERIOD = T.StructField("batch_period", T.StringType())
-PARTS = T.StructType.fromDDL("car_model string, accident string, count bigint, scored bigint, "
-                             "score_sum bigint, batch_period string, epoch bigint")
+PARTS = T.StructType([T.StructField(n, t) for n, t in (
+    ("car_model", T.StringType()), ("accident", T.StringType()), ("count", T.LongType()), ("scored", T.LongType()),
+    ("score_sum", T.LongType()), ("batch_period", T.StringType()), ("epoch", T.LongType()))])
 
 
 def news_parts(batch: DataFrame, categories, scorer: Scorer) -> DataFrame:
@@ -52,41 +58,19 @@ def union_parts(parts: DataFrame) -> DataFrame:
 
 
 def snapshots(per: DataFrame, before: DataFrame, periods: list[str],
-              threshold: int = ISSUE_THRESHOLD) -> DataFrame:
+              threshold: int = ISSUE_THRESHOLD, ttl: str | None = None) -> DataFrame:
     """The state after each of ``periods`` (with its ``batch_period``), from the state
-    before the first of them and the aggregates ``per`` of the periods.
-
-    A key's row holds from its period to the one before the key's next, so each key
-    gives one row per period: (state rows) x (periods) rows, none of them per article."""
-    schedule = F.array(*[F.lit(p) for p in sorted(periods)])
-    w = Window.partitionBy(*KEYS).orderBy("batch_period")
-    run = (per.withColumn("_acc", F.sum("count").over(
-                w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_first", F.min("batch_period").over(Window.partitionBy(*KEYS)))
-              .withColumn("_next", F.lead("batch_period").over(w)))
-    holds = F.filter(schedule, lambda p: (p >= F.col("batch_period"))
-                     & (F.col("_next").isNull() | (p < F.col("_next"))))
-    held = run.select(*KEYS, F.col("batch_period").alias("_from"), "_first", "_acc",
-                      (F.col("_acc") - F.col("count")).alias("_prev"),
-                      F.col("avg_news_score").alias("_score"),
-                      F.explode(holds).alias("batch_period"))
-    state = before.withColumn("batch_period", F.explode(schedule))
-    j = state.join(held, [*KEYS, "batch_period"], "left")
-    m = F.col("_acc").isNotNull()
-    acc = F.col("news_acc_count") + F.coalesce(F.col("_acc"), F.lit(0))
-    opened = (m & (F.col("_from") == F.col("batch_period")) & (acc >= threshold)
-              & (F.col("news_acc_count") + F.col("_prev") < threshold) & ~F.col("is_issue"))
-    upd = {
-        "start_batch_time": F.when(m & (F.col("news_acc_count") == 0), parse_period_start("_first"))
-                             .otherwise(F.col("start_batch_time")),
-        "last_batch_time": F.when(m, parse_period_end("_from")).otherwise(F.col("last_batch_time")),
-        "news_acc_count": acc,
-        "news_score": F.when(m, F.col("_score")).otherwise(F.col("news_score")),
-        "is_issue": F.col("is_issue") | (acc >= threshold),
-        "is_alert": F.coalesce(opened, F.lit(False)),
-    }
-    return j.select(*[upd[c].alias(c) if c in upd else F.col(c) for c in STATE_COLS],
-                    "batch_period")
+    before the first of them and the aggregates ``per`` of the periods: (state rows) x
+    (periods) rows, none of them per article."""
+    names = F.array(*[F.lit(p) for p in sorted(periods)])
+    dense = seeded(before).withColumn("batch_period", F.explode(names)).withColumns({
+        "period_start": parse_period_start("batch_period"), "period_end": parse_period_end("batch_period")})
+    rows = news_states(dense, per, threshold, ttl)
+    zero, none = F.lit(0.0), F.lit(0).cast("bigint")
+    return rows.withColumns({
+        "comm_acc_count": from_seed("comm_acc_count", none), "comm_score": from_seed("comm_score", zero),
+        "issue_score": from_seed("issue_score", zero), "is_alert": F.col("_opened"),
+        "dashboard_url": F.col("_seed_dashboard_url")}).select(*STATE_COLS, "batch_period")
 
 
 def _replace(df: DataFrame, path: str, *by: str) -> None:
@@ -94,38 +78,74 @@ def _replace(df: DataFrame, path: str, *by: str) -> None:
        .partitionBy(*by).parquet(path))
 
 
+def fold(batch: DataFrame, touched: list[str], epoch: int, out_base: str, categories, scorer: Scorer,
+         seed: DataFrame, threshold: int = ISSUE_THRESHOLD, ttl: str | None = None) -> None:
+    """Add ``batch`` (raw news with ``batch_period``, of the periods ``touched``) to the
+    tables under ``out_base``."""
+    spark, touched = batch.sparkSession, sorted(touched)
+    parts_base, store = f"{out_base}/news_parts", io.state_store(batch.sparkSession, f"{out_base}/state")
+    mine = batch.filter(F.col("batch_period").isNotNull())
+    _replace(news_parts(mine, categories, scorer).withColumn("epoch", F.lit(epoch)),
+             parts_base, "batch_period", "epoch")
+    parts = spark.read.schema(PARTS).parquet(parts_base)
+    _replace(union_parts(parts.filter(F.col("batch_period").isin(touched))), f"{out_base}/news", "batch_period")
+    later = [p for p in store.periods() if p >= touched[0]]
+    before = store.read_before(touched[0])
+    per = union_parts(parts.filter(F.col("batch_period") >= touched[0]))
+    periods = sorted({*touched, *later})
+    store.write(snapshots(per, seed if before is None else before, periods, threshold, ttl), periods)
+
+
+def _started(stream: DataFrame, run, checkpoint: str, available_now: bool):
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
+
+
 def stream_news(spark: SparkSession, raw_base: str, out_base: str, checkpoint: str,
                 categories, scorer: Scorer, seed: DataFrame,
                 threshold: int = ISSUE_THRESHOLD, available_now: bool = True,
-                max_files_per_trigger: int | None = None):
+                max_files_per_trigger: int | None = None, ttl: str | None = None):
     """Start the stream; returns the StreamingQuery (``availableNow`` drains
     what has arrived, then stops)."""
     schema = T.StructType([*RAW_NEWS.fields, PERIOD])
     reader = spark.readStream.schema(schema).option("basePath", raw_base)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(raw_base)
-    parts_base, state_base = f"{out_base}/news_parts", f"{out_base}/state"
 
-    def fold(batch: DataFrame, epoch_id: int) -> None:
+    def run(batch: DataFrame, epoch: int) -> None:
         # folder names of this micro-batch: the schedule, not data
-        touched = sorted(r[0] for r in batch.select("batch_period").distinct().collect()
-                         if r[0] is not None)
-        if not touched:
-            return
-        mine = batch.filter(F.col("batch_period").isNotNull())
-        _replace(news_parts(mine, categories, scorer).withColumn("epoch", F.lit(epoch_id)),
-                 parts_base, "batch_period", "epoch")
-        since = F.col("batch_period") >= touched[0]
-        _replace(union_parts(spark.read.schema(PARTS).parquet(parts_base)
-                             .filter(F.col("batch_period").isin(touched))),
-                 f"{out_base}/news", "batch_period")
-        per = union_parts(spark.read.schema(PARTS).parquet(parts_base).filter(since))
-        later = [p for p in io.state_periods(spark, state_base) if p >= touched[0]]
-        before = io.read_state(spark, state_base, touched[0], seed)
-        _replace(snapshots(per, before, sorted({*touched, *later}), threshold),
-                 state_base, "batch_period")
-
-    w = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+        touched = [r[0] for r in batch.select("batch_period").distinct().collect() if r[0] is not None]
+        if touched:
+            fold(batch, touched, epoch, out_base, categories, scorer, seed, threshold, ttl)
+
+    return _started(reader.parquet(raw_base), run, checkpoint, available_now)
+
+
+def stream_complete_news(spark: SparkSession, marker_base: str, raw_base: str, out_base: str, checkpoint: str,
+                         categories, scorer: Scorer, seed: DataFrame, required: list[str],
+                         patience: str = "1 hour", threshold: int = ISSUE_THRESHOLD,
+                         available_now: bool = True, max_files_per_trigger: int | None = None,
+                         ttl: str | None = None):
+    """The news stream behind the arrival gate: a period is folded once, when markers of all
+    ``required`` sources have arrived, with all files that its folder then has. Periods that
+    stay incomplete for ``patience`` are listed in ``<out_base>/incomplete`` with the sources
+    they lack; one that is completed afterwards is folded then."""
+    events = gate(arrivals(spark, marker_base, max_files_per_trigger), required, patience)
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        rows = batch.collect()  # at most two rows per period
+        _replace(batch.filter("status = 'incomplete'").withColumn("epoch", F.lit(epoch)),
+                 f"{out_base}/incomplete", "epoch")
+        ready = sorted({r["batch_period"] for r in rows if r["status"] == "complete"})
+        if ready:
+            raw = [io.read_raw(spark, "news", raw_base, p).withColumn("batch_period", F.lit(p)) for p in ready]
+            fold(io.union_sources(raw), ready, epoch, out_base, categories, scorer, seed, threshold, ttl)
+
+    # the gate keeps its state in the provider that allows timers; other streams keep theirs
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, STATE_STORE)
+    try:
+        return _started(events, run, checkpoint, available_now)
+    finally:
+        spark.conf.set(key, old)
