@@ -10,7 +10,7 @@ sys.path.insert(0, ROOT)
 @pytest.fixture(scope="session")
 def spark():
     from tidewatch.session import build_session
-    s = build_session("local[*]", app="tidewatch-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="tidewatch-tests", shuffle_partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

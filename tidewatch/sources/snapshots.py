@@ -5,9 +5,9 @@ snapshot is stored as the rows that differ from the one before; now and then (ev
 ``base_every`` snapshots) it is stored whole, as a base. The state as of any batch is, for
 each key, the last row among its base and the changes up to it.
 
-    <base>/rows/<version>/batch_period=P/   rows of one write, of any number of snapshots
-    <base>/manifest/month=YYYY-MM/          one row per snapshot: where its rows are, and
-                                            the batch period of its base
+    <base>/rows/version=V/batch_period=P/   rows of one write, of any number of snapshots
+    <base>/manifest/month=YYYY-MM/          one row per snapshot: the version of its rows
+                                            and the batch period of its base
 
 The manifest decides what is there: rows are written first, under a new version, and the
 month's manifest is replaced afterwards. A job that fails in between leaves rows that
@@ -15,6 +15,8 @@ nobody reads, a job that runs again replaces its snapshots, and no reader lists
 read opens the manifest's rows of one or two months and the at most ``base_every`` versions
 of one chain, of which only the partitions of the chain's periods are read.
 
+Keys are added but never removed: a state keeps a row for every key it has ever had.
+
 A snapshot that is written again while later ones exist would change what these add up to;
 the next one is then stored as a base first, so they keep their contents.
 """
@@ -98,13 +100,15 @@ class SnapshotStore:
         versions: dict[str, list[str]] = {}
         for row in self._chain(period):
             versions.setdefault(row["version"], []).append(row["batch_period"])
-        schema = T.StructType([*self.schema.fields, T.StructField("batch_period", T.StringType())])
-        parts = [self.spark.read.schema(schema).parquet(f"{self.base}/rows/{v}")
-                 .filter(F.col("batch_period").isin(periods)) for v, periods in versions.items()]
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        if len(parts) == 1 and len(versions[row["version"]]) == 1:
+        rows = f"{self.base}/rows"
+        schema = T.StructType([*self.schema.fields, T.StructField("version", _TEXT), T.StructField("batch_period", _TEXT)])
+        table = (self.spark.read.schema(schema).option("basePath", rows)
+                 .parquet(*[f"{rows}/version={v}" for v in versions]))
+        mine = F.lit(False)  # a version may hold snapshots that have been written again since
+        for v, periods in versions.items():
+            mine = mine | ((F.col("version") == v) & F.col("batch_period").isin(periods))
+        rows = table.filter(mine)
+        if sum(map(len, versions.values())) == 1:
             return rows.select(*self.schema.names)  # a base: no changes to lay over it
         last = F.max_by(F.struct(*self.schema.names), "batch_period").alias("row")
         # null keys are keys too
@@ -146,7 +150,7 @@ class SnapshotStore:
         changed = ~row.eqNullSafe(F.lag(row).over(w)) | F.lag(F.lit(1)).over(w).isNull()
         out = (states.withColumn("_changed", changed | F.col("batch_period").isin(bases))
                .filter(F.col("_changed") & (F.col("batch_period") != "")).drop("_changed"))
-        out.write.partitionBy("batch_period").parquet(f"{self.base}/rows/{version}")
+        out.write.partitionBy("batch_period").parquet(f"{self.base}/rows/version={version}")
         self._replace_manifest(rows)
 
     def _as_base(self, period: str) -> None:
@@ -156,7 +160,7 @@ class SnapshotStore:
             return
         version = uuid.uuid4().hex
         (self.read(period).withColumn("batch_period", F.lit(period))
-         .write.partitionBy("batch_period").parquet(f"{self.base}/rows/{version}"))
+         .write.partitionBy("batch_period").parquet(f"{self.base}/rows/version={version}"))
         chained = (self.manifest().filter((F.col("batch_period") > period) & (F.col("base_period") == row["base_period"]))
                    .collect())  # at most ``base_every`` rows
         rows = [(period, period, version, 1, period[:7])]
