@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import aggregate as agg
 from tidewatch.operators import tagging
 from tidewatch.operators.issue import issue_score_col
-from tidewatch.operators.scoring import (BatchScorer, ColumnScorer, FallbackScorer,
+from tidewatch.operators.scoring import (BatchScorer, CachedScorer, ColumnScorer, FallbackScorer,
                                          LookupScorer, apply_scorer, fallback_score)
 
 
@@ -97,3 +97,50 @@ def test_lookup_scorer_one_score_per_key(spark):
                        on_failure=None)
     assert sorted((r.link, r.s) for r in got.collect()) == \
         [("l0", None), ("l1", 70), ("l2", 10), ("l3", None)]
+
+
+def test_cached_scorer_asks_once_per_new_prompt(spark, tmp_dir):
+    """Two batches with repeated texts: each different text is asked once in all, failures
+    are asked again, and only the prompt's columns are sent."""
+    import os
+    import tempfile
+    calls = tempfile.mkdtemp()
+
+    def model(pdf: pd.DataFrame) -> pd.Series:
+        assert list(pdf.columns) == ["content", "kind"]
+        for i, text in enumerate(pdf["content"]):
+            open(f"{calls}/{os.getpid()}-{os.urandom(8).hex()}", "w").write(str(text))
+            if text == "bad":
+                raise RuntimeError("remote call failed")
+        return pdf["content"].str.len().fillna(99)
+
+    def asked():
+        return sorted(open(f"{calls}/{f}").read() for f in os.listdir(calls))
+
+    scorer = CachedScorer(BatchScorer(model, ["content", "kind"], chunk_rows=1, retries=0), tmp_dir + "/cache", "m1")
+    schema = "link string, content string, kind string, huge string"
+    first = [("a", "xx", "k", "h"), ("b", "xx", "k", "h"), ("c", None, "k", "h"), ("d", "bad", "k", "h")]
+    got = scorer(spark.createDataFrame(first, schema), "s")
+    assert sorted((r.link, r.s, r.huge) for r in got.collect()) == [
+        ("a", 2, "h"), ("b", 2, "h"), ("c", 99, "h"), ("d", None, "h")]
+    assert got.count() == 4 and asked() == ["None", "bad", "xx"]  # actions ask nothing
+    second = [("e", "xx", "k", "h"), ("f", "yyy", "k", "h"), ("g", "xx", "other", "h"), ("d", "bad", "k", "h")]
+    got = {r.link: r.s for r in scorer(spark.createDataFrame(second, schema), "s").collect()}
+    assert got == {"e": 2, "f": 3, "g": 2, "d": None}
+    assert asked() == ["None", "bad", "bad", "xx", "xx", "yyy"]
+    # another version starts afresh; an empty batch asks nothing
+    assert CachedScorer(ColumnScorer(lambda df: F.lit(1), inputs=["content"]), tmp_dir + "/cache", "m2").known(spark) is None
+    assert scorer(spark.createDataFrame([], schema), "s").collect() == []
+
+
+def test_scratch_is_deleted_with_its_scope(spark):
+    import os
+    from tidewatch.operators.scoring import materialise
+    from tidewatch.session import scratch_path, scratch_scope
+    outer = scratch_path(spark, "kept")
+    spark.range(3).write.parquet(outer)
+    with scratch_scope(spark):
+        inner = materialise(spark.range(5).toDF("x"), "gone").inputFiles()[0]
+        local = inner.removeprefix("file:").replace("//", "/")
+        assert os.path.exists(local)
+    assert not os.path.exists(local) and spark.read.parquet(outer).count() == 3

@@ -14,15 +14,17 @@ checkpoint folder before the two downstream consumers read it.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..session import missing_path, scratch_path
 
 
 class Scorer:
@@ -133,6 +135,48 @@ class FallbackScorer(Scorer):
         return ok.unionByName(retry)
 
 
+class CachedScorer(Scorer):
+    """``inner`` behind a table of scores that outlives the batch.
+
+    A score is kept by the hash of the scorer's inputs (the prompt) under ``version``, which
+    names the scorer. A batch asks the inner scorer once for each different prompt that the
+    table lacks, with nothing but the prompt's columns, and writes the new scores beside the
+    others before it uses them, so a batch that runs again asks nothing. A prompt that
+    failed is not kept and is asked again by the next batch.
+
+    The rows are written once, since both the search for new prompts and the result read
+    them; a prompt that very many rows share is one row of the table, and the join to it is
+    split where it is skewed."""
+
+    def __init__(self, inner: Scorer, path: str, version: str):
+        if inner.inputs is None:
+            raise ValueError("a cached scorer must name its inputs")
+        self.inner, self.path, self.inputs = inner, f"{path.rstrip('/')}/scorer={version}", inner.inputs
+
+    def known(self, spark) -> DataFrame | None:
+        """(prompt, score) of everything asked so far; None before the first batch."""
+        try:
+            rows = spark.read.schema("_prompt string, _score int").parquet(f"{self.path}/*")
+        except AnalysisException as e:
+            if missing_path(e):
+                return None
+            raise
+        # two jobs at once may both have asked
+        return rows.groupBy("_prompt").agg(F.max("_score").alias("_score"))
+
+    def __call__(self, df, out):
+        cols = sorted(self.inputs)
+        prompt = F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+        rows = materialise(df.withColumn("_prompt", prompt), "prompts")
+        asked = rows.select("_prompt", *cols).dropDuplicates(["_prompt"])
+        known = self.known(df.sparkSession)
+        if known is not None:
+            asked = asked.join(known, "_prompt", "left_anti")
+        new = self.inner(asked, "_score").filter(F.col("_score").isNotNull()).select("_prompt", "_score")
+        new.write.parquet(f"{self.path}/{uuid.uuid4().hex}")
+        return rows.join(self.known(df.sparkSession), "_prompt", "left").drop("_prompt").withColumnRenamed("_score", out)
+
+
 def fallback_score(primary, secondary, default: int = 0) -> Column:
     """Column form of D11: first non-NULL score, else ``default``."""
     return F.coalesce(primary, secondary, F.lit(default))

@@ -21,8 +21,8 @@ from ..functions import (clean_text, collapse_ws, format_period, join_paragraphs
 from ..functions.scoring import alert_color, alert_label
 from ..operators import aggregate as agg
 from ..operators import alerts, issue, periods, state, tagging
-from ..operators.scoring import (BatchScorer, ColumnScorer, FallbackScorer, apply_scorer,
-                                 materialise)
+from ..operators.scoring import (BatchScorer, CachedScorer, ColumnScorer, FallbackScorer,
+                                 apply_scorer)
 from ..session import scratch_path
 from ..sources import io, pages, standins
 from ..sources.selectors import Field
@@ -478,6 +478,17 @@ def d12_materialise_scores(spark, sf):
     return scored.select("car_model", "accident", "link", "news_score")
 
 
+def d12_cached_scores(spark, sf):
+    """Two batches scored through one table of scores: the second asks the model only for
+    texts that the first has not asked for."""
+    scorer = CachedScorer(BatchScorer(_length_model, ["content"], max_in_flight=4), scratch_path(spark, "scores"),
+                          "length-1")
+    raw = raw_news(_docs(spark, sf))
+    scored = [news.score_news(_in_batch(raw, p), NEWS_CATEGORIES, scorer).withColumn("batch_period", F.lit(p))
+              for p in (BATCH_A, BATCH_B)]
+    return io.union_sources(scored).select("car_model", "accident", "link", "news_score", "batch_period")
+
+
 def d13_aggregate_news(spark, sf):
     return _rounded(_news_batch(spark, sf).aggregate, ["avg_news_score"])
 

@@ -23,6 +23,7 @@ from ..operators.state import fold_posts, issue_list
 from ..operators.tagging import (clean_columns, expand_to_entities, explode_tags,
                                  select_keywords, selected_pairs, tag_mapped, with_tags)
 from ..schemas import POST_AGG
+from ..session import scratch_scope
 from ..sources import io
 
 
@@ -148,12 +149,17 @@ def run_community_job(spark: SparkSession, raw_base: str, out_base: str, batch_p
                       keywords: DataFrame, scorer: Scorer, k: int = TOP_K) -> CommunityBatch:
     """G2 over files. Reads the news stage's snapshot of this period
     (``state_news``) and writes the batch's final snapshot (``state``), T4 and
-    the fact rows. With no open issue the state passes through unchanged."""
-    raw = io.read_raw(spark, "posts", raw_base, batch_period)
+    the fact rows. With no open issue the state passes through unchanged. What is
+    returned reads these outputs; scratch tables are deleted."""
     news = io.read_aggregate(spark, "news", f"{out_base}/news", batch_period)
-    state = io.read_state(spark, f"{out_base}/state_news", batch_period + "~")
-    res = run_community(raw, batch_period, state, keywords, scorer, news, k)
-    io.write_aggregate(res.aggregate, f"{out_base}/posts", batch_period)
-    io.append_fact(res.fact, f"{out_base}/fact", batch_period)
-    io.write_state(res.state, f"{out_base}/state", batch_period)
-    return res
+    with scratch_scope(spark):
+        raw = io.read_raw(spark, "posts", raw_base, batch_period)
+        state = io.read_state(spark, f"{out_base}/state_news", batch_period + "~")
+        res = run_community(raw, batch_period, state, keywords, scorer, news, k)
+        io.write_aggregate(res.aggregate, f"{out_base}/posts", batch_period)
+        io.append_fact(res.fact, f"{out_base}/fact", batch_period)
+        io.write_state(res.state, f"{out_base}/state", batch_period)
+    agg = io.read_aggregate(spark, "posts", f"{out_base}/posts", batch_period)
+    state = io.read_state(spark, f"{out_base}/state", batch_period + "~")
+    view = batch_view(score_issues(state, news, agg))
+    return CommunityBatch(agg, state, view, to_fact(view, batch_period), render_alert(alertable(state)))

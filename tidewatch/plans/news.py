@@ -14,6 +14,7 @@ from ..operators.scoring import Scorer, apply_scorer, materialise
 from ..operators.state import news_step
 from ..operators.tagging import (clean_columns, explode_tags, project_news, tag_flat,
                                  with_tags)
+from ..session import scratch_scope
 from ..sources import io
 
 
@@ -75,13 +76,15 @@ def run_news_job(spark: SparkSession, raw_base: str, out_base: str, batch_period
     stage's state snapshot (``state_news``).
 
     Reruns are idempotent: the state is rebuilt from the final snapshot
-    (``state``) before this batch and every output partition is replaced."""
-    raw = io.read_raw(spark, "news", raw_base, batch_period)
-    prev = io.read_state(spark, f"{out_base}/state", batch_period, seed)
-    res = run_news(raw, batch_period, prev, categories, scorer, threshold, ttl)
-    io.write_aggregate(res.aggregate, f"{out_base}/news", batch_period)
-    io.write_aggregate(res.evidence, f"{out_base}/evidence", batch_period)
-    io.write_state(res.state, f"{out_base}/state_news", batch_period)
+    (``state``) before this batch and every output partition is replaced. What is
+    returned reads these outputs; scratch tables are deleted."""
+    with scratch_scope(spark):
+        raw = io.read_raw(spark, "news", raw_base, batch_period)
+        prev = io.read_state(spark, f"{out_base}/state", batch_period, seed)
+        res = run_news(raw, batch_period, prev, categories, scorer, threshold, ttl)
+        io.write_aggregate(res.aggregate, f"{out_base}/news", batch_period)
+        io.write_aggregate(res.evidence, f"{out_base}/evidence", batch_period)
+        io.write_state(res.state, f"{out_base}/state_news", batch_period)
     state = io.read_state(spark, f"{out_base}/state_news", _after(batch_period))
     return NewsBatch(io.read_aggregate(spark, "news", f"{out_base}/news", batch_period),
                      io.read_aggregate(spark, "evidence", f"{out_base}/evidence", batch_period),

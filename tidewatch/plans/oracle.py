@@ -525,6 +525,10 @@ SQL["d11_fallback_score"] = _with(BASE, """SELECT t.car_model, t.accident, t.lin
   FROM news_tagged t LEFT JOIN scores s USING (link)""")
 SQL["d12_materialise_scores"] = _with(BASE, """SELECT car_model, accident, link,
   CAST(least(length(content) // 50, 100) AS INTEGER) AS news_score FROM news_tagged""")
+SQL["d12_cached_scores"] = _with(BASE, f"""SELECT car_model, accident, link,
+  CAST(least(length(content) // 50, 100) AS INTEGER) AS news_score,
+  CASE WHEN {IN_A} THEN '{BATCH_A}' ELSE '{BATCH_B}' END AS batch_period
+  FROM news_tagged WHERE ({IN_A}) OR ({IN_B})""")
 SQL["d13_aggregate_news"] = _with(NEWS_ONE, """SELECT car_model, accident, count,
   round(avg_news_score, 6) AS avg_news_score FROM news_agg""")
 SQL["d13_news_evidence"] = _with(BASE, "SELECT car_model, accident, content, link FROM news_scored")

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins and partition counts at run
@@ -82,6 +84,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def missing_path(e: AnalysisException) -> bool:
+    """Whether a read failed only because nothing has been written there yet."""
+    return e.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
+
+
+# paths made inside the open scopes, the innermost last
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables made inside are deleted at the end, by the driver, with whatever file
+    system they lie on. For jobs that write their results elsewhere: a DataFrame that still
+    reads scratch must not leave the scope."""
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        for path in mine:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from .snapshots import BASE_EVERY, SnapshotStore, missing_path
+from ..session import missing_path
+from .snapshots import BASE_EVERY, SnapshotStore
 
 RAW_SCHEMAS = {"news": schemas.RAW_NEWS, "posts": schemas.RAW_POSTS}
 AGG_SCHEMAS = {"news": schemas.NEWS_AGG, "posts": schemas.POST_AGG,

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import missing_path
+
 BASE_EVERY = 24
 
 _TEXT = T.StringType()
@@ -38,10 +40,6 @@ MANIFEST = T.StructType([T.StructField("batch_period", _TEXT), T.StructField("ba
                          T.StructField("month", _TEXT)])
 
 
-def missing_path(e: AnalysisException) -> bool:
-    return e.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
-
-
 class SnapshotStore:
     """Snapshots of one state table with the given schema and keys under ``base``."""
 

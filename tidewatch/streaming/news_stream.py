@@ -33,6 +33,7 @@ from ..operators.state import KEYS, STATE_COLS
 from ..plans.news import score_news
 from ..plans.replay import from_seed, news_states, seeded
 from ..schemas import RAW_NEWS
+from ..session import scratch_scope
 from ..sources import io
 from .gate import STATE_STORE, arrivals, gate
 
@@ -116,7 +117,8 @@ def stream_news(spark: SparkSession, raw_base: str, out_base: str, checkpoint: s
         # folder names of this micro-batch: the schedule, not data
         touched = [r[0] for r in batch.select("batch_period").distinct().collect() if r[0] is not None]
         if touched:
-            fold(batch, touched, epoch, out_base, categories, scorer, seed, threshold, ttl)
+            with scratch_scope(spark):
+                fold(batch, touched, epoch, out_base, categories, scorer, seed, threshold, ttl)
 
     return _started(reader.parquet(raw_base), run, checkpoint, available_now)
 
@@ -139,7 +141,8 @@ def stream_complete_news(spark: SparkSession, marker_base: str, raw_base: str, o
         ready = sorted({r["batch_period"] for r in rows if r["status"] == "complete"})
         if ready:
             raw = [io.read_raw(spark, "news", raw_base, p).withColumn("batch_period", F.lit(p)) for p in ready]
-            fold(io.union_sources(raw), ready, epoch, out_base, categories, scorer, seed, threshold, ttl)
+            with scratch_scope(spark):
+                fold(io.union_sources(raw), ready, epoch, out_base, categories, scorer, seed, threshold, ttl)
 
     # the gate keeps its state in the provider that allows timers; other streams keep theirs
     key = "spark.sql.streaming.stateStore.providerClass"
