@@ -73,3 +73,25 @@ def test_units_of_texts_that_share_an_id(spark):
     # one of the three texts with a null id keeps the opening
     assert sorted((r.doc_id is not None, r.start, r.end) for r in runs) == sorted(
         [(False, 0, len(opening))] * 2 + [(True, 0, len(opening))] * 3)
+
+
+def test_quality_removes_the_lines(spark):
+    # depletion decides for some documents; the others lose exactly the counted words
+    shared = [" ".join(word(20000 + 50 * k + j) for j in range(12)) for k in range(3)]
+    rows = []
+    for i in range(60):
+        own = [" ".join(word(i * 90 + 30 * k + j) for j in range(20 if i < 50 else 4)) for k in range(2)]
+        rows.append((i, f"{own[0]}\n\n  {shared[0]} 12\n{own[1]}\r\n{shared[2]}  7\n\t{shared[1].upper()}\n", "h"))
+    rows += [(70, None, "h"), (71, "", "h"), (72, "\n\n", None), (73, " ".join(["x" + word(j) for j in range(30)]), None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").selectExpr("*", "1 AS numbers", "2 AS gone")
+    verdict = {r.doc_id: r.quality for r in quality_rules.judge(df).collect()}
+    kept = {r.doc_id: r for r in quality_rules.reject(df).collect()}
+    assert set(kept) == {i for i, q in verdict.items() if q.kept} and set(kept) == {*range(50), 73}
+    assert not any(verdict[i].base_failed for i in range(50, 60)) and all(verdict[i].n_removed for i in range(1, 60))
+    before = {r[0]: r[1] for r in rows}
+    assert kept[0].text == before[0] and kept[73].text == before[73]  # the first keeps the lines
+    for i in range(1, 50):
+        lines = before[i].split("\n")
+        assert kept[i].text == "\n".join([lines[0], lines[1], lines[3], lines[6]])
+        assert len(before[i].split()) - len(kept[i].text.split()) == verdict[i].n_removed
+        assert (kept[i].numbers, kept[i].gone) == (1, 2)

@@ -19,7 +19,8 @@ Counts are aggregated before they are shuffled by line, so a line that every doc
 has is one row per task. The removed lines have no bound per host, so they stay rows:
 written to the shared folder and joined to the documents' lines by host and digest, which
 the planner broadcasts when they are few and splits where one line is hot. What is joined
-back to the documents is one row per document that loses lines.
+back to the documents is one row per document that loses lines, with their numbers; the
+text is rebuilt from the other lines.
 
 Defined results: null text has no words and fails; null hosts form one host; a null id
 sorts last among a host's documents; rows that share an id are separate rows of the
@@ -87,20 +88,22 @@ def base_measures(docs: DataFrame, text: Column, min_words: int, max_repeat: int
 
 
 def line_digests(text: Column) -> Column:
-    """For each line with a word: two 64-bit hashes of the normalised line, its words."""
+    """For each line with a word: its number among all lines, two 64-bit hashes of the
+    normalised line, its words."""
     flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09\x0B-\x0D]+", " ")
     flat = F.regexp_replace(flat, "[0-9]+", "0")
     lines = F.transform(F.split(flat, "\n", -1), lambda x: F.trim(x))
-    return F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.struct(
-        F.xxhash64(x).alias("a"), F.xxhash64(F.lit("b"), x).alias("b"),
-        F.size(F.split(x, " ")).alias("words")))
+    numbered = F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("no")))
+    return F.transform(F.filter(numbered, lambda l: l["x"] != ""), lambda l: F.struct(
+        l["no"].alias("no"), F.xxhash64(l["x"]).alias("a"), F.xxhash64(F.lit("b"), l["x"]).alias("b"),
+        F.size(F.split(l["x"], " ")).alias("words")))
 
 
 def line_rows(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """One row per line that has a word: host, id, hash of the text, number, digest, words."""
     each = docs.select(F.col(host_col).alias("host"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("doc"),
                        line_digests(F.col(text_col)).alias("lines"))
-    return each.select("host", "id", "doc", F.posexplode("lines").alias("no", "l")).select("host", "id", "doc", "no", "l.*")
+    return each.select("host", "id", "doc", F.explode("lines").alias("l")).select("host", "id", "doc", "l.*")
 
 
 def frequent_lines(rows: DataFrame, min_docs: int) -> DataFrame:
@@ -112,22 +115,30 @@ def frequent_lines(rows: DataFrame, min_docs: int) -> DataFrame:
 
 
 def removed_words(rows: DataFrame, removed: DataFrame) -> DataFrame:
-    """For each document that loses lines: host, id, hash of the text, ``gone`` words."""
+    """For each document that loses lines: host, id, hash of the text, ``gone`` words and the
+    ``numbers`` of these lines, which are of one document."""
     r = removed.toDF(*[f"r_{c}" for c in removed.columns])
     hit = rows.join(r, F.col("host").eqNullSafe(F.col("r_host")) & (F.col("a") == F.col("r_a")) & (F.col("b") == F.col("r_b")))
     # distinct: repeated rows are one document here
     hit = hit.filter(~F.col("id").eqNullSafe(F.col("r_id"))).select("host", "id", "doc", "no", "words").distinct()
-    return saved(hit.groupBy("host", "id", "doc").agg(F.sum("words").alias("gone")), "removed-words")
+    return saved(hit.groupBy("host", "id", "doc").agg(
+        F.sum("words").alias("gone"), F.collect_list("no").alias("numbers")), "removed-words")
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-          **rules) -> DataFrame:
-    """``docs`` with a struct column ``quality`` added: the base measures, ``n_removed``
-    (words in removed lines) and ``kept``. The name gets underscores if it is taken."""
+def without_lines(text: Column, numbers: Column) -> Column:
+    """The text without the lines of these numbers; the others are as they were."""
+    # the lines are bound once, as the one element of an outer array
+    return F.transform(F.array(F.split(text, "\n", -1)), lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), numbers), lambda i: F.get(lines, i)), "\n"))[0]
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, rules: dict) -> tuple[DataFrame, dict]:
+    """The input's columns by place (``at``), ``_out`` (the verdict) and ``numbers`` (of the
+    removed lines, or null)."""
     rule = RULES | rules
     rows = line_rows(docs, id_col, text_col, host_col)
     removed = removed_words(rows, frequent_lines(rows, rule["min_docs"]))
-    # the input's columns by place, so that none can clash and those not asked for are not shuffled
+    # by place, so that none can clash and those not asked for are not shuffled
     at = {c: f"c{i}" for i, c in enumerate(docs.columns)}
     d = docs.toDF(*at.values())
     d = base_measures(d, F.col(at[text_col]), rule["min_words"], rule["max_repeat"])
@@ -137,15 +148,25 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     d = d.withColumn("_gone", F.coalesce(F.col("gone"), F.lit(0).cast("bigint")))
     left = F.col("base.n_words") - F.col("_gone")
     depleted = (F.col("_gone") > 0) & (left < F.col("base.n_words") * F.lit(rule["min_left"]))
-    name = fresh(docs, "quality")
-    d = d.withColumn("_out", fenced(F.struct(
-        "base.*", F.col("_gone").alias("n_removed"), (~F.col("base.base_failed") & ~depleted).alias("kept"))))
-    return d.select(*[F.col(c).alias(old) for old, c in at.items()], F.col("_out").alias(name))
+    return d.withColumn("_out", fenced(F.struct(
+        "base.*", F.col("_gone").alias("n_removed"), (~F.col("base.base_failed") & ~depleted).alias("kept")))), at
+
+
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+          **rules) -> DataFrame:
+    """``docs`` with a struct column ``quality`` added: the base measures, ``n_removed``
+    (words in removed lines) and ``kept``. The name gets underscores if it is taken. Texts
+    stay whole; ``reject`` removes the lines."""
+    d, at = _judged(docs, id_col, text_col, host_col, rules)
+    return d.select(*[F.col(c).alias(old) for old, c in at.items()], F.col("_out").alias(fresh(docs, "quality")))
 
 
 def reject(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
            **rules) -> DataFrame:
-    """The rows of ``docs`` that are kept, with its columns."""
-    judged = judge(docs, id_col, text_col, host_col, **rules)
-    name = judged.columns[-1]
-    return judged.filter(F.col(name)["kept"]).drop(name)
+    """The rows of ``docs`` that are kept, with its columns, their texts without the removed
+    lines. Other columns (a length, say) stay as they were."""
+    d, at = _judged(docs, id_col, text_col, host_col, rules)
+    text = F.col(at[text_col])
+    cut = F.when(F.col("numbers").isNotNull(), without_lines(text, F.col("numbers"))).otherwise(text)
+    return d.filter(F.col("_out")["kept"]).select(
+        *[(cut if old == text_col else F.col(c)).alias(old) for old, c in at.items()])
