@@ -263,3 +263,20 @@ def test_texts_are_cleaned_once_not_per_keyword(spark):
         assert "lambdafunction" in plan, name
         assert not any("regexp_replace" in x for x in _inside(plan, "lambdafunction")), name
         assert plan.count("regexp_replace(") <= most, (name, plan)
+
+
+def test_keyword_table_equals_brute_force(spark):
+    """Short, overlapping, repeated, null and non-ASCII keywords; null texts; any join."""
+    import random
+    rng = random.Random(4)
+    alphabet = "abcé가😀 "
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(0, 40))) for _ in range(120)] + [None, ""]
+    words = {"".join(rng.choices(alphabet, k=rng.randrange(1, 6))) for _ in range(300)}
+    rows = [(i, t, texts[-1 - i]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id int, title string, content string").repartition(3)
+    kw = spark.createDataFrame([(w, w[:1]) for w in sorted(words)] + [(None, "n"), ("", "e")], "keyword string, tag string")
+    want = sorted((i, w, w[:1]) for i, t, c in rows for w in words if w in (t or "") or w in (c or ""))
+    for opts in ({}, {"max_broadcast_rows": 0, "salt_buckets": 3}):
+        got = tagging.match_keyword_table(df, kw, **opts).select("id", "keyword", "tag")
+        assert sorted(tuple(r) for r in got.collect()) == want
+    assert tagging.match_keyword_table(df, kw.limit(0)).collect() == []

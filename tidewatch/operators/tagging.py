@@ -136,3 +136,52 @@ def match_entities(df: DataFrame, entities, out: str = "keyword",
 
     The entity list is configuration; the test is a row expression, no join."""
     return explode_tags(tag_flat(df, entities, out=out, cols=cols), out)
+
+
+GRAM = 3
+
+
+def _grams(text: Column, lengths) -> Column:
+    """The different substrings of the given lengths."""
+    def of(chars, length):
+        def gram(i):
+            return F.concat(*[F.get(chars, i + k) for k in range(length)])
+        return F.when(F.size(chars) >= length, F.transform(F.sequence(F.lit(0), F.size(chars) - length), gram)) \
+            .otherwise(F.array().cast("array<string>"))
+
+    # the characters are bound once, as the one element of an outer array: inside the inner
+    # function the text would be split again for every gram
+    chars = F.filter(F.split(text, ""), lambda c: c != "")
+    return F.array_distinct(F.transform(F.array(chars), lambda c: F.concat(*[of(c, n) for n in lengths]))[0])
+
+
+def keyword_index(keywords: DataFrame, col: str = "keyword", n: int = GRAM) -> DataFrame:
+    """``keywords`` with ``_gram``: of each keyword's grams of ``n`` characters the one that
+    the fewest keywords have (a shorter keyword is its own gram). Null and empty keywords
+    are left out."""
+    words = keywords.filter(F.col(col).isNotNull() & (F.col(col) != ""))
+    grams = F.when(F.length(col) >= n, _grams(F.col(col), [n])).otherwise(F.array(F.col(col)))
+    each = words.select(col).distinct().select(col, F.explode(grams).alias("_gram"))
+    shared = each.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = each.join(shared, "_gram").groupBy(col).agg(F.min(F.struct("_n", "_gram")).alias("_r"))
+    return words.join(rarest.select(col, F.col("_r._gram").alias("_gram")), col)
+
+
+def match_keyword_table(df: DataFrame, keywords: DataFrame, col: str = "keyword", cols=("title", "content"),
+                        **join_opts) -> DataFrame:
+    """One row per (record, row of ``keywords``) whose keyword any of ``cols`` contains: D3,
+    D5 and C13 for a table of any number of keywords.
+
+    A text's different grams are joined to the index, which has one gram per keyword, and
+    only the keywords that this finds are looked for in the text. So the work per text
+    depends on its length and on what it contains, not on the number of keywords. The index
+    is broadcast after a check of its size (past it the join is salted); in a broadcast join
+    the grams of a text are probed one after another without a copy of the text."""
+    index = keyword_index(keywords, col)
+    lengths = sorted(r[0] for r in index.select(F.length("_gram")).distinct().collect())  # 1 to GRAM
+    if not lengths:
+        lengths = [GRAM]
+    text = F.concat_ws("\n", *cols)
+    probes = df.withColumn("_gram", F.explode(_grams(text, lengths)))
+    found = join_small(probes, index, "_gram", "inner", **join_opts)
+    return found.filter(reduce(or_, [F.coalesce(F.col(c).contains(F.col(col)), F.lit(False)) for c in cols])).drop("_gram")

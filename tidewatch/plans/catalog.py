@@ -400,6 +400,14 @@ def c13_match_entities(spark, sf):
         "link", "keyword")
 
 
+def c13_match_entity_table(spark, sf):
+    """A row per (article, entity it mentions) for a table of entities: here every longer
+    word of the benchmark."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", "[^a-zA-Z]+")).alias("entity"))
+    entities = words.filter(F.length("entity") >= 5).distinct()
+    return tagging.match_keyword_table(raw_news(_docs(spark, sf)), entities, "entity").select("link", "entity")
+
+
 # ---------------------------------------------------------------- D: transform
 def d1_clean_text(spark, sf):
     return _docs(spark, sf).select("doc_id", clean_text("text").alias("cleaned"))

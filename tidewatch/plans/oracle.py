@@ -492,6 +492,11 @@ SQL["c13_match_entities"] = _with(BASE, f"""SELECT n.link, w.keyword FROM news_r
   JOIN {_values([(x,) for x in ENTITY_WORDS], ['keyword'])} w
   ON contains(n.title, w.keyword) OR contains(n.content, w.keyword)""")
 
+SQL["c13_match_entity_table"] = _with(BASE, """SELECT n.link, w.entity FROM news_raw n
+  JOIN (SELECT DISTINCT entity FROM (SELECT unnest(regexp_split_to_array(text, '[^a-zA-Z]+')) AS entity
+        FROM benchmark) WHERE length(entity) >= 5) w
+  ON contains(n.title, w.entity) OR contains(n.content, w.entity)""")
+
 # ------------------------------------------------------------------ D
 SQL["d1_clean_text"] = f"SELECT doc_id, regexp_replace(text, '{CLEAN}', '', 'g') AS cleaned FROM documents"
 SQL["d2_project_news"] = _with(BASE, "SELECT keyword AS car_model, title, content, link FROM news_raw")
