@@ -13,7 +13,7 @@ per merge, so a smaller number means an earlier merge.
 from __future__ import annotations
 
 import json
-import unicodedata
+from functools import lru_cache
 
 import regex
 
@@ -22,6 +22,11 @@ SYMBOLS = 512
 # fixed value: the vocabulary's word pattern
 _STOPS = (".", ",")
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+LIBRARY_WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+# Latin letters without combining marks: composed already, and of the same classes in every
+# version of Unicode. Beyond these the tables of Python and of the library may differ.
+PLAIN = regex.compile(r"[\x00-\u024f]*")
 
 
 def byte_letters() -> list[str]:
@@ -72,11 +77,22 @@ class WordBpe:
         return [x for x in self._cut.split(text) if x] if self._cut and "<" in text else [text]
 
 
+@lru_cache(maxsize=1)
+def library_splitter():
+    """The library's own normaliser and word pattern, for texts that are not plain."""
+    from tokenizers import Regex
+    from tokenizers.normalizers import NFC, Lowercase, Replace, Sequence
+    from tokenizers.pre_tokenizers import Split
+
+    return (Sequence([NFC(), Replace(Regex(r"\s+"), " "), Lowercase()]),
+            Split(Regex(LIBRARY_WORD), "removed", invert=True))
+
+
 def words(part: str) -> list[str]:
-    """The words of a part without special strings."""
-    if not part.isascii():
-        # letter by letter: a capital sigma does not depend on its place in the word
-        part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+    """The words of a part without special strings and white space."""
+    if not part.isascii() and not PLAIN.fullmatch(part):
+        normaliser, split = library_splitter()
+        return [w for w, _ in split.pre_tokenize_str(normaliser.normalize_str(part))]
     part = part.lower()
     # the two common cases, without the pattern: letters, letters and a stop
     if part.isalpha():
