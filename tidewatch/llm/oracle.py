@@ -104,7 +104,44 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
 FROM g
 """
 
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+OP8 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, text, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS ws FROM documents),
+windows AS (
+  SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM d)),
+repeated AS (
+  SELECT rid, i FROM windows QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM (SELECT rid, i, unnest(range(8)) AS k FROM repeated) GROUP BY rid),
+lines AS (
+  SELECT rid, doc_id, source, text, trim(x, ' ') AS x
+  FROM (SELECT rid, doc_id, source, text, unnest(string_split(regexp_replace(regexp_replace(lower(t),
+          '[\x20\x09\x0B-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g'), chr(10))) AS x FROM d)
+  WHERE trim(x, ' ') <> ''),
+frequent AS (
+  SELECT source, x, min(doc_id) AS first FROM lines GROUP BY source, x HAVING count(DISTINCT coalesce(text, '')) >= 20),
+removed AS (
+  SELECT l.rid, sum(len(string_split(l.x, ' ')))::BIGINT AS n
+  FROM lines l JOIN frequent f ON l.x = f.x AND l.source IS NOT DISTINCT FROM f.source
+  WHERE l.doc_id IS DISTINCT FROM f.first GROUP BY l.rid),
+base AS (
+  SELECT d.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(r.n, 0)::BIGINT AS n_removed
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d) d
+  LEFT JOIN covered c USING (rid) LEFT JOIN removed r USING (rid))
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT base_failed AND NOT (n_removed > 0 AND n_words - n_removed < 0.5 * n_words) AS kept
+FROM base
+"""
+
 SQL = {
+    "op8_quality_rules": OP8,
     "op11_merkle_manifest": OP11,
     "op12_warc_zip": OP12,
     "op13_hard_negatives": OP13,
