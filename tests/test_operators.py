@@ -280,3 +280,14 @@ def test_keyword_table_equals_brute_force(spark):
         got = tagging.match_keyword_table(df, kw, **opts).select("id", "keyword", "tag")
         assert sorted(tuple(r) for r in got.collect()) == want
     assert tagging.match_keyword_table(df, kw.limit(0)).collect() == []
+
+
+def test_broadcast_bound_counts_rows_and_bytes(spark):
+    from tidewatch.operators.joins import fits_broadcast, join_small
+    df = spark.createDataFrame([(i, "x" * 100, None) for i in range(10)], "k int, `a.b` string, c array<int>")
+    assert fits_broadcast(df, 10) and not fits_broadcast(df, 9)
+    assert fits_broadcast(df, 10, 2000) and not fits_broadcast(df, 10, 999)
+    assert fits_broadcast(df.limit(0), 0, 0)
+    big = spark.range(20).selectExpr("cast(id % 10 AS int) AS k", "concat('l', id) AS link")
+    plans = [join_small(big, df.select("k", "c"), "k", "inner", max_broadcast_rows=n) for n in (10, 9)]
+    assert [p.count() for p in plans] == [20, 20]
