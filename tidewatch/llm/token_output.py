@@ -85,7 +85,7 @@ class LibraryEncoder:
     runs (the text between white space) and of words are kept while they are frequent.
     """
 
-    def __init__(self, raw: bytes, limit: int = 300_000):
+    def __init__(self, raw: bytes, limit: int = 200_000):
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import WhitespaceSplit
 
