@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidewatch.sources import pages
 from tidewatch.sources.selectors import (VOID, Automaton, Field, chains, cut, element_spans, read_fields, read_rows)
 
+# fixed values: the structure and selectors of a news site and of a community site
 NEWS = """<html><body><div id="czone"><div class="news_title_wrap inner"><h2><span> Fire &amp; smoke </span></h2>
 <div><div class="date">2024.02.03. 오후 01:05.</div></div><div class="date">other</div></div>
 <div class="news_title_wrap"><h2><span>not inner</span></h2></div></div>
