@@ -67,6 +67,16 @@ def format_period(start, end) -> Column:
     return F.concat(_ntz_text(start), F.lit(PERIOD_SEP), _ntz_text(end))
 
 
+def month(period):
+    """The month of a period string, as text: of a ``str`` or of a Column."""
+    return period[:7] if isinstance(period, str) else F.substring(period, 1, 7)
+
+
+def texts(values) -> Column:
+    """Any number of texts without a line break as one array: a single literal in the plan."""
+    return F.split(F.lit("\n".join(sorted(values))), "\n")
+
+
 def ntz_micros(c) -> Column:
     """Microseconds from 1970-01-01 00:00:00 of an NTZ wall-clock time, from its
     fields, so no session zone (and no daylight-saving gap) is involved."""

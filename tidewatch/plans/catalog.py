@@ -23,7 +23,7 @@ from ..operators import aggregate as agg
 from ..operators import alerts, issue, periods, state, tagging
 from ..operators.scoring import (BatchScorer, CachedScorer, ColumnScorer, FallbackScorer,
                                  apply_scorer)
-from ..session import scratch_path
+from ..session import many_folders, scratch_path
 from ..sources import io, pages, standins
 from ..sources.selectors import Field
 from ..sources.standins import label_scorer, raw_news, raw_posts, table
@@ -742,10 +742,17 @@ def g3_replay_alerts(spark, sf):
 
 
 def _hourly_folders(spark, docs, base):
-    """Raw-news folders of several files each; returns their number."""
-    raw = periods.assign_period(raw_news(docs), "1 hour").drop("period_start", "period_end")
-    raw.repartition(3, "link").write.partitionBy("batch_period").parquet(f"{base}/raw")
-    return len(spark.read.parquet(f"{base}/raw").inputFiles())
+    """Raw-news folders of several files each; returns their number. The hours are cut into
+    stretches, as many as there are cores, and each is written by three tasks."""
+    raw = periods.assign_period(raw_news(docs), "1 hour").drop("period_end")
+    first, last = (raw.agg(f("period_start")).scalar() for f in (F.min, F.max))
+    hours, n = lambda to: F.timestamp_diff("HOUR", first, to), spark.sparkContext.defaultParallelism
+    stretch = F.floor(hours(F.col("period_start")) * n / (hours(last) + 1))
+    task = (stretch * 3 + F.pmod(F.xxhash64("link"), F.lit(3))).cast("int")
+    (raw.withColumn("_task", F.coalesce(task, F.lit(0))).repartitionById(3 * n, "_task").drop("_task", "period_start")
+     .write.partitionBy("batch_period").parquet(f"{base}/raw"))
+    with many_folders(spark):
+        return len(spark.read.parquet(f"{base}/raw").inputFiles())
 
 
 def _streamed(spark, sf, ttl=None):

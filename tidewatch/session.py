@@ -89,6 +89,19 @@ def missing_path(e: AnalysisException) -> bool:
     return e.getCondition() == "PATH_NOT_FOUND" or "Path does not exist" in str(e)
 
 
+@contextmanager
+def many_folders(spark: SparkSession):
+    """For reading tables of thousands of folders: they are listed by a few tasks a core, not
+    by a task each. A stream that starts inside keeps the setting."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 # paths made inside the open scopes, the innermost last
 _scopes: list[list[str]] = []
 

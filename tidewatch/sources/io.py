@@ -46,6 +46,18 @@ def read_raw(spark: SparkSession, kind: str, base: str, period: str) -> DataFram
     return read_batch(spark, RAW_SCHEMAS[kind], base, period)
 
 
+def read_raw_periods(spark: SparkSession, kind: str, base: str, periods: list[str]) -> DataFrame:
+    """Raw news or posts of any number of batches, with their ``batch_period``, in one scan
+    that opens these batches' folders only; a missing folder is an empty batch."""
+    schema = T.StructType([*RAW_SCHEMAS[kind].fields, T.StructField("batch_period", T.StringType())])
+    try:
+        return spark.read.schema(schema).parquet(base).filter(F.col("batch_period").isin(periods))
+    except AnalysisException as e:
+        if missing_path(e):
+            return empty(spark, schema)
+        raise
+
+
 def read_aggregate(spark: SparkSession, kind: str, base: str, period: str) -> DataFrame:
     """A batch aggregate (news / posts / evidence) of one batch (A2)."""
     return read_batch(spark, AGG_SCHEMAS[kind], base, period)

@@ -5,7 +5,8 @@ snapshot is stored as the rows that differ from the one before; now and then (ev
 ``base_every`` snapshots) it is stored whole, as a base. The state as of any batch is, for
 each key, the last row among its base and the changes up to it.
 
-    <base>/rows/version=V/batch_period=P/   rows of one write, of any number of snapshots
+    <base>/rows/version=V/month=YYYY-MM/    rows of one write, of any number of snapshots,
+                                            ordered by batch period in each file
     <base>/manifest/month=YYYY-MM/          one row per snapshot: the version of its rows
                                             and the batch period of its base
 
@@ -13,7 +14,9 @@ The manifest decides what is there: rows are written first, under a new version,
 month's manifest is replaced afterwards. A job that fails in between leaves rows that
 nobody reads, a job that runs again replaces its snapshots, and no reader lists files. A
 read opens the manifest's rows of one or two months and the at most ``base_every`` versions
-of one chain, of which only the partitions of the chain's periods are read.
+of one chain, of which only the months of the chain's periods are opened, and of their files
+only the row groups that may hold these periods. So the number of files follows the months
+and the bytes, not the number of snapshots.
 
 Keys are added but never removed: a state keeps a row for every key it has ever had.
 
@@ -30,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import month
 from ..session import missing_path
 
 BASE_EVERY = 24
@@ -70,14 +74,14 @@ class SnapshotStore:
         if m is None:
             return None
         if before is not None:  # whole months after it are not opened
-            m = m.filter((F.col("month") <= before[:7]) & (F.col("batch_period") < before))
+            m = m.filter((F.col("month") <= month(before)) & (F.col("batch_period") < before))
         return m.agg(F.max("batch_period")).first()[0]
 
     def _chain(self, period: str) -> list:
         """Manifest rows from the period's base up to it: at most ``base_every``."""
-        m = self.manifest().filter(F.col("month") <= period[:7])
-        base = m.filter((F.col("month") == period[:7]) & (F.col("batch_period") == period)).first()["base_period"]
-        return (m.filter((F.col("month") >= base[:7]) & (F.col("base_period") == base)
+        m = self.manifest().filter(F.col("month") <= month(period))
+        base = m.filter((F.col("month") == month(period)) & (F.col("batch_period") == period)).first()["base_period"]
+        return (m.filter((F.col("month") >= month(base)) & (F.col("base_period") == base)
                          & F.col("batch_period").between(base, period)).orderBy("batch_period").collect())
 
     def _replace_manifest(self, rows: list[tuple]) -> None:
@@ -99,13 +103,15 @@ class SnapshotStore:
         for row in self._chain(period):
             versions.setdefault(row["version"], []).append(row["batch_period"])
         rows = f"{self.base}/rows"
-        schema = T.StructType([*self.schema.fields, T.StructField("version", _TEXT), T.StructField("batch_period", _TEXT)])
+        schema = T.StructType([*self.schema.fields, *(T.StructField(n, _TEXT) for n in ("batch_period", "version", "month"))])
         table = (self.spark.read.schema(schema).option("basePath", rows)
                  .parquet(*[f"{rows}/version={v}" for v in versions]))
         mine = F.lit(False)  # a version may hold snapshots that have been written again since
         for v, periods in versions.items():
             mine = mine | ((F.col("version") == v) & F.col("batch_period").isin(periods))
-        rows = table.filter(mine)
+        names = [p for periods in versions.values() for p in periods]
+        months = sorted({month(p) for p in names})
+        rows = table.filter(F.col("month").isin(months) & F.col("batch_period").isin(names) & mine)
         if sum(map(len, versions.values())) == 1:
             return rows.select(*self.schema.names)  # a base: no changes to lay over it
         last = F.max_by(F.struct(*self.schema.names), "batch_period").alias("row")
@@ -138,7 +144,7 @@ class SnapshotStore:
                 base, length = p, 0
                 bases.append(p)
             length += 1
-            rows.append((p, base, version, length, p[:7]))
+            rows.append((p, base, version, length, month(p)))
         names = self.schema.names
         states = snapshots.select(*names, "batch_period")
         if previous and periods[0] not in bases:
@@ -146,21 +152,26 @@ class SnapshotStore:
         w = Window.partitionBy(*self.keys).orderBy("batch_period")
         row = F.struct(*names)
         changed = ~row.eqNullSafe(F.lag(row).over(w)) | F.lag(F.lit(1)).over(w).isNull()
-        out = (states.withColumn("_changed", changed | F.col("batch_period").isin(bases))
-               .filter(F.col("_changed") & (F.col("batch_period") != "")).drop("_changed"))
-        out.write.partitionBy("batch_period").parquet(f"{self.base}/rows/version={version}")
+        # null periods are none
+        whole = self.spark.createDataFrame([(p,) for p in bases], "batch_period string").withColumn("_whole", F.lit(True))
+        out = (states.withColumn("_changed", changed).join(F.broadcast(whole), "batch_period", "left")
+               .filter((F.col("_changed") | F.col("_whole")) & (F.col("batch_period") != "")).drop("_changed", "_whole"))
+        self._write_rows(out, version)
         self._replace_manifest(rows)
 
+    def _write_rows(self, rows: DataFrame, version: str) -> None:
+        (rows.withColumn("month", month(F.col("batch_period"))).sortWithinPartitions("month", "batch_period")
+         .write.partitionBy("month").parquet(f"{self.base}/rows/version={version}"))
+
     def _as_base(self, period: str) -> None:
         """Store an existing snapshot whole; those that build on it build on its base now."""
         row = self._chain(period)[-1]
         if row["base_period"] == period:
             return
         version = uuid.uuid4().hex
-        (self.read(period).withColumn("batch_period", F.lit(period))
-         .write.partitionBy("batch_period").parquet(f"{self.base}/rows/version={version}"))
+        self._write_rows(self.read(period).withColumn("batch_period", F.lit(period)), version)
         chained = (self.manifest().filter((F.col("batch_period") > period) & (F.col("base_period") == row["base_period"]))
                    .collect())  # at most ``base_every`` rows
-        rows = [(period, period, version, 1, period[:7])]
+        rows = [(period, period, version, 1, month(period))]
         rows += [(r["batch_period"], period, r["version"], r["length"] - row["length"] + 1, r["month"]) for r in chained]
         self._replace_manifest(rows)

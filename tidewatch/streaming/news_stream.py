@@ -4,7 +4,7 @@ New raw-news files under ``raw_base`` (partitioned by ``batch_period``) are pick
 a file-source stream. A record belongs to the batch of its folder, as in G1, whatever its
 own time says. A batch may arrive in any number of micro-batches and in any order:
 
-* ``news_parts/batch_period=/epoch=`` holds what one micro-batch adds to one period, as
+* ``news_parts/month=/epoch=`` holds what one micro-batch adds to the periods of a month, as
   counts and score sums, so the text work and the scorer run once per record and a
   replayed micro-batch rewrites its own partitions;
 * ``news/batch_period=`` is the union of a period's parts (D13);
@@ -17,6 +17,9 @@ Every micro-batch thus leaves the tables that G1 leaves after the same files, on
 per period. ``out_base`` and ``checkpoint`` belong together: the epoch numbers in the
 parts come from the checkpoint. Records in no ``batch_period`` folder are in no batch.
 
+A micro-batch may touch any number of periods: it writes one file per period and no more
+(``news``), the rest by month, and names no period in a plan one by one.
+
 ``stream_complete_news`` folds a period only when all its sources have arrived (``gate``).
 """
 
@@ -27,20 +30,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ISSUE_THRESHOLD
-from ..functions.time import parse_period_end, parse_period_start
-from ..operators.scoring import Scorer
+from ..functions.time import month, parse_period_end, parse_period_start, texts
+from ..operators.scoring import Scorer, materialise
 from ..operators.state import KEYS, STATE_COLS
 from ..plans.news import score_news
 from ..plans.replay import from_seed, news_states, seeded
 from ..schemas import RAW_NEWS
-from ..session import scratch_scope
+from ..session import many_folders, scratch_scope
 from ..sources import io
 from .gate import STATE_STORE, arrivals, gate
 
 PERIOD = T.StructField("batch_period", T.StringType())
 PARTS = T.StructType([T.StructField(n, t) for n, t in (
     ("car_model", T.StringType()), ("accident", T.StringType()), ("count", T.LongType()), ("scored", T.LongType()),
-    ("score_sum", T.LongType()), ("batch_period", T.StringType()), ("epoch", T.LongType()))])
+    ("score_sum", T.LongType()), ("batch_period", T.StringType()), ("month", T.StringType()),
+    ("epoch", T.LongType()))])
 
 
 def news_parts(batch: DataFrame, categories, scorer: Scorer) -> DataFrame:
@@ -63,8 +67,7 @@ def snapshots(per: DataFrame, before: DataFrame, periods: list[str],
     """The state after each of ``periods`` (with its ``batch_period``), from the state
     before the first of them and the aggregates ``per`` of the periods: (state rows) x
     (periods) rows, none of them per article."""
-    names = F.array(*[F.lit(p) for p in sorted(periods)])
-    dense = seeded(before).withColumn("batch_period", F.explode(names)).withColumns({
+    dense = seeded(before).withColumn("batch_period", F.explode(texts(periods))).withColumns({
         "period_start": parse_period_start("batch_period"), "period_end": parse_period_end("batch_period")})
     rows = news_states(dense, per, threshold, ttl)
     zero, none = F.lit(0.0), F.lit(0).cast("bigint")
@@ -79,6 +82,12 @@ def _replace(df: DataFrame, path: str, *by: str) -> None:
        .partitionBy(*by).parquet(path))
 
 
+def _gathered(df: DataFrame, *by: str) -> DataFrame:
+    """The rows of a partition in one task, so it becomes one file; the partitions are
+    spread over the cores, however few bytes they hold."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+
+
 def fold(batch: DataFrame, touched: list[str], epoch: int, out_base: str, categories, scorer: Scorer,
          seed: DataFrame, threshold: int = ISSUE_THRESHOLD, ttl: str | None = None) -> None:
     """Add ``batch`` (raw news with ``batch_period``, of the periods ``touched``) to the
@@ -86,13 +95,15 @@ def fold(batch: DataFrame, touched: list[str], epoch: int, out_base: str, catego
     spark, touched = batch.sparkSession, sorted(touched)
     parts_base, store = f"{out_base}/news_parts", io.state_store(batch.sparkSession, f"{out_base}/state")
     mine = batch.filter(F.col("batch_period").isNotNull())
-    _replace(news_parts(mine, categories, scorer).withColumn("epoch", F.lit(epoch)),
-             parts_base, "batch_period", "epoch")
-    parts = spark.read.schema(PARTS).parquet(parts_base)
-    _replace(union_parts(parts.filter(F.col("batch_period").isin(touched))), f"{out_base}/news", "batch_period")
+    added = news_parts(mine, categories, scorer).withColumns({"month": month(F.col("batch_period")), "epoch": F.lit(epoch)})
+    _replace(_gathered(added, "month"), parts_base, "month", "epoch")
+    parts = spark.read.schema(PARTS).parquet(parts_base).filter(
+        (F.col("month") >= month(touched[0])) & (F.col("batch_period") >= touched[0]))
+    per = materialise(union_parts(parts), "news-per")
+    now = parts.filter(F.col("epoch") == epoch).select("batch_period").distinct()
+    _replace(_gathered(per.join(now, "batch_period", "left_semi"), "batch_period"), f"{out_base}/news", "batch_period")
     later = [p for p in store.periods() if p >= touched[0]]
     before = store.read_before(touched[0])
-    per = union_parts(parts.filter(F.col("batch_period") >= touched[0]))
     periods = sorted({*touched, *later})
     store.write(snapshots(per, seed if before is None else before, periods, threshold, ttl), periods)
 
@@ -120,7 +131,8 @@ def stream_news(spark: SparkSession, raw_base: str, out_base: str, checkpoint: s
             with scratch_scope(spark):
                 fold(batch, touched, epoch, out_base, categories, scorer, seed, threshold, ttl)
 
-    return _started(reader.parquet(raw_base), run, checkpoint, available_now)
+    with many_folders(spark):
+        return _started(reader.parquet(raw_base), run, checkpoint, available_now)
 
 
 def stream_complete_news(spark: SparkSession, marker_base: str, raw_base: str, out_base: str, checkpoint: str,
@@ -135,14 +147,18 @@ def stream_complete_news(spark: SparkSession, marker_base: str, raw_base: str, o
     events = gate(arrivals(spark, marker_base, max_files_per_trigger), required, patience)
 
     def run(batch: DataFrame, epoch: int) -> None:
-        rows = batch.collect()  # at most two rows per period
-        _replace(batch.filter("status = 'incomplete'").withColumn("epoch", F.lit(epoch)),
-                 f"{out_base}/incomplete", "epoch")
+        batch = batch.persist()  # at most two rows per period, read twice
+        try:
+            rows = batch.collect()
+            _replace(batch.filter("status = 'incomplete'").withColumn("epoch", F.lit(epoch)),
+                     f"{out_base}/incomplete", "epoch")
+        finally:
+            batch.unpersist()
         ready = sorted({r["batch_period"] for r in rows if r["status"] == "complete"})
         if ready:
-            raw = [io.read_raw(spark, "news", raw_base, p).withColumn("batch_period", F.lit(p)) for p in ready]
-            with scratch_scope(spark):
-                fold(io.union_sources(raw), ready, epoch, out_base, categories, scorer, seed, threshold, ttl)
+            with scratch_scope(spark), many_folders(spark):
+                fold(io.read_raw_periods(spark, "news", raw_base, ready), ready, epoch, out_base, categories, scorer,
+                     seed, threshold, ttl)
 
     # the gate keeps its state in the provider that allows timers; other streams keep theirs
     key = "spark.sql.streaming.stateStore.providerClass"
