@@ -9,9 +9,9 @@ Model. A passage's features are TF-IDF weights of words hashed to ``SIZE`` place
 frequencies are counted over all documents. A randomised SVD of the corpus's passages
 (sketch the Gram operator with a random matrix, orthonormalise, iterate, solve the small
 problem) gives ``rank`` latent directions; each round multiplies in the tasks and sums the
-sketches in Spark. It is fitted on ``fit_passages`` passages, taken by hash: a documented
-bound; every passage of every document is then searched. Coordinates are centred and
-divided by their singular values.
+sketches in Spark. It is fitted on every passage of at least half the length of every
+document, and every passage is then searched. Coordinates are centred and divided by their
+singular values.
 
 Search. A passage's latent vector is a sum over its words, so it is a sum of block sums.
 Passages whose cosine with an item's passage is at least ``min_cosine`` are candidates.
@@ -58,7 +58,6 @@ BLOCK_WORDS = 1 << 14
 @dataclass
 class Settings:
     rank: int = 128
-    fit_passages: int = 20_000
     rounds: int = 2
     min_cosine: float = 0.5
     copy_share: float = 0.8
@@ -119,19 +118,32 @@ def places(hashes: np.ndarray) -> np.ndarray:
 
 # -- model ----------------------------------------------------------------------------
 
-def document_frequencies(texts: DataFrame) -> np.ndarray:
+def written_places(texts: DataFrame) -> DataFrame:
+    """The places of every text's words, in order, as 16-bit integers: written once, since
+    the frequencies and every round read them."""
+    def run(batches):
+        for batch in batches:
+            out = [places(word_hashes(text)).astype(np.int16).tobytes() for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["places"])
+
+    path = scratch_path(texts.sparkSession, "svd-places")
+    texts.select("text").mapInArrow(run, "places binary").write.parquet(path)
+    return texts.sparkSession.read.schema("places binary").parquet(path)
+
+
+def document_frequencies(placed: DataFrame) -> np.ndarray:
     """Inverse document frequencies by place over all texts."""
     def run(batches):
         n, df = 0, np.zeros(SIZE, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for raw in batch.column(0).to_pylist():
                 n += 1
-                df[np.unique(places(word_hashes(text)))] += 1
+                df[np.unique(np.frombuffer(raw, np.int16))] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))],
                                          names=["place", "n"])
 
-    rows = texts.select("text").mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
+    rows = placed.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
         F.sum("n").alias("n")).collect()  # at most SIZE + 1 rows
     got = dict(rows)
     n = got.pop(-1, 0)
@@ -141,63 +153,89 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     return np.log((1 + n) / (1 + df)) + 1
 
 
-def sample_passages(texts: DataFrame, n: int) -> DataFrame:
-    """About ``n`` passages, taken by a hash of the text and their number in it: places of
-    their words."""
-    # about: a word and its blank have six characters or so
-    total = texts.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.length("text") / (6 * STRIDE))))).first()[0] or 0
-    share = min(1.0, n / max(total, 1))
-    limit = int(share * (1 << 32))
-
-    def run(batches):
-        from xxhash import xxh32_intdigest
-
-        for batch in batches:
-            out = []
-            for text, seed in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
-                # which passages are taken depends on the text alone, so no other is made
-                taken = [i for i in range(max(1, math.ceil(len(text) / 4 / STRIDE)))
-                         if xxh32_intdigest(i.to_bytes(8, "little"), seed & 0xFFFFFFFF) < limit] if text else []
-                if taken:
-                    at = places(word_hashes(text))
-                    out.extend(p.astype(np.int32).tobytes() for i in taken
-                               if len(p := at[i * STRIDE:i * STRIDE + WINDOW]) >= WINDOW // 2)
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["places"])
-
-    return texts.select("text", F.xxhash64("text").alias("seed")).mapInArrow(run, "places binary")
-
-
-def _tfidf(raw: list[bytes], idf: np.ndarray) -> np.ndarray:
-    """Rows of unit length."""
-    a = np.zeros((len(raw), SIZE), np.float32)
-    for row, p in zip(a, raw, strict=True):
-        np.add.at(row, np.frombuffer(p, np.int32), 1)
-    a *= idf.astype(np.float32)
-    a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-9)
-    return a
-
-
-def gram_times(passages: DataFrame, idf: np.ndarray, q: np.ndarray, tasks: int = 16,
+def blocks_of(raws) -> tuple[np.ndarray, np.ndarray]:
+    """Texts' places in blocks of ``STRIDE``, filled up with ``SIZE``, about ``BLOCK_WORDS``
+    at a time, and which blocks begin a passage (a block and the next one, of at least
+    half a passage's words).
+
+    The last block of a text, which may be empty, begins none. A long text is cut into
+    pieces that share the block between them, so each passage is in one piece."""
+    held, starts, size = [], [], 0
+    step = BLOCK_WORDS // STRIDE
+    for raw in raws:
+        at = np.frombuffer(raw, np.int16)
+        n = len(at) // STRIDE  # passages
+        if not n:
+            continue
+        words = np.full((n + 1) * STRIDE, SIZE, np.int16)
+        words[:len(at)] = at
+        words = words.reshape(-1, STRIDE)
+        for i in range(0, n, step):
+            held.append(words[i:i + step + 1])
+            begins = np.ones(len(held[-1]), bool)
+            begins[-1] = False
+            starts.append(begins)
+            size += len(begins)
+            if size >= step:
+                yield np.concatenate(held), np.concatenate(starts)
+                held, starts, size = [], [], 0
+    if held:
+        yield np.concatenate(held), np.concatenate(starts)
+
+
+def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> None:
+    """Add to ``total`` the passages' share of (A'A) q and of the column sums, both still to be
+    multiplied by the words' weights, and the number of passages.
+
+    ``weighted`` is q times the weights; it and ``idf`` have a last row of zeros. What a
+    passage has of q is the sum of its two blocks, and what a block gives back is the sum of
+    its two passages, so each word is gathered and scattered once."""
+    width = weighted.shape[1]
+    first = np.flatnonzero(begins)
+    pairs = np.sort(np.concatenate([words[first], words[first + 1]], axis=1), axis=1)
+    new = np.ones(pairs.shape, bool)
+    new[:, 1:] = pairs[:, 1:] != pairs[:, :-1]
+    run = np.flatnonzero(new.ravel())
+    counts = np.diff(run, append=pairs.size)
+    square = np.bincount(run // pairs.shape[1], (counts * idf[pairs.ravel()[run]]) ** 2, len(first))
+    square = np.maximum(square, 1e-18)
+    z = weighted[words.ravel()].reshape(len(words), STRIDE, width).sum(1)
+    y = np.zeros((len(words), width + 1), np.float32)
+    mine = np.empty((len(first), width + 1), np.float32)
+    mine[:, :width] = (z[first] + z[first + 1]) / square[:, None]
+    mine[:, width] = 1 / np.sqrt(square)
+    y[first] += mine
+    y[first + 1] += mine
+    flat = words.ravel()
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    edge = np.flatnonzero(np.diff(ranked, prepend=-1))
+    sums = np.add.reduceat(y[order // STRIDE], edge, axis=0)
+    at = ranked[edge]
+    real = at < SIZE
+    total[at[real], :width + 1] += sums[real]
+    total[:, width + 1] += len(first)
+
+
+def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
                block: int = 256) -> tuple[np.ndarray, np.ndarray, int]:
-    """(A'A) q, the column sums of A and the number of rows of the TF-IDF matrix A.
+    """(A'A) q, the column sums of A and the number of rows of the TF-IDF matrix A, whose
+    rows are the passages of all texts, of unit length.
 
     Each task multiplies its rows; the partial products are summed by blocks of places in
     Spark. ``q`` and the result have a fixed size.
     """
-    spark = passages.sparkSession
-    shared = spark.sparkContext.broadcast((idf, q.astype(np.float32)))
+    spark = placed.sparkSession
     width = q.shape[1]
+    weights = np.append(idf, 0.0)
+    shared = spark.sparkContext.broadcast((weights, np.vstack([idf[:, None] * q, np.zeros((1, width))]).astype(np.float32)))
 
     def run(batches):
-        idf_, q_ = shared.value
+        idf_, weighted = shared.value
         total = np.zeros((SIZE, width + 2), np.float64)
-        for batch in batches:
-            raw = batch.column(0).to_pylist()
-            for at in range(0, len(raw), 512):
-                a = _tfidf(raw[at:at + 512], idf_)
-                total[:, :width] += a.T @ (a @ q_)
-                total[:, width] += a.sum(0)
-                total[:, width + 1] += len(a)
+        for words, begins in blocks_of(raw for batch in batches for raw in batch.column(0).to_pylist()):
+            add_products(total, words, begins, idf_, weighted)
+        total[:, :width + 1] *= idf_[:SIZE, None]
         parts = [total[i:i + block].tobytes() for i in range(0, SIZE, block)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
                                          names=["block", "sums"])
@@ -207,7 +245,7 @@ def gram_times(passages: DataFrame, idf: np.ndarray, q: np.ndarray, tasks: int =
         total = sum(np.frombuffer(x) for x in frame["sums"])
         return pd.DataFrame({"block": frame["block"][:1], "sums": [total.tobytes()]})
 
-    rows = (passages.repartition(tasks).mapInArrow(run, "block int, sums binary")
+    rows = (placed.mapInArrow(run, "block int, sums binary")
             .groupBy("block").applyInPandas(add, "block int, sums binary").collect())  # SIZE / block rows
     full = np.concatenate([np.frombuffer(r["sums"]).reshape(-1, width + 2) for r in sorted(rows)])
     return full[:, :width], full[:, width], int(full[0, width + 1])
@@ -216,15 +254,11 @@ def gram_times(passages: DataFrame, idf: np.ndarray, q: np.ndarray, tasks: int =
 def fit(docs: DataFrame, text_col: str = "text", settings: Settings | None = None) -> np.ndarray:
     """A latent vector for every place; a passage's vector is the sum over its words."""
     s = settings or Settings()
-    spark = docs.sparkSession
-    texts = docs.select(text_of(text_col).alias("text"))
-    idf = document_frequencies(texts)
-    path = scratch_path(spark, "svd-passages")
-    sample_passages(texts, s.fit_passages).write.parquet(path)
-    passages = spark.read.parquet(path)
+    placed = written_places(docs.select(text_of(text_col).alias("text")))
+    idf = document_frequencies(placed)
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((SIZE, s.rank + 16)))[0]
     for i in range(s.rounds):
-        product, sums, n = gram_times(passages, idf, q)
+        product, sums, n = gram_times(placed, idf, q)
         if n == 0:
             return np.zeros((SIZE, s.rank), np.float32)
         if i + 1 < s.rounds:
