@@ -13,12 +13,11 @@ in the category (``to_entities``). No row per post and entity is made.
 from __future__ import annotations
 
 from bisect import insort
+from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import NEGATIVE_MIN, POSITIVE_MAX, TOP_K
 from .joins import join_small
@@ -26,6 +25,8 @@ from .joins import join_small
 KEYS = ["car_model", "accident"]
 # a post's own identity (link and raw text), carried while its text is not
 POST_ID = "_post"
+# groups whose first posts a task remembers
+GROUPS_AT_ONCE = 20_000
 
 
 def with_post_id(raw: DataFrame) -> DataFrame:
@@ -84,31 +85,33 @@ def keep_top_texts(scored: DataFrame, k: int = TOP_K, keys=tuple(KEYS)) -> DataF
     is one of the first k by the order of ``top_k_posts``. These are few (about
     k log(rows) per group and task) and hold the first k of all, so the rows can be written
     once without their texts, and the top posts need no second scan of the texts. A task
-    remembers k order keys per group."""
-    names, keys = scored.columns, list(keys)
+    remembers k order keys for at most ``GROUPS_AT_ONCE`` groups; past that it forgets them,
+    which only keeps more texts. Only the groups and the order keys go to Python, never the
+    texts."""
+    keys = list(keys)
 
-    def run(batches):
+    def wanted(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         best: dict[tuple, list] = {}
         for batch in batches:
-            groups = zip(*(batch.column(c).to_pylist() for c in keys), strict=True)
-            order = zip(*(batch.column(c).to_pylist() for c in ("view_count", "link", POST_ID)), strict=True)
+            *names, views, links, posts = (column.to_pylist() for column in batch)
             kept = []
-            for group, (views, link, post) in zip(groups, order, strict=True):
+            for group, view, link, post in zip(zip(*names), views, links, posts, strict=True):
                 # views descending with null last, link ascending with null first
-                key = (views is None, -(views or 0), link is not None, link or "", post)
+                key = (view is None, -(view or 0), link is not None, link or "", post)
+                if group not in best and len(best) >= GROUPS_AT_ONCE:
+                    best.clear()
                 top = best.setdefault(group, [])
-                wanted = len(top) < k or key < top[-1]
-                if wanted:
+                first = len(top) < k or key < top[-1]
+                if first:
                     insort(top, key)
                     del top[k:]
-                kept.append(wanted)
-            mask = pa.array(kept, pa.bool_())
-            columns = [pc.if_else(mask, c, pa.scalar(None, c.type)) if n == "content" else c
-                       for n, c in zip(names, batch.columns, strict=True)]
-            yield pa.RecordBatch.from_arrays([*columns, mask], names=[*names, "kept"])
-
-    fields = [T.StructField(f.name, f.dataType) for f in scored.schema.fields]  # texts become null
-    return scored.mapInArrow(run, T.StructType([*fields, T.StructField("kept", T.BooleanType())]))
+                kept.append(first)
+            yield pa.array(kept, pa.bool_())
+
+    # what is kept depends on the rows before: evaluated once, where it stands
+    mark = F.arrow_udf(wanted, "boolean").asNondeterministic()
+    marked = scored.withColumn("kept", mark(*keys, "view_count", "link", POST_ID))
+    return marked.withColumn("content", F.when(F.col("kept"), F.col("content")))
 
 
 def top_k_posts(scored: DataFrame, k: int = TOP_K, order_col: str = "view_count",

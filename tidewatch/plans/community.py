@@ -113,15 +113,23 @@ def packed_posts(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
     return posts.spread(pack_posts(top_k_posts(posts.rows, k, keys=posts.keys), posts.keys))
 
 
+def group_aggregates(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
+    """D14-D17 per group, not yet spread over the entities."""
+    packed = pack_posts(top_k_posts(posts.rows, k, keys=posts.keys), posts.keys)
+    return join_aggregates(packed, aggregate_posts(posts.rows, keys=posts.keys), posts.keys)
+
+
+def spread_aggregates(posts: ScoredPosts, grouped: DataFrame) -> DataFrame:
+    """T4 from the groups' aggregates."""
+    more = [c for c in posts.on if c != "accident"]
+    return posts.spread(grouped).select("car_model", "accident", *more, "top_comm", "avg_comm_score", "count",
+                                        "comm_positive_count", "comm_negative_count")
+
+
 def aggregate_batch(posts: ScoredPosts, k: int = TOP_K) -> DataFrame:
     """T4 (D14-D17): one row per (entity, category), aggregated per category first where
     the score allows it."""
-    packed = pack_posts(top_k_posts(posts.rows, k, keys=posts.keys), posts.keys)
-    grouped = join_aggregates(packed, aggregate_posts(posts.rows, keys=posts.keys), posts.keys)
-    more = [c for c in posts.on if c != "accident"]
-    return materialise(posts.spread(grouped).select(
-        "car_model", "accident", *more, "top_comm", "avg_comm_score", "count", "comm_positive_count",
-        "comm_negative_count"), "post-agg")
+    return materialise(spread_aggregates(posts, group_aggregates(posts, k)), "post-agg")
 
 
 def run_community(raw: DataFrame, batch_period: str, state: DataFrame, keywords: DataFrame,

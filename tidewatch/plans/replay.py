@@ -29,7 +29,7 @@ from ..operators.periods import assign_period
 from ..operators.scoring import Scorer, materialise
 from ..operators.state import KEYS, STATE_COLS, expire_issues
 from ..operators.tagging import clean_columns, selected_pairs, tag_mapped, with_tags
-from .community import aggregate_batch, run_community, score_tagged
+from .community import group_aggregates, run_community, score_tagged, spread_aggregates
 from .news import run_news, score_news
 
 
@@ -223,7 +223,8 @@ def replay(raw_news: DataFrame, raw_posts: DataFrame, seed: DataFrame, categorie
     Articles are aggregated to (key, period). Running sums over a key's periods give the
     news state of every batch, so also the intervals in which an issue is open. Posts meet
     these by their period and category, are scored and aggregated per (category, period)
-    and spread over the open entities. The issue score of each batch then needs that batch's
+    and spread over the open entities, without the packed texts, which the fact rows take from
+    their group. The issue score of each batch then needs that batch's
     counts, and an alert the score of the batch before (``lag``). Only rows per key and
     period are kept; windows partition by key, so a hot key costs one row per period.
 
@@ -237,9 +238,12 @@ def replay(raw_news: DataFrame, raw_posts: DataFrame, seed: DataFrame, categorie
     after_news = materialise(news_states(dense, per, threshold, ttl), "replay-news")
     issues = after_news.filter("is_issue").select(*KEYS, "batch_period")
     tagged = _open_tags(raw_posts, keywords, issues, every)
-    posts = aggregate_batch(score_tagged(tagged, issues, post_scorer, on_failure, k=k, by=("batch_period",)), k)
+    scored = score_tagged(tagged, issues, post_scorer, on_failure, k=k, by=("batch_period",))
+    # the packed texts of a group stand there once; a key's row meets them only in the facts
+    grouped = materialise(group_aggregates(scored, k), "replay-posts")
+    posts = spread_aggregates(scored, grouped)
 
-    rows = after_news.join(posts.withColumnRenamed("count", "_n"), [*KEYS, "batch_period"], "left")
+    rows = after_news.join(posts.drop("top_comm").withColumnRenamed("count", "_n"), [*KEYS, "batch_period"], "left")
     w = Window.partitionBy(*KEYS).orderBy("period_start")
     run = Window.partitionBy(*KEYS, "_run").orderBy("period_start").rowsBetween(Window.unboundedPreceding, 0)
     base = from_seed
@@ -257,10 +261,12 @@ def replay(raw_news: DataFrame, raw_posts: DataFrame, seed: DataFrame, categorie
     rows = rows.withColumn("_old", old)
     changed = severity(F.col("_old")) != severity(F.col("issue_score"))
     rows = rows.withColumn("is_alert", F.col("is_issue") & (F.col("_opened") | changed))
-    rows = materialise(rows.select(*STATE_COLS, "batch_period", "period_end", "news_count", "comm_count", "top_comm",
+    rows = materialise(rows.select(*STATE_COLS, "batch_period", "period_end", "news_count", "comm_count",
+                                   F.col("_n").isNotNull().alias("_has_posts"),
                                    "comm_positive_count", "comm_negative_count"), "replay-states")
     states = rows.select(*STATE_COLS, "batch_period")
-    facts = rows.filter(F.col("is_issue") & F.col("top_comm").isNotNull()).select(
+    posted = rows.filter(F.col("is_issue") & F.col("_has_posts"))
+    facts = posted.join(grouped.select(*scored.keys, "top_comm"), scored.keys).filter(F.col("top_comm").isNotNull()).select(
         *KEYS, "issue_score", "comm_count", "news_count", "start_batch_time", F.col("period_end").alias("batch_time"),
         "top_comm", "comm_positive_count", "comm_negative_count", "batch_period")
     news = per.select(*KEYS, "count", "avg_news_score", "batch_period")
