@@ -5,11 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
 from .joins import join_small
+from .scoring import materialise
 
 KEYS = ["car_model", "accident"]
 
@@ -138,29 +141,76 @@ def match_entities(df: DataFrame, entities, out: str = "keyword",
     return explode_tags(tag_flat(df, entities, out=out, cols=cols), out)
 
 
-GRAM = 3
-
-
-def _grams(text: Column, lengths) -> Column:
-    """The different substrings of the given lengths."""
-    def of(chars, length):
-        def gram(i):
-            return F.concat(*[F.get(chars, i + k) for k in range(length)])
-        return F.when(F.size(chars) >= length, F.transform(F.sequence(F.lit(0), F.size(chars) - length), gram)) \
-            .otherwise(F.array().cast("array<string>"))
-
-    # the characters are bound once, as the one element of an outer array: inside the inner
-    # function the text would be split again for every gram
-    chars = F.filter(F.split(text, ""), lambda c: c != "")
-    return F.array_distinct(F.transform(F.array(chars), lambda c: F.concat(*[of(c, n) for n in lengths]))[0])
+# a gram is a number: up to GRAM bytes of UTF-8 text below, their count above
+GRAM = 6
+_FOLD = 20
+_PIECE = 1 << 16
+
+
+def _keyword_grams(n: int):
+    """Arrow function: the different grams of ``n`` bytes of each keyword; a shorter keyword is
+    its own gram."""
+    def grams(words: pa.Array) -> pa.Array:
+        out = []
+        for w in words.to_pylist():
+            k = min(n, len(w))
+            out.append(list({int.from_bytes(w[i:i + k], "little") | k << 8 * GRAM for i in range(len(w) - k + 1)}))
+        return pa.array(out, pa.list_(pa.int64()))
+
+    return F.arrow_udf(grams, "array<bigint>")
+
+
+def _folded(gram):
+    """A gram's place among ``1 << _FOLD``: of a Column or of numbers."""
+    low = (1 << _FOLD) - 1
+    if isinstance(gram, Column):
+        a, b = F.shiftrightunsigned(gram, _FOLD), F.shiftrightunsigned(gram, 2 * _FOLD)
+        return gram.bitwiseXOR(a).bitwiseXOR(b).bitwiseAND(F.lit(low))
+    return (gram ^ gram >> _FOLD ^ gram >> 2 * _FOLD) & low
+
+
+def _text_grams(known):
+    """Arrow function: the different grams of each text whose place is set in ``known``, a
+    broadcast list of places per length. Of a number of bytes that no gram has, none is made."""
+    def grams(texts: pa.Array) -> pa.Array:
+        places, texts = known.value, texts.cast(pa.binary())
+        top = max(places, default=0)
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+        at = at.astype(np.int64) - at[0]
+        rows, found = [], []
+        for begin in range(0, len(data), _PIECE):
+            piece = data[begin:begin + _PIECE + GRAM - 1].astype(np.int64)
+            gram = piece.copy()
+            for n in range(1, min(top, len(piece)) + 1):
+                if n > 1:
+                    gram = gram[:-1] | piece[n - 1:] << 8 * (n - 1)
+                if n in places:
+                    mine = gram[:_PIECE] | n << 8 * GRAM
+                    hit = np.flatnonzero(places[n][_folded(mine)])
+                    row = np.searchsorted(at, hit + begin, "right") - 1
+                    whole = hit + begin + n <= at[row + 1]
+                    rows.append(row[whole])
+                    found.append(mine[hit[whole]])
+        if not rows:
+            return pa.array([[]] * len(texts), pa.list_(pa.int64()))
+        row, gram = np.concatenate(rows), np.concatenate(found)
+        order = np.lexsort((gram, row))
+        row, gram = row[order], gram[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])
+        ends = np.append(0, np.cumsum(np.bincount(row[new], minlength=len(texts)))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(gram[new]))
+
+    return F.arrow_udf(grams, "array<bigint>")
 
 
 def keyword_index(keywords: DataFrame, col: str = "keyword", n: int = GRAM) -> DataFrame:
-    """``keywords`` with ``_gram``: of each keyword's grams of ``n`` characters the one that
+    """``keywords`` with ``_gram``: of each keyword's grams of ``n`` bytes the one that
     the fewest keywords have (a shorter keyword is its own gram). Null and empty keywords
     are left out."""
     words = keywords.filter(F.col(col).isNotNull() & (F.col(col) != ""))
-    grams = F.when(F.length(col) >= n, _grams(F.col(col), [n])).otherwise(F.array(F.col(col)))
+    grams = _keyword_grams(n)(F.col(col).cast("binary"))
     each = words.select(col).distinct().select(col, F.explode(grams).alias("_gram"))
     shared = each.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
     rarest = each.join(shared, "_gram").groupBy(col).agg(F.min(F.struct("_n", "_gram")).alias("_r"))
@@ -172,16 +222,23 @@ def match_keyword_table(df: DataFrame, keywords: DataFrame, col: str = "keyword"
     """One row per (record, row of ``keywords``) whose keyword any of ``cols`` contains: D3,
     D5 and C13 for a table of any number of keywords.
 
-    A text's different grams are joined to the index, which has one gram per keyword, and
-    only the keywords that this finds are looked for in the text. So the work per text
+    The index has one gram per keyword. Of a text's grams those are taken, by arrays, whose
+    place in a table of bits some keyword's gram has (at most ``1 << _FOLD`` places per number
+    of bytes, whatever the number of keywords); the join to the index drops what only shares a
+    place. Only the keywords that this finds are looked for in the text. So the work per text
     depends on its length and on what it contains, not on the number of keywords. The index
     is broadcast after a check of its size (past it the join is salted); in a broadcast join
     the grams of a text are probed one after another without a copy of the text."""
-    index = keyword_index(keywords, col)
-    lengths = sorted(r[0] for r in index.select(F.length("_gram")).distinct().collect())  # 1 to GRAM
-    if not lengths:
-        lengths = [GRAM]
-    text = F.concat_ws("\n", *cols)
-    probes = df.withColumn("_gram", F.explode(_grams(text, lengths)))
+    spark = df.sparkSession
+    index = materialise(keyword_index(keywords, col), "keyword-index")
+    length = F.shiftright("_gram", 8 * GRAM).cast("int")
+    seen = index.select(length.alias("n"), _folded(F.col("_gram")).cast("int").alias("place")).distinct().toArrow()
+    size, place = (seen[c].to_numpy() for c in ("n", "place"))
+    known = {}
+    for n in np.unique(size).tolist():
+        known[n] = np.zeros(1 << _FOLD, bool)
+        known[n][place[size == n]] = True
+    text = F.concat_ws("\n", *cols).cast("binary")
+    probes = df.withColumn("_gram", F.explode(_text_grams(spark.sparkContext.broadcast(known))(text)))
     found = join_small(probes, index, "_gram", "inner", **join_opts)
     return found.filter(reduce(or_, [F.coalesce(F.col(c).contains(F.col(col)), F.lit(False)) for c in cols])).drop("_gram")
