@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -49,16 +50,35 @@ UNIT_SCHEMA = "doc_id bigint, tid bigint, no int, start bigint, end bigint, word
 
 def units(text: str, unit: str = "sentence") -> list[tuple[int, int, int, str]]:
     """Start, end, number of words and normalised text of each unit that has words."""
-    out = []
+    _, table, norms = unit_arrays([text], unit)
+    return [(*row, norm.decode()) for row, norm in zip(table.tolist(), norms, strict=True)]
+
+
+def unit_arrays(texts: list[str], unit: str = "sentence") -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The units of some texts, each text's in order: the number of the text, then start, end
+    and number of words, and the normalised text."""
+    slow, out = range(len(texts)), []
+    if unit == "sentence":
+        # lower case moves the offsets, or goes by what stands around a word
+        slow = [i for i, t in enumerate(texts) if "\u0130" in t or "\u03a3" in t]
+        out.append(_sentence_parts(["" if i in set(slow) else t for i, t in enumerate(texts)] if slow else texts))
+    for i in slow:
+        found = list(_units_of(texts[i], unit))
+        out.append((np.full(len(found), i), np.array([x[:3] for x in found], np.int64).reshape(-1, 3),
+                    [x[3].encode("utf-8", "replace") for x in found]))
+    places, tables, norms = zip(*out, strict=True) if out else ([np.zeros(0, np.int64)], [np.zeros((0, 3), np.int64)], [])
+    return np.concatenate(places), np.concatenate(tables), [x for part in norms for x in part]
+
+
+def _units_of(text: str, unit: str):
     if unit == "sentence":
         for begin, end in _sentences(text):
-            out.extend(_parts(text, begin, end))
-        return out
+            yield from _parts(text, begin, end)
+        return
     for begin, end in (m.span() for m in UNITS[unit].finditer(text)):
         words = _WORD.findall(text[begin:end].lower())
         if words:
-            out.append((begin, end, len(words), " ".join(words)))
-    return out
+            yield begin, end, len(words), " ".join(words)
 
 
 _word_hash = Memo(lambda word: zlib.crc32(word.encode("utf-8", "replace")))
@@ -97,6 +117,115 @@ def _sentences(text: str):
         yield at, len(text)
 
 
+@lru_cache(maxsize=1)
+def _classes() -> np.ndarray:
+    """Of each code point: 1 if it is part of a word, 2 if white space, 4 if a stop, as the
+    patterns have it."""
+    chars = [chr(i) for i in range(0x110000)]
+    out = np.zeros(len(chars), np.uint8)
+    out[[i for i, c in enumerate(chars) if c == "_" or c.isalnum()]] = 1
+    out[[i for i, c in enumerate(chars) if c.isspace()]] = 2
+    out[[ord(c) for c in ".!?"]] = 4
+    return out
+
+
+def _crc_table() -> np.ndarray:
+    c = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        c = np.where(c & 1, c >> 1 ^ np.uint32(0xEDB88320), c >> 1)
+    return c
+
+
+_CRC, _CRC_WORD = _crc_table(), 32
+
+
+def word_crcs(raw: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """CRC-32 of the words at ``begin``, a byte of every word at a time; of long words by zlib."""
+    crc = np.full(len(begin), 0xFFFFFFFF, np.uint32)
+    mine = np.flatnonzero(size <= _CRC_WORD)
+    for k in range(_CRC_WORD):
+        mine = mine[size[mine] > k]
+        if not len(mine):
+            break
+        c = crc[mine]
+        crc[mine] = _CRC[(c ^ raw[begin[mine] + k]) & np.uint32(255)] ^ c >> np.uint32(8)
+    crc ^= np.uint32(0xFFFFFFFF)
+    for i in np.flatnonzero(size > _CRC_WORD):
+        crc[i] = zlib.crc32(raw[begin[i]:begin[i] + size[i]].tobytes())
+    return crc
+
+
+def _sentence_parts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """What ``_sentences`` and ``_parts`` give, by arrays over all texts. A text ends as a line
+    does. Lower case must keep every character's place."""
+    text = "\n".join(texts)
+    low = text.lower()
+    starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
+    if text.isascii():
+        chars = np.frombuffer(text.encode(), np.uint8)
+        kind = _classes()[chars]
+        size = None
+    else:
+        chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+        kind = _classes()[chars]
+        spelled = np.frombuffer(low.encode("utf-32-le", "replace"), np.uint32)
+        size = 1 + (spelled >= 0x80).astype(np.int8) + (spelled >= 0x800) + (spelled >= 0x10000)
+    inside = np.zeros(len(chars) + 2, np.int8)
+    inside[1:-1] = kind == 1
+    edge = np.diff(inside)
+    word_begin, word_end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    n = len(word_begin)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros((0, 3), np.int64), []
+
+    # the words in lower case with one blank behind each
+    raw = np.frombuffer(low.encode("utf-8", "replace") + b" ", np.uint8).copy()
+    if size is None:
+        keep, begin, end = inside[1:] == 1, word_begin, word_end
+    else:
+        keep = np.append(np.repeat(kind == 1, size), False)
+        at = np.append(0, np.cumsum(size, dtype=np.int64))
+        begin, end = at[word_begin], at[word_end]
+    raw[end], keep[end] = 32, True
+    raw = raw[keep]
+    at = np.append(0, np.cumsum(end - begin + 1))
+
+    # a sentence ends behind a stop before white space or the text's end, or at a line break
+    stop = np.flatnonzero(kind == 4)
+    stop = stop[np.append(kind, 2)[stop + 1] == 2] + 1
+    line = np.flatnonzero(chars == 10)
+    ends = np.concatenate([stop, line, [len(chars)]])
+    order = np.argsort(ends, kind="stable")
+    ends = ends[order]
+    begins = np.append(0, np.concatenate([stop, line + 1])[order[:-1]])
+    sentence = np.searchsorted(begins, word_begin, "right") - 1
+
+    first = np.ones(n, bool)
+    first[1:] = sentence[1:] != sentence[:-1]
+    cuts = np.zeros(0, np.int64)
+    if n >= 2 * REACH + 3:
+        h = word_crcs(raw, at[:-1], end - begin).astype(np.uint64)
+        # v[i] is of the words i to i + 2; equal neighbours (one word again and again) are no cut
+        v = (5 * h[:-2] + 7 * h[1:-1] + h[2:]) * np.uint64(2654435761) & np.uint64(0xFFFFFFFF)
+        m = len(v) - 2 * REACH
+        mine = v[REACH:REACH + m]
+        least = sentence[:m] == sentence[2 * REACH + 2:]  # all words looked at are of one sentence
+        for k in range(1, REACH + 1):
+            least &= (mine < v[REACH - k:REACH - k + m]) & (mine < v[REACH + k:REACH + k + m])
+        cuts = np.flatnonzero(least) + REACH + 2
+
+    # a unit ends with a cut's word, or with its sentence
+    last = np.append(first[1:], True)
+    begin_at, end_at = begins[sentence], ends[sentence]
+    first[cuts + 1], last[cuts] = True, True
+    begin_at[cuts + 1], end_at[cuts] = word_end[cuts], word_end[cuts]
+    a, b = np.flatnonzero(first), np.flatnonzero(last) + 1
+    place = np.searchsorted(starts, word_begin[a], "right") - 1
+    table = np.stack([begin_at[a] - starts[place], end_at[b - 1] - starts[place], b - a], axis=1)
+    spelt = raw.tobytes()
+    return place, table, [spelt[x:y] for x, y in zip(at[a].tolist(), (at[b] - 1).tolist(), strict=True)]
+
+
 def unit_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                unit: str = "sentence") -> DataFrame:
     """One row per unit: id, hash of the text, number, offsets, words, digest (a, b)."""
@@ -106,19 +235,17 @@ def unit_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                rows, digests, per_doc = [], [], []
-                for text in batch.column(2).to_pylist():
-                    found = units(text, unit)
-                    per_doc.append(len(found))
-                    rows.extend((no, u[0], u[1], u[2]) for no, u in enumerate(found))
-                    digests.extend(xxh3_128_digest(u[3].encode("utf-8", "replace")) for u in found)
-                place = pa.array(np.repeat(np.arange(len(per_doc)), per_doc))
-                table = np.array(rows, np.int64).reshape(-1, 4)
+                place, table, norms = unit_arrays(batch.column(2).to_pylist(), unit)
+                digests = [xxh3_128_digest(x) for x in norms]
+                # units of a text stand together
+                edge = np.flatnonzero(np.diff(place, prepend=-1))
+                number = np.arange(len(place)) - np.repeat(edge, np.diff(edge, append=len(place)))
+                place = pa.array(place)
                 digest = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(place), batch.column(1).take(place),
-                     pa.array(table[:, 0].astype(np.int32)), pa.array(table[:, 1]), pa.array(table[:, 2]),
-                     pa.array(table[:, 3].astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+                     pa.array(number.astype(np.int32)), pa.array(table[:, 0]), pa.array(table[:, 1]),
+                     pa.array(table[:, 2].astype(np.int32)), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
                     names=[x.split(" ")[0] for x in UNIT_SCHEMA.split(", ")])
 
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text_of(text_col)).alias("tid"),
