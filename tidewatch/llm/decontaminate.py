@@ -53,7 +53,7 @@ BITS = 13
 SIZE = 1 << BITS
 WINDOW, STRIDE, ITEM_STRIDE = 32, 16, 8
 ITEM_BLOCK = 5_000
-BLOCK_WORDS = 1 << 14
+BLOCK_WORDS = 1 << 16
 
 @dataclass
 class Settings:
@@ -183,6 +183,52 @@ def blocks_of(raws) -> tuple[np.ndarray, np.ndarray]:
         yield np.concatenate(held), np.concatenate(starts)
 
 
+def block_sums(rows: np.ndarray, words: np.ndarray, step: int = 256) -> np.ndarray:
+    """The sum of each block's rows, one word of every block at a time and ``step`` blocks
+    together: what is gathered stays near and is added where it lies."""
+    out = np.empty((len(words), rows.shape[1]), rows.dtype)
+    part = np.empty((min(step, len(words)), rows.shape[1]), rows.dtype)
+    for i in range(0, len(words), step):
+        mine, sums = words[i:i + step].T, out[i:i + step]
+        rows.take(mine[0], axis=0, out=sums, mode="clip")  # with "raise" it is buffered
+        for places_ in mine[1:]:
+            rows.take(places_, axis=0, out=part[:len(sums)], mode="clip")
+            sums += part[:len(sums)]
+    return out
+
+
+# from so many words of one place on they are added up by themselves
+_MANY = 16
+
+
+def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
+    """Add each block's row of ``y`` to the rows of ``total`` of its words' places; the place
+    ``SIZE`` is none.
+
+    Frequent places are summed up one after the other; of the others the first, second, ...
+    word of every place is added at once, so no place comes twice in one step."""
+    flat = words.ravel()
+    order = np.argsort(flat, kind="stable")
+    ranked = flat[order]
+    edge = np.flatnonzero(np.diff(ranked, prepend=-1))
+    at, counts, block = ranked[edge], np.diff(edge, append=len(flat)), order // words.shape[1]
+    real = at < SIZE
+    at, edge, counts = at[real], edge[real], counts[real]
+    many = counts >= _MANY
+    for place, begin, n in zip(at[many].tolist(), edge[many].tolist(), counts[many].tolist(), strict=True):
+        total[place] += np.add.reduce(y.take(block[begin:begin + n], axis=0), axis=0)
+    few = np.flatnonzero(~many)
+    if not len(few):
+        return
+    few = few[np.argsort(-counts[few], kind="stable")]
+    at, edge, counts = at[few], edge[few], counts[few]
+    sums = y.take(block[edge], axis=0)
+    for k in range(1, int(counts[0])):
+        n = np.searchsorted(-counts, -k, "left")  # the places with more than k words
+        sums[:n] += y.take(block[edge[:n] + k], axis=0)
+    total[at] += sums
+
+
 def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> None:
     """Add to ``total`` the passages' share of (A'A) q and of the column sums, both still to be
     multiplied by the words' weights, and the number of passages.
@@ -199,21 +245,14 @@ def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf:
     counts = np.diff(run, append=pairs.size)
     square = np.bincount(run // pairs.shape[1], (counts * idf[pairs.ravel()[run]]) ** 2, len(first))
     square = np.maximum(square, 1e-18)
-    z = weighted[words.ravel()].reshape(len(words), STRIDE, width).sum(1)
+    z = block_sums(weighted, words)
     y = np.zeros((len(words), width + 1), np.float32)
     mine = np.empty((len(first), width + 1), np.float32)
     mine[:, :width] = (z[first] + z[first + 1]) / square[:, None]
     mine[:, width] = 1 / np.sqrt(square)
     y[first] += mine
     y[first + 1] += mine
-    flat = words.ravel()
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
-    edge = np.flatnonzero(np.diff(ranked, prepend=-1))
-    sums = np.add.reduceat(y[order // STRIDE], edge, axis=0)
-    at = ranked[edge]
-    real = at < SIZE
-    total[at[real], :width + 1] += sums[real]
+    add_by_place(total[:, :width + 1], words, y)
     total[:, width + 1] += len(first)
 
 
@@ -332,7 +371,9 @@ def common_length(masks: dict, n: int, words: list[int]) -> int:
 
 class Searcher:
     def __init__(self, vectors: np.ndarray, passages: list[Passage], settings: Settings):
-        self.vectors, self.passages, self.s = vectors, passages, settings
+        # the place ``SIZE`` fills up the last block
+        self.vectors = np.vstack([vectors, np.zeros((1, vectors.shape[1]), vectors.dtype)])
+        self.passages, self.s = passages, settings
         m = np.stack([vectors[places(p.words)].sum(0) for p in passages])
         self.items = np.ascontiguousarray((m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T)
 
@@ -341,15 +382,16 @@ class Searcher:
         for at in range(0, max(1, len(words)), BLOCK_WORDS):
             part = words[at:at + BLOCK_WORDS + WINDOW - STRIDE]
             n = math.ceil(len(part) / STRIDE)
-            x = np.zeros((n * STRIDE, self.vectors.shape[1]), np.float32)
-            x[:len(part)] = self.vectors[places(part)]
-            sums = x.reshape(n, STRIDE, -1).sum(1)
+            where = np.full(n * STRIDE, SIZE)
+            where[:len(part)] = places(part)
+            sums = block_sums(self.vectors, where.reshape(n, STRIDE))
             if n > 1:
                 sums = sums[:-1] + sums[1:]
             sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
             cosine = sums @ self.items
-            for i, j in zip(*np.nonzero(cosine >= self.s.min_cosine), strict=True):
-                yield at + int(i) * STRIDE, int(j), float(cosine[i, j])
+            for k in np.flatnonzero(cosine >= self.s.min_cosine).tolist():
+                i, j = divmod(k, cosine.shape[1])
+                yield at + i * STRIDE, j, float(cosine[i, j])
 
     def verify(self, words: np.ndarray, at: int, p: Passage) -> tuple[float, int] | None:
         """The share of the passage found in order, and where; None if it is no match."""
