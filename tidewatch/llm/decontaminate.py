@@ -53,7 +53,7 @@ BITS = 13
 SIZE = 1 << BITS
 WINDOW, STRIDE, ITEM_STRIDE = 32, 16, 8
 ITEM_BLOCK = 5_000
-BLOCK_WORDS = 1 << 16
+BLOCK_WORDS = 1 << 14
 
 @dataclass
 class Settings:
@@ -197,16 +197,35 @@ def block_sums(rows: np.ndarray, words: np.ndarray, step: int = 256) -> np.ndarr
     return out
 
 
-# from so many words of one place on they are added up by themselves
-_MANY = 16
+def pairwise_sum(rows: np.ndarray) -> np.ndarray:
+    """The sum of some rows, in halves and by eight partial sums, which keeps more digits than
+    one row after the other; in the order of ``np.add.reduceat``, whose result it gives."""
+    n = len(rows)
+    if n > 128:
+        half = n // 2 // 8 * 8
+        return pairwise_sum(rows[:half]) + pairwise_sum(rows[half:])
+    if n < 8:
+        return np.add.reduce(rows, axis=0)
+    r = np.add.reduce(rows[:n // 8 * 8].reshape(n // 8, 8, -1), axis=0)
+    r = r[::2] + r[1::2]
+    r = r[::2] + r[1::2]
+    out = r[0] + r[1]
+    for row in rows[n // 8 * 8:]:
+        out += row
+    return out
+
+
+# up to so many words of a place are added up beside those of other places
+_FEW = 8
 
 
 def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
     """Add each block's row of ``y`` to the rows of ``total`` of its words' places; the place
     ``SIZE`` is none.
 
-    Frequent places are summed up one after the other; of the others the first, second, ...
-    word of every place is added at once, so no place comes twice in one step."""
+    Frequent places are summed up one after the other; of the others the second, third, ...
+    word of every place is added at once, so no place comes twice in one step, and then the
+    first."""
     flat = words.ravel()
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
@@ -214,18 +233,21 @@ def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
     at, counts, block = ranked[edge], np.diff(edge, append=len(flat)), order // words.shape[1]
     real = at < SIZE
     at, edge, counts = at[real], edge[real], counts[real]
-    many = counts >= _MANY
+    many = counts > _FEW
     for place, begin, n in zip(at[many].tolist(), edge[many].tolist(), counts[many].tolist(), strict=True):
-        total[place] += np.add.reduce(y.take(block[begin:begin + n], axis=0), axis=0)
+        rows = y.take(block[begin:begin + n], axis=0)
+        total[place] += rows[0] + pairwise_sum(rows[1:])
     few = np.flatnonzero(~many)
     if not len(few):
         return
     few = few[np.argsort(-counts[few], kind="stable")]
     at, edge, counts = at[few], edge[few], counts[few]
     sums = y.take(block[edge], axis=0)
+    rest = np.zeros((int(np.searchsorted(-counts, -1, "left")), y.shape[1]), y.dtype)  # of places with more words
     for k in range(1, int(counts[0])):
-        n = np.searchsorted(-counts, -k, "left")  # the places with more than k words
-        sums[:n] += y.take(block[edge[:n] + k], axis=0)
+        n = np.searchsorted(-counts, -k, "left")
+        rest[:n] += y.take(block[edge[:n] + k], axis=0)
+    sums[:len(rest)] += rest
     total[at] += sums
 
 
