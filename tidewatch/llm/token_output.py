@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import text_of, white_chunks
-from .word_bpe import WordBpe, byte_letters, words
+from .word_bpe import WordBpe, byte_letters, symbols, words
 
 ORC_OPTIONS = {
     "orc.compress": "ZSTD",
@@ -40,8 +40,23 @@ ORC_OPTIONS = {
 
 # text that one step of the encoder lays out as columns
 SLICE_BYTES = 4 << 20
+# words that the library is asked for at once
+ASKED = 1 << 14
 # texts with these go by white_chunks
 _ODD = r"[\x1c-\x1f]"
+# runs that are one word, or one and a stop: Latin letters that Arrow lower-cases as Python does
+_LETTERS = r"^[A-Za-zÀ-ÖØ-öø-įı-ſ]+[.,]?$"
+_STOPS = (".", ",")
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _lists(ids: list[bytes]) -> pa.LargeListArray:
+    """Lists of 32-bit integers of their bytes."""
+    ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
+    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
 
 
 class Kept:
@@ -94,23 +109,31 @@ class LibraryEncoder:
         self.model.pre_tokenizer = WhitespaceSplit()
         self.bpe = WordBpe(raw)
         self.special = {s: i.to_bytes(4, "little") for s, i in self.bpe.special.items()}
-        self.spelling = dict(enumerate(byte_letters()))
+        self.letters = np.array([ord(x) for x in byte_letters()], "<u4")
+        self.letters[ord(" ")] = ord(" ")  # in no word
+        ends = [i for i, name in zip(self.bpe.ids, self.bpe.names, strict=True) if name.endswith(self.bpe.suffix)]
+        self.is_end = np.zeros(max(self.bpe.ids) + 1, bool)
+        self.is_end[ends] = True
+        # one byte is one symbol, the one at a word's end
+        self.stops = [self.bpe.ids[symbols(stop)[0]] for stop in _STOPS]
         self.runs, self.words = Kept(limit), Kept(limit)
 
-    def _spell(self, word: str) -> str:
-        if word.isascii() and word.isprintable():
-            return word
-        return word.encode("utf-8", "replace").decode("latin-1").translate(self.spelling)
+    def _spelled(self, words: list[str]) -> str:
+        """The words in the vocabulary's letters, one for each byte, with spaces between."""
+        raw = np.frombuffer(" ".join(words).encode("utf-8", "replace"), np.uint8)
+        return self.letters[raw].tobytes().decode("utf-32-le")
 
     def _learn_words(self, asked: set[str]) -> None:
         new = self.words.missing(asked)
         if not new:
             return
-        answer = self.model.encode(" ".join(map(self._spell, new)), add_special_tokens=False)
-        ids = np.array(answer.ids, "<u4").tobytes()
-        per_word = np.bincount(np.array(answer.word_ids, np.int64), minlength=len(new))
-        at = [0, *(4 * np.cumsum(per_word)).tolist()]
-        self.words.add(new, [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
+        for i in range(0, len(new), ASKED):
+            part = new[i:i + ASKED]
+            # without offsets and word numbers; the last piece of a word, and no other, is an end
+            answer, = self.model.encode_batch_fast([self._spelled(part)], add_special_tokens=False)
+            pieces = np.array(answer.ids, "<u4")
+            ids, at = pieces.tobytes(), [0, *(4 * np.flatnonzero(self.is_end[pieces]) + 4).tolist()]
+            self.words.add(part, [ids[a:b] for a, b in zip(at[:-1], at[1:], strict=True)])
 
     def _learn_runs(self, asked: set[str]) -> None:
         """One list of words per new run; a special string stands for itself."""
@@ -125,28 +148,59 @@ class LibraryEncoder:
                             b"".join([special[w] if w in special else ids[w] for w in ws])
                             for ws in found])
 
+    def _ids_of_words(self, asked: list[str]) -> list[bytes]:
+        known = self.words.young
+        ids = list(map(known.get, asked))
+        if None in ids:
+            self._learn_words({w for w, x in zip(asked, ids, strict=True) if x is None})
+            ids = [known[w] if x is None else x for w, x in zip(asked, ids, strict=True)]
+        return ids
+
+    def _ids_of_runs(self, asked: list[str]) -> list[bytes]:
+        known = self.runs.young
+        ids = list(map(known.get, asked))
+        if None in ids:
+            self._learn_runs({run for run, x in zip(asked, ids, strict=True) if x is None})
+            ids = [known[run] if x is None else x for run, x in zip(asked, ids, strict=True)]
+        return ids
+
+    def _encode_letters(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of runs of letters, some with a stop, one after the other, and how many each
+        run has: those of the word, which many runs share, and of the stop."""
+        low = pc.utf8_lower(runs)
+        word = pc.utf8_rtrim(low, characters="".join(_STOPS))
+        has_stop = np.asarray(pc.not_equal(pc.binary_length(low), pc.binary_length(word)))
+        numbered = word.dictionary_encode()
+        of_word = _lists(self._ids_of_words(_strings(numbered.dictionary)))
+        laid = of_word.take(numbered.indices)
+        ends = laid.offsets.to_numpy()[1:]
+        stopped = np.asarray(pc.ends_with(low, pattern=_STOPS[0]))[has_stop]
+        stop = np.where(stopped, *self.stops).astype("<u4")
+        return np.insert(laid.flatten().to_numpy(), ends[has_stop], stop), np.diff(laid.offsets.to_numpy()) + has_stop
+
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each text has.
 
-        Runs are cut, numbered and laid out as Arrow columns; Python handles each
-        different run of the column once."""
+        Runs are cut, numbered and laid out as Arrow columns, and so are the words of runs of
+        letters; Python handles each different word and each different other run once."""
         if pc.any(pc.match_substring_regex(texts, _ODD)).as_py():
             # separators that Arrow knows but the vocabulary does not
             runs = pa.array([white_chunks(t) for t in texts.to_pylist()], pa.list_(pa.string()))
         else:
             runs = pc.utf8_split_whitespace(texts)
         numbered = runs.flatten().dictionary_encode()
-        known = self.runs.young
-        spelled = numbered.dictionary.to_numpy(zero_copy_only=False).tolist()
-        ids = list(map(known.get, spelled))
-        if None in ids:
-            self._learn_runs({run for run, x in zip(spelled, ids, strict=True) if x is None})
-            ids = [known[run] if x is None else x for run, x in zip(spelled, ids, strict=True)]
+        letters = pc.match_substring_regex(numbered.dictionary, _LETTERS)
+        flat, n = self._encode_letters(numbered.dictionary.filter(letters))
+        others = self._ids_of_runs(_strings(numbered.dictionary.filter(pc.invert(letters))))
         self.runs.turn()
         self.words.turn()
-        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
-        of_run = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
-        laid = of_run.take(numbered.indices)
+        rest = _lists(others)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([n, np.diff(rest.offsets.to_numpy())]))])
+        of_run = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([flat, rest.values.to_numpy()])))
+        # the runs of letters come first there
+        first = np.asarray(letters)
+        at = np.where(first, np.cumsum(first) - 1, len(n) + np.cumsum(~first) - 1)
+        laid = of_run.take(pa.array(at).take(numbered.indices))
         at = laid.offsets.to_numpy()[runs.offsets.to_numpy() - runs.offsets[0].as_py()]
         return laid.flatten().to_numpy(), np.diff(at)
 
@@ -172,7 +226,10 @@ def slices(batch: pa.RecordBatch, column: int, max_bytes: int):
 def library_encoder(raw: bytes) -> LibraryEncoder:
     """One encoder per Python worker and vocabulary."""
     import gc
+    import os
 
+    # a task has one core
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     # the memo holds many objects and no cycles; the collector need not walk it often
     gc.set_threshold(200_000, 50, 100)
     return LibraryEncoder(raw)

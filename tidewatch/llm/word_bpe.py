@@ -52,6 +52,7 @@ class WordBpe:
         vocab = model["vocab"]
         letters = byte_letters()
         names = letters + [x + suffix for x in letters]
+        self.suffix = suffix
         piece = {name: p for p, name in enumerate(names)}
         self.ids = [vocab[name] for name in names]
         self.parts: list[tuple[int, int] | None] = [None] * SYMBOLS
