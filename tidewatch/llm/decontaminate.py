@@ -54,6 +54,8 @@ SIZE = 1 << BITS
 WINDOW, STRIDE, ITEM_STRIDE = 32, 16, 8
 ITEM_BLOCK = 5_000
 BLOCK_WORDS = 1 << 14
+# blocks of short texts that are searched together
+SEARCHED = BLOCK_WORDS // STRIDE
 
 @dataclass
 class Settings:
@@ -85,6 +87,21 @@ def _powers(x: int) -> np.ndarray:
 _POWER, _INVERSE = _powers(_P), _powers(pow(_P, -1, 1 << 64))
 
 
+def _words_of_part(part: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of at most ``_CHUNK`` bytes begin, and their hashes."""
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    begin, end = edge[::2], edge[1::2]
+    total = np.zeros(len(part) + 1, np.uint64)
+    np.cumsum(_BYTE[part] * _POWER[:len(part)], out=total[1:])
+    h = (total[end] - total[begin]) * _INVERSE[begin]
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return begin, (h >> np.uint64(32)).astype(np.int64)
+
+
+def _bytes_of(text: str) -> bytes:
+    return text.lower().encode("utf-8", "replace")
+
+
 def word_hashes(text: str) -> np.ndarray:
     """The 32-bit hashes of a text's words, in order.
 
@@ -93,7 +110,11 @@ def word_hashes(text: str) -> np.ndarray:
     hashed by array operations. Chunks end between words; a word longer than a chunk is
     read as several.
     """
-    raw, out, at = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8), [], 0
+    return _hashes_of_bytes(_bytes_of(text))
+
+
+def _hashes_of_bytes(text: bytes) -> np.ndarray:
+    raw, out, at = np.frombuffer(text, np.uint8), [], 0
     while at < len(raw):
         part = raw[at:at + _CHUNK]
         inside = _IN_WORD[part]
@@ -102,16 +123,42 @@ def word_hashes(text: str) -> np.ndarray:
             if len(gap):
                 part, inside = part[:len(part) - gap[0]], inside[:len(part) - gap[0]]
         at += len(part)
-        edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        begin, end = edge[::2], edge[1::2]
-        total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE[part] * _POWER[:len(part)], out=total[1:])
-        h = (total[end] - total[begin]) * _INVERSE[begin]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out.append((h >> np.uint64(32)).astype(np.int64))
+        out.append(_words_of_part(part, inside)[1])
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 
 
+# short texts are hashed so many bytes at a time
+_TOGETHER = 1 << 15
+
+
+def hashes_of_texts(texts: list[str]) -> list[bytes]:
+    """``word_hashes`` of every text as 32-bit integers; short texts are read together, with
+    a byte between them that is in no word."""
+    out, held, size = [], [], 0
+
+    def together():
+        part = np.frombuffer(b"\0".join(held), np.uint8)
+        begin, hashes = _words_of_part(part, _IN_WORD[part])
+        ends = np.cumsum([len(raw) + 1 for raw in held])
+        at, hashes = [0, *(4 * np.searchsorted(begin, ends)).tolist()], hashes.astype("<u4").tobytes()
+        out.extend(hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+        held.clear()
+
+    for text in texts:
+        raw = _bytes_of(text)
+        if held and size + len(raw) >= _TOGETHER:
+            together()
+            size = 0
+        if len(raw) >= _TOGETHER:
+            out.append(_hashes_of_bytes(raw).astype("<u4").tobytes())
+        else:
+            held.append(raw)
+            size += len(raw) + 1
+    if held:
+        together()
+    return out
+
+
 def places(hashes: np.ndarray) -> np.ndarray:
     return hashes >> (32 - BITS)
 
@@ -119,31 +166,45 @@ def places(hashes: np.ndarray) -> np.ndarray:
 # -- model ----------------------------------------------------------------------------
 
 def written_places(texts: DataFrame) -> DataFrame:
-    """The places of every text's words, in order, as 16-bit integers: written once, since
-    the frequencies and every round read them."""
+    """The hashes of every text's words, in order, as 32-bit integers, whose upper bits are
+    the places; with the texts' ``doc_id``, if there is one. Written once, since the
+    frequencies, every round and the search read them."""
+    kept = [c for c in texts.columns if c == "doc_id"]
+
     def run(batches):
         for batch in batches:
-            out = [places(word_hashes(text)).astype(np.int16).tobytes() for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["places"])
+            hashes = pa.array(hashes_of_texts(batch.column(0).to_pylist()), pa.binary())
+            yield pa.RecordBatch.from_arrays([hashes, *batch.columns[1:]], names=["words", *kept])
 
     path = scratch_path(texts.sparkSession, "svd-places")
-    texts.select("text").mapInArrow(run, "places binary").write.parquet(path)
-    return texts.sparkSession.read.schema("places binary").parquet(path)
+    schema = ", ".join(["words binary", *[f"{c} bigint" for c in kept]])
+    # the values are long, so the writer need not try a dictionary of them
+    (texts.select("text", *kept).mapInArrow(run, schema)
+     .write.option("parquet.enable.dictionary", "false").parquet(path))
+    return texts.sparkSession.read.schema(schema).parquet(path)
+
+
+def places_of(batches):
+    """The places of each text of the batches of ``written_places``."""
+    for batch in batches:
+        for raw in batch.column(0).to_pylist():
+            yield places(np.frombuffer(raw, "<u4")).astype(np.int16)
 
 
 def document_frequencies(placed: DataFrame) -> np.ndarray:
     """Inverse document frequencies by place over all texts."""
     def run(batches):
-        n, df = 0, np.zeros(SIZE, np.int64)
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                n += 1
-                df[np.unique(np.frombuffer(raw, np.int16))] += 1
+        n, df, seen = 0, np.zeros(SIZE, np.int64), np.zeros(SIZE, bool)
+        for at in places_of(batches):
+            n += 1
+            seen[at] = True
+            df += seen
+            seen[at] = False
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))],
                                          names=["place", "n"])
 
-    rows = placed.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
+    rows = placed.select("words").mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
         F.sum("n").alias("n")).collect()  # at most SIZE + 1 rows
     got = dict(rows)
     n = got.pop(-1, 0)
@@ -153,7 +214,7 @@ def document_frequencies(placed: DataFrame) -> np.ndarray:
     return np.log((1 + n) / (1 + df)) + 1
 
 
-def blocks_of(raws) -> tuple[np.ndarray, np.ndarray]:
+def blocks_of(texts) -> tuple[np.ndarray, np.ndarray]:
     """Texts' places in blocks of ``STRIDE``, filled up with ``SIZE``, about ``BLOCK_WORDS``
     at a time, and which blocks begin a passage (a block and the next one, of at least
     half a passage's words).
@@ -162,8 +223,7 @@ def blocks_of(raws) -> tuple[np.ndarray, np.ndarray]:
     pieces that share the block between them, so each passage is in one piece."""
     held, starts, size = [], [], 0
     step = BLOCK_WORDS // STRIDE
-    for raw in raws:
-        at = np.frombuffer(raw, np.int16)
+    for at in texts:
         n = len(at) // STRIDE  # passages
         if not n:
             continue
@@ -197,21 +257,48 @@ def block_sums(rows: np.ndarray, words: np.ndarray, step: int = 256) -> np.ndarr
     return out
 
 
-def pairwise_sum(rows: np.ndarray) -> np.ndarray:
-    """The sum of some rows, in halves and by eight partial sums, which keeps more digits than
-    one row after the other; in the order of ``np.add.reduceat``, whose result it gives."""
-    n = len(rows)
-    if n > 128:
-        half = n // 2 // 8 * 8
-        return pairwise_sum(rows[:half]) + pairwise_sum(rows[half:])
-    if n < 8:
-        return np.add.reduce(rows, axis=0)
-    r = np.add.reduce(rows[:n // 8 * 8].reshape(n // 8, 8, -1), axis=0)
-    r = r[::2] + r[1::2]
-    r = r[::2] + r[1::2]
-    out = r[0] + r[1]
-    for row in rows[n // 8 * 8:]:
-        out += row
+# runs of rows of at most so many are summed up by eight partial sums, longer ones in halves
+_LEAF = 128
+
+
+def leaves_of(begin: int, n: int) -> list[tuple[int, int]]:
+    """The (first row, number of rows) of the runs that ``n`` rows fall into by halving."""
+    if n <= _LEAF:
+        return [(begin, n)]
+    half = n // 2 // 8 * 8
+    return leaves_of(begin, half) + leaves_of(begin + half, n - half)
+
+
+def sum_of_leaves(sums, n: int) -> np.ndarray:
+    """The sum of ``n`` rows from an iterator over the sums of their leaves, half by half."""
+    if n <= _LEAF:
+        return next(sums)
+    half = n // 2 // 8 * 8
+    return sum_of_leaves(sums, half) + sum_of_leaves(sums, n - half)
+
+
+def leaf_sums(y: np.ndarray, block: np.ndarray, begin: np.ndarray, n: np.ndarray, step: int = 128) -> np.ndarray:
+    """The sum of the ``n`` (8 to ``_LEAF``) rows of ``y`` that ``block`` names from ``begin`` on,
+    for many runs at once: the first, second, ... eight rows of ``step`` runs are added
+    together to eight partial sums of each run, then these in pairs, then the rows left over."""
+    out = np.empty((len(begin), y.shape[1]), y.dtype)
+    by_length = np.argsort(-n, kind="stable")
+    for i in range(0, len(n), step):
+        mine = by_length[i:i + step]
+        first, eights, left = begin[mine], n[mine] // 8, n[mine] % 8
+        r = y.take(block[first[:, None] + np.arange(8)], axis=0)
+        more = np.empty_like(r)
+        for k in range(1, int(eights[0])):
+            longer = int(np.searchsorted(-eights, -k, "left"))
+            y.take(block[first[:longer, None] + np.arange(8 * k, 8 * k + 8)], axis=0, out=more[:longer], mode="clip")
+            r[:longer] += more[:longer]
+        r = r[:, ::2] + r[:, 1::2]
+        r = r[:, ::2] + r[:, 1::2]
+        r = r[:, 0] + r[:, 1]
+        for k in range(int(left.max())):
+            with_row = np.flatnonzero(left > k)
+            r[with_row] += y.take(block[(first + 8 * eights + k)[with_row]], axis=0)
+        out[mine] = r
     return out
 
 
@@ -219,13 +306,14 @@ def pairwise_sum(rows: np.ndarray) -> np.ndarray:
 _FEW = 8
 
 
-def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
+def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray, step: int = 128) -> None:
     """Add each block's row of ``y`` to the rows of ``total`` of its words' places; the place
     ``SIZE`` is none.
 
-    Frequent places are summed up one after the other; of the others the second, third, ...
-    word of every place is added at once, so no place comes twice in one step, and then the
-    first."""
+    Rows of frequent places are summed up in halves and by eight partial sums, which keeps more
+    digits than one row after the other (the order of ``np.add.reduceat``, whose result it
+    gives); of the others the second, third, ... word of ``step`` places is added at once, so
+    no place comes twice in one step, and then the first."""
     flat = words.ravel()
     order = np.argsort(flat, kind="stable")
     ranked = flat[order]
@@ -234,21 +322,31 @@ def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray) -> None:
     real = at < SIZE
     at, edge, counts = at[real], edge[real], counts[real]
     many = counts > _FEW
-    for place, begin, n in zip(at[many].tolist(), edge[many].tolist(), counts[many].tolist(), strict=True):
-        rows = y.take(block[begin:begin + n], axis=0)
-        total[place] += rows[0] + pairwise_sum(rows[1:])
+    if many.any():
+        begin, n = edge[many] + 1, counts[many] - 1
+        rest = np.empty((len(n), y.shape[1]), y.dtype)
+        whole = n <= _LEAF
+        halved = list(zip(begin[~whole].tolist(), n[~whole].tolist(), strict=True))
+        leaves = np.array([x for run in halved for x in leaves_of(*run)], np.int64).reshape(-1, 2)
+        sums = leaf_sums(y, block, np.append(begin[whole], leaves[:, 0]), np.append(n[whole], leaves[:, 1]))
+        at_leaf = iter(sums[whole.sum():])
+        rest[whole] = sums[:whole.sum()]
+        for k, (_, rows) in zip(np.flatnonzero(~whole).tolist(), halved, strict=True):
+            rest[k] = sum_of_leaves(at_leaf, rows)
+        rest += y.take(block[begin - 1], axis=0)
+        total[at[many]] += rest
     few = np.flatnonzero(~many)
-    if not len(few):
-        return
     few = few[np.argsort(-counts[few], kind="stable")]
-    at, edge, counts = at[few], edge[few], counts[few]
-    sums = y.take(block[edge], axis=0)
-    rest = np.zeros((int(np.searchsorted(-counts, -1, "left")), y.shape[1]), y.dtype)  # of places with more words
-    for k in range(1, int(counts[0])):
-        n = np.searchsorted(-counts, -k, "left")
-        rest[:n] += y.take(block[edge[:n] + k], axis=0)
-    sums[:len(rest)] += rest
-    total[at] += sums
+    for i in range(0, len(few), step):
+        mine = few[i:i + step]
+        begin, n = edge[mine], counts[mine]
+        sums = y.take(block[begin], axis=0)
+        rest = np.zeros((int(np.searchsorted(-n, -1, "left")), y.shape[1]), y.dtype)  # of places with more words
+        for k in range(1, int(n[0])):
+            longer = int(np.searchsorted(-n, -k, "left"))
+            rest[:longer] += y.take(block[begin[:longer] + k], axis=0)
+        sums[:len(rest)] += rest
+        total[at[mine]] += sums
 
 
 def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> None:
@@ -272,10 +370,10 @@ def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf:
     mine = np.empty((len(first), width + 1), np.float32)
     mine[:, :width] = (z[first] + z[first + 1]) / square[:, None]
     mine[:, width] = 1 / np.sqrt(square)
-    y[first] += mine
+    y[first] = mine
     y[first + 1] += mine
     add_by_place(total[:, :width + 1], words, y)
-    total[:, width + 1] += len(first)
+    total[0, width + 1] += len(first)
 
 
 def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
@@ -294,7 +392,7 @@ def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
     def run(batches):
         idf_, weighted = shared.value
         total = np.zeros((SIZE, width + 2), np.float64)
-        for words, begins in blocks_of(raw for batch in batches for raw in batch.column(0).to_pylist()):
+        for words, begins in blocks_of(places_of(batches)):
             add_products(total, words, begins, idf_, weighted)
         total[:, :width + 1] *= idf_[:SIZE, None]
         parts = [total[i:i + block].tobytes() for i in range(0, SIZE, block)]
@@ -306,16 +404,15 @@ def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
         total = sum(np.frombuffer(x) for x in frame["sums"])
         return pd.DataFrame({"block": frame["block"][:1], "sums": [total.tobytes()]})
 
-    rows = (placed.mapInArrow(run, "block int, sums binary")
+    rows = (placed.select("words").mapInArrow(run, "block int, sums binary")
             .groupBy("block").applyInPandas(add, "block int, sums binary").collect())  # SIZE / block rows
     full = np.concatenate([np.frombuffer(r["sums"]).reshape(-1, width + 2) for r in sorted(rows)])
     return full[:, :width], full[:, width], int(full[0, width + 1])
 
 
-def fit(docs: DataFrame, text_col: str = "text", settings: Settings | None = None) -> np.ndarray:
+def fit(placed: DataFrame, settings: Settings | None = None) -> np.ndarray:
     """A latent vector for every place; a passage's vector is the sum over its words."""
     s = settings or Settings()
-    placed = written_places(docs.select(text_of(text_col).alias("text")))
     idf = document_frequencies(placed)
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((SIZE, s.rank + 16)))[0]
     for i in range(s.rounds):
@@ -399,21 +496,46 @@ class Searcher:
         m = np.stack([vectors[places(p.words)].sum(0) for p in passages])
         self.items = np.ascontiguousarray((m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T)
 
-    def candidates(self, words: np.ndarray):
-        """(first word of the passage, number of the item's passage, cosine)."""
-        for at in range(0, max(1, len(words)), BLOCK_WORDS):
-            part = words[at:at + BLOCK_WORDS + WINDOW - STRIDE]
-            n = math.ceil(len(part) / STRIDE)
-            where = np.full(n * STRIDE, SIZE)
-            where[:len(part)] = places(part)
-            sums = block_sums(self.vectors, where.reshape(n, STRIDE))
-            if n > 1:
-                sums = sums[:-1] + sums[1:]
-            sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
-            cosine = sums @ self.items
-            for k in np.flatnonzero(cosine >= self.s.min_cosine).tolist():
-                i, j = divmod(k, cosine.shape[1])
-                yield at + i * STRIDE, j, float(cosine[i, j])
+    def candidates(self, texts: list[np.ndarray]):
+        """(number of the text, first word of the passage, number of the item's passage, cosine),
+        in the order of the texts; short texts are searched together."""
+        held, blocks = [], 0
+        for k, words in enumerate(texts):
+            for at in range(0, max(1, len(words)), BLOCK_WORDS) if len(words) else ():
+                part = words[at:at + BLOCK_WORDS + WINDOW - STRIDE]
+                n = math.ceil(len(part) / STRIDE)
+                if held and blocks + n > SEARCHED:
+                    yield from self._candidates_of(held)
+                    held, blocks = [], 0
+                held.append((k, at, part, n))
+                blocks += n
+        if held:
+            yield from self._candidates_of(held)
+
+    def _candidates_of(self, parts: list[tuple[int, int, np.ndarray, int]]):
+        n = np.array([x[3] for x in parts])
+        ends = np.cumsum(n)
+        where = np.full((int(ends[-1]), STRIDE), SIZE)
+        flat = where.reshape(-1)
+        for (_, _, part, _), begin in zip(parts, (STRIDE * (ends - n)).tolist(), strict=True):
+            flat[begin:begin + len(part)] = places(part)
+        sums = block_sums(self.vectors, where)
+        # a block and the next one; the last of a part begins none, unless it is the only one
+        begins = np.ones(len(sums), bool)
+        begins[ends - 1] = n == 1
+        pair = np.ones(len(sums), bool)
+        pair[ends - 1] = False
+        first = np.flatnonzero(pair)
+        sums[first] += sums[first + 1]
+        at = np.flatnonzero(begins)
+        sums = sums[at]
+        sums /= np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)
+        cosine = sums @ self.items
+        row, item = np.divmod(np.flatnonzero(cosine >= self.s.min_cosine), cosine.shape[1])
+        owner = np.searchsorted(ends, at[row], "right")
+        offset = STRIDE * (at[row] - (ends - n)[owner])
+        for i, o, j, c in zip(owner.tolist(), offset.tolist(), item.tolist(), cosine[row, item].tolist(), strict=True):
+            yield parts[i][0], parts[i][1] + o, j, c
 
     def verify(self, words: np.ndarray, at: int, p: Passage) -> tuple[float, int] | None:
         """The share of the passage found in order, and where; None if it is no match."""
@@ -440,19 +562,20 @@ class Searcher:
                 return None
         return best / n, begin + where
 
-    def search(self, text: str) -> dict:
-        """The best match by item: (share, cosine, first word, number of matches)."""
-        words, out = word_hashes(text), {}
-        for at, j, cosine in self.candidates(words) if len(words) else ():
-            p = self.passages[j]
-            found = self.verify(words, at, p)
+    def search(self, texts: list[np.ndarray]) -> list[dict]:
+        """The best match by item in each text, given by its words' hashes: (share, cosine, first
+        word, number of matches)."""
+        found_in = [{} for _ in texts]
+        for k, at, j, cosine in self.candidates(texts):
+            p, out = self.passages[j], found_in[k]
+            found = self.verify(texts[k], at, p)
             if found:
                 share, where, n = out.get(p.item, (0.0, 0, 0, 0))[0], found[1], out.get(p.item, (0, 0, 0, 0))[3]
                 if n == 0 or (found[0], cosine) > (share, out[p.item][1]):
                     out[p.item] = (found[0], cosine, where, n + 1)
                 else:
                     out[p.item] = (*out[p.item][:3], n + 1)
-        return out
+        return found_in
 
 
 def _searcher(shared):
@@ -473,37 +596,38 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             settings: Settings | None = None) -> DataFrame:
     """One row per document and item found in it."""
     s, spark = settings or Settings(), docs.sparkSession
-    vectors = fit(docs, text_col, s)
+    placed = written_places(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text")))
+    vectors = fit(placed, s)
     out = spark.createDataFrame([], MATCHES)
-    slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
     for passages in item_blocks(benchmark):
-        out = out.union(_matches_of(slim, spark.sparkContext.broadcast((vectors, passages, s)), s.copy_share))
+        out = out.union(_matches_of(placed, spark.sparkContext.broadcast((vectors, passages, s)), s.copy_share))
     best = F.max(F.struct("lcs_share", "cosine", "word_start", "kind")).alias("m")
     return out.groupBy("doc_id", "item_id").agg(best, F.sum("n_matches").alias("n_matches")).select(
         "doc_id", "item_id", "m.lcs_share", "m.cosine", "m.word_start", "n_matches", "m.kind")
 
 
-def _matches_of(slim: DataFrame, shared, copy_share: float) -> DataFrame:
+def _matches_of(placed: DataFrame, shared, copy_share: float) -> DataFrame:
     names = [x.split(" ")[0] for x in MATCHES.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
 
     def run(batches):
         searcher = _searcher(shared)
         for batch in batches:
+            found = searcher.search([np.frombuffer(raw, "<u4") for raw in batch.column(0).to_pylist()])
             rows = [(doc, item, share, cosine, at, n, "copy" if share >= copy_share else "paraphrase")
-                    for doc, text in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True)
-                    for item, (share, cosine, at, n) in searcher.search(text).items()]
+                    for doc, best in zip(batch.column(1).to_pylist(), found, strict=True)
+                    for item, (share, cosine, at, n) in best.items()]
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return slim.mapInArrow(run, MATCHES)
+    return placed.select("words", "doc_id").mapInArrow(run, MATCHES)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                settings: Settings | None = None) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
     s, spark = settings or Settings(), docs.sparkSession
-    vectors = fit(docs, text_col, s)
+    vectors = fit(written_places(docs.select(text_of(text_col).alias("text"))), s)
     place = docs.columns.index(text_col)
     for passages in item_blocks(benchmark):
         shared = spark.sparkContext.broadcast((vectors, passages, s))
@@ -511,7 +635,8 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         def run(batches, shared=shared):
             searcher = _searcher(shared)
             for batch in batches:
-                clean = [not searcher.search(t or "") for t in batch.column(place).to_pylist()]
+                hashes = hashes_of_texts([t or "" for t in batch.column(place).to_pylist()])
+                clean = [not found for found in searcher.search([np.frombuffer(raw, "<u4") for raw in hashes])]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         # Arrow has no name clashes to resolve: columns go by place
