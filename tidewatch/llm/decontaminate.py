@@ -92,8 +92,8 @@ def _words_of_part(part: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     begin, end = edge[::2], edge[1::2]
     total = np.zeros(len(part) + 1, np.uint64)
-    np.cumsum(_BYTE[part] * _POWER[:len(part)], out=total[1:])
-    h = (total[end] - total[begin]) * _INVERSE[begin]
+    np.cumsum(_BYTE.take(part) * _POWER[:len(part)], out=total[1:])
+    h = (total.take(end) - total.take(begin)) * _INVERSE.take(begin)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return begin, (h >> np.uint64(32)).astype(np.int64)
 
@@ -117,7 +117,7 @@ def _hashes_of_bytes(text: bytes) -> np.ndarray:
     raw, out, at = np.frombuffer(text, np.uint8), [], 0
     while at < len(raw):
         part = raw[at:at + _CHUNK]
-        inside = _IN_WORD[part]
+        inside = _IN_WORD.take(part)
         if at + len(part) < len(raw):
             gap = np.flatnonzero(~inside[::-1])
             if len(gap):
@@ -138,7 +138,7 @@ def hashes_of_texts(texts: list[str]) -> list[bytes]:
 
     def together():
         part = np.frombuffer(b"\0".join(held), np.uint8)
-        begin, hashes = _words_of_part(part, _IN_WORD[part])
+        begin, hashes = _words_of_part(part, _IN_WORD.take(part))
         ends = np.cumsum([len(raw) + 1 for raw in held])
         at, hashes = [0, *(4 * np.searchsorted(begin, ends)).tolist()], hashes.astype("<u4").tobytes()
         out.extend(hashes[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
@@ -316,9 +316,9 @@ def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray, step: int
     no place comes twice in one step, and then the first."""
     flat = words.ravel()
     order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
+    ranked = flat.take(order)
     edge = np.flatnonzero(np.diff(ranked, prepend=-1))
-    at, counts, block = ranked[edge], np.diff(edge, append=len(flat)), order // words.shape[1]
+    at, counts, block = ranked.take(edge), np.diff(edge, append=len(flat)), order // words.shape[1]
     real = at < SIZE
     at, edge, counts = at[real], edge[real], counts[real]
     many = counts > _FEW
@@ -339,14 +339,14 @@ def add_by_place(total: np.ndarray, words: np.ndarray, y: np.ndarray, step: int
     few = few[np.argsort(-counts[few], kind="stable")]
     for i in range(0, len(few), step):
         mine = few[i:i + step]
-        begin, n = edge[mine], counts[mine]
-        sums = y.take(block[begin], axis=0)
+        begin, n = edge.take(mine), counts.take(mine)
+        sums = y.take(block.take(begin), axis=0)
         rest = np.zeros((int(np.searchsorted(-n, -1, "left")), y.shape[1]), y.dtype)  # of places with more words
         for k in range(1, int(n[0])):
             longer = int(np.searchsorted(-n, -k, "left"))
-            rest[:longer] += y.take(block[begin[:longer] + k], axis=0)
+            rest[:longer] += y.take(block.take(begin[:longer] + k), axis=0)
         sums[:len(rest)] += rest
-        total[at[mine]] += sums
+        total[at.take(mine)] += sums
 
 
 def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf: np.ndarray, weighted: np.ndarray) -> None:
@@ -358,17 +358,17 @@ def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf:
     its two passages, so each word is gathered and scattered once."""
     width = weighted.shape[1]
     first = np.flatnonzero(begins)
-    pairs = np.sort(np.concatenate([words[first], words[first + 1]], axis=1), axis=1)
+    pairs = np.sort(np.concatenate([words.take(first, axis=0), words.take(first + 1, axis=0)], axis=1), axis=1)
     new = np.ones(pairs.shape, bool)
     new[:, 1:] = pairs[:, 1:] != pairs[:, :-1]
     run = np.flatnonzero(new.ravel())
     counts = np.diff(run, append=pairs.size)
-    square = np.bincount(run // pairs.shape[1], (counts * idf[pairs.ravel()[run]]) ** 2, len(first))
+    square = np.bincount(run // pairs.shape[1], (counts * idf.take(pairs.ravel().take(run))) ** 2, len(first))
     square = np.maximum(square, 1e-18)
     z = block_sums(weighted, words)
     y = np.zeros((len(words), width + 1), np.float32)
     mine = np.empty((len(first), width + 1), np.float32)
-    mine[:, :width] = (z[first] + z[first + 1]) / square[:, None]
+    mine[:, :width] = (z.take(first, axis=0) + z.take(first + 1, axis=0)) / square[:, None]
     mine[:, width] = 1 / np.sqrt(square)
     y[first] = mine
     y[first + 1] += mine
@@ -377,7 +377,7 @@ def add_products(total: np.ndarray, words: np.ndarray, begins: np.ndarray, idf:
 
 
 def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
-               block: int = 256) -> tuple[np.ndarray, np.ndarray, int]:
+               block: int = 64) -> tuple[np.ndarray, np.ndarray, int]:
     """(A'A) q, the column sums of A and the number of rows of the TF-IDF matrix A, whose
     rows are the passages of all texts, of unit length.
 
@@ -399,13 +399,12 @@ def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())],
                                          names=["block", "sums"])
 
-    def add(frame):
-        import pandas as pd
-        total = sum(np.frombuffer(x) for x in frame["sums"])
-        return pd.DataFrame({"block": frame["block"][:1], "sums": [total.tobytes()]})
+    def add(parts):
+        total = sum(np.frombuffer(x.as_py()) for x in parts.column("sums"))
+        return pa.table({"block": parts.column("block")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
     rows = (placed.select("words").mapInArrow(run, "block int, sums binary")
-            .groupBy("block").applyInPandas(add, "block int, sums binary").collect())  # SIZE / block rows
+            .groupBy("block").applyInArrow(add, "block int, sums binary").collect())  # SIZE / block rows
     full = np.concatenate([np.frombuffer(r["sums"]).reshape(-1, width + 2) for r in sorted(rows)])
     return full[:, :width], full[:, width], int(full[0, width + 1])
 
