@@ -167,23 +167,40 @@ def places(hashes: np.ndarray) -> np.ndarray:
 
 def written_places(texts: DataFrame) -> DataFrame:
     """The hashes of every text's words, in order, as 32-bit integers, whose upper bits are
-    the places; with the texts' ``doc_id``, if there is one. Written once, since the
-    frequencies, every round and the search read them."""
+    the places; with the texts' ``doc_id``, if there is one. Written once, since every round
+    and the search read them. Each task adds a row of its own: the number of its texts that
+    hold each place, and of all its texts (``counts``, null for a text)."""
     kept = [c for c in texts.columns if c == "doc_id"]
+    names = ["words", *kept, "counts"]
 
     def run(batches):
+        counts, seen = np.zeros(SIZE + 1, np.int64), np.zeros(SIZE, bool)
         for batch in batches:
-            hashes = pa.array(hashes_of_texts(batch.column(0).to_pylist()), pa.binary())
-            yield pa.RecordBatch.from_arrays([hashes, *batch.columns[1:]], names=["words", *kept])
+            hashes = hashes_of_texts(batch.column(0).to_pylist())
+            for raw in hashes:
+                at = places(np.frombuffer(raw, "<u4"))
+                seen[at] = True
+                counts[:SIZE] += seen
+                seen[at] = False
+            counts[SIZE] += len(hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), *batch.columns[1:],
+                                              pa.nulls(len(hashes), pa.binary())], names=names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64()) for _ in kept],
+                                          pa.array([counts.tobytes()], pa.binary())], names=names)
 
     path = scratch_path(texts.sparkSession, "svd-places")
-    schema = ", ".join(["words binary", *[f"{c} bigint" for c in kept]])
+    schema = ", ".join(["words binary", *[f"{c} bigint" for c in kept], "counts binary"])
     # the values are long, so the writer need not try a dictionary of them
     (texts.select("text", *kept).mapInArrow(run, schema)
      .write.option("parquet.enable.dictionary", "false").parquet(path))
     return texts.sparkSession.read.schema(schema).parquet(path)
 
 
+def of_texts(placed: DataFrame, *columns: str) -> DataFrame:
+    """The rows of texts."""
+    return placed.filter("counts IS NULL").select(*columns)
+
+
 def places_of(batches):
     """The places of each text of the batches of ``written_places``."""
     for batch in batches:
@@ -194,20 +211,18 @@ def places_of(batches):
 def document_frequencies(placed: DataFrame) -> np.ndarray:
     """Inverse document frequencies by place over all texts."""
     def run(batches):
-        n, df, seen = 0, np.zeros(SIZE, np.int64), np.zeros(SIZE, bool)
-        for at in places_of(batches):
-            n += 1
-            seen[at] = True
-            df += seen
-            seen[at] = False
-        at = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))],
-                                         names=["place", "n"])
-
-    rows = placed.select("words").mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
+        total = np.zeros(SIZE + 1, np.int64)
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                total += np.frombuffer(raw, np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
+
+    counts = placed.filter("counts IS NOT NULL").select("counts")
+    rows = counts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
         F.sum("n").alias("n")).collect()  # at most SIZE + 1 rows
     got = dict(rows)
-    n = got.pop(-1, 0)
+    n = got.pop(SIZE, 0)
     df = np.zeros(SIZE)
     for at, count in got.items():
         df[at] = count
@@ -403,7 +418,7 @@ def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
         total = sum(np.frombuffer(x.as_py()) for x in parts.column("sums"))
         return pa.table({"block": parts.column("block")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
 
-    rows = (placed.select("words").mapInArrow(run, "block int, sums binary")
+    rows = (of_texts(placed, "words").mapInArrow(run, "block int, sums binary")
             .groupBy("block").applyInArrow(add, "block int, sums binary").collect())  # SIZE / block rows
     full = np.concatenate([np.frombuffer(r["sums"]).reshape(-1, width + 2) for r in sorted(rows)])
     return full[:, :width], full[:, width], int(full[0, width + 1])
@@ -619,7 +634,7 @@ def _matches_of(placed: DataFrame, shared, copy_share: float) -> DataFrame:
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    return placed.select("words", "doc_id").mapInArrow(run, MATCHES)
+    return of_texts(placed, "words", "doc_id").mapInArrow(run, MATCHES)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
