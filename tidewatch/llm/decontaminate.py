@@ -56,6 +56,8 @@ ITEM_BLOCK = 5_000
 BLOCK_WORDS = 1 << 14
 # blocks of short texts that are searched together
 SEARCHED = BLOCK_WORDS // STRIDE
+# words (of 4 bytes) per task of the fit, beside which the task's sums (9.6 MB) are small
+FIT_WORDS = 1 << 24
 
 @dataclass
 class Settings:
@@ -169,12 +171,12 @@ def written_places(texts: DataFrame) -> DataFrame:
     """The hashes of every text's words, in order, as 32-bit integers, whose upper bits are
     the places; with the texts' ``doc_id``, if there is one. Written once, since every round
     and the search read them. Each task adds a row of its own: the number of its texts that
-    hold each place, and of all its texts (``counts``, null for a text)."""
+    hold each place, of all its texts and of their words (``counts``, null for a text)."""
     kept = [c for c in texts.columns if c == "doc_id"]
     names = ["words", *kept, "counts"]
 
     def run(batches):
-        counts, seen = np.zeros(SIZE + 1, np.int64), np.zeros(SIZE, bool)
+        counts, seen = np.zeros(SIZE + 2, np.int64), np.zeros(SIZE, bool)
         for batch in batches:
             hashes = hashes_of_texts(batch.column(0).to_pylist())
             for raw in hashes:
@@ -183,6 +185,7 @@ def written_places(texts: DataFrame) -> DataFrame:
                 counts[:SIZE] += seen
                 seen[at] = False
             counts[SIZE] += len(hashes)
+            counts[SIZE + 1] += sum(map(len, hashes)) // 4
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.binary()), *batch.columns[1:],
                                               pa.nulls(len(hashes), pa.binary())], names=names)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.binary()), *[pa.nulls(1, pa.int64()) for _ in kept],
@@ -208,25 +211,41 @@ def places_of(batches):
             yield places(np.frombuffer(raw, "<u4")).astype(np.int16)
 
 
-def document_frequencies(placed: DataFrame) -> np.ndarray:
-    """Inverse document frequencies by place over all texts."""
+def counts_of(placed: DataFrame) -> np.ndarray:
+    """The number of texts that hold each place, of all texts and of their words."""
     def run(batches):
-        total = np.zeros(SIZE + 1, np.int64)
+        total = np.zeros(SIZE + 2, np.int64)
         for batch in batches:
             for raw in batch.column(0).to_pylist():
                 total += np.frombuffer(raw, np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["place", "n"])
 
-    counts = placed.filter("counts IS NOT NULL").select("counts")
+    # one small row for each task that wrote
+    counts = placed.filter("counts IS NOT NULL").select("counts").coalesce(placed.sparkSession.sparkContext.defaultParallelism)
     rows = counts.mapInArrow(run, "place bigint, n bigint").groupBy("place").agg(
-        F.sum("n").alias("n")).collect()  # at most SIZE + 1 rows
-    got = dict(rows)
-    n = got.pop(SIZE, 0)
-    df = np.zeros(SIZE)
-    for at, count in got.items():
-        df[at] = count
-    return np.log((1 + n) / (1 + df)) + 1
+        F.sum("n").alias("n")).collect()  # at most SIZE + 2 rows
+    out = np.zeros(SIZE + 2, np.int64)
+    for at, n in rows:
+        out[at] = n
+    return out
+
+
+def inverse_frequencies(counts: np.ndarray) -> np.ndarray:
+    return np.log((1 + counts[SIZE]) / (1.0 + counts[:SIZE])) + 1
+
+
+def document_frequencies(placed: DataFrame) -> np.ndarray:
+    """Inverse document frequencies by place over all texts."""
+    return inverse_frequencies(counts_of(placed))
+
+
+def for_sums(placed: DataFrame, words: int) -> DataFrame:
+    """``placed`` in as many tasks as there are cores, or more if a task has ``FIT_WORDS``: every
+    task of the fit writes sums of the same size, so what they take on disk follows the words
+    and not the number of the input's partitions. No row is moved."""
+    cores = placed.sparkSession.sparkContext.defaultParallelism
+    return placed.coalesce(max(1, cores, math.ceil(words / FIT_WORDS)))
 
 
 def blocks_of(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -427,7 +446,9 @@ def gram_times(placed: DataFrame, idf: np.ndarray, q: np.ndarray,
 def fit(placed: DataFrame, settings: Settings | None = None) -> np.ndarray:
     """A latent vector for every place; a passage's vector is the sum over its words."""
     s = settings or Settings()
-    idf = document_frequencies(placed)
+    counts = counts_of(placed)
+    idf = inverse_frequencies(counts)
+    placed = for_sums(placed, int(counts[SIZE + 1]))
     q = np.linalg.qr(np.random.default_rng(0).standard_normal((SIZE, s.rank + 16)))[0]
     for i in range(s.rounds):
         product, sums, n = gram_times(placed, idf, q)
